@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_avg, exact_sum
+
 
 def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame:
     """A1: NULLs excluded, count per value."""
@@ -20,11 +22,19 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
             .agg(F.count(F.lit(1)).cast("long").alias(count_col)))
 
 
+def _agg(how: str, col: str, money_scale: int | None):
+    if money_scale is not None:
+        return {"sum": exact_sum, "avg": exact_avg, "mean": exact_avg}[how](col, money_scale)
+    return {"sum": F.sum, "avg": F.avg, "mean": F.avg, "max": F.max}[how](col)
+
+
 def monthly(df: DataFrame, month: str, value: str, how: str = "sum",
-            scale: float = 1.0, out: str | None = None, group: Sequence[str] = ()) -> DataFrame:
+            scale: float = 1.0, out: str | None = None, group: Sequence[str] = (),
+            money_scale: int | None = None) -> DataFrame:
     """A2 / A3: per-month SUM or AVG of a column, optionally scaled
-    (÷10,000 in the reference's AUM trend) and per extra group key."""
-    agg = {"sum": F.sum, "avg": F.avg, "mean": F.avg}[how](value)
+    (÷10,000 in the reference's AUM trend) and per extra group key.
+    ``money_scale``: amounts with that many decimals are summed exactly."""
+    agg = _agg(how, value, money_scale)
     return (df.where(F.col(month).isNotNull()).groupBy(*group, month)
             .agg((agg * F.lit(scale)).alias(out or f"{how}_{value}")))
 
@@ -44,10 +54,10 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 
 def unpivot_agg(df: DataFrame, cols: Sequence[str], how: str, name_col: str,
-                value_col: str, labels: Mapping[str, str] | None = None) -> DataFrame:
+                value_col: str, labels: Mapping[str, str] | None = None,
+                money_scale: int | None = None) -> DataFrame:
     """A4 / A5: one aggregate per column, then one row per column."""
-    fn = {"avg": F.avg, "sum": F.sum, "max": F.max}[how]
-    one = df.agg(*[fn(c).cast("double").alias(c) for c in cols])
+    one = df.agg(*[_agg(how, c, money_scale).cast("double").alias(c) for c in cols])
     long = one.unpivot([], list(cols), name_col, value_col)
     if labels:
         long = long.withColumn(name_col, recode(name_col, labels))

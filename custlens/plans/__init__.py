@@ -1,6 +1,6 @@
 """Registry of named plans (Spark builder + DuckDB oracle text)."""
 
-from . import basket_plans, bi_plans, features_plans, metrics_plans  # noqa: F401  (registers plans)
+from . import basket_plans, bi_plans, features_plans, metrics_plans, series_plans  # noqa: F401
 from .registry import REGISTRY, Plan, plan
 
 

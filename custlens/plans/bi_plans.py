@@ -9,6 +9,7 @@ from ..operators import bi, profile
 from ..operators import features as fe
 from ..sources import bindings as bd
 from ..sources.tables import read
+from ..functions.exact import exact_avg_sql, exact_sum_sql
 from .features_plans import FEATURES_SQL
 from .registry import plan, rnd, rsql
 
@@ -174,19 +175,21 @@ def value_counts_region(spark, sf):
     return bi.value_counts(bd.base(spark, sf), "city_level")
 
 
-@plan("monthly_aum_sum", f"SELECT stat_month AS month, {rsql('sum(total_assets) * 0.0001', 4)} AS total_assets "
+@plan("monthly_aum_sum", f"SELECT stat_month AS month, {rsql(exact_sum_sql('total_assets') + ' * 0.0001', 4)} AS total_assets "
       f"FROM {B} b GROUP BY 1", "bi")
 def monthly_aum_sum(spark, sf):
     """A2 + P18: monthly total assets in units of 10,000."""
-    m = bi.monthly(bd.behaviour(spark, sf), "stat_month", "total_assets", "sum", 1e-4, "total_assets")
+    m = bi.monthly(bd.behaviour(spark, sf), "stat_month", "total_assets", "sum", 1e-4, "total_assets",
+                   money_scale=2)
     return m.select(F.col("stat_month").alias("month"), rnd("total_assets", 4).alias("total_assets"))
 
 
-@plan("monthly_aum_mean", f"SELECT stat_month AS month, {rsql('avg(total_assets)', 4)} AS total_assets "
+@plan("monthly_aum_mean", f"SELECT stat_month AS month, {rsql(exact_avg_sql('total_assets'), 4)} AS total_assets "
       f"FROM {B} b GROUP BY 1", "bi")
 def monthly_aum_mean(spark, sf):
     """A3: monthly mean of total assets."""
-    m = bi.monthly(bd.behaviour(spark, sf), "stat_month", "total_assets", "avg", out="total_assets")
+    m = bi.monthly(bd.behaviour(spark, sf), "stat_month", "total_assets", "avg", out="total_assets",
+                   money_scale=2)
     return m.select(F.col("stat_month").alias("month"), rnd("total_assets", 4).alias("total_assets"))
 
 
@@ -211,7 +214,7 @@ def _union_sql(select_tpl: str, items) -> str:
 
 
 COMPOSITION_SQL = _union_sql(
-    "SELECT '{label}' AS asset_type, " + rsql("avg({col})", 4) + f" AS average_balance FROM {B} b",
+    "SELECT '{label}' AS asset_type, " + rsql(exact_avg_sql("{col}"), 4) + f" AS average_balance FROM {B} b",
     ps.DRIVER_BALANCE_LABELS.items())
 
 
@@ -219,7 +222,7 @@ COMPOSITION_SQL = _union_sql(
 def asset_composition(spark, sf):
     """A4 + P13: mean of each balance column, one row per asset type."""
     u = bi.unpivot_agg(bd.behaviour(spark, sf), bd.BALANCES, "avg", "asset_type", "average_balance",
-                       ps.DRIVER_BALANCE_LABELS)
+                       ps.DRIVER_BALANCE_LABELS, money_scale=2)
     return u.select("asset_type", rnd("average_balance", 4).alias("average_balance"))
 
 

@@ -36,10 +36,14 @@ def plan(name: str, sql: str | None = None, area: str = ""):
 
 
 def rnd(c, d: int = 6) -> Column:
-    """Round a double for value comparison; ``+ 0.0`` turns -0.0 into 0.0."""
+    """Round half up to ``d`` decimals as floor(x * 10^d + 0.5) / 10^d —
+    plain IEEE steps, so both engines round a given double identically;
+    ``+ 0.0`` turns -0.0 into 0.0."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), d) + F.lit(0.0)
+    s = float(10 ** d)
+    return (F.floor(col.cast("double") * F.lit(s) + F.lit(0.5)) / F.lit(s)).cast("double") + F.lit(0.0)
 
 
 def rsql(expr: str, d: int = 6) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), {d}) + 0.0)"
+    s = f"{float(10 ** d)!r}"
+    return f"(CAST(floor(CAST({expr} AS DOUBLE) * {s} + 0.5) AS DOUBLE) / {s} + 0.0)"

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_sum, exact_sum_sql
 from ..functions.sizing import broadcast_if_small
 from .tables import read
 
@@ -71,8 +72,8 @@ def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders", "o_custkey", "o_totalprice",
              "o_orderdate", "o_orderpriority")
     prio, price = F.col("o_orderpriority"), F.col("o_totalprice")
-    aggs = [F.sum(price).alias("total_assets")]
-    aggs += [F.sum(F.when(prio == p, price).otherwise(F.lit(0.0))).alias(f"{n}_balance")
+    aggs = [exact_sum(price).alias("total_assets")]
+    aggs += [exact_sum(F.when(prio == p, price).otherwise(F.lit(0.0))).alias(f"{n}_balance")
              for n, p in PRODUCT_PRIORITY.items()]
     aggs += [F.max((prio == p).cast("int")).alias(f"{n}_flag")
              for n, p in PRODUCT_PRIORITY.items()]
@@ -128,14 +129,14 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 
 def _behaviour_sql() -> str:
     bal = ",\n       ".join(
-        f"sum(CASE WHEN o_orderpriority = '{p}' THEN o_totalprice ELSE 0.0 END) AS {n}_balance"
+        f"{exact_sum_sql(f"CASE WHEN o_orderpriority = '{p}' THEN o_totalprice ELSE 0.0 END")} AS {n}_balance"
         for n, p in PRODUCT_PRIORITY.items())
     flg = ",\n       ".join(
         f"max(CAST(o_orderpriority = '{p}' AS INTEGER)) AS {n}_flag"
         for n, p in PRODUCT_PRIORITY.items())
     return f"""
 SELECT o_custkey AS customer_id, strftime(o_orderdate, '%Y-%m') AS stat_month,
-       sum(o_totalprice) AS total_assets,
+       {exact_sum_sql('o_totalprice')} AS total_assets,
        {bal},
        {flg},
        CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS product_count,

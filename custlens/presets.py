@@ -46,3 +46,88 @@ DRIVER_LEVEL_EDGES = BANK_LEVEL_EDGES
 DRIVER_LEVEL_LABELS = ["<500k", "500k-800k", "800k-1M", ">=1M"]
 DRIVER_INCOME_EDGES = [0, 2000, 4000, 6000, 8000]
 DRIVER_INCOME_LABELS = ["<0", "0-2k", "2k-4k", "4k-6k", "6k-8k", ">=8k"]
+
+
+# ------------------------------------------------------------ segment rules
+# Ordered naming rules over a per-segment profile (first match wins).  The
+# bank preset keeps the reference's thresholds and names (fixed values);
+# the driver preset applies the same shapes to the driver's columns.
+
+def bank_rules_a(c):
+    """Ladder A over profile means; ``c(name)`` returns the column."""
+    return [
+        ("高复购高资产客户", (c("total_assets") > 1000000) & (c("financial_repurchase_count") > 10)),
+        ("中产家庭客户", (c("total_assets") > 500000) & (c("age") > 30) & (c("marriage_status_encoded") == 0)),
+        ("年轻高消费客户", (c("age") < 30) & (c("credit_card_monthly_expense") > 5000)),
+        ("投资偏好客户", (c("financial_balance") > 300000) & (c("fund_balance") > 200000)),
+        ("稳健储蓄客户", c("deposit_balance") > 500000),
+        ("活跃数字化客户", (c("app_login_count") > 30) & (c("app_financial_view_time") > 1000)),
+        ("基础客户", (c("monthly_income") < 5000) & (c("total_assets") < 100000)),
+    ]
+
+
+BANK_DEFAULT_PREFIX = "客户群"
+
+
+def bank_rules_b(c):
+    """Ladder B over profile means and modes."""
+    return [
+        ("年轻高消费客户", (c("age") < 35) & (c("credit_card_monthly_expense") > 10000)),
+        ("高复购客户", (c("financial_repurchase_count") > 5) & (c("product_count") > 3)),
+        ("中产家庭客户", (c("marriage_status_mode") == "已婚") & c("monthly_income").between(15000, 30000)
+         & c("total_assets").between(500000, 1500000)),
+        ("高资产客户", c("total_assets") > 2000000),
+        ("投资活跃客户", (c("investment_monthly_count") > 3) & (c("financial_balance") > 500000)),
+        ("稳健储蓄客户", c("deposit_balance") > c("total_assets") * 0.6),
+        ("活跃数字化客户", (c("app_login_count") > 20) & (c("app_financial_view_time") > 1000)),
+        ("基础客户", (c("total_assets") < 100000) & (c("app_login_count") < 5)),
+    ]
+
+
+BANK_BETTER_NAMES = {
+    "客户群2": "普通客户群1",
+    "客户群3": "中产稳健客户",
+    "客户群4": "普通客户群2",
+    "客户群5": "普通客户群3",
+    "客户群6": "中产高资产客户",
+    "客户群8": "高复购客户",
+    "年轻高消费客户": "年轻高消费客户",
+    "高资产客户": "高资产客户",
+}
+
+
+def driver_rules_a(c):
+    return [
+        ("high-repurchase high-asset", (c("total_assets") > 1000000) & (c("txn_count") > 2)),
+        ("middle-class family", (c("total_assets") > 500000) & (c("monthly_income") > 3000)
+         & (c("occupation_type_encoded") == 0)),
+        ("young big spender", (c("product_count") < 2) & (c("insurance_balance") > 100000)),
+        ("investment preference", (c("financial_balance") > 300000) & (c("fund_balance") > 200000)),
+        ("steady saver", c("deposit_balance") > 500000),
+        ("active digital", (c("txn_count") > 3) & (c("product_count") > 3)),
+        ("basic", (c("monthly_income") < 5000) & (c("total_assets") < 100000)),
+    ]
+
+
+def driver_rules_b(c):
+    return [
+        ("young big spender", (c("product_count") < 1.2) & (c("insurance_balance") > 150000)),
+        ("high repurchase", (c("txn_count") > 1.5) & (c("product_count") > 1.6)),
+        ("middle-class family", (c("occupation_type_mode") == "BUILDING") & c("monthly_income").between(4000, 6000)
+         & c("total_assets").between(150000, 600000)),
+        ("high asset", c("total_assets") > 800000),
+        ("active investor", (c("txn_count") > 1.2) & (c("financial_balance") > 100000)),
+        ("steady saver", c("deposit_balance") > c("total_assets") * 0.6),
+        ("active digital", (c("product_count") > 2) & (c("fund_balance") > 100000)),
+        ("basic", (c("total_assets") < 100000) & (c("txn_count") < 5)),
+    ]
+
+
+DRIVER_DEFAULT_PREFIX = "group"
+DRIVER_BETTER_NAMES = {
+    "group1": "standard group 1",
+    "group2": "standard group 2",
+    "high asset": "high asset",
+    "high repurchase": "loyal repeat buyers",
+    "basic": "entry customers",
+}

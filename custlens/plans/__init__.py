@@ -1,7 +1,7 @@
 """Registry of named plans (Spark builder + DuckDB oracle text)."""
 
-from . import (basket_plans, bi_plans, features_plans, metrics_plans,  # noqa: F401
-               segment_plans, series_plans)
+from . import (basket_plans, bi_plans, explain_plans, features_plans,  # noqa: F401
+               metrics_plans, model_plans, segment_plans, series_plans)
 from .registry import REGISTRY, Plan, plan
 
 

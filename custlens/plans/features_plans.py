@@ -107,6 +107,7 @@ GROUP BY base.occupation_type
 
 
 def segment_summary(spark, sf):
+    """Flagship: customers, labelled rows, positive rate and mean growth per segment."""
     feats = _features(spark, sf)
     return feats.groupBy("occupation_type").agg(
         F.count_distinct("customer_id").cast("long").alias("customers"),

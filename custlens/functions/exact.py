@@ -31,3 +31,12 @@ def exact_sum_sql(expr: str, scale: int = 2) -> str:
 
 def exact_avg_sql(expr: str, scale: int = 2) -> str:
     return f"({exact_sum_sql(expr, scale)} / count({expr}))"
+
+
+def safe_corr(x, y) -> Column:
+    """Pearson correlation that is NULL (not an ANSI error) when either
+    side has zero variance."""
+    a, b = _c(x).cast("double"), _c(y).cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))

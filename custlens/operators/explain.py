@@ -327,7 +327,8 @@ def mean_deviation(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of each column with the target (NULL for
     a constant column), one aggregate pass."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
+    from ..functions.exact import safe_corr
+    one = df.agg(*[safe_corr(c, target).alias(c) for c in cols])
     return one.unpivot([], list(cols), "feature", "correlation")
 
 

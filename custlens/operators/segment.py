@@ -72,7 +72,7 @@ def silhouette_sq(points: DataFrame, vec: str, label: str) -> DataFrame:
                          lambda c: total(c) / c["n"])
     b = F.array_min(others)
     s = F.when((own["n"] <= 1) | b.isNull(), F.lit(0.0)).otherwise(
-        (b - a) / F.greatest(a, b))
+        F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
     return j.select("label", s.alias("silhouette"))
 
 

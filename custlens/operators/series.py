@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exact import safe_corr
+
 G, T, V = "series", "t", "value"
 
 
@@ -48,7 +50,7 @@ def _w(group: str = G, t: str = T):
 def growth(series: DataFrame, pct: bool = True) -> DataFrame:
     """Period-over-period change, ×100 when ``pct``."""
     prev = F.lag(V).over(_w())
-    g = (F.col(V) - prev) / prev
+    g = F.try_divide(F.col(V) - prev, prev)
     return series.withColumn("growth_pct", g * 100.0 if pct else g)
 
 
@@ -84,7 +86,7 @@ def ar_params(series: DataFrame) -> DataFrame:
     d = series.withColumn("d", F.col(V) - F.lag(V).over(w))
     d = d.withColumn("dp", F.lag("d").over(w))
     return d.groupBy(G).agg(
-        F.avg("d").alias("ma"), F.corr("dp", "d").alias("ar"),
+        F.avg("d").alias("ma"), safe_corr("dp", "d").alias("ar"),
         F.max_by(V, T).alias("last_value"), F.max_by("d", T).alias("last_diff"),
         F.max(T).alias("last_t"), F.count(F.lit(1)).cast("long").alias("n"))
 
@@ -122,9 +124,9 @@ def forecast_growth(forecast: DataFrame) -> DataFrame:
     wall = Window.partitionBy(G)
     return forecast.select(
         G, "step", "t", "forecast", (F.col("forecast") - prev).alias("change"),
-        ((F.col("forecast") - prev) / prev * 100.0).alias("change_pct"),
+        (F.try_divide(F.col("forecast") - prev, prev) * 100.0).alias("change_pct"),
         (F.max_by("forecast", "step").over(wall) - F.col("last_value")).alias("total_change"),
-        ((F.max_by("forecast", "step").over(wall) - F.col("last_value")) / F.col("last_value") * 100.0)
+        (F.try_divide(F.max_by("forecast", "step").over(wall) - F.col("last_value"), F.col("last_value")) * 100.0)
         .alias("total_change_pct"))
 
 
@@ -197,10 +199,10 @@ def dickey_fuller(series: DataFrame, col: str = V) -> DataFrame:
     a = d.groupBy(G).agg(F.regr_count("dy", "x1").alias("nobs"), F.regr_slope("dy", "x1").alias("slope"),
                          F.regr_sxx("dy", "x1").alias("sxx"), F.regr_sxy("dy", "x1").alias("sxy"),
                          F.regr_syy("dy", "x1").alias("syy"))
-    ssr = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    se = F.sqrt(ssr / (F.col("nobs") - 2) / F.col("sxx"))
+    ssr = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
+    se = F.sqrt(F.try_divide(F.try_divide(ssr, F.col("nobs") - 2), F.col("sxx")))
     out = a.select(G, F.col("nobs").cast("long").alias("nobs"), F.col("slope"),
-                   (F.col("slope") / se).alias("adf_stat"))
+                   F.try_divide(F.col("slope"), se).alias("adf_stat"))
     out = out.withColumns({f"crit_{k.rstrip('%')}pct": df_critical(F.col("nobs").cast("double"), k)
                            for k in DF_CRIT_C})
     return out.withColumn("stationary", F.col("adf_stat") < F.col("crit_5pct"))

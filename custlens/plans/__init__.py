@@ -2,6 +2,7 @@
 
 from . import (basket_plans, bi_plans, explain_plans, features_plans,  # noqa: F401
                metrics_plans, model_plans, segment_plans, series_plans)
+from . import dashboard_plans  # noqa: F401,E402  (built from the plans above)
 from .registry import REGISTRY, Plan, plan
 
 

@@ -1,0 +1 @@
+"""Incremental roll-ups with Structured Streaming."""

@@ -95,16 +95,34 @@ def hash_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int =
     return df.withColumn("is_test", hash_unit(k, seed) < F.lit(test_fraction))
 
 
+def rank_within(df: DataFrame, group: str, key: str, seed: int = 42, buckets: int = 1024) -> DataFrame:
+    """Exact 1-based rank of every row inside its group in the order
+    md5(key || ':' || seed), plus the group size — without a window over
+    a whole group.  The md5 prefix cuts each group into ``buckets``
+    hash ranges of near-equal size (uniform hash), per-(group, range)
+    counts give exclusive offsets (a window over a bounded table), and
+    rows are numbered inside their range only."""
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    b = F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) * buckets).cast("int")
+    x = df.withColumn("__h", h).withColumn("__b", b)
+    cnt = x.groupBy(group, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    wo = Window.partitionBy(group).orderBy("__b")
+    off = cnt.select(group, "__b",
+                     (F.sum("__c").over(wo.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c")).alias("__off"),
+                     F.sum("__c").over(Window.partitionBy(group)).alias("group_size"))
+    wl = Window.partitionBy(group, "__b").orderBy("__h", key)
+    return (x.join(broadcast_if_small(off), [group, "__b"])
+            .withColumn("rank_in_group", F.row_number().over(wl) + F.col("__off"))
+            .drop("__h", "__b", "__off"))
+
+
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
                      seed: int = 42) -> DataFrame:
-    """E8 with exact per-class counts (round(fraction * class size) test
-    rows per class), the rows chosen by hash order within the class."""
-    w = Window.partitionBy(label).orderBy("__h", key)
-    n = F.count(F.lit(1)).over(Window.partitionBy(label))
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    out = df.withColumn("__h", h).withColumn("__r", F.row_number().over(w)).withColumn("__n", n)
-    return out.withColumn("is_test", F.col("__r") <= F.round(F.col("__n") * test_fraction)).drop(
-        "__h", "__r", "__n")
+    """E8 with exact per-class counts: the first round(fraction * class
+    size) rows of each class in hash order form the test side."""
+    r = rank_within(df, label, key, seed)
+    return r.withColumn("is_test", F.col("rank_in_group") <= F.round(F.col("group_size") * test_fraction)).drop(
+        "rank_in_group", "group_size")
 
 
 def time_split(df: DataFrame, month: str, train: tuple[str, str], test: tuple[str, str]) -> DataFrame:

@@ -106,10 +106,10 @@ def score(model, df: DataFrame, prob_col: str = "probability_1", pred_col: str =
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
     """M6: deterministic stratified fold ids — rows of each class are
-    dealt round-robin in hash order."""
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    w = Window.partitionBy(label).orderBy(h, key)
-    return df.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+    dealt round-robin in hash order (exact ranks, no class-wide window)."""
+    from .encode import rank_within
+    r = rank_within(df, label, key, seed)
+    return r.withColumn("fold", ((F.col("rank_in_group") - 1) % k).cast("int")).drop("rank_in_group", "group_size")
 
 
 def cv_auc(estimator, df: DataFrame, label: str = "label", parallelism: int = 2):

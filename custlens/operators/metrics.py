@@ -7,8 +7,8 @@ row into one task, so they are computed as:
 1. aggregate to one row per *distinct* score (ties collapse; partial
    aggregation map-side);
 2. cut the distinct scores into ``buckets`` ranges at approximate
-   quantiles (a bounded list of split points on the driver), so every
-   range holds about the same number of distinct scores;
+   quantiles (a one-row aggregate of bounded size inside the plan), so
+   every range holds about the same number of distinct scores;
 3. per-range totals (``buckets`` rows) -> exclusive running offsets;
 4. running sums inside each range (window partitioned by range) plus the
    range offset give the exact global cumulative counts.
@@ -19,7 +19,8 @@ affects balance, never the result.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,27 +94,51 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(y).cast("long").alias("pos"), F.sum(1 - y).cast("long").alias("neg"))
 
 
+def count_less(sorted_arr: Column, x: Column, max_len: int) -> Column:
+    """Number of elements of an ascending array that are < x, by binary
+    search inside ``aggregate`` (log2(max_len) steps, no per-element scan)."""
+    steps = max(1, int(math.ceil(math.log2(max_len + 1))) + 1)
+    init = F.struct(F.lit(0).alias("lo"), F.size(sorted_arr).alias("hi"))
+
+    def step(acc, _i):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        go_right = (lo < hi) & (F.element_at(sorted_arr, mid + 1) < x)
+        new_lo = F.when(go_right, mid + 1).otherwise(lo)
+        new_hi = F.when((lo < hi) & ~go_right, mid).otherwise(hi)
+        return F.struct(new_lo.alias("lo"), new_hi.alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
+
 def cumulative_by_score(counts: DataFrame, descending: bool, buckets: int = 1024,
-                        rel_err: float = 1e-3) -> DataFrame:
+                        accuracy: int = 10000) -> DataFrame:
     """Exact inclusive running (pos, neg) over distinct scores in global
-    order without a single-partition window (see module doc)."""
+    order without a single-partition window (see module doc).  Range
+    split points are approximate quantiles computed inside the same plan
+    (a one-row aggregate, so the distinct-score exchange is reused);
+    also returns the overall totals ``total_pos`` / ``total_neg``."""
     probs = [i / buckets for i in range(1, buckets)]
-    qs = counts.approxQuantile("score", probs, rel_err) if buckets > 1 else []
-    splits = sorted(set(q for q in qs if q is not None))
-    splits = [float("-inf"), *splits, float("inf")]
-    b = Bucketizer(splits=splits, inputCol="score", outputCol="_b").transform(counts)
-    sign = -1 if descending else 1
-    b = b.withColumn("_b", (F.col("_b") * sign).cast("int"))
-    # per-range totals: at most len(splits) rows, so the unpartitioned
-    # window below is bounded by the bucket count, not by the data.
+    splits = counts.agg(F.percentile_approx("score", probs, accuracy).alias("_sp")) if probs else None
+    if splits is not None:
+        b = counts.crossJoin(F.broadcast(splits)).withColumn(
+            "_b", count_less(F.col("_sp"), F.col("score"), len(probs))).drop("_sp")
+    else:
+        b = counts.withColumn("_b", F.lit(0))
+    if descending:
+        b = b.withColumn("_b", -F.col("_b"))
+    # per-range totals: at most ``buckets`` rows, so the unpartitioned
+    # windows below are bounded by the bucket count, not by the data.
     tot = b.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     wo = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    wa = Window.partitionBy()
     off = tot.select("_b", F.coalesce(F.sum("_bp").over(wo), F.lit(0)).alias("_op"),
-                     F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_on"))
+                     F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_on"),
+                     F.sum("_bp").over(wa).alias("total_pos"), F.sum("_bn").over(wa).alias("total_neg"))
     order = F.col("score").desc() if descending else F.col("score").asc()
     wi = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (b.join(F.broadcast(off), "_b")
-            .select("score", "pos", "neg",
+            .select("score", "pos", "neg", "total_pos", "total_neg",
                     (F.sum("pos").over(wi) + F.col("_op")).alias("cum_pos"),
                     (F.sum("neg").over(wi) + F.col("_on")).alias("cum_neg")))
 
@@ -135,8 +160,7 @@ def pr_curve(df: DataFrame, label: str, score: str, buckets: int = 1024) -> Data
     desc), each row also carrying the previous point, which is derived
     from its own counts (no lag across ranges needed)."""
     cum = cumulative_by_score(score_counts(df, label, score), descending=True, buckets=buckets)
-    total_p = cum.agg(F.sum("pos").alias("_P"))
-    c = cum.crossJoin(F.broadcast(total_p))
+    c = cum.withColumn("_P", F.col("total_pos"))
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     rec = F.when(F.col("_P") == 0, F.lit(1.0)).otherwise(tp / F.col("_P"))

@@ -65,7 +65,8 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 def median_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULL -> exact median of the column."""
-    med = df.agg(*[F.median(c).alias(f"__med_{c}") for c in cols])
+    from ..functions.ranges import exact_medians
+    med = exact_medians(df, cols)
     out = df.crossJoin(F.broadcast(med))
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols})
     return out.drop(*[f"__med_{c}" for c in cols])

@@ -30,11 +30,13 @@ def join_base_behaviour(base: DataFrame, behaviour: DataFrame,
 def fill_median(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                 fill_value: str = "unknown") -> DataFrame:
     """NULL numerics -> exact median over the rows of ``df``; NULL
-    strings -> a constant.  The medians are one global aggregate (a
-    single small row) cross-joined back; no data reaches the driver."""
+    strings -> a constant.  The medians (exact, from distributed rank
+    ranges) form one small row attached as a broadcast; no data reaches
+    the driver."""
     if not numeric:
         return df.fillna(fill_value, subset=list(categorical)) if categorical else df
-    med = df.agg(*[F.median(c).alias(f"__med_{c}") for c in numeric])
+    from ..functions.ranges import exact_medians
+    med = exact_medians(df, numeric)
     out = df.crossJoin(F.broadcast(med))
     out = out.select(*[
         F.coalesce(F.col(c), F.col(f"__med_{c}").cast(df.schema[c].dataType)).alias(c)

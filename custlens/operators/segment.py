@@ -112,19 +112,22 @@ def rename_segments(df: DataFrame, col: str, mapping: Mapping[str, str], out: st
 
 
 def quartiles(df: DataFrame, label: str, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Min, q1, median, q3, max of each column per group (exact
-    linear-interpolated percentiles, or sketches with ``approx``)."""
+    """Min, q1, median, q3, max of each column per group — exact
+    linear-interpolated percentiles computed from rank ranges (no group
+    held by one task), or sketches with ``approx``."""
     qs = [0.0, 0.25, 0.5, 0.75, 1.0]
     names = ["min", "q1", "median", "q3", "max"]
-    aggs = []
-    for c in cols:
-        arr = (F.percentile_approx(c, qs, 10000) if approx
-               else F.percentile(F.col(c), F.array(*[F.lit(q) for q in qs])))
-        aggs.append(arr.alias(f"__{c}"))
-    g = df.groupBy(label).agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("feature"), *[F.col(f"__{c}")[i].cast("double").alias(n)
-                                                   for i, n in enumerate(names)]) for c in cols]
-    return g.select(label, F.inline(F.array(*rows)))
+    if approx:
+        g = df.groupBy(label).agg(*[F.percentile_approx(c, qs, 10000).alias(f"__{c}") for c in cols])
+        rows = [F.struct(F.lit(c).alias("feature"), *[F.col(f"__{c}")[i].cast("double").alias(n)
+                                                       for i, n in enumerate(names)]) for c in cols]
+        return g.select(label, F.inline(F.array(*rows)))
+    from ..functions.ranges import grouped_quantiles
+    long = df.select(label, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"),
+                                                         F.col(c).cast("double").alias("__x")) for c in cols])))
+    q = grouped_quantiles(long, [label, "feature"], "__x", qs)
+    return (q.groupBy(label, "feature").pivot("quantile", qs).agg(F.first("value"))
+            .select(label, "feature", *[F.col(f"`{q}`").alias(n) for q, n in zip(qs, names)]))
 
 
 # ------------------------------------------------------------------ Spark ML

@@ -208,18 +208,17 @@ GINI_FEATS = ["total_assets", "asset_growth_rate", "asset_mom_change", "total_as
 
 def best_gini_split(df, features, label):
     """M2: for each feature, the threshold (midpoint of consecutive
-    distinct values) with the largest gini decrease at the root."""
-    from pyspark.sql import Window
+    distinct values) with the largest gini decrease at the root.  Class
+    counts are accumulated in value order with range-partitioned running
+    sums, so no feature's distinct values sit in one task."""
+    from ..functions.ranges import grouped_running
     long = df.select(label, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"),
                                                           F.col(c).cast("double").alias("value"))
                                                  for c in features])))
     g = long.groupBy("feature", "value").agg(F.sum(F.col(label)).alias("p"), F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("feature").orderBy("value")
-    cum = w.rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy("feature")
-    g = g.select("feature", "value", F.lead("value").over(w).alias("nxt"),
-                 F.sum("p").over(cum).alias("lp"), F.sum("c").over(cum).alias("lc"),
-                 F.sum("p").over(tot).alias("tp"), F.sum("c").over(tot).alias("tc"))
+    g = grouped_running(g, ["feature"], "value", ["p", "c"], next_value=True)
+    g = g.select("feature", "value", F.col("next_value").alias("nxt"), F.col("cum_p").alias("lp"),
+                 F.col("cum_c").alias("lc"), F.col("tot_p").alias("tp"), F.col("tot_c").alias("tc"))
     g = g.where(F.col("nxt").isNotNull())
 
     def gini(pos, n):

@@ -340,3 +340,27 @@ def recode_map(spark, sf):
     return b.select("customer_id",
                     bi.recode("occupation_type", SEGMENT_RECODE, True).alias("segment_replaced"),
                     bi.recode("occupation_type", SEGMENT_RECODE, False).alias("segment_mapped"))
+
+
+@plan("date_parts", f"""
+SELECT customer_id, stat_month, CAST(month(CAST(strptime(stat_month, '%Y-%m') AS DATE)) AS INTEGER) AS month,
+       CAST(quarter(CAST(strptime(stat_month, '%Y-%m') AS DATE)) AS INTEGER) AS quarter,
+       strftime(CAST(strptime(stat_month, '%Y-%m') AS DATE), '%Y-%m-%d') AS month_start
+FROM {B} b""", "bi")
+def date_parts(spark, sf):
+    """F1 + F2 + F3: 'yyyy-MM' -> month start date, month and quarter."""
+    b = bd.behaviour(spark, sf).select("customer_id", "stat_month")
+    d = F.to_date("stat_month", "yyyy-MM")
+    return b.select("customer_id", "stat_month", F.month(d).alias("month"), F.quarter(d).alias("quarter"),
+                    F.date_format(d, "yyyy-MM-dd").alias("month_start"))
+
+
+@plan("row_counts", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers,
+       CAST(count(DISTINCT stat_month) AS BIGINT) AS months FROM {B} b""", "bi")
+def row_counts(spark, sf):
+    """Rows, distinct customers and distinct months of the behaviour table."""
+    b = bd.behaviour(spark, sf)
+    return b.agg(F.count(F.lit(1)).cast("long").alias("rows"),
+                 F.count_distinct("customer_id").cast("long").alias("customers"),
+                 F.count_distinct("stat_month").cast("long").alias("months"))

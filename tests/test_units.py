@@ -321,3 +321,42 @@ def test_result_independent_of_partitioning(spark, name):
         res.append(sorted(map(tuple, REGISTRY[name].build(spark, SMOKE).collect()), key=repr))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert res[0] == res[1]
+
+
+# ------------------------------------------------------------------ presets / io
+
+def test_bank_rule_ladders_on_reference_columns(spark):
+    from custlens import presets as ps
+    prof = spark.createDataFrame(
+        [(0, 1200000.0, 12.0, 40.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 20000.0, 0.0, 0.0, "已婚"),
+         (1, 50000.0, 0.0, 45.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 2.0, 1.0, 3000.0, 0.0, 0.0, "未婚")],
+        "cluster_label int, total_assets double, financial_repurchase_count double, age double, "
+        "marriage_status_encoded double, credit_card_monthly_expense double, financial_balance double, "
+        "fund_balance double, deposit_balance double, app_login_count double, product_count double, "
+        "investment_monthly_count double, monthly_income double, app_financial_view_time double, "
+        "unused double, marriage_status_mode string")
+    default = F.concat(F.lit(ps.BANK_DEFAULT_PREFIX), (F.col("cluster_label") + 1).cast("string"))
+    a = {r.cluster_label: r.n for r in prof.select("cluster_label", segment.rule_ladder(
+        ps.bank_rules_a(F.col), default).alias("n")).collect()}
+    b = {r.cluster_label: r.n for r in prof.select("cluster_label", segment.rule_ladder(
+        ps.bank_rules_b(F.col), default).alias("n")).collect()}
+    assert a == {0: "高复购高资产客户", 1: "基础客户"}
+    assert b == {0: "中产家庭客户", 1: "基础客户"}
+
+
+def test_bank_csv_schema_roundtrip(spark, tmp_path):
+    from custlens.sources import io
+    base = tmp_path / "base.csv"
+    base.write_text("customer_id,name,age,gender,occupation,occupation_type,monthly_income,open_account_date,"
+                    "lifecycle_stage,marriage_status,city_level,branch_name\n"
+                    "c1,A,35,M,eng,专业人士,12345.67,2020-01-01,成长客户,已婚,一线城市,b1\n")
+    beh = tmp_path / "beh.csv"
+    cols = [f.name for f in io.CUSTOMER_BEHAVIOR_SCHEMA.fields]
+    vals = {"id": "1", "customer_id": "c1", "total_assets": "1000.50", "stat_month": "2024-07",
+            "asset_level": "50万以下", "deposit_flag": "1"}
+    beh.write_text(",".join(cols) + "\n" + ",".join(vals.get(c, "0") for c in cols) + "\n")
+    b, h = io.read_bank_tables(spark, str(base), str(beh))
+    r = b.first()
+    assert r.age == 35 and r.monthly_income == 12345.67
+    x = h.first()
+    assert x.total_assets == 1000.5 and x.deposit_flag == 1 and x.stat_month == "2024-07"

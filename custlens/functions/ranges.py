@@ -16,7 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import broadcast_if_small
+from .sizing import broadcast_if_small, estimated_bytes
+
+# Below this estimated input size every group fits one task anyway, and a
+# plain per-group window (fewer stages) is used instead of ranges.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
 def _count_less(arr, x, n):
@@ -25,30 +29,42 @@ def _count_less(arr, x, n):
 
 
 def grouped_running(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str],
-                    buckets: int = 256, next_value: bool = False, accuracy: int = 10000) -> DataFrame:
+                    buckets: int = 64, next_value: bool = False, accuracy: int = 1000,
+                    small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Adds ``cum_<c>`` (inclusive running sum of each ``sums`` column in
     ascending ``order`` within ``group``), ``tot_<c>`` (group totals) and,
     with ``next_value``, ``next_<order>`` (the next row's ``order`` value,
     NULL on the group's last row).  Rows are assumed unique on
-    (group, order) — aggregate first."""
+    (group, order) — aggregate first.  Inputs whose size estimate is under
+    ``small_bytes`` take the plain per-group window (same result)."""
     group = list(group)
+    if estimated_bytes(df) <= small_bytes:
+        w = Window.partitionBy(*group).orderBy(order)
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        wall = Window.partitionBy(*group)
+        out = df.withColumns({**{f"cum_{c}": F.sum(c).over(run) for c in sums},
+                              **{f"tot_{c}": F.sum(c).over(wall) for c in sums}})
+        return out.withColumn(f"next_{order}", F.lead(order).over(w)) if next_value else out
+    # three branches read ``df`` (split points, range totals, rows): write it
+    # once to the shared checkpoint folder instead of recomputing its lineage
+    from ..session import cut_lineage
+    df = cut_lineage(df)
     probs = [i / buckets for i in range(1, buckets)]
-    sp = df.groupBy(*group).agg(F.percentile_approx(order, probs, accuracy).alias("_sp"))
+    sp = df.groupBy(*group).agg(F.percentile_approx(order, probs, accuracy).alias("_sp"),
+                                *[F.sum(c).alias(f"tot_{c}") for c in sums])
     x = df.join(broadcast_if_small(sp), group).withColumn(
         "_b", _count_less(F.col("_sp"), F.col(order), len(probs))).drop("_sp")
     aggs = [F.sum(c).alias(f"_t_{c}") for c in sums] + [F.min(order).alias("_first")]
     tot = x.groupBy(*group, "_b").agg(*aggs)
     wo = Window.partitionBy(*group).orderBy("_b")
     before = wo.rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*group)
     cols = [*group, "_b"]
     cols += [F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums]
-    cols += [F.sum(f"_t_{c}").over(wall).alias(f"tot_{c}") for c in sums]
     cols += [F.lead("_first").over(wo).alias("_next_first")]
     off = tot.select(*cols)
     wi = Window.partitionBy(*group, "_b").orderBy(order)
     run = wi.rowsBetween(Window.unboundedPreceding, 0)
-    out = x.join(broadcast_if_small(off), [*group, "_b"])
+    out = x.join(broadcast_if_small(off), [*group, "_b"])  # x carries tot_<c>
     out = out.withColumns({f"cum_{c}": F.sum(c).over(run) + F.col(f"_o_{c}") for c in sums})
     if next_value:
         out = out.withColumn(f"next_{order}", F.coalesce(F.lead(order).over(wi), F.col("_next_first")))
@@ -56,7 +72,7 @@ def grouped_running(df: DataFrame, group: Sequence[str], order: str, sums: Seque
 
 
 def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequence[float],
-                      buckets: int = 256) -> DataFrame:
+                      buckets: int = 64, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Exact linear-interpolated quantiles (the ``percentile`` /
     ``quantile_cont`` definition) per group: position h = q (n - 1); the
     value is v[floor h] + frac(h) (v[floor h + 1] - v[floor h]) over the
@@ -66,7 +82,7 @@ def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Seque
     group = list(group)
     d = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
-    r = grouped_running(d, group, "_v", ["_c"], buckets)
+    r = grouped_running(d, group, "_v", ["_c"], buckets, small_bytes=small_bytes)
     n = F.col("tot__c")
     lo_r, hi_r = F.col("cum__c") - F.col("_c"), F.col("cum__c")   # rows (lo_r, hi_r] hold _v (0-based ranks lo_r..hi_r-1)
     hits = []

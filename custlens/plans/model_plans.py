@@ -222,11 +222,12 @@ def best_gini_split(df, features, label):
     g = g.where(F.col("nxt").isNotNull())
 
     def gini(pos, n):
-        q = pos / n
+        q = F.try_divide(pos, n)
         return 1.0 - q * q - (1.0 - q) * (1.0 - q)
 
     lp, lc, tp, tc = (F.col(x).cast("double") for x in ("lp", "lc", "tp", "tc"))
-    gain = gini(tp, tc) - (lc / tc) * gini(lp, lc) - ((tc - lc) / tc) * gini(tp - lp, tc - lc)
+    gain = (gini(tp, tc) - F.try_divide(lc, tc) * gini(lp, lc)
+            - F.try_divide(tc - lc, tc) * gini(tp - lp, tc - lc))
     g = g.withColumn("gain", gain).withColumn("threshold", (F.col("value") + F.col("nxt")) / 2.0)
     return g.groupBy("feature").agg(F.max_by("threshold", F.struct(F.col("gain"), -F.col("threshold"))).alias("threshold"),
                                     F.max("gain").alias("gini_gain"))

@@ -229,6 +229,8 @@ def tree_contributions(nodes: DataFrame, df: DataFrame, features_col: str, names
             out["base_score"] = bias
             yield out
 
+    from ..session import ship_package
+    ship_package(src.sparkSession)
     return src.mapInPandas(fn, schema)
 
 

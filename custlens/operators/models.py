@@ -30,6 +30,14 @@ LGB_PRESET = {"maxIter": 1000, "stepSize": 0.05, "maxDepth": 4, "subsamplingRate
 TREE_PRESET = {"maxDepth": 4, "impurity": "gini"}
 
 
+def right_size(df: DataFrame) -> DataFrame:
+    """Iterative trainers run several stages per round over their input's
+    partitions; more partitions than cores only adds task overhead, so
+    merge down (no shuffle) to the cluster's default parallelism."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(cores) if df.rdd.getNumPartitions() > cores else df
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """U4 / E5: feature columns -> one vector (names kept in metadata)."""
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)

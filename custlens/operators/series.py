@@ -19,7 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import safe_corr
@@ -273,6 +273,8 @@ def adf_test(series: DataFrame, maxlag: int | None = None, autolag: str | None =
                               "nobs": n, "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
                               "crit_10pct": crit["10%"], "stationary": bool(p <= 0.05)}])
 
+    from ..session import ship_package
+    ship_package(series.sparkSession)
     return series.select(G, T, col).groupBy(G).applyInPandas(fn, schema)
 
 
@@ -334,6 +336,8 @@ def pacf(series: DataFrame, nlags: int = 20, col: str = V) -> DataFrame:
         return pd.DataFrame({G: str(pdf[G].iloc[0]), "lag": [o[0] for o in out],
                              "pacf": [o[1] for o in out]})
 
+    from ..session import ship_package
+    ship_package(a.sparkSession)
     return a.groupBy(G).applyInPandas(fn, "series string, lag int, pacf double")
 
 

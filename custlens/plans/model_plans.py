@@ -44,7 +44,7 @@ def model_frame(spark, sf):
 @functools.lru_cache(maxsize=8)
 def _data(spark, sf):
     df, names = model_frame(spark, sf)
-    df = df.select(*KEYS, "label", "features", *names).cache()
+    df = models.right_size(df.select(*KEYS, "label", "features", *names)).cache()
     train = df.where(F.col("stat_month") <= TRAIN_END)
     test = df.where(F.col("stat_month") > TRAIN_END)
     return train, test, names

@@ -59,3 +59,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor loss, unlike a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``custlens`` importable on executors (needed by the few grouped
+    pandas functions): zip the package once into the shared checkpoint
+    folder and register it with ``addPyFile``."""
+    import hashlib
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
+    digest = hashlib.sha1()
+    for f in files:
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    folder = os.path.join(checkpoint_dir(spark), "pyfiles")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, f"custlens-{digest.hexdigest()[:12]}.zip")
+    if not os.path.exists(path):
+        tmp = f"{path}.{os.getpid()}.part"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.join("custlens", os.path.relpath(f, pkg)))
+        os.replace(tmp, path)
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

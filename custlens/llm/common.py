@@ -140,7 +140,8 @@ class WordHash(dict):
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalising bit mixer on uint64 arrays (wraps modulo 2**64)."""
     x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0x7FB5D329728EA185)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0x7FB5D329728EA185)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x81DADEF4BC2DD44D)
+    x ^= x >> np.uint64(33)
+    return x

@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         small = (large.join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("lo < hi")
                  .unionByName(least.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).distinct())
         nxt = cut_lineage(small)
-        if nxt.count() == e.count() and nxt.exceptAll(e).isEmpty():
+        if nxt.count() == e.count() and nxt.join(e, ["lo", "hi"], "left_anti").isEmpty():
             break
         e = nxt
     roots = e.select(F.col("hi").alias("id"), F.col("lo").alias("component_id"))

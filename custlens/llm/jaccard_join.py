@@ -50,6 +50,7 @@ ship_by_value(__name__)
 
 WIDTH = 5
 KEYS = 8                 # min-hashes per document
+KEYS_SHARED = 4          # shared ones from which a document joins a group (others are their own group)
 GROUP_MEMBERS = 64       # members of a group at most ...
 HUB_MEMBERS = 256        # members compared with one copy of a hub
 GROUP_CHARS = 2_000_000  # ... and characters of its texts (one longer text: a group of its own)
@@ -71,10 +72,10 @@ def shingle_set(text: str | None) -> np.ndarray:
         if len(h) < WIDTH:
             return np.array([xxhash.xxh3_64_intdigest(b"short " + b" ".join(w))], dtype=np.uint64)
         m = len(h) - WIDTH + 1
-        s = np.zeros(m, dtype=np.uint64)
-        for i in range(WIDTH):
-            s = mix64(s * np.uint64(0x9E3779B97F4A7C15) + h[i:i + m])
-        return np.unique(s)
+        s = h[:m] * _MUL[0]
+        for i in range(1, WIDTH):
+            s += h[i:i + m] * _MUL[i]
+        return np.unique(mix64(s))
 
 
 def _sketch_slot(s: np.ndarray) -> np.ndarray:
@@ -96,18 +97,20 @@ def _profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
             for part in slices(batch):
-                n, chars, digest, keys = [], [], [], []
+                n, chars, digest, keys, slots = [], [], [], [], []
                 for t in part.column(0).to_pylist():
                     s = shingle_set(t)
                     n.append(len(s))
                     chars.append(len(t) if t else 0)
                     digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                     if len(s):
-                        np.add.at(sketch, _sketch_slot(s), 1)
+                        slots.append(_sketch_slot(s))
                         with np.errstate(over="ignore"):
-                            keys.append([int(mix64(s * m).min().astype(np.int64)) for m in _MUL])
+                            keys.append([int((s * m).min().view(np.int64)) for m in _MUL])
                     else:
                         keys.append(None)
+                if slots:
+                    sketch += np.bincount(np.concatenate(slots), minlength=len(sketch))
                 rows = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(rows, np.int32)), part.column(1).cast(pa.int64()), pa.array(n, pa.int64()),
@@ -240,9 +243,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = profile.where("kind = 0").drop("kind")
 
     several = base.where("id IS NOT NULL").groupBy("id").agg(
-        F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.min("n").alias("n_lo")).where("lo <> hi OR (hi IS NOT NULL AND n_lo = 0)")
-    if not several.isEmpty():
+        F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.min("n").alias("n_lo"), F.count(F.lit(1)).alias("rows"))
+    several = several.agg(F.max(F.expr("lo <> hi OR (hi IS NOT NULL AND n_lo = 0)")), F.max("rows")).first()
+    if several[0]:
         return _by_row(docs, id_col, text_col, threshold)
+    repeated = (several[1] or 0) > 1
 
     # equal sets collapse to their smallest id
     sets = base.where("id IS NOT NULL AND n > 0")
@@ -253,8 +258,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keyed = reps.select("id", "chars", F.posexplode("keys").alias("slot", "key"))
     shared = keyed.groupBy("slot", "key").count().where("count > 1")
     votes = keyed.join(shared, ["slot", "key"]).groupBy("id").agg(
-        F.max(F.struct("count", "slot", "key")).alias("top"), F.sum("count").alias("central"), F.first("chars").alias("chars"))
-    votes = cut_lineage(votes.select("id", "central", "chars", F.col("top.slot").alias("slot"), F.col("top.key").alias("key")))
+        F.max(F.struct("count", "slot", "key")).alias("top"), F.sum("count").alias("central"), F.first("chars").alias("chars"),
+        F.count(F.lit(1)).alias("keys"))
+    votes = cut_lineage(votes.where(F.col("keys") >= KEYS_SHARED).select("id", "central", "chars", F.col("top.slot").alias("slot"), F.col("top.key").alias("key")))
     hubs = votes.groupBy("slot", "key").agg(F.max(F.struct("central", (-F.col("id")).alias("id"))).alias("h"),
                                             F.count(F.lit(1)).alias("members"))
     hubs = hubs.where("members > 1").select("slot", "key", (-F.col("h.id")).alias("hub"))
@@ -264,7 +270,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def with_text(ids: DataFrame) -> DataFrame:
         """(id, text), one row per id: all rows of an id have the same set here."""
-        return only(texts, ids).dropDuplicates(["id"])
+        found = only(texts, ids)
+        return found.dropDuplicates(["id"]) if repeated else found
 
     # a hub with many members is dealt over several pieces
     pieces = near_hub.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB_MEMBERS).cast("long").alias("pieces"))

@@ -11,18 +11,46 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custlens.llm import jaccard_join
+from custlens.llm import decontam, jaccard_join, langid, packing, toxicity
 from custlens.llm.common import read
+from custlens.llm.queries import tokenizer_path
 from custlens.session import checkpoint_dir
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the pattern grammar calls toxic go."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs.withColumn("__kept", docs["text"]), model, text_col="__kept").where("predicted = 0").select(*docs.columns)
+
+
+def language_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language, or of which no language makes up half, go."""
+    model = langid.fit(docs)
+    scored = langid.predict(docs.withColumn("__kept", docs["text"]), model, text_col="__kept")
+    return scored.where((scored["lang_pred"] != langid.UNDETERMINED) & (scored["score"] >= 0.5)).select(*docs.columns)
+
+
+def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies stays."""
     return jaccard_join.one_per_component(docs)
 
 
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark segment go."""
+    return decontam.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as power-of-two sequences (ids as little-endian uint32)."""
+    return packing.pack(docs, tokenizer_path())
+
+
 STAGES = [
-    ("ngram_jaccard_join", near_duplicates),
+    ("toxicity", toxic_out),
+    ("language_id", language_out),
+    ("ngram_jaccard_join", near_duplicates_out),
+    ("benchmark_decontamination", benchmark_out),
+    ("packing", packed),
 ]
 
 #: Learned models and iterated components: not expressible in SQL; tested by brute force.

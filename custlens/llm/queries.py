@@ -4,9 +4,24 @@ its whole table, and DuckDB SQL where SQL can express the result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join
-from .common import read
+from . import decontam, jaccard_join, langid, packing, toxicity
+from .common import held_out, read
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document by mixture inference."""
+    docs = read(spark, sf_dir, "documents")
+    out = held_out("doc_id", 4, 2)
+    model = langid.fit(docs.select("doc_id", "text", "lang"), usable=~out)
+    got = langid.predict(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages", "shares")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +30,33 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(docs)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into power-of-two sequences of at most 4096 tokens."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    got = packing.pack(docs, tokenizer_path())
+    return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold segments of benchmark items, one row per item."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out("doc_id", 5, 0)
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), usable=~out)
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_jaccard_join": op3_jaccard_join,
+    "op7_packing": op7_packing,
+    "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

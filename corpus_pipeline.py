@@ -20,14 +20,12 @@ from custlens.session import checkpoint_dir
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pattern grammar calls toxic go."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs.withColumn("__kept", docs["text"]), model, text_col="__kept").where("predicted = 0").select(*docs.columns)
+    return toxicity.reject(docs, model)
 
 
 def language_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language, or of which no language makes up half, go."""
-    model = langid.fit(docs)
-    scored = langid.predict(docs.withColumn("__kept", docs["text"]), model, text_col="__kept")
-    return scored.where((scored["lang_pred"] != langid.UNDETERMINED) & (scored["score"] >= 0.5)).select(*docs.columns)
+    return langid.reject(docs, langid.fit(docs))
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

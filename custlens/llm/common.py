@@ -7,7 +7,9 @@ shared Python path.
 
 from __future__ import annotations
 
+import gc
 import sys
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custlens.session import cut_lineage
+from custlens.session import checkpoint_dir, cut_lineage
 
-__all__ = ["append_columns", "cut_lineage", "fresh_name", "held_out", "map_rows", "only", "read",
+__all__ = ["Scratch", "append_columns", "cut_lineage", "fresh_name", "held_out", "keep_rows", "map_rows", "only", "read",
            "ship_by_value", "slices", "words", "WordHash", "mix64"]
 
 SLICE_BYTES = 4 << 20  # text bytes handled by one numpy step inside a task
@@ -46,6 +48,26 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+class Scratch:
+    """Parquet tables in the shared checkpoint folder that an operator needs for
+    a while: ``keep`` writes and rereads, ``drop`` deletes."""
+
+    def __init__(self, spark: SparkSession, stem: str):
+        self.spark, self.folder = spark, f"{checkpoint_dir(spark)}/{stem}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, name: str = "") -> None:
+        """Delete a table, or the whole folder, and let the driver forget plans
+        that no variable holds, so that executors free their shuffle files."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}".rstrip("/"))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+
 BROADCAST_ROWS = 1_000_000
 
 
@@ -80,13 +102,16 @@ def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES):
         start = stop
 
 
-def append_columns(df: DataFrame, text_col: str, fields: list[T.StructField], compute) -> DataFrame:
-    """``df`` plus the columns that ``compute(list of texts)`` returns as a dict
-    of arrays, computed over whole texts in Arrow batches.  A column of
-    ``df`` that has one of the new names is replaced."""
+def append_columns(df: DataFrame, text_col: str, fields: list[T.StructField], compute,
+                   keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` of ``df`` (all by default) plus the columns that
+    ``compute(list of texts)`` returns as a dict of arrays, computed over
+    whole texts in Arrow batches.  A column of ``df`` that has one of the
+    new names is replaced."""
     new = {f.name.lower() for f in fields}
-    keep = [c for c in df.columns if c.lower() not in new]
-    src = df.select(F.col(f"`{text_col}`").alias("__text"), *[F.col(f"`{c}`") for c in keep])
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
+    used = list(dict.fromkeys([*keep, text_col]))
+    at, text_at = [used.index(c) for c in keep], used.index(text_col)
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     from pyspark.sql.pandas.types import to_arrow_type
     types = [to_arrow_type(f.dataType) for f in fields]
@@ -94,13 +119,26 @@ def append_columns(df: DataFrame, text_col: str, fields: list[T.StructField], co
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch):
-                out = compute(part.column(0).to_pylist())
-                cols = [part.column(i + 1) for i in range(len(keep))]
+            for part in slices(batch, text_at):
+                out = compute(part.column(text_at).to_pylist())
+                cols = [part.column(i) for i in at]
                 cols += [pa.array(out[f.name], type=t) for f, t in zip(fields, types)]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return src.mapInArrow(run, schema)
+    return df.select([F.col(f"`{c}`") for c in used]).mapInArrow(run, schema)
+
+
+def keep_rows(df: DataFrame, text_col: str, wanted) -> DataFrame:
+    """The rows of ``df`` for which ``wanted(list of texts)`` is true, with all
+    their columns; decided in Arrow batches without a join."""
+    text_at = df.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text_at):
+                yield part.filter(pa.array(wanted(part.column(text_at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
 
 
 def map_rows(df: DataFrame, schema: T.StructType, fn) -> DataFrame:

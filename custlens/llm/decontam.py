@@ -7,8 +7,9 @@ One pass over the documents looks up every q-gram of the whole text, counts
 shared q-grams per segment in overlapping diagonal bands, keeps the bands
 that reach the bound and verifies them by banded alignment.
 
-Texts are compared in lower case with every run of other characters than
-letters and digits as one space.  Benchmarks larger than ``BLOCK_CHARS``
+Texts are compared as lower-case UTF-8 bytes with every run of ASCII
+characters other than letters and digits as one space; lengths and spans
+count these bytes.  Benchmarks larger than ``BLOCK_CHARS``
 are taken in blocks, each with its own pass, so what is shipped to the
 tasks has a proven size.
 
@@ -22,12 +23,11 @@ matches nothing.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows, ship_by_value, slices
+from .common import keep_rows, map_rows, ship_by_value
 
 ship_by_value(__name__)
 
@@ -37,51 +37,37 @@ STRIDE = 32
 MIN_CHARS = 40
 EDITS = 0.04              # edits per character of a segment
 BLOCK_CHARS = 4_000_000   # benchmark characters of one pass
-FILTER_BITS = 23
+FILTER_BITS = 20
 
-_ALNUM = None
+_SPACED = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def _alnum() -> np.ndarray:
-    global _ALNUM
-    if _ALNUM is None:
-        _ALNUM = np.fromiter((chr(i).isalnum() for i in range(0x110000)), dtype=bool, count=0x110000)
-    return _ALNUM
-
-
-def compared(text: str):
-    """Code points of the compared form and their places in ``text.lower()``."""
-    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    if not len(code):
-        return code, np.empty(0, np.int64)
-    own = _alnum()[code]
-    keep = own.copy()
-    keep[1:] |= own[:-1]                       # the first of other characters after a word is its space
-    at = np.flatnonzero(keep)
-    out = np.where(own[at], code[at], 32).astype(np.uint32)
-    if len(out) and out[-1] == 32:
-        out, at = out[:-1], at[:-1]
-    return out, at
+def compared(text: str) -> np.ndarray:
+    """The compared form of a text as bytes."""
+    raw = text.lower().encode("utf-8", "replace").translate(_SPACED)
+    return np.frombuffer(b" ".join(raw.split()), dtype=np.uint8)
 
 
 def qgram_hashes(code: np.ndarray) -> np.ndarray:
     """Hash of the q-gram at every place (Q = 8 + 4 by doubling)."""
     if len(code) < Q:
         return np.empty(0, dtype=np.uint32)
-    b = np.uint32(0x01000193 * 5)
+    b = np.uint32(0x01000193)
     with np.errstate(over="ignore"):
-        c = code * np.uint32(0x9E3779B1)
-        c ^= c >> np.uint32(15)
-        h2 = c[:-1] * b + c[1:]
         b2 = b * b
-        h4 = h2[:-2] * b2 + h2[2:]
         b4 = b2 * b2
-        h8 = h4[:-4] * b4 + h4[4:]
-        h = h8[:-4] * b4 + h4[8:]
-        h ^= h >> np.uint32(16)
+        c = code.astype(np.uint32)
+        h = c[:-1] * b
+        h += c[1:]
+        h4 = h[:-2] * b2
+        h4 += h[2:]
+        h = h4[:-8] * b4
+        h += h4[4:-4]
+        h *= b4
+        h += h4[8:]
+        h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA6B)
-        h ^= h >> np.uint32(13)
-    return h
+        return h
 
 
 class Index:
@@ -90,7 +76,7 @@ class Index:
     def __init__(self, items):
         self.items, self.segments, hashes = [], [], []
         for item_id, text in items:
-            code, _ = compared(text or "")
+            code = compared(text or "")
             if len(code) < MIN_CHARS:
                 continue
             k = len(self.items)
@@ -136,11 +122,10 @@ def banded_edits(seg: np.ndarray, window: np.ndarray, k: int):
 
 
 def find(text: str | None, index: Index):
-    """{item number: (segments found, least edits, start, end)} over a whole text;
-    start and end are places in the lower-cased text."""
+    """{item number: (segments found, least edits, start, end)} over a whole text."""
     if not text or not len(index.h):
         return {}
-    code, at = compared(text)
+    code = compared(text)
     place, seg, pos = index.hits(qgram_hashes(code))
     if not len(place):
         return {}
@@ -162,9 +147,8 @@ def find(text: str | None, index: Index):
         got = banded_edits(pattern, window, k)
         if got is None:
             continue
-        end = lo + got[1]
-        start = max(0, end - len(pattern))
-        a, z = int(at[min(start, len(at) - 1)]), int(at[end - 1]) + 1
+        z = lo + got[1]
+        a = max(0, z - len(pattern))
         old = out.get(item)
         if old is None:
             out[item] = [{s}, got[0], a, z]
@@ -206,20 +190,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+          item_text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark segment (all its columns
     stay; decided row by row, without a join)."""
-    schema = docs.schema
-    src = docs.select(F.col(f"`{text_col}`").alias("__text"), *[F.col(f"`{c}`") for c in docs.columns])
-    out = src
-    for items in _blocks(benchmark, "item_id", "text"):
+    for items in _blocks(benchmark, item_col, item_text):
         index = Index(items)
-
-        def keep(batches, index=index):
-            for batch in batches:
-                for part in slices(batch):
-                    good = [not find(t, index) for t in part.column(0).to_pylist()]
-                    yield part.filter(pa.array(good))
-
-        out = out.mapInArrow(keep, T.StructType([T.StructField("__text", T.StringType()), *schema.fields]))
-    return out.drop("__text")
+        docs = keep_rows(docs, text_col, lambda texts, index=index: [not find(t, index) for t in texts])
+    return docs

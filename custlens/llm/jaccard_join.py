@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHash, cut_lineage, map_rows, mix64, only, ship_by_value, slices, words
+from .common import Scratch, WordHash, cut_lineage, map_rows, mix64, only, ship_by_value, slices, words
 from .components import components
 
 ship_by_value(__name__)
@@ -178,6 +178,16 @@ def _token_rows(reps: DataFrame, rarity: np.ndarray) -> DataFrame:
     return map_rows(reps.select("text", "id"), schema, rows)
 
 
+def _matrix(texts: DataFrame, home: DataFrame, rarity: np.ndarray) -> DataFrame:
+    """(token, grp, range of set sizes, best places, star): deciding tokens that
+    several documents share, per group."""
+    tokens = _token_rows(texts, rarity)
+    shared = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1").drop("df")
+    return shared.join(home, "id").groupBy("token", "grp").agg(
+        F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.max("pos").alias("pos"),
+        F.max(F.col("n") - F.col("pos") - 1).alias("rest"), F.first("star").alias("star"))
+
+
 def _links_within(q_ids, q_sets, c_ids, c_sets, threshold):
     """Links between the documents of two opened groups, thinned to a spanning
     forest (components lose nothing)."""
@@ -238,6 +248,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     100 * |intersection| >= threshold * |union| are linked; component_id is the
     smallest id reachable by links."""
     spark = docs.sparkSession
+    scratch = Scratch(spark, "jaccard")
     profile = cut_lineage(_profile(docs, id_col, text_col))
     rarity = _rarity(profile)
     base = profile.where("kind = 0").drop("kind")
@@ -276,7 +287,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # a hub with many members is dealt over several pieces
     pieces = near_hub.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB_MEMBERS).cast("long").alias("pieces"))
     pieces = cut_lineage(pieces)
-    of_group = cut_lineage(with_text(near_hub.select("id")))
+    of_group = scratch.keep(with_text(near_hub.select("id")), "of_group")
     hub_text = (of_group.join(pieces, F.col("id") == F.col("hub"))
                 .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
                 .select("hub", "piece", F.array(F.struct("text", "id")).alias("c")))
@@ -296,14 +307,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = cut_lineage(grouped)
 
     # the deciding rows of the matrix: tokens that at least two groups (or documents) share
-    tokens = _token_rows(texts.where("id IS NOT NULL AND text IS NOT NULL"), rarity)
-    shared_tokens = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1").drop("df")
     home = cut_lineage(reps.select("id").join(grouped, "id", "left").select(
         "id", "star", F.coalesce("grp", F.xxhash64(F.lit("single"), "id")).alias("grp")))
-    placed = shared_tokens.join(home, "id")
-    matrix = cut_lineage(placed.groupBy("token", "grp").agg(
-        F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.max("pos").alias("pos"),
-        F.max(F.col("n") - F.col("pos") - 1).alias("rest"), F.first("star").alias("star")))
+    matrix = scratch.keep(_matrix(texts.where("id IS NOT NULL AND text IS NOT NULL"), home, rarity), "matrix")
+    scratch.drop("hub")
     x, y = matrix.alias("x"), matrix.alias("y")
     need = F.ceil((F.col("x.n_lo") + F.col("y.n_lo")) * F.lit(threshold) / F.lit(100 + threshold))
     can = F.least("x.pos", "y.pos") + 1 + F.least("x.rest", "y.rest")
@@ -314,6 +321,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .where("x.star IS NULL OR y.star IS NULL OR x.star <> y.star")
              .select(F.col("x.grp").alias("g1"), F.col("y.grp").alias("g2")).distinct())
     pairs = cut_lineage(pairs)
+    del x, y, matrix
+    scratch.drop("matrix")
 
     # open the qualifying groups, and every group of unlinked members against itself
     own = grouped.where("star IS NULL").groupBy("grp").count().where("count > 1").select("grp")
@@ -321,14 +330,17 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted_docs = cut_lineage(home.join(wanted, "grp").select("id", "grp"))
     known = of_group.join(wanted_docs, "id")
     single = with_text(cut_lineage(wanted_docs.join(of_group, "id", "left_anti"))).join(wanted_docs, "id")
-    packed = cut_lineage(known.unionByName(single, allowMissingColumns=True).groupBy("grp").agg(
-        F.collect_list(F.struct("text", "id")).alias("docs")))
+    packed = scratch.keep(known.unionByName(single, allowMissingColumns=True).groupBy("grp").agg(
+        F.collect_list(F.struct("text", "id")).alias("docs")), "packed")
+    del known, single
     nothing = F.lit(None).cast(packed.schema["docs"].dataType)
     first = packed.select(F.col("grp").alias("g1"), F.col("docs").alias("q"))
     second = packed.select(F.col("grp").alias("g2"), F.col("docs").alias("c"))
     opened = (pairs.join(first, "g1").join(second, "g2").select("q", "c")
               .unionByName(packed.join(own, "grp").select(F.col("docs").alias("q"), nothing.alias("c"))))
-    links = hub_links.unionByName(_open(opened, threshold))
+    links = cut_lineage(hub_links.unionByName(_open(opened, threshold)))
+    del opened, first, second, packed, of_group
+    scratch.drop()
 
     comp = components(links)
     of_rep = reps.select("n", "digest", F.col("id").alias("rep")).join(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, ship_by_value, slices
+from .common import append_columns, keep_rows, ship_by_value, slices
 
 ship_by_value(__name__)
 
@@ -170,8 +170,9 @@ def mixtures(texts: list, model: Model):
     return shares
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` plus lang_pred, score, and the selected languages with their shares."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (all by default) plus lang_pred, score, and the
+    selected languages with their shares."""
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
               T.StructField("languages", T.ArrayType(T.StringType())),
               T.StructField("shares", T.ArrayType(T.DoubleType()))]
@@ -188,4 +189,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             out["shares"].append([float(x[i]) for i in chosen])
         return out
 
-    return append_columns(docs, text_col, fields, compute)
+    return append_columns(docs, text_col, fields, compute, keep)
+
+
+def reject(docs: DataFrame, model: Model, text_col: str = "text", least_share: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that have no language, or of which no language
+    makes up ``least_share``."""
+    return keep_rows(docs, text_col, lambda texts: [x.max(initial=0.0) >= least_share for x in mixtures(texts, model)])

@@ -20,7 +20,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = held_out("doc_id", 4, 2)
     model = langid.fit(docs.select("doc_id", "text", "lang"), usable=~out)
-    got = langid.predict(docs.select("doc_id", "text"), model)
+    got = langid.predict(docs, model, keep=["doc_id"])
     return got.select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages", "shares")
 
 
@@ -48,7 +48,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = held_out("doc_id", 5, 0)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), usable=~out)
-    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
 QUERIES = {

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, cut_lineage, map_rows, ship_by_value
+from .common import append_columns, cut_lineage, keep_rows, map_rows, ship_by_value
 
 ship_by_value(__name__)
 
@@ -274,18 +274,33 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
     return Model(whole, stems, _fit_logistic(x, np.array([r["toxic"] for r in got], dtype=float)))
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` plus score (0 to 1) and predicted (score >= 0.5)."""
-    whole, stems, weights = model.whole, model.stems, model.weights
-    tagger = None
+class Scorer:
+    """Texts -> scores; remembers the classes of words within a task."""
+
+    def __init__(self, model: Model):
+        self.model, self.tagger = model, None
+
+    def __call__(self, texts):
+        if self.tagger is None:
+            self.tagger = Tagger(self.model.whole, self.model.stems)
+        z = np.array([clause_features(t, self.tagger) @ self.model.weights for t in texts])
+        return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (all by default) plus score (0 to 1) and
+    predicted (score >= 0.5)."""
+    scorer = Scorer(model)
 
     def compute(texts):
-        nonlocal tagger
-        if tagger is None:
-            tagger = Tagger(whole, stems)
-        z = np.array([clause_features(t, tagger) @ weights for t in texts])
-        p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
+        p = scorer(texts)
         return {"score": p, "predicted": (p >= 0.5).astype(np.int32)}
 
     return append_columns(docs, text_col, [T.StructField("score", T.DoubleType()),
-                                           T.StructField("predicted", T.IntegerType())], compute)
+                                           T.StructField("predicted", T.IntegerType())], compute, keep)
+
+
+def reject(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score 0.5 or more."""
+    scorer = Scorer(model)
+    return keep_rows(docs, text_col, lambda texts: scorer(texts) < 0.5)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from custlens.session import checkpoint_dir, cut_lineage
 
-__all__ = ["Scratch", "append_columns", "cut_lineage", "fresh_name", "held_out", "keep_rows", "map_rows", "only", "read",
+__all__ = ["Scratch", "append_columns", "cut_lineage", "fresh_name", "held_out", "keep_rows", "lookup", "map_rows", "only", "read",
            "ship_by_value", "slices", "words", "WordHash", "mix64"]
 
 SLICE_BYTES = 4 << 20  # text bytes handled by one numpy step inside a task
@@ -183,3 +183,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x81DADEF4BC2DD44D)
     x ^= x >> np.uint64(33)
     return x
+
+
+def lookup(df: DataFrame, table: DataFrame, on: str, salts: int = 16) -> DataFrame:
+    """Left join of ``df`` with a materialised table that has one row per ``on``
+    (null-safe).  A table of at most ``BROADCAST_ROWS`` counted rows is
+    broadcast; a larger one is replicated ``salts`` times, so that a key with a
+    great share of the rows of ``df`` is dealt over as many tasks."""
+    right = table.withColumnRenamed(on, "__key")
+    if table.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(right), F.col(on).eqNullSafe(F.col("__key")), "left").drop("__key")
+    left = df.withColumn("__salt", F.floor(F.rand(1) * salts).cast("int"))
+    right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, F.col(on).eqNullSafe(F.col("__key")) & (F.col("__salt") == F.col("__salt_r")), "left").drop(
+        "__key", "__salt", "__salt_r")

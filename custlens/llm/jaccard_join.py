@@ -312,14 +312,20 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     matrix = scratch.keep(_matrix(texts.where("id IS NOT NULL AND text IS NOT NULL"), home, rarity), "matrix")
     scratch.drop("hub")
     x, y = matrix.alias("x"), matrix.alias("y")
-    need = F.ceil((F.col("x.n_lo") + F.col("y.n_lo")) * F.lit(threshold) / F.lit(100 + threshold))
     can = F.least("x.pos", "y.pos") + 1 + F.least("x.rest", "y.rest")
+    # tokens of two sets that are not among the deciding ones of both lie behind those of one of them
+    behind = lambda n: F.col(n) - F.floor(F.col(n) / 4) - 1
+    need = lambda a, b: F.ceil((F.col(a) + F.col(b)) * threshold / (100 + threshold))
     pairs = (x.join(y, F.col("x.token") == F.col("y.token"))
              .where("x.grp < y.grp")
              .where((F.col("x.n_hi") * 100 >= F.col("y.n_lo") * threshold) & (F.col("y.n_hi") * 100 >= F.col("x.n_lo") * threshold))
-             .where(can >= need)
+             .where(can >= need("x.n_lo", "y.n_lo"))
              .where("x.star IS NULL OR y.star IS NULL OR x.star <> y.star")
-             .select(F.col("x.grp").alias("g1"), F.col("y.grp").alias("g2")).distinct())
+             .groupBy(F.col("x.grp").alias("g1"), F.col("y.grp").alias("g2"))
+             .agg(F.count(F.lit(1)).alias("both"), F.min("x.n_lo").alias("a_lo"), F.max("x.n_hi").alias("a_hi"),
+                  F.min("y.n_lo").alias("b_lo"), F.max("y.n_hi").alias("b_hi"))
+             .where(F.col("both") + F.greatest(behind("a_hi"), behind("b_hi")) >= need("a_lo", "b_lo"))
+             .select("g1", "g2"))
     pairs = cut_lineage(pairs)
     del x, y, matrix
     scratch.drop("matrix")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard_join, langid, packing, toxicity
+from . import chat, decontam, jaccard_join, langid, packing, sharding, topk, toxicity, url_filter
 from .common import held_out, read
 
 
@@ -30,6 +30,61 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(docs)
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every 50th vector among all others."""
+    rows = read(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, F.col("vec_id") % 50 == 0, 5)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT q.vec_id AS query_id, (row_number() OVER w)::INTEGER AS rank, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 50 = 0 AND len(q.e) = len(c.e)
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[]) DESC, c.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rebuilt from its log, rendered, and read back."""
+    probe = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), "
+                      "(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    events = rows.select("conv_id", F.col("turn").alias("seq"), "turn", F.lit("message").alias("kind"), "role", "text")
+    back = chat.parse(chat.format_conversations(events))
+    text = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP5_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(11 + length(role) + length(text)
+      + length(role || text) - length(replace(role || text, '\', ''))
+      + length(role || text) - length(replace(role || text, '<', ''))
+      + length(role || text) - length(replace(role || text, '[', ''))
+      + length(role || text) - length(replace(role || text, '|', '')))::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or word verdict of every page's URL."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into power-of-two sequences of at most 4096 tokens."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,6 +92,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled uniformly into 16 shards of equal counts."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return sharding.shard_rows(rows, 16).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold segments of benchmark items, one row per item."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,9 +118,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_exact_topk": op4_exact_topk,
+    "op5_chat_formatting": op5_chat_formatting,
+    "op6_url_filter": op6_url_filter,
     "op7_packing": op7_packing,
+    "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_topk": OP4_SQL,
+    "op5_chat_formatting": OP5_SQL,
+}

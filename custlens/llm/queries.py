@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard_join, langid, packing, sharding, topk, toxicity, url_filter
+from . import attention_lm, chat, decontam, jaccard_join, langid, packing, sharding, topk, toxicity, url_filter
 from .common import held_out, read
 
 
@@ -24,6 +24,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages", "shares")
 
 
+def op2_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every whole document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out("doc_id", 10, 0)
+    got = attention_lm.score(docs, ~out, tokenizer_path())
+    return got.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have Jaccard >= 0.75."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,6 +125,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_attention_lm": op2_attention_lm,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_exact_topk": op4_exact_topk,
     "op5_chat_formatting": op5_chat_formatting,

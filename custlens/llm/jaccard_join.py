@@ -54,7 +54,7 @@ KEYS_SHARED = 4          # shared ones from which a document joins a group (othe
 GROUP_MEMBERS = 64       # members of a group at most ...
 HUB_MEMBERS = 256        # members compared with one copy of a hub
 GROUP_CHARS = 2_000_000  # ... and characters of its texts (one longer text: a group of its own)
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 SKETCH_CHUNKS = 16
 
 _HASH = WordHash()
@@ -117,7 +117,7 @@ def _profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      pa.array(chars, pa.int64()), pa.array(digest, pa.binary()),
                      pa.array(keys, pa.list_(pa.int64()))], schema=aschema)
         if sketch.any():
-            chunks = sketch.reshape(SKETCH_CHUNKS, -1).astype("<u4")
+            chunks = np.minimum(sketch, 65535).reshape(SKETCH_CHUNKS, -1).astype("<u2")
             k = len(chunks)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(k, np.int32)), pa.array(np.arange(k), pa.int64()), pa.nulls(k, pa.int64()),
@@ -128,7 +128,8 @@ def _profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _rarity(profile: DataFrame) -> np.ndarray:
-    """Frequency class (log2) of every sketch slot: 2**SKETCH_BITS bytes."""
+    """Rank of every sketch slot by its count (2**SKETCH_BITS numbers): a slot that
+    holds a shared shingle stands out from the noise of the unique ones."""
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("digest", T.BinaryType())])
     from pyspark.sql.pandas.types import to_arrow_schema
     aschema = to_arrow_schema(schema)
@@ -137,7 +138,7 @@ def _rarity(profile: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for i, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                v = np.frombuffer(d, "<u8" if len(d) == per * 8 else "<u4").astype(np.uint64)
+                v = np.frombuffer(d, "<u8" if len(d) == per * 8 else "<u2").astype(np.uint64)
                 sums[i] = sums[i] + v if i in sums else v
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int64()), pa.array([v.astype("<u8").tobytes() for v in sums.values()], pa.binary())],
@@ -149,7 +150,8 @@ def _rarity(profile: DataFrame) -> np.ndarray:
     counts = np.zeros((SKETCH_CHUNKS, per), dtype=np.uint64)
     for r in parts.collect():  # SKETCH_CHUNKS rows of fixed size
         counts[r["id"]] += np.frombuffer(r["digest"], "<u8")
-    return np.log2(counts.ravel() + 1.0).round().astype(np.uint8)
+    rank = np.unique(counts.ravel(), return_inverse=True)[1]
+    return (rank >> max(0, int(rank.max()).bit_length() - 16)).astype(np.uint16)
 
 
 def _ordered(s: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -166,7 +168,7 @@ def _token_rows(reps: DataFrame, rarity: np.ndarray) -> DataFrame:
         tok, ids, ns, pos = [], [], [], []
         for t, i in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             s = shingle_set(t)
-            k = len(s) // 4 + 1
+            k = len(s) // 4 + 1 if len(s) else 0
             tok.append(_ordered(s, rarity)[:k].astype(np.int64))
             ids.append(np.full(k, i, dtype=np.int64))
             ns.append(np.full(k, len(s), dtype=np.int32))
@@ -249,9 +251,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     smallest id reachable by links."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    profile = cut_lineage(_profile(docs, id_col, text_col))
+    profile = scratch.keep(_profile(docs, id_col, text_col), "profile")
     rarity = _rarity(profile)
-    base = profile.where("kind = 0").drop("kind")
+    base = cut_lineage(profile.where("kind = 0").drop("kind"))
+    del profile
+    scratch.drop("profile")
 
     several = base.where("id IS NOT NULL").groupBy("id").agg(
         F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.min("n").alias("n_lo"), F.count(F.lit(1)).alias("rows"))

@@ -25,6 +25,7 @@ HEADLINE = [
     "series_summary", "ar_forecast", "dickey_fuller", "acf",
     "cluster_profile_mode", "segment_share", "nearest_centroid", "silhouette_sq",
     "contribution_summary", "waterfall", "gini_best_split",
+    "segment_quartiles", "median_fill", "dashboard_bundle", "arima_fit",
 ]
 
 

@@ -16,11 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import broadcast_if_small, estimated_bytes
-
-# Below this estimated input size every group fits one task anyway, and a
-# plain per-group window (fewer stages) is used instead of ranges.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+from .sizing import broadcast_if_small
 
 
 def _count_less(arr, x, n):
@@ -29,22 +25,15 @@ def _count_less(arr, x, n):
 
 
 def grouped_running(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str],
-                    buckets: int = 64, next_value: bool = False, accuracy: int = 1000,
-                    small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+                    buckets: int = 64, next_value: bool = False, accuracy: int = 1000) -> DataFrame:
     """Adds ``cum_<c>`` (inclusive running sum of each ``sums`` column in
     ascending ``order`` within ``group``), ``tot_<c>`` (group totals) and,
     with ``next_value``, ``next_<order>`` (the next row's ``order`` value,
     NULL on the group's last row).  Rows are assumed unique on
-    (group, order) — aggregate first.  Inputs whose size estimate is under
-    ``small_bytes`` take the plain per-group window (same result)."""
+    (group, order) — aggregate first.  The split points and range totals
+    are counted tables (groups x buckets rows) and travel as broadcasts, so
+    rows are only ever shuffled on (group, range)."""
     group = list(group)
-    if estimated_bytes(df) <= small_bytes:
-        w = Window.partitionBy(*group).orderBy(order)
-        run = w.rowsBetween(Window.unboundedPreceding, 0)
-        wall = Window.partitionBy(*group)
-        out = df.withColumns({**{f"cum_{c}": F.sum(c).over(run) for c in sums},
-                              **{f"tot_{c}": F.sum(c).over(wall) for c in sums}})
-        return out.withColumn(f"next_{order}", F.lead(order).over(w)) if next_value else out
     # three branches read ``df`` (split points, range totals, rows): write it
     # once to the shared checkpoint folder instead of recomputing its lineage
     from ..session import cut_lineage
@@ -72,7 +61,7 @@ def grouped_running(df: DataFrame, group: Sequence[str], order: str, sums: Seque
 
 
 def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequence[float],
-                      buckets: int = 64, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+                      buckets: int = 64) -> DataFrame:
     """Exact linear-interpolated quantiles (the ``percentile`` /
     ``quantile_cont`` definition) per group: position h = q (n - 1); the
     value is v[floor h] + frac(h) (v[floor h + 1] - v[floor h]) over the
@@ -82,7 +71,7 @@ def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Seque
     group = list(group)
     d = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
-    r = grouped_running(d, group, "_v", ["_c"], buckets, small_bytes=small_bytes)
+    r = grouped_running(d, group, "_v", ["_c"], buckets)
     n = F.col("tot__c")
     lo_r, hi_r = F.col("cum__c") - F.col("_c"), F.col("cum__c")   # rows (lo_r, hi_r] hold _v (0-based ranks lo_r..hi_r-1)
     hits = []

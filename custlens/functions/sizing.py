@@ -1,8 +1,10 @@
 """Size-checked broadcast.
 
-A broadcast hint is applied only when the optimizer's size estimate of
-the (already pruned and filtered) plan is under a bound; above it the
-plan is left to the planner, which falls back to a shuffle join.
+The optimizer's estimate settles tables that are small beyond doubt (scans
+of small files).  It multiplies through joins and ignores grouping, so for
+anything else the side is materialised in the shared checkpoint folder and
+its rows are counted: up to ``max_rows`` it is broadcast, above that the
+planner's shuffle join (with skew splitting) takes the same table.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_ROWS = 200_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -21,5 +24,10 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                       max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    if estimated_bytes(df) <= max_bytes:
+        return F.broadcast(df)
+    from ..session import cut_lineage
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -54,22 +54,23 @@ def item_universe(baskets: DataFrame, items: str = "items") -> DataFrame:
     return baskets.select(F.explode(items).alias("item")).distinct()
 
 
+def subsets_up_to(items: Column, k: int) -> Column:
+    """Subsets of at most ``k`` items of a sorted array (the empty one too),
+    built item by item; order inside each subset is preserved."""
+    empty = F.array(F.slice(items, 1, 0))
+    return F.aggregate(items, empty, lambda acc, x: F.concat(acc, F.transform(
+        F.filter(acc, lambda s: F.size(s) < k), lambda s: F.concat(s, F.array(x)))))
+
+
 def subsets_of_size(items: Column, k: int) -> Column:
-    """all size-k subsets of a sorted array, as an array of arrays
-    (bitmask over positions; order inside each subset is preserved)."""
-    n = F.size(items)
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 1)
-    masks = F.filter(masks, lambda m: F.bit_count(m) == k)
-    return F.transform(masks, lambda m: F.filter(
-        items, lambda x, i: m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0))
+    """all size-k subsets of a sorted array, as an array of arrays."""
+    return F.filter(subsets_up_to(items, k), lambda s: F.size(s) == k)
 
 
 def proper_subsets(items: Column) -> Column:
-    """all non-empty proper subsets (masks 1 .. 2^n - 2)."""
+    """all non-empty proper subsets."""
     n = F.size(items)
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 2)
-    return F.transform(masks, lambda m: F.filter(
-        items, lambda x, i: m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0))
+    return F.filter(subsets_up_to(items, (1 << 31) - 1), lambda s: (F.size(s) > 0) & (F.size(s) < n))
 
 
 def _key(c: Column) -> Column:
@@ -101,20 +102,25 @@ def candidates(prev: DataFrame, k: int) -> DataFrame:
     return j.select(F.concat("a", F.slice("b", -1, 1)).alias("items")).distinct()
 
 
+def _only_frequent(held: DataFrame, level: DataFrame) -> DataFrame:
+    """Keep, in every basket's row, the sets of a frequent level (their number is
+    bounded by the minimum support, not by the baskets)."""
+    keep = level.agg(F.collect_list("items").alias("__keep"))
+    return held.crossJoin(F.broadcast(keep)).select("items", F.array_intersect("sets", "__keep").alias("sets"))
+
+
 def frequent_itemsets(baskets: DataFrame, min_support: float, items: str = "items",
                       denominator: str = "nonempty", max_len: int | None = None,
-                      method: str = "apriori", dense_width: int = 10) -> DataFrame:
+                      method: str = "apriori") -> DataFrame:
     """Every itemset with support >= min_support.
 
     Output: items (sorted array), length, count, support.  Levels are
     built until no candidate is frequent (``max_len`` only limits the
     reported length when given; default is the full lattice).
 
-    When no basket holds more than ``dense_width`` frequent items, all
-    levels are counted in one pass (every subset of size >= 2 of each
-    trimmed basket, at most 2^dense_width per basket) — the same exact
-    result with one job instead of one per level.  Wider baskets use
-    the level-wise candidate joins, whose work is pruned by support.
+    Level by level, every basket extends the frequent (k-1)-sets it holds by
+    its later frequent items; sets are counted and only the frequent ones
+    stay in the basket's row.  No subset that has no frequent prefix is built.
     """
     n = basket_count(baskets, items, denominator)
     if method == "fpgrowth":
@@ -131,38 +137,21 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, items: str = "item
     lvl = with_support(bs.select(F.explode("items").alias("item")).groupBy("item")
                        .agg(F.count(F.lit(1)).cast("long").alias("count"))
                        .select(F.array("item").alias("items"), "count"))
-    levels = [lvl.cache()]
-    # baskets restricted to frequent single items, kept for all levels: the
-    # subset explosion only sees items that can still be in a frequent set.
-    keep = levels[0].agg(F.collect_set(F.element_at("items", 1)).alias("keep"))
-    trimmed = (bs.crossJoin(F.broadcast(keep))
-               .select(F.array_intersect("items", "keep").alias("items"))
-               .where(F.size("items") >= 2).cache())
-    width = trimmed.agg(F.max(F.size("items"))).first()[0] or 0
-    if width <= dense_width:
-        masks = F.filter(F.sequence(F.lit(1), F.pow(F.lit(2), F.size("items")).cast("int") - 1),
-                         lambda m: F.bit_count(m) >= 2)
-        if max_len is not None:
-            masks = F.filter(masks, lambda m: F.bit_count(m) <= max_len)
-        subs = trimmed.select(F.explode(F.transform(masks, lambda m: F.filter(
-            F.col("items"), lambda x, i: m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0))).alias("items"))
-        counts = (subs.groupBy(_key(F.col("items")).alias("_k"))
-                  .agg(F.first("items").alias("items"), F.count(F.lit(1)).cast("long").alias("count"))
-                  .select("items", "count"))
-        levels.append(with_support(counts))
-        width = -1  # done
-    k = 2
-    while width >= 0 and (max_len is None or k <= max_len):
-        cand = candidates(levels[-1].select("items"), k).cache()
-        if cand.isEmpty():
+    levels, k = [lvl.cache()], 2
+    # a basket's row carries its frequent (k-1)-sets; each is extended by the
+    # later frequent items of the basket, so work follows the frequent sets
+    held = _only_frequent(bs.select("items", F.transform("items", lambda x: F.array(x)).alias("sets")), levels[0])
+    held = held.select(F.flatten("sets").alias("items"), "sets")
+    while max_len is None or k <= max_len:
+        grown = held.select("items", F.flatten(F.transform("sets", lambda s: F.transform(
+            F.filter("items", lambda x: x > F.element_at(s, -1)), lambda x: F.concat(s, F.array(x))))).alias("sets"))
+        counts = (grown.select(F.explode("sets").alias("items")).groupBy("items")
+                  .agg(F.count(F.lit(1)).cast("long").alias("count")))
+        level = with_support(counts).cache()
+        if level.isEmpty():
             break
-        subs = (trimmed.where(F.size("items") >= k)
-                .select(F.explode(subsets_of_size(F.col("items"), k)).alias("items")))
-        ck = broadcast_if_small(cand.select(_key(F.col("items")).alias("_k"), "items"))
-        counts = (subs.select(_key(F.col("items")).alias("_k"))
-                  .groupBy("_k").agg(F.count(F.lit(1)).cast("long").alias("count"))
-                  .join(ck, "_k").select("items", "count"))
-        levels.append(with_support(counts).cache())
+        levels.append(level)
+        held = _only_frequent(grown, level).where(F.size("sets") > 0)
         k += 1
     out = levels[0]
     for lv in levels[1:]:

@@ -82,7 +82,7 @@ def tree_paths(nodes: DataFrame, class_index: int = 1) -> DataFrame:
         n.select("treeID", F.col("rightChild").alias("id"))), ["treeID", "id"], "left_anti")
     level = root.select("treeID", "id", F.lit(0).alias("depth"), F.lit("").alias("rule"))
     out = level
-    for _ in range(32):
+    while True:
         par = level.join(n, ["treeID", "id"])
         left = par.where(F.col("leftChild") >= 0).select(
             "treeID", F.col("leftChild").alias("id"), (F.col("depth") + 1).alias("depth"),

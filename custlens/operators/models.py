@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -30,14 +30,6 @@ LGB_PRESET = {"maxIter": 1000, "stepSize": 0.05, "maxDepth": 4, "subsamplingRate
 TREE_PRESET = {"maxDepth": 4, "impurity": "gini"}
 
 
-def right_size(df: DataFrame) -> DataFrame:
-    """Iterative trainers run several stages per round over their input's
-    partitions; more partitions than cores only adds task overhead, so
-    merge down (no shuffle) to the cluster's default parallelism."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(cores) if df.rdd.getNumPartitions() > cores else df
-
-
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """U4 / E5: feature columns -> one vector (names kept in metadata)."""
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
@@ -50,16 +42,20 @@ def fit_tree(train: DataFrame, label: str = "label", seed: int = 42, max_bins: i
                                   maxDepth=p["maxDepth"], impurity=p["impurity"]).fit(train)
 
 
+def gbt(preset: dict, label: str = "label", seed: int = 42, max_iter: int | None = None, max_bins: int = 64) -> GBTClassifier:
+    """The estimator of a preset."""
+    return GBTClassifier(labelCol=label, featuresCol="features", seed=seed, maxBins=max_bins,
+                         maxIter=max_iter or preset["maxIter"], stepSize=preset["stepSize"],
+                         maxDepth=preset["maxDepth"], subsamplingRate=preset["subsamplingRate"],
+                         featureSubsetStrategy=preset["featureSubsetStrategy"], checkpointInterval=10,
+                         cacheNodeIds=True)
+
+
 def fit_gbt(train: DataFrame, preset: dict, label: str = "label", seed: int = 42,
             max_iter: int | None = None, max_bins: int = 64):
     """M3 / M4: gradient-boosted trees with a preset's parameters."""
     checkpoint_dir(train.sparkSession)
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=seed, maxBins=max_bins,
-                        maxIter=max_iter or preset["maxIter"], stepSize=preset["stepSize"],
-                        maxDepth=preset["maxDepth"], subsamplingRate=preset["subsamplingRate"],
-                        featureSubsetStrategy=preset["featureSubsetStrategy"], checkpointInterval=10,
-                        cacheNodeIds=True)
-    return gbt.fit(train)
+    return gbt(preset, label, seed, max_iter, max_bins).fit(train)
 
 
 def patience_stop(losses: Sequence[float], patience: int) -> int:
@@ -92,16 +88,35 @@ def patience_stop_df(losses: DataFrame, patience: int, group: Sequence[str] = ()
         "rounds_kept", F.col("best_round") + 1)
 
 
-def fit_gbt_early_stopped(train: DataFrame, valid: DataFrame, preset: dict, label: str = "label",
-                          seed: int = 42, max_iter: int | None = None):
-    """M4 + M5: train up to ``max_iter`` rounds, evaluate the validation
-    log-loss after every round, apply the patience rule and refit with
-    the kept number of rounds (same seed -> the same leading trees)."""
-    full = fit_gbt(train, preset, label, seed, max_iter)
-    losses = list(full.evaluateEachIteration(valid))
-    keep = patience_stop(losses, preset.get("patience", 50))
-    model = full if keep == len(losses) else fit_gbt(train, preset, label, seed, keep)
-    return model, losses, keep
+def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
+    """The model of the first ``k`` boosting rounds."""
+    if k >= model.getNumTrees:
+        return model
+    sc = SparkSession.getActiveSession().sparkContext
+    trees, weights = model._java_obj.trees(), model._java_obj.treeWeights()
+    some = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
+    share = sc._gateway.new_array(sc._jvm.double, k)
+    for i in range(k):
+        some[i], share[i] = trees[i], weights[i]
+    java = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{model.uid}_first_{k}", some, share)
+    java.setFeaturesCol(model.getFeaturesCol())
+    return GBTClassificationModel(java)
+
+
+def fit_gbt_early_stopped(train: DataFrame, valid: DataFrame, preset: dict, label: str = "label", seed: int = 42):
+    """M4 + M5: train up to the preset's rounds, evaluate the validation
+    log-loss after every round and keep the leading trees that the patience
+    rule keeps.  Rounds are tried in doubling numbers (the same seed gives
+    the same leading trees), so a rule that stops early ends the training
+    early with the result that all rounds would give."""
+    patience, rounds = preset.get("patience", 50), min(2 * preset.get("patience", 50), preset["maxIter"])
+    while True:
+        full = fit_gbt(train, preset, label, seed, rounds)
+        losses = list(full.evaluateEachIteration(valid))
+        keep = patience_stop(losses, patience)
+        if rounds == preset["maxIter"] or keep + patience <= rounds:
+            return first_trees(full, keep), losses, keep
+        rounds = min(2 * rounds, preset["maxIter"])
 
 
 def score(model, df: DataFrame, prob_col: str = "probability_1", pred_col: str = "predicted") -> DataFrame:
@@ -122,7 +137,8 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int
 
 def cv_auc(estimator, df: DataFrame, label: str = "label", parallelism: int = 2):
     """M6: k-fold AUC with the given fold column; returns (mean, pop std, per-fold)."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
+                                       numBins=0)
     k = df.agg(F.max("fold")).first()[0] + 1
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
                         foldCol="fold", numFolds=int(k), parallelism=parallelism, collectSubModels=False)

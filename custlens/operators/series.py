@@ -221,6 +221,8 @@ def _adf_one(x: np.ndarray, maxlag: int | None, autolag: str | None):
     0..maxlag on a common sample, then refit on the longest sample."""
     x = np.asarray(x, dtype=float)
     nobs = len(x)
+    if nobs < 4 or not np.isfinite(x).all() or np.ptp(x) == 0:
+        return None, None, max(0, nobs - 1)   # too short or constant: no regression
     if maxlag is None:
         maxlag = int(math.ceil(12.0 * (nobs / 100.0) ** 0.25))
         maxlag = max(0, min(nobs // 2 - 2, maxlag))
@@ -241,6 +243,8 @@ def _adf_one(x: np.ndarray, maxlag: int | None, autolag: str | None):
         for lags in range(0, maxlag + 1):
             X = np.column_stack([X_all[:, :1 + lags], X_all[:, -1]])
             _, _, ssr, n, k = _ols(y_all, X)
+            if ssr <= 0 or n <= k:
+                continue
             llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1)
             ic = -2 * llf + 2 * k
             if ic < best_ic - 1e-12:
@@ -250,6 +254,8 @@ def _adf_one(x: np.ndarray, maxlag: int | None, autolag: str | None):
         lags = maxlag
     y, X = design(lags)
     beta, _, ssr, n, k = _ols(y, X)
+    if n <= k or ssr <= 0 or np.linalg.matrix_rank(X) < k:
+        return None, lags, n
     sigma2 = ssr / (n - k)
     cov = sigma2 * np.linalg.inv(X.T @ X)
     stat = float(beta[0] / math.sqrt(cov[0, 0]))
@@ -267,11 +273,11 @@ def adf_test(series: DataFrame, maxlag: int | None = None, autolag: str | None =
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(T)
         stat, lags, n = _adf_one(pdf[col].to_numpy(), maxlag, autolag)
-        p = df_pvalue(stat)
-        crit = {k: sum(c / n ** i for i, c in enumerate(v)) for k, v in DF_CRIT_C.items()}
+        p = None if stat is None else df_pvalue(stat)
+        crit = {k: sum(c / n ** i for i, c in enumerate(v)) if n else None for k, v in DF_CRIT_C.items()}
         return pd.DataFrame([{G: str(pdf[G].iloc[0]), "adf_stat": stat, "pvalue": p, "used_lag": lags,
                               "nobs": n, "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
-                              "crit_10pct": crit["10%"], "stationary": bool(p <= 0.05)}])
+                              "crit_10pct": crit["10%"], "stationary": None if p is None else bool(p <= 0.05)}]).astype({"used_lag": "Int64"})
 
     from ..session import ship_package
     ship_package(series.sparkSession)
@@ -306,7 +312,7 @@ def acf(series: DataFrame, nlags: int = 20, col: str = V) -> DataFrame:
     den = s.groupBy(G).agg(F.sum(F.col("dev") * F.col("dev")).alias("den"),
                            F.count(F.lit(1)).alias("n"))
     return (num.join(den, G).where(F.col("k") <= F.col("n") - 1)
-            .select(G, F.col("k").cast("int").alias("lag"), (F.col("num") / F.col("den")).alias("acf")))
+            .select(G, F.col("k").cast("int").alias("lag"), F.try_divide(F.col("num"), F.col("den")).alias("acf")))
 
 
 def pacf(series: DataFrame, nlags: int = 20, col: str = V) -> DataFrame:
@@ -318,8 +324,10 @@ def pacf(series: DataFrame, nlags: int = 20, col: str = V) -> DataFrame:
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy()
+        r = pdf["acf"].to_numpy(dtype=float)
         cap = int(min(len(r) - 1, pdf["n"].iloc[0] // 2 - 1))
+        if not np.isfinite(r[:1]).all():      # constant series: no correlation at any lag
+            return pd.DataFrame({G: str(pdf[G].iloc[0]), "lag": range(max(0, cap) + 1), "pacf": None}).astype({"pacf": "float64"})
         out = [(0, 1.0)]
         phi_prev = np.array([])
         for k in range(1, cap + 1):
@@ -347,7 +355,7 @@ def _css(phi: Column, theta: Column, ys: Column) -> Column:
     """Conditional sum of squares of ARMA(1,1) without constant on the
     differenced array ``ys``: e_t = y_t - phi*y_{t-1} - theta*e_{t-1}, e_1 = 0."""
     init = F.struct(F.lit(0.0).alias("e"), F.lit(0.0).alias("s"))
-    idx = F.sequence(F.lit(2), F.greatest(F.size(ys), F.lit(2)))
+    idx = F.when(F.size(ys) >= 2, F.sequence(F.lit(2), F.size(ys))).otherwise(F.array().cast("array<int>"))
 
     def step(acc, t):
         e = F.element_at(ys, t) - phi * F.element_at(ys, t - 1) - theta * acc["e"]
@@ -361,11 +369,12 @@ def _grid(lo: float, hi: float, n: int) -> list[float]:
 
 
 def arima_css_fit(series: DataFrame, coarse: int = 39, refine: int = 21, bound: float = 0.99,
-                  col: str = V) -> DataFrame:
+                  col: str = V, tolerance: float = 1e-6) -> DataFrame:
     """ARIMA(1,1,1) without constant by conditional least squares.
     Each group's differenced series (bounded by its length) is one array;
     a coarse (phi, theta) grid in (-bound, bound)^2 is scored with
-    ``transform``, then a finer grid around the best point.  Returns phi,
+    ``transform``, then finer grids around the best point until phi and
+    theta are known to ``tolerance``.  Returns phi,
     theta, css, sigma2 and the state needed to forecast."""
     w = _w()
     d = series.select(G, T, F.col(col).alias("x"), (F.col(col) - F.lag(col).over(w)).alias("y"))
@@ -394,15 +403,22 @@ def arima_css_fit(series: DataFrame, coarse: int = 39, refine: int = 21, bound:
         return F.array_min(scored)
 
     # exchanges (one row per group) keep the optimizer from inlining the
-    # grid searches into every later reference of their results
-    arr = arr.withColumn("b1", best(grid(F.lit(0.0), F.lit(0.0), bound, coarse))).repartition(G)
-    cell = (2 * bound) / (coarse - 1)
-    arr = arr.withColumn("b2", best(grid(F.col("b1.phi"), F.col("b1.theta"), cell, refine))).repartition(G)
-    phi, theta = F.col("b2.phi"), F.col("b2.theta")
-    last = _css_state(phi, theta, F.col("ys"))
-    return arr.select(G, phi.alias("phi"), theta.alias("theta"), F.col("b2.css").alias("css"),
-                      (F.col("b2.css") / (F.size("ys") - 1)).alias("sigma2"),
-                      F.element_at("ys", -1).alias("last_diff"), last.alias("last_resid"),
+    # grid searches into every later reference of their results; grids are
+    # refined around the best point until their step is below ``tolerance``
+    arr = arr.withColumn("b2", best(grid(F.lit(0.0), F.lit(0.0), bound, coarse))).repartition(G)
+    step = (2 * bound) / (coarse - 1)
+    while step > tolerance:
+        half = 2 * step
+        arr = arr.withColumn("b1", F.col("b2")).drop("b2")
+        arr = arr.withColumn("b2", best(grid(F.col("b1.phi"), F.col("b1.theta"), half, refine))).repartition(G)
+        step = 2 * half / (refine - 1)
+    # fewer than two differences determine nothing: NULL parameters
+    fits = F.size("ys") >= 2
+    phi, theta = F.when(fits, F.col("b2.phi")), F.when(fits, F.col("b2.theta"))
+    last = F.when(fits, _css_state(F.col("b2.phi"), F.col("b2.theta"), F.col("ys")))
+    return arr.select(G, phi.alias("phi"), theta.alias("theta"), F.when(fits, F.col("b2.css")).alias("css"),
+                      F.try_divide(F.when(fits, F.col("b2.css")), F.size("ys") - 1).alias("sigma2"),
+                      F.try_element_at("ys", F.lit(-1)).alias("last_diff"), last.alias("last_resid"),
                       "last_value", "last_t", F.size("ys").cast("long").alias("n_diff"))
 
 

@@ -139,8 +139,8 @@ def sample_per_class(spark, sf):
 
 @plan("mean_deviation_explain", f"""
 WITH f AS ({FEATURES_SQL}),
-s AS (SELECT customer_id, stat_month FROM ({SCORED}) s
-      QUALIFY row_number() OVER (PARTITION BY predicted ORDER BY customer_id, stat_month) <= 1),
+s AS (SELECT customer_id, stat_month FROM f WHERE target_high_value IN (0, 1)
+      QUALIFY row_number() OVER (PARTITION BY target_high_value ORDER BY customer_id, stat_month) <= 1),
 m AS (SELECT avg(total_assets) AS m1, avg(asset_growth_rate) AS m2, avg(total_assets_rolling_mean) AS m3 FROM f),
 x AS (SELECT f.* FROM f JOIN s ON f.customer_id = s.customer_id AND f.stat_month = s.stat_month)
 SELECT customer_id, stat_month, 'total_assets' AS feature, {rsql('total_assets - m1', 4)} AS deviation,
@@ -152,12 +152,12 @@ UNION ALL
 SELECT customer_id, stat_month, 'total_assets_rolling_mean', {rsql('total_assets_rolling_mean - m3', 4)},
        CASE WHEN total_assets_rolling_mean > m3 THEN 'positive' ELSE 'negative' END FROM x, m""", "explain")
 def mean_deviation_explain(spark, sf):
-    """X13 + X14: one example per predicted class; key features as value
+    """X13 + X14: one example per actual class; key features as value
     minus column mean, labelled above/below."""
     f = customer_month_features(spark, sf)
     cols = ["total_assets", "asset_growth_rate", "total_assets_rolling_mean"]
     dev = ex.mean_deviation(f, KEYS, cols)
-    sample = ex.first_n_per_class(_scored(spark, sf), "predicted", KEYS, 1).select(*KEYS)
+    sample = ex.first_n_per_class(f, "target_high_value", KEYS, 1).select(*KEYS)
     return dev.join(F.broadcast(sample), KEYS).select(*KEYS, "feature", rnd("deviation", 4).alias("deviation"),
                                                       "direction")
 

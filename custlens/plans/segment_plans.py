@@ -297,10 +297,10 @@ def _snapshot_points(spark, sf):
 
 @plan("kmeans_fit", None, "segment")
 def kmeans_fit(spark, sf):
-    """C1 + A7: K-means (k=4, best of 5 starts) on standardised customer
+    """C1 + A7: K-means (k=4, best of 10 starts) on standardised customer
     snapshot features; size per cluster."""
     pts = _snapshot_points(spark, sf).cache()
-    model, cost = segment.kmeans_fit(pts, "vec", 4, seeds=range(42, 47), max_iter=100)
+    model, cost = segment.kmeans_fit(pts, "vec", 4, seeds=range(42, 52), max_iter=300)
     lab = segment.kmeans_assign(model, pts, "vec")
     return lab.groupBy("cluster_label").agg(F.count(F.lit(1)).cast("long").alias("cluster_size")).withColumn(
         "training_cost", F.lit(float(cost)))
@@ -308,9 +308,9 @@ def kmeans_fit(spark, sf):
 
 @plan("kmeans_sweep", None, "segment")
 def kmeans_sweep(spark, sf):
-    """C3 + C4: cost and silhouette for k = 2..6; best k by silhouette."""
+    """C3 + C4: cost and silhouette for k = 2..8; best k by silhouette."""
     pts = _snapshot_points(spark, sf).cache()
-    sw = segment.kmeans_sweep(pts, "vec", 6, seeds=(42, 43))
+    sw = segment.kmeans_sweep(pts, "vec", 8, seeds=range(42, 52))
     return sw.crossJoin(segment.best_k(sw).select("best_k"))
 
 

@@ -44,11 +44,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not conf_dir:
+        if sc.getCheckpointDir() is not None:
+            return sc.getCheckpointDir()
         if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder")
         conf_dir = tempfile.mkdtemp(prefix="custlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(conf_dir)
     return conf_dir
@@ -66,9 +67,8 @@ _SHIPPED: set = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``custlens`` importable on executors (needed by the few grouped
-    pandas functions): zip the package once into the shared checkpoint
-    folder and register it with ``addPyFile``."""
-    import hashlib
+    pandas functions): zip the package into a file of the driver and hand it
+    to ``addPyFile``, which serves it to the executors."""
     import os
     import zipfile
 
@@ -77,19 +77,12 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
-    digest = hashlib.sha1()
-    for f in files:
-        with open(f, "rb") as fh:
-            digest.update(f.encode() + fh.read())
-    folder = os.path.join(checkpoint_dir(spark), "pyfiles")
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, f"custlens-{digest.hexdigest()[:12]}.zip")
-    if not os.path.exists(path):
-        tmp = f"{path}.{os.getpid()}.part"
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
-            for f in files:
-                z.write(f, os.path.join("custlens", os.path.relpath(f, pkg)))
-        os.replace(tmp, path)
+    path = os.path.join(tempfile.mkdtemp(prefix="custlens-ship-"), "custlens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(pkg):
+            for f in names:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("custlens", os.path.relpath(full, pkg)))
     sc.addPyFile(path)
     _SHIPPED.add(key)

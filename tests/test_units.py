@@ -107,7 +107,7 @@ def _baskets(spark):
 def test_itemsets_apriori_equals_fpgrowth_and_bruteforce(spark):
     b = _baskets(spark)
     ap = {tuple(r.items): r["count"] for r in bk.frequent_itemsets(b, 0.2).collect()}
-    lw = {tuple(r.items): r["count"] for r in bk.frequent_itemsets(b, 0.2, dense_width=0).collect()}
+    lw = {tuple(r.items): r["count"] for r in bk.frequent_itemsets(b, 0.2, max_len=9).collect()}
     fp = {tuple(r.items): r["count"] for r in bk.frequent_itemsets(b, 0.2, method="fpgrowth").collect()}
     assert ap == lw == fp
     # brute force over the 9 non-empty baskets, min count 0.2 * 9 = 1.8
@@ -360,3 +360,55 @@ def test_bank_csv_schema_roundtrip(spark, tmp_path):
     assert r.age == 35 and r.monthly_income == 12345.67
     x = h.first()
     assert x.total_assets == 1000.5 and x.deposit_flag == 1 and x.stat_month == "2024-07"
+
+
+# ------------------------------------------------------------ robustness
+
+def test_wide_baskets_never_enumerate_all_subsets(spark):
+    from custlens.operators import baskets as bk
+    items = [f"i{k:02d}" for k in range(40)]
+    b = spark.createDataFrame([(items,)] * 3 + [(["i00"],)], "items array<string>")
+    got = bk.frequent_itemsets(b, 0.5, max_len=2)
+    assert got.where("length = 1").count() == 40 and got.where("length = 2").count() == 780
+    assert got.agg({"length": "max"}).first()[0] == 2
+
+
+def test_short_and_constant_series_give_nulls(spark):
+    import datetime
+    from custlens.operators import series as se
+    rows = []
+    for name, values in (("ok", [3.0, 5, 4, 8, 6, 9, 7, 12, 9, 13, 11, 15]), ("flat", [2.0] * 12), ("one", [1.0]), ("two", [1.0, 2.0]),
+                         ("three", [1.0, 2.0, 4.0])):
+        rows += [(name, datetime.date(2020 + i // 12, 1 + i % 12, 28), float(v)) for i, v in enumerate(values)]
+    s = spark.createDataFrame(rows, f"{se.G} string, {se.T} date, {se.V} double")
+    fit = {r[se.G]: r for r in se.arima_css_fit(s, coarse=9, refine=9, tolerance=0.05).collect()}
+    assert fit["ok"]["phi"] is not None and fit["one"]["phi"] is None and fit["two"]["phi"] is None
+    adf = {r["series"]: r["adf_stat"] for r in se.adf_test(s).collect()}
+    assert adf["ok"] is not None and adf["flat"] is None and adf["one"] is None and adf["three"] is None
+    acf = se.acf(s, 3).where(f"{se.G} = 'flat'").collect()
+    assert acf and all(r["acf"] is None for r in acf)
+    assert se.pacf(s, 3).where("series = 'ok' AND lag = 1").first()["pacf"] is not None
+
+
+def test_first_trees_are_the_shorter_training(spark):
+    from pyspark.ml.linalg import Vectors
+    from custlens.operators import models
+    data = spark.createDataFrame([(float(i % 7 > 2), Vectors.dense([i % 7 + 0.1 * (i % 3), i % 5])) for i in range(120)], ["label", "features"])
+    preset = {"maxIter": 4, "stepSize": 0.3, "maxDepth": 2, "subsamplingRate": 0.8, "featureSubsetStrategy": "all"}
+    full = models.fit_gbt(data, preset)
+    cut = models.first_trees(full, 2)
+    short = models.fit_gbt(data, preset, max_iter=2)
+    p = [[r[0] for r in models.score(m, data).select("probability_1").collect()] for m in (cut, short)]
+    assert cut.getNumTrees == 2 and p[0] == p[1]
+
+
+def test_package_ships_without_the_checkpoint_folder(spark, monkeypatch):
+    from custlens import session
+
+    def never(_):
+        raise AssertionError("the package is served by the driver, not by the checkpoint folder")
+
+    monkeypatch.setattr(session, "checkpoint_dir", never)
+    session._SHIPPED.clear()
+    session.ship_package(spark)
+    assert spark.sparkContext.applicationId in session._SHIPPED

@@ -65,15 +65,16 @@ def rule_of(host: str, path: str, rules) -> tuple[Column, Column]:
 
 
 def segment(name: str, words: list[str], costs: list[float]) -> list[str]:
-    """Viterbi: the split of ``name`` into words (or single letters at a high
-    cost) of least total cost; ties to the longer last word."""
+    """Viterbi: the split of ``name`` into parts of least total cost.  A part that
+    is no known word costs more than any word, and more by the letter; ties to
+    the longer last part."""
     by_word = dict(zip(words, costs))
-    letter = max([20.0, *costs]) + 1.0
+    unknown, letter = max([10.0, *costs]) + 1.0, math.log(26.0)
     best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
     for end in range(1, len(name) + 1):
         for start in range(max(0, end - MAX_WORD), end):
             w = name[start:end]
-            c = best[start] + by_word.get(w, letter if end - start == 1 else math.inf)
+            c = best[start] + by_word.get(w, unknown + letter * len(w))
             if c < best[end]:
                 best[end], back[end] = c, start
     out, end = [], len(name)
@@ -154,7 +155,7 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "
     t = by_word.agg(F.sum("block"), F.sum("allow"), F.count(F.lit(1))).first()
     n_block, n_allow = (float(x or 0) + SMOOTH * float(t[2]) for x in t[:2])
     weight = F.log((F.col("block") + SMOOTH) / n_block) - F.log((F.col("allow") + SMOOTH) / n_allow)
-    weights = by_word.select("word", weight.alias("weight"))
+    weights = by_word.where("block + allow > 0").select("word", weight.alias("weight"))   # words of both classes unseen say nothing
     docs = hosts.agg(F.sum("block"), F.sum("allow")).first()
     prior = math.log((float(docs[0] or 0) + 1.0) / (float(docs[1] or 0) + 1.0))
     host_score = cut_lineage(host_words.join(weights, "word").groupBy("host").agg(F.sum("weight").alias("__host_score")))

@@ -7,14 +7,11 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from custlens.llm import decontam, jaccard_join, langid, packing, toxicity
-from custlens.llm.common import read
+from custlens.llm.common import Scratch, read
 from custlens.llm.queries import tokenizer_path
-from custlens.session import checkpoint_dir
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,13 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to the whole of ``documents``."""
-    docs = read(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
-    return docs
+    """Apply STAGES to the whole of ``documents``; a stage's table is deleted
+    when the next one is written, only the last stage's input stays."""
+    docs, scratch = read(spark, sf_dir, "documents"), Scratch(spark, "corpus-pipeline")
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage{k}")
+        if k:
+            scratch.drop(f"stage{k - 1}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -39,3 +39,14 @@ def test_single_partition_exchanges_only_over_bounded_inputs(spark, name):
             # a global partial aggregate (one row per partition) or an aggregate keyed by a range id
             assert "HashAggregate(keys=[]" in child or "HashAggregate(keys=[_b" in child \
                 or "ObjectHashAggregate(keys=[]" in child, child
+
+
+@pytest.mark.parametrize("name", ["gini_best_split", "segment_quartiles"])
+def test_rows_are_never_shuffled_on_a_bare_group_key(spark, name):
+    lines = _plan(spark, name).split("\n")
+    for i, line in enumerate(lines):
+        m = re.search(r"Exchange hashpartitioning\((.*?), \d+\)", line)
+        if m and re.fullmatch(r"(feature|label|cluster_label|__l|segment_name|qi|_col)#\d+L?", m[1].strip()):
+            # only map-side combined rows may meet on the group alone
+            assert re.search(r"functions=\[partial_", lines[i + 1]) or "Window" in lines[i + 1] or "_b" in lines[i + 1], lines[i + 1]
+    assert "SortMergeJoin" not in "\n".join(lines)

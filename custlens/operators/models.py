@@ -135,7 +135,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int
     return r.withColumn("fold", ((F.col("rank_in_group") - 1) % k).cast("int")).drop("rank_in_group", "group_size")
 
 
-def cv_auc(estimator, df: DataFrame, label: str = "label", parallelism: int = 2):
+def cv_auc(estimator, df: DataFrame, label: str = "label", parallelism: int = 5):
     """M6: k-fold AUC with the given fold column; returns (mean, pop std, per-fold)."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
                                        numBins=0)

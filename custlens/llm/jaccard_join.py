@@ -51,7 +51,7 @@ ship_by_value(__name__)
 WIDTH = 5
 KEYS = 8                 # min-hashes per document
 KEYS_SHARED = 4          # shared ones from which a document joins a group (others are their own group)
-GROUP_MEMBERS = 64       # members of a group at most ...
+GROUP_MEMBERS = 64       # members of a group on average ...
 HUB_MEMBERS = 256        # members compared with one copy of a hub
 GROUP_CHARS = 2_000_000  # ... and characters of its texts (one longer text: a group of its own)
 SKETCH_BITS = 20

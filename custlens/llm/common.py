@@ -166,7 +166,7 @@ def words(text: str | None) -> list[bytes]:
 class WordHash(dict):
     """word bytes -> 64-bit hash, remembered for a bounded number of words."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, w):
         if len(self) >= self.LIMIT:

@@ -221,6 +221,17 @@ def test_attention_probabilities_sum_to_one_and_windows_score_once():
     assert y[at == 3][use[at == 3]].tolist() == [k % 100 for k in range(40)]
 
 
+def test_attention_trains_on_every_symbol_of_every_text(make_docs, monkeypatch):
+    texts = ["a short text", None, "one more " * 200, ""] + [f"text number {i}" for i in range(20)]
+    trained, real = [], A.train
+    monkeypatch.setattr(A, "train", lambda docs, model, *rest: trained.append((real(docs, model, *rest), model)))
+    A.score(make_docs(list(enumerate(texts))), F.lit(True), tokenizer_path())
+    table = A.Symbols(tokenizer_path())
+    (n, model), = trained
+    assert n == sum(len(table.of((t or "").encode().split())) + 1 for t in texts)
+    assert (model.weights.flat != A.Weights.start().flat).any()
+
+
 def test_lm_base_by_brute_force_and_edges(spark, make_docs):
     rows = [(r["doc_id"], r["text"]) for r in read(spark, SMOKE, "documents").collect()][:60]
     rows += [(5000, None), (5001, ""), (5001, "\t"), (None, "Zork zork the")]

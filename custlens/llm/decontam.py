@@ -1,21 +1,30 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into overlapping segments.  A text that holds a
-segment of ``m`` characters with at most ``k`` edits shares at least
+A text is contaminated by a benchmark item when it holds a segment of the
+item: ``SEGMENT`` bytes from any place of it (a shorter item as a whole),
+with at most ``EDITS`` of its bytes edited, about one word.  A text that
+holds a segment of ``m`` bytes with at most ``k`` edits shares at least
 ``m - Q + 1 - k * Q`` q-grams with it on ``k + 1`` neighbouring diagonals.
-One pass over the documents looks up every q-gram of the whole text, counts
-shared q-grams per segment in overlapping diagonal bands, keeps the bands
-that reach the bound and verifies them by banded alignment.
+One pass over the documents looks up every q-gram of the whole text among
+those of whole items, and where ``SHARED`` q-grams lie in a diagonal band
+within one segment's length, the segments that start or end with a run of
+shared q-grams are verified by banded alignment.  So no verbatim segment is
+missed, none with at most ``(m - SHARED - Q + 1) // Q`` edits (6 for 64
+bytes) anywhere gets lost by the count, and a replaced word leaves far more
+than ``SHARED``.
+
+Items with fewer than ``MIN_CHARS`` compared bytes are matched whole and
+exactly, on word boundaries.
 
 Texts are compared as lower-case UTF-8 bytes with every run of ASCII
 characters other than letters and digits as one space; lengths and spans
 count these bytes.  Benchmarks larger than ``BLOCK_CHARS``
 are taken in blocks, each with its own pass, so what is shipped to the
-tasks has a proven size.
+tasks has a proven size; texts are looked up in pieces of ``PIECE`` bytes
+that overlap by more than a segment.
 
-Defined cases: null and empty texts match nothing; items with fewer than
-``MIN_CHARS`` compared characters tell contamination from chance too badly
-and are not used; repeated rows of a document match once per row; repeated
+Defined cases: null and empty texts match nothing, nor do items without a
+compared byte; repeated rows of a document match once per row; repeated
 item ids are items of their own with one row each; an empty benchmark
 matches nothing.
 """
@@ -31,11 +40,12 @@ from .common import keep_rows, map_rows, ship_by_value
 
 ship_by_value(__name__)
 
-Q = 12
+Q = 8
 SEGMENT = 64
-STRIDE = 32
-MIN_CHARS = 40
-EDITS = 0.04              # edits per character of a segment
+MIN_CHARS = 40            # shorter items: whole and exactly
+EDITS = 10 / 64           # edits per byte of a segment
+SHARED = 9                # q-grams that a segment must share (a run of 16 bytes)
+PIECE, OVERLAP = 1 << 16, 2 * SEGMENT
 BLOCK_CHARS = 4_000_000   # benchmark characters of one pass
 FILTER_BITS = 20
 
@@ -49,7 +59,7 @@ def compared(text: str) -> np.ndarray:
 
 
 def qgram_hashes(code: np.ndarray) -> np.ndarray:
-    """Hash of the q-gram at every place (Q = 8 + 4 by doubling)."""
+    """Hash of the q-gram at every place (Q = 8 by doubling)."""
     if len(code) < Q:
         return np.empty(0, dtype=np.uint32)
     b = np.uint32(0x01000193)
@@ -61,47 +71,57 @@ def qgram_hashes(code: np.ndarray) -> np.ndarray:
         h += c[1:]
         h4 = h[:-2] * b2
         h4 += h[2:]
-        h = h4[:-8] * b4
-        h += h4[4:-4]
-        h *= b4
-        h += h4[8:]
+        h = h4[:-4] * b4
+        h += h4[4:]
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA6B)
         return h
 
 
 class Index:
-    """Segments of one benchmark block and where their q-grams are."""
+    """Items of one benchmark block, laid out one after the other, and where
+    their q-grams are; short items by their words."""
 
     def __init__(self, items):
-        self.items, self.segments, hashes = [], [], []
+        self.items, codes, at, hashes, places = [], [], 0, [], []
+        self.short: dict = {}                                 # compared bytes -> item numbers
+        self.sizes: dict = {}                                 # first word -> numbers of words
+        self.start, self.number = [], []                      # of the long items
         for item_id, text in items:
             code = compared(text or "")
-            if len(code) < MIN_CHARS:
+            if not len(code):
                 continue
             k = len(self.items)
             self.items.append(item_id)
-            last = max(0, len(code) - SEGMENT)
-            for start in sorted({*range(0, last + 1, STRIDE), last}):
-                seg = code[start:start + SEGMENT]
-                hashes.append((qgram_hashes(seg), len(self.segments)))
-                self.segments.append((k, seg, int(EDITS * len(seg))))
-        h = np.concatenate([x for x, _ in hashes]) if hashes else np.empty(0, np.uint32)
-        seg = np.concatenate([np.full(len(x), s) for x, s in hashes]) if hashes else np.empty(0, np.int64)
-        pos = np.concatenate([np.arange(len(x)) for x, _ in hashes]) if hashes else np.empty(0, np.int64)
+            if len(code) < MIN_CHARS:
+                whole = code.tobytes()
+                self.short.setdefault(whole, []).append(k)
+                self.sizes.setdefault(whole.split(b" ")[0], set()).add(whole.count(b" ") + 1)
+                continue
+            self.start.append(at)
+            self.number.append(k)
+            codes.append(code)
+            h = qgram_hashes(code)
+            hashes.append(h)
+            places.append(np.arange(at, at + len(h)))
+            at += len(code) + SEGMENT                         # no segment's length reaches the next item
+        self.codes, self.total = codes, at
+        h = np.concatenate(hashes) if hashes else np.empty(0, np.uint32)
+        place = np.concatenate(places) if hashes else np.empty(0, np.int64)
         order = np.argsort(h, kind="stable")
-        self.h, self.seg, self.pos = h[order], seg[order].astype(np.int64), pos[order].astype(np.int64)
+        self.h, self.place = h[order], place[order].astype(np.int64)
         self.filter = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.filter[self.h >> np.uint32(32 - FILTER_BITS)] = True
 
     def hits(self, h: np.ndarray):
-        """(place in the text, segment, place in the segment) of shared q-grams."""
+        """(place in the text, place among the items) of shared q-grams."""
         at = np.flatnonzero(self.filter[h >> np.uint32(32 - FILTER_BITS)])
         lo = np.searchsorted(self.h, h[at], side="left")
         n = np.searchsorted(self.h, h[at], side="right") - lo
-        place = np.repeat(at, n)
-        idx = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return place, self.seg[idx], self.pos[idx]
+        some = n > 0
+        at, lo, n = at[some], lo[some], n[some]
+        idx = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(at, n), self.place[idx]
 
 
 def banded_edits(seg: np.ndarray, window: np.ndarray, k: int):
@@ -121,40 +141,80 @@ def banded_edits(seg: np.ndarray, window: np.ndarray, k: int):
     return int(row[end]), end
 
 
+def _add(out: dict, item: int, segment: int, edits: int, start: int, end: int) -> None:
+    old = out.get(item)
+    if old is None:
+        out[item] = [{segment}, edits, start, end]
+    else:
+        old[0].add(segment)
+        old[1], old[2], old[3] = min(old[1], edits), min(old[2], start), max(old[3], end)
+
+
+def _find_short(code: np.ndarray, index: Index, out: dict) -> None:
+    """Short items as runs of whole words."""
+    ws = code.tobytes().split(b" ")
+    at = 0
+    for i, w in enumerate(ws):
+        for n in index.sizes.get(w, ()):
+            whole = b" ".join(ws[i:i + n])
+            for item in index.short.get(whole, ()):
+                _add(out, item, 0, 0, at, at + len(whole))
+        at += len(w) + 1
+
+
+def _find_piece(code: np.ndarray, base: int, index: Index, out: dict) -> None:
+    """Segments of long items in a piece of a text that starts at ``base``."""
+    place, pos = index.hits(qgram_hashes(code))
+    if not len(place):
+        return
+    k_max = int(EDITS * SEGMENT)
+    # overlapping bands of diagonals, half a band apart: any k + 1 neighbours share one
+    band = (place - pos + index.total) // (k_max + 1) + 1     # > 0
+    keys = np.unique(np.concatenate((band << 32 | pos, (band - 1) << 32 | pos)))
+    if len(keys) < SHARED:
+        return
+    # SHARED places of one band within a segment's length
+    full = np.flatnonzero(keys[SHARED - 1:] - keys[:len(keys) - SHARED + 1] <= SEGMENT - Q)
+    if not len(full):
+        return
+    hot = np.zeros(len(keys) + 1, np.int64)
+    np.add.at(hot, full, 1)
+    np.add.at(hot, full + SHARED, -1)
+    keys = keys[np.cumsum(hot[:-1]) > 0]
+    first = np.append(True, np.diff(keys) > 1)                # runs of places that follow each other
+    last = np.append(first[1:], True)
+    done = set()
+    for x, y in zip(keys[first].tolist(), keys[last].tolist()):
+        b, g, h = x >> 32, x & 0xFFFFFFFF, y & 0xFFFFFFFF
+        j = int(np.searchsorted(index.start, g, side="right")) - 1
+        item, origin = index.codes[j], index.start[j]
+        free = max(0, len(item) - SEGMENT)
+        for p in {min(g - origin, free), max(0, min(h - origin + Q - SEGMENT, free))}:
+            if (b, j, p) in done:
+                continue
+            done.add((b, j, p))
+            pattern = item[p:p + SEGMENT]
+            k = int(EDITS * len(pattern))
+            at = (b - 1) * (k_max + 1) - index.total + origin + p     # of the band's first diagonal
+            lo = max(0, at - k)
+            window = code[lo:max(0, at + 2 * (k_max + 1) + len(pattern) + k)]
+            got = banded_edits(pattern, window, k)
+            if got is not None:
+                z = base + lo + got[1]
+                _add(out, index.number[j], p, got[0], max(0, z - len(pattern)), z)
+
+
 def find(text: str | None, index: Index):
     """{item number: (segments found, least edits, start, end)} over a whole text."""
-    if not text or not len(index.h):
-        return {}
-    code = compared(text)
-    place, seg, pos = index.hits(qgram_hashes(code))
-    if not len(place):
-        return {}
-    k_max = max(1, int(EDITS * SEGMENT))
-    width = 2 * (k_max + 1)
-    diag = place - pos + SEGMENT                              # > 0
-    # overlapping bands of ``width`` diagonals, half a band apart: any k + 1 neighbours share one
-    band = diag // (k_max + 1)
-    keys = np.concatenate((seg << 32 | band, seg << 32 | (band - 1)))
-    own, first, count = np.unique(keys, return_index=True, return_counts=True)
     out: dict = {}
-    for key, n in zip(own.tolist(), count.tolist()):
-        s, b = key >> 32, key & 0xFFFFFFFF
-        item, pattern, k = index.segments[s]
-        if n < len(pattern) - Q + 1 - k * Q:                  # the lemma's bound
-            continue
-        lo = max(0, b * (k_max + 1) - SEGMENT - k)
-        window = code[lo:lo + width + len(pattern) + 2 * k]
-        got = banded_edits(pattern, window, k)
-        if got is None:
-            continue
-        z = lo + got[1]
-        a = max(0, z - len(pattern))
-        old = out.get(item)
-        if old is None:
-            out[item] = [{s}, got[0], a, z]
-        else:
-            old[0].add(s)
-            old[1], old[2], old[3] = min(old[1], got[0]), min(old[2], a), max(old[3], z)
+    if not text or not index.items:
+        return out
+    code = compared(text)
+    if index.short:
+        _find_short(code, index, out)
+    if len(index.h):
+        for base in range(0, max(1, len(code) - OVERLAP), PIECE - OVERLAP):
+            _find_piece(code[base:base + PIECE], base, index, out)
     return out
 
 

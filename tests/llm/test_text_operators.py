@@ -162,6 +162,30 @@ def test_edits_within_the_budget_are_found():
     assert D.banded_edits(np.frombuffer(b"kitten", np.uint8), np.frombuffer(b"zzzzzzzz", np.uint8), 3) is None
 
 
+def test_passages_are_found_at_any_offset_and_with_replaced_words():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.choice([2, 4, 6, 8]))) for _ in range(500)]
+    items = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(5)]
+    index = D.Index(list(enumerate(items)))
+    for k, t in enumerate(items):
+        for s in range(len(t) - 64 + 1):
+            if t[s] != " " and t[s + 63] != " ":
+                assert k in D.find("q7 " + t[s:s + 64] + " q8", index), s
+        w = t.split()
+        w[4::8] = [rng.choice(words) for _ in w[4::8]]
+        assert k in D.find(" ".join(w), index)
+        assert not D.find(t[:32] + " q7 q8 " + t[-32:], index)
+    far = "x " * 40000 + items[2]                                            # across pieces of a long text
+    assert list(D.find(far, index)) == [2] and D.find(far, index)[2][3] == len(far)
+
+
+def test_short_items_match_whole_words():
+    index = D.Index([(1, "Who are you?"), (2, "who"), (3, "are you ok"), (4, "?!")])
+    found = {index.items[k] for k in D.find("And: WHO are you, then", index)}
+    assert found == {1, 2}
+    assert not D.find("whoare youok", index) and not D.find("", index)
+
+
 def test_decontamination_edges(spark, make_docs):
     long = "this is one sentence of a benchmark item that is long enough to be used here"
     bench = spark.createDataFrame([(1, long), (1, long), (2, None), (3, "short"), (None, "")], "item_id long, text string")

@@ -207,7 +207,9 @@ def top_k(rows: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col
     spark = rows.sparkSession
     src = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(id_col), F.col(f"`{vec_col}`").alias("vec"))
     queries = src.where(is_query).where(F.col("vec").isNotNull())
-    norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + F.pow(F.floor(x.cast("double") * SCALE), F.lit(2)))
+    limit = F.floor(F.lit(2.0 ** 31) / F.sqrt(2.0 * F.size("vec")))                     # as in ``scaled``
+    part = lambda x: F.least(F.greatest(F.floor(x.cast("double") * SCALE), -limit), limit).cast("double")
+    norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + part(x) * part(x))
     usable = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     longest = src.where(F.col("vec").isNotNull()).where(usable).groupBy(F.size("vec").alias("dim")).agg(F.max(norm).alias("n"))
     bounds = {r["dim"]: float(np.sqrt(r["n"])) for r in longest.collect()}              # one row per vector length

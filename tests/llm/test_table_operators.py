@@ -56,6 +56,16 @@ def test_topk_ties_nulls_and_repeats(spark):
     assert K.top_k(df.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_topk_with_one_finite_outlier(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(64)]) for i in range(120)]
+    far = (1001, [1e18] + [0.0] * 63)
+    df = spark.createDataFrame([*rows, far], "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, K.top_k(df, F.col("vec_id") % 50 == 0, 5).collect()))
+    limit = int(2.0 ** 31 / 128 ** 0.5)                      # what a scaled component is limited to
+    assert got == _brute_topk([*rows, (1001, [limit / 256] + [0.0] * 63)], 5)
+
+
 # -- chat -------------------------------------------------------------------
 
 def _events(spark, rows):

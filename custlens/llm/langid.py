@@ -163,8 +163,6 @@ def mixtures(texts: list, model: Model):
             best, best_fit = pi, got
         else:
             better = got > best_fit
-            if not better.any():
-                break                                                # more languages only cost more
             best[better], best_fit[better] = pi[better], got[better]
     shares[docs] = best
     return shares

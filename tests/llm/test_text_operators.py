@@ -85,6 +85,18 @@ def test_trigrams_and_owner_of_words():
     assert len(starts) == 5 and owner.tolist() == [0, 0, 3, 3, 3] and len(slot) == 6
 
 
+def test_languages_of_a_text_do_not_depend_on_its_slice():
+    # a and b nearly alike, c apart: two languages do not pay, three do
+    table = np.full((1 << L.BITS, 3), -12.0, dtype=np.float32)
+    for word, row in (("x", (-5, -5.3, -12)), ("y", (-5.3, -5, -12)), ("z", (-12, -12, -5))):
+        table[L.trigrams([word])[0][0]] = row
+    model = L.Model(["a", "b", "c"], table)
+    text, mate = "x " * 8 + "y " * 7 + "z " * 5, "x " * 10 + "z " * 10
+    alone = L.mixtures([text], model)[0]
+    assert (alone > 0).all()
+    assert np.allclose(alone, L.mixtures([mate, text], model)[1], atol=1e-6)
+
+
 def test_language_mixture_and_edges(spark, make_docs):
     en = "the of and thing with that this " * 12
     de = "der die und nicht schon über sich " * 12

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, WordHash, cut_lineage, map_rows, mix64, only, ship_by_value, slices, words
+from .common import Scratch, WordHash, cut_lineage, fresh_name, map_rows, mix64, only, ship_by_value, slices, words
 from .components import components
 
 ship_by_value(__name__)
@@ -374,8 +374,20 @@ def _by_row(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 75) -> DataFrame:
-    """``docs`` without the near copies: of every component the row of the
-    smallest id stays; documents without words all stay."""
-    flag = similar_components(docs, id_col, text_col, threshold).where(F.col(id_col).isNull() | (F.col(id_col) == F.col("component_id")))
-    keep = flag.select(F.col(id_col).alias("__keep")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["__keep"]), "left_semi")
+    """``docs`` without the near copies: of every component one row stays, of the
+    smallest id (null ids last) the first; documents without words all stay."""
+    ids = docs.groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.count(F.lit(1)).alias("rows"))
+    if ids.where("id IS NULL OR rows > 1").isEmpty():
+        flag = similar_components(docs, id_col, text_col, threshold).where(F.col(id_col) == F.col("component_id"))
+        keep = flag.select(F.col(id_col).alias("__keep"))
+        return docs.join(keep, docs[id_col] == keep["__keep"], "left_semi")
+    # rows are joined under numbers of their own
+    row = fresh_name(docs, "row")
+    docs = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+    ids = docs.select(F.col(f"`{row}`").alias("row"), F.col(f"`{id_col}`").alias("id"))
+    texts = docs.select(F.col(f"`{row}`").alias("row"), F.col(f"`{text_col}`").alias("text"))
+    found = cut_lineage(similar_components(texts, "row", "text", threshold).join(ids, "row"))
+    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    keep = cut_lineage(first.select(F.col("first.row").alias("__keep")).unionByName(
+        found.where("n_shingles = 0").select(F.col("row").alias("__keep"))))
+    return docs.join(keep, F.col(f"`{row}`") == keep["__keep"], "left_semi").drop(row)

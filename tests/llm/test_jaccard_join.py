@@ -81,6 +81,15 @@ def test_empty_table_and_clashing_columns(spark, make_docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
 
 
+def test_one_row_of_every_component_stays(make_docs):
+    same, other = "a b c d e f g", "one two three four five six"
+    docs = make_docs([(3, same), (3, same), (None, same), (None, other), (None, other), (7, same), (8, None), (8, None), (None, "")])
+    kept = J.one_per_component(docs.withColumn("row", F.lit(1)))
+    assert kept.columns == [*docs.columns, "row"]
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    assert got == [(False, 3, same), (False, 8, ""), (False, 8, ""), (True, 0, ""), (True, 0, other)]
+
+
 def test_hot_group_of_near_copies(spark, make_docs):
     rng = random.Random(5)
     words = [f"v{k}" for k in range(60)]

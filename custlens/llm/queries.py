@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, chat, decontam, jaccard_join, langid, packing, sharding, topk, toxicity, url_filter
+from . import (attention_lm, chat, decontam, divergence, jaccard_join, langid, neardup, packing, sharding, topk, toxicity, url_filter,
+               vector_codes)
 from .common import held_out, read
 
 
@@ -123,6 +124,103 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every usable vector."""
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def _op11_sql() -> str:
+    """The fixed number of rounds written out."""
+    assign = """
+near{r} AS (
+  SELECT id, part, entry, d FROM (
+    SELECT x.id, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v)) AS d
+    FROM x JOIN book{r} b USING (part, place) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY id, part ORDER BY d, entry) = 1)"""
+    refine = """
+book{n} AS (
+  SELECT b.part, b.entry, b.place, CASE WHEN m.c IS NULL THEN b.v ELSE (m.s - ((m.s % m.c) + m.c) % m.c) // m.c END AS v
+  FROM book{r} b LEFT JOIN (
+    SELECT n.part, n.entry, x.place, sum(x.v) AS s, count(*) AS c
+    FROM near{r} n JOIN x USING (id, part) GROUP BY ALL) m USING (part, entry, place))"""
+    rounds = ",".join(assign.format(r=r) + "," + refine.format(r=r, n=r + 1) for r in range(vector_codes.ROUNDS))
+    last = vector_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id, embedding) - 1 AS id FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+x AS (
+  SELECT id, (k - 1) // (n // 8) AS part, (k - 1) % (n // 8) AS place, floor(4096 * v::DOUBLE)::HUGEINT AS v
+  FROM (SELECT id, len(embedding) AS n, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS k FROM kept)),
+book0 AS (SELECT part, id AS entry, place, v FROM x WHERE id < {vector_codes.ENTRIES}),{rounds},{assign.format(r=last)},
+codes AS (SELECT id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{last} GROUP BY id),
+sha AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (id) CROSS JOIN sha
+"""
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    return neardup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked distances of sources and the terms that set them apart."""
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+w AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+vocabulary AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (
+  SELECT g.lang, g.source, k.term, k.n AS lang_n, count(w.row) AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN w ON w.lang = g.lang AND w.source = g.source AND w.term = k.term
+  GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, n, lang_n,
+    1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 5)) // (total + 5 * v) AS q
+  FROM counts JOIN vocabulary USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source AS a, y.source AS b, sum(abs(x.p - y.p)) AS value
+             FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+    ON s.lang = a.lang AND s.a = a.source AND s.b = b.source)
+SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value,
+    (row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term))::INTEGER AS rank FROM shares WHERE n > 0 AND p > q)
+WHERE rank <= 50
+"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_attention_lm": op2_attention_lm,
@@ -134,9 +232,15 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_topk": OP4_SQL,
     "op5_chat_formatting": OP5_SQL,
+    "op11_vector_codes": _op11_sql(),
+    "op12_embedding_dedup": OP12_SQL,
+    "op13_source_divergence": OP13_SQL,
 }

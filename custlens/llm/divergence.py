@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, Scratch, ship_by_value, slices
+from .common import Scratch, ship_by_value, slices
 
 ship_by_value(__name__)
 
@@ -46,7 +46,8 @@ TOP_TERMS = 50
 PIECE = 1 << 20             # text bytes split at once
 HELD = 200_000              # distinct terms that a task holds before it sends them on
 SOURCE_BLOCK = 256          # sources of one side of a block of pairs
-CELLS = 400_000             # counts of one block of terms, about
+CELLS = 1 << 15             # counts of one block of terms, about
+SMALL_ROWS = 200_000        # rows of a table that travels as a broadcast, some MB
 STEP = 2048                 # terms of a block that are laid out at once
 
 # a term is a run of ASCII letters and bytes above 127; only A-Z change case
@@ -121,7 +122,7 @@ def _share(count, total, kept):
 
 def _sized(df: DataFrame) -> DataFrame:
     """A written table as a broadcast side while its counted rows allow it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
 def _pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:

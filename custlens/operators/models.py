@@ -3,22 +3,22 @@
 Trees are trained level-wise by Spark ML (distributed histogram
 aggregation per level); the input is assembled once and cached for the
 iterations, and GBT lineage is cut every ``checkpointInterval`` rounds
-into the shared checkpoint folder.
+into the shared checkpoint folder.  Cross-validation and early stopping
+train by ``boosting`` (all folds in one run, rounds that continue).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from . import boosting
 
 # Hyper-parameters of the reference's two boosted-tree
 # presets and its decision tree (rounds, learning rate, depth, row and
@@ -88,37 +88,6 @@ def patience_stop_df(losses: DataFrame, patience: int, group: Sequence[str] = ()
         "rounds_kept", F.col("best_round") + 1)
 
 
-def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
-    """The model of the first ``k`` boosting rounds."""
-    if k >= model.getNumTrees:
-        return model
-    sc = SparkSession.getActiveSession().sparkContext
-    trees, weights = model._java_obj.trees(), model._java_obj.treeWeights()
-    some = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
-    share = sc._gateway.new_array(sc._jvm.double, k)
-    for i in range(k):
-        some[i], share[i] = trees[i], weights[i]
-    java = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{model.uid}_first_{k}", some, share)
-    java.setFeaturesCol(model.getFeaturesCol())
-    return GBTClassificationModel(java)
-
-
-def fit_gbt_early_stopped(train: DataFrame, valid: DataFrame, preset: dict, label: str = "label", seed: int = 42):
-    """M4 + M5: train up to the preset's rounds, evaluate the validation
-    log-loss after every round and keep the leading trees that the patience
-    rule keeps.  Rounds are tried in doubling numbers (the same seed gives
-    the same leading trees), so a rule that stops early ends the training
-    early with the result that all rounds would give."""
-    patience, rounds = preset.get("patience", 50), min(2 * preset.get("patience", 50), preset["maxIter"])
-    while True:
-        full = fit_gbt(train, preset, label, seed, rounds)
-        losses = list(full.evaluateEachIteration(valid))
-        keep = patience_stop(losses, patience)
-        if rounds == preset["maxIter"] or keep + patience <= rounds:
-            return first_trees(full, keep), losses, keep
-        rounds = min(2 * rounds, preset["maxIter"])
-
-
 def score(model, df: DataFrame, prob_col: str = "probability_1", pred_col: str = "predicted") -> DataFrame:
     """M7: probability of class 1 and predicted class."""
     out = model.transform(df)
@@ -135,14 +104,44 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int
     return r.withColumn("fold", ((F.col("rank_in_group") - 1) % k).cast("int")).drop("rank_in_group", "group_size")
 
 
-def cv_auc(estimator, df: DataFrame, label: str = "label", parallelism: int = 5):
-    """M6: k-fold AUC with the given fold column; returns (mean, pop std, per-fold)."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
-                                       numBins=0)
-    k = df.agg(F.max("fold")).first()[0] + 1
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        foldCol="fold", numFolds=int(k), parallelism=parallelism, collectSubModels=False)
-    model = cv.fit(df)
-    folds = list(model.avgMetrics)
-    std = list(getattr(model, "stdMetrics", []) or [0.0])
-    return float(folds[0]), float(std[0])
+def grouped_auc(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:
+    """M6: exact ROC-AUC per group, tied scores count half; distinct scores
+    are counted and accumulated in ranges, so no group is held by one task."""
+    from ..functions.ranges import grouped_running
+    y = F.col(label).cast("int")
+    counts = df.groupBy(*group, F.col(score).alias("__s")).agg(F.sum(y).alias("__p"), F.sum(1 - y).alias("__n"))
+    cum = grouped_running(counts, group, "__s", ["__p", "__n"])
+    wins = F.sum(F.col("__p") * (F.col("cum___n") - F.col("__n") * 0.5))
+    return cum.groupBy(*group).agg(F.try_divide(wins, F.first("tot___p").cast("double") * F.first("tot___n")).alias("roc_auc"))
+
+
+def cross_validated(df: DataFrame, features: Sequence[str], key: Sequence[str], preset: dict, k: int = 5, label: str = "label",
+                    seed: int = 42) -> DataFrame:
+    """M6: (fold, label, probability_1) of every row of ``df`` by the model that
+    was trained without the row's ``fold``; the k models are boosted in one run."""
+    edges = boosting.split_points(df, features)
+    rows = boosting.binned(df, features, edges, label, key, held=F.col("fold"), models=k, keep=["fold", label])
+    model = boosting.train(rows, features, edges, boosting_params(preset, seed=seed), models=k)
+    return boosting.score(rows, model, ["fold", label], models=k)
+
+
+def boosting_params(preset: dict, **kw) -> boosting.Boosting:
+    """A preset as parameters of ``boosting`` (its patience holds only if asked for)."""
+    return boosting.Boosting(**{"rounds": preset["maxIter"], "rate": preset["stepSize"], "depth": preset["maxDepth"],
+                                "row_share": preset["subsamplingRate"], "column_share": float(preset["featureSubsetStrategy"]), **kw})
+
+
+def fit_early_stopped(train: DataFrame, valid: DataFrame, features: Sequence[str], key: Sequence[str], preset: dict,
+                      label: str = "label", seed: int = 42) -> boosting.Ensemble:
+    """M4 + M5: boost on ``train``, round by round, until the log-loss of ``valid``
+    has not fallen for the preset's patience; the rounds up to the least loss count."""
+    edges = boosting.split_points(train, features)
+    rows = train.withColumn("__out", F.lit(-1)).unionByName(valid.withColumn("__out", F.lit(0)))
+    rows = boosting.binned(rows, features, edges, label, key, held=F.col("__out"))
+    return boosting.train(rows, features, edges, boosting_params(preset, seed=seed, patience=preset["patience"]))
+
+
+def score_boosted(model: boosting.Ensemble, df: DataFrame, key: Sequence[str], label: str = "label") -> DataFrame:
+    """M7: key, label, probability_1 and predicted of every row."""
+    rows = boosting.binned(df, model.features, model.edges, label, key, keep=[*key, label])
+    return boosting.score(rows, model, [*key, label], number=0)

@@ -351,6 +351,20 @@ def pacf(series: DataFrame, nlags: int = 20, col: str = V) -> DataFrame:
 
 # ------------------------------------------------------------------ ARIMA
 
+def _level_arrays(series: DataFrame, col: str = V) -> DataFrame:
+    """(series, xs, ts): each group's levels and periods in order (one row per
+    group, as long as the series)."""
+    rows = series.groupBy(G).agg(F.sort_array(F.collect_list(F.struct(T, F.col(col).alias("x")))).alias("__rows"))
+    return rows.select(G, F.transform("__rows", lambda r: r["x"]).alias("xs"), F.transform("__rows", lambda r: r[T]).alias("ts"))
+
+
+def _diffs(xs: Column) -> Column:
+    """First differences of an array."""
+    n = F.size(xs)
+    idx = F.when(n >= 2, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(idx, lambda i: F.element_at(xs, i) - F.element_at(xs, i - 1))
+
+
 def _css(phi: Column, theta: Column, ys: Column) -> Column:
     """Conditional sum of squares of ARMA(1,1) without constant on the
     differenced array ``ys``: e_t = y_t - phi*y_{t-1} - theta*e_{t-1}, e_1 = 0."""
@@ -364,28 +378,39 @@ def _css(phi: Column, theta: Column, ys: Column) -> Column:
     return F.aggregate(idx, init, step)
 
 
-def _grid(lo: float, hi: float, n: int) -> list[float]:
-    return [lo + (hi - lo) * i / (n - 1) for i in range(n)]
+def _kalman(phi: Column, theta: Column, ys: Column) -> Column:
+    """Exact one-step recursion of ARMA(1,1) started from its stationary
+    distribution.  ``r`` is the variance of the prediction error over sigma2,
+    ``hat`` the prediction of the next value; ``s`` adds up e^2 / r and ``l``
+    adds up ln r, which is all that the likelihood needs."""
+    first = (1.0 + 2.0 * phi * theta + theta * theta) / (1.0 - phi * phi)
+    init = F.struct(F.lit(0.0).alias("hat"), first.alias("r"), F.lit(0.0).alias("s"), F.lit(0.0).alias("l"),
+                    F.lit(0.0).alias("gain"))
 
+    def step(acc, y):
+        e = y - acc["hat"]
+        gain = e / acc["r"]
+        return F.struct((phi * y + theta * gain).alias("hat"), (1.0 + theta * theta - theta * theta / acc["r"]).alias("r"),
+                        (acc["s"] + e * gain).alias("s"), (acc["l"] + F.log(acc["r"])).alias("l"), gain.alias("gain"))
 
-def arima_css_fit(series: DataFrame, coarse: int = 39, refine: int = 21, bound: float = 0.99,
-                  col: str = V, tolerance: float = 1e-6) -> DataFrame:
-    """ARIMA(1,1,1) without constant by conditional least squares.
-    Each group's differenced series (bounded by its length) is one array;
-    a coarse (phi, theta) grid in (-bound, bound)^2 is scored with
-    ``transform``, then finer grids around the best point until phi and
-    theta are known to ``tolerance``.  Returns phi,
-    theta, css, sigma2 and the state needed to forecast."""
-    w = _w()
-    d = series.select(G, T, F.col(col).alias("x"), (F.col(col) - F.lag(col).over(w)).alias("y"))
-    arr = d.groupBy(G).agg(
-        F.sort_array(F.collect_list(F.when(F.col("y").isNotNull(), F.struct(T, "y")))).alias("ys"),
-        F.max_by("x", T).alias("last_value"), F.max(T).alias("last_t"))
-    arr = arr.withColumn("ys", F.transform("ys", lambda s: s["y"]))
+    return F.aggregate(ys, init, step)
+
+
+def _likelihood_score(phi: Column, theta: Column, ys: Column) -> Column:
+    """n ln(s / n) + sum ln r: falls as the concentrated likelihood rises."""
+    n = F.size(ys)
+    return F.transform(F.array(_kalman(phi, theta, ys)), lambda k: n * F.log(F.try_divide(k["s"], n)) + k["l"])[0]
+
+
+def _search(rows: DataFrame, score, keys: list[str], coarse: int = 25, refine: int = 9, bound: float = 0.99,
+            tolerance: float = 1e-6) -> DataFrame:
+    """``rows`` with ``best``: (score, phi, theta) of the least score in
+    (-bound, bound)^2, found on a coarse grid and then on finer grids around
+    the best point until phi and theta are known to ``tolerance``.  Grids are
+    generated by sequence / transform, so the expression does not grow with
+    them; exchanges (one short row per key) keep the optimizer from inlining
+    one search into the next."""
     def grid(c_phi, c_theta, half, n):
-        # n x n points spanning [c - half, c + half]^2, clipped to the
-        # invertible/stationary box; generated by sequence/transform so the
-        # expression size does not grow with the grid.
         idx = F.sequence(F.lit(0), F.lit(n - 1))
         step = F.lit(2.0 * half / (n - 1))
 
@@ -397,56 +422,107 @@ def arima_css_fit(series: DataFrame, coarse: int = 39, refine: int = 21, bound:
             clip(c_theta - F.lit(half) + j * step).alias("theta")))))
 
     def best(points):
-        scored = F.transform(points, lambda p: F.struct(
-            _css(p["phi"], p["theta"], F.col("ys"))["s"].alias("css"), p["phi"].alias("phi"),
-            p["theta"].alias("theta")))
-        return F.array_min(scored)
-
-    # exchanges (one row per group) keep the optimizer from inlining the
-    # grid searches into every later reference of their results; grids are
-    # refined around the best point until their step is below ``tolerance``
-    arr = arr.withColumn("b2", best(grid(F.lit(0.0), F.lit(0.0), bound, coarse))).repartition(G)
-    step = (2 * bound) / (coarse - 1)
+        return F.array_min(F.transform(points, lambda p: F.struct(
+            score(p["phi"], p["theta"], F.col("ys")).alias("score"), p["phi"].alias("phi"), p["theta"].alias("theta"))))
+
+    rows = rows.withColumn("best", best(grid(F.lit(0.0), F.lit(0.0), bound, coarse))).repartition(*keys)
+    step = 2 * bound / (coarse - 1)
     while step > tolerance:
-        half = 2 * step
-        arr = arr.withColumn("b1", F.col("b2")).drop("b2")
-        arr = arr.withColumn("b2", best(grid(F.col("b1.phi"), F.col("b1.theta"), half, refine))).repartition(G)
+        half = 1.5 * step
+        rows = rows.withColumnRenamed("best", "__near")
+        rows = rows.withColumn("best", best(grid(F.col("__near.phi"), F.col("__near.theta"), half, refine))).drop("__near").repartition(*keys)
         step = 2 * half / (refine - 1)
-    # fewer than two differences determine nothing: NULL parameters
-    fits = F.size("ys") >= 2
-    phi, theta = F.when(fits, F.col("b2.phi")), F.when(fits, F.col("b2.theta"))
-    last = F.when(fits, _css_state(F.col("b2.phi"), F.col("b2.theta"), F.col("ys")))
-    return arr.select(G, phi.alias("phi"), theta.alias("theta"), F.when(fits, F.col("b2.css")).alias("css"),
-                      F.try_divide(F.when(fits, F.col("b2.css")), F.size("ys") - 1).alias("sigma2"),
-                      F.try_element_at("ys", F.lit(-1)).alias("last_diff"), last.alias("last_resid"),
-                      "last_value", "last_t", F.size("ys").cast("long").alias("n_diff"))
-
-
-def _css_state(phi: Column, theta: Column, ys: Column) -> Column:
-    return _css(phi, theta, ys)["e"]
+    return rows
+
+
+def _fitted(rows: DataFrame, keys: list[str], method: str, **search) -> DataFrame:
+    """Parameters and forecast state of every row with ``ys``, ``last_value`` and
+    ``last_t``.  Fewer than two differences determine nothing (NULL); differences
+    that are all zero have phi = theta = 0."""
+    exact = method == "likelihood"
+    rows = _search(rows, _likelihood_score if exact else (lambda phi, theta, ys: _css(phi, theta, ys)["s"]), keys, **search)
+    n, fits = F.size("ys"), F.size("ys") >= 2
+    moves = F.exists("ys", lambda y: y != 0)
+    rows = rows.withColumns({"phi": F.when(fits, F.when(moves, F.col("best.phi")).otherwise(0.0)),
+                             "theta": F.when(fits, F.when(moves, F.col("best.theta")).otherwise(0.0))}).repartition(*keys)
+    phi, theta = F.col("phi"), F.col("theta")
+    css, k = F.col("__css"), F.col("__k")
+    rows = rows.withColumn("__css", F.when(fits, _css(phi, theta, F.col("ys")))).withColumn("__k", F.when(fits, _kalman(phi, theta, F.col("ys"))))
+    sigma2 = F.try_divide(k["s"], n) if exact else F.try_divide(css["s"], n - 1)
+    loglik = -0.5 * (n * F.log(F.lit(2.0 * math.pi)) + n * F.log(F.try_divide(k["s"], n)) + k["l"] + n)
+    return rows.select(*keys, "phi", "theta", css["s"].alias("css"), sigma2.alias("sigma2"), F.when(moves, loglik).alias("loglik"),
+                       F.try_element_at("ys", F.lit(-1)).alias("last_diff"), (k["gain"] if exact else css["e"]).alias("last_resid"),
+                       "last_value", "last_t", n.cast("long").alias("n_diff"))
+
+
+def arima_fit(series: DataFrame, method: str = "likelihood", col: str = V, **search) -> DataFrame:
+    """ARIMA(1,1,1) without constant of every group, by exact Gaussian
+    likelihood (``likelihood``: Kalman recursion over the differenced array,
+    sigma2 concentrated out) or by conditional least squares (``css``).  Returns
+    phi, theta, css, sigma2, loglik and the state needed to forecast."""
+    rows = _level_arrays(series, col).select(G, _diffs(F.col("xs")).alias("ys"), F.element_at("xs", -1).alias("last_value"),
+                                             F.element_at("ts", -1).alias("last_t"))
+    return _fitted(rows, [G], method, **search)
 
 
 def arima_css_fixed(series: DataFrame, phi: float, theta: float, col: str = V) -> DataFrame:
     """Z7 objective at given (phi, theta): CSS and last residual per group."""
-    w = _w()
-    d = series.select(G, T, (F.col(col) - F.lag(col).over(w)).alias("y")).where(F.col("y").isNotNull())
-    arr = d.groupBy(G).agg(F.sort_array(F.collect_list(F.struct(T, "y"))).alias("ys"))
-    arr = arr.withColumn("ys", F.transform("ys", lambda s: s["y"]))
+    arr = _level_arrays(series, col).select(G, _diffs(F.col("xs")).alias("ys")).where(F.size("ys") > 0)
     st = _css(F.lit(phi), F.lit(theta), F.col("ys"))
     return arr.select(G, st["s"].alias("css"), st["e"].alias("last_resid"),
                       F.size("ys").cast("long").alias("n_diff"))
 
 
-def arima_forecast(fit: DataFrame, steps: int = 3) -> DataFrame:
-    """ŷ1 = phi*y_n + theta*e_n, ŷh = phi^(h-1) * ŷ1 (future shocks are
-    zero); levels accumulate: x_n + ŷ1 * (1 - phi^h) / (1 - phi)."""
+def arima_likelihood_fixed(series: DataFrame, phi: float, theta: float, col: str = V) -> DataFrame:
+    """Z7 likelihood at given (phi, theta): log-likelihood with sigma2
+    concentrated out, sigma2, and the forecast of the next difference."""
+    arr = _level_arrays(series, col).select(G, _diffs(F.col("xs")).alias("ys")).where(F.size("ys") > 0)
+    arr = arr.select(G, F.size("ys").alias("n"), _kalman(F.lit(phi), F.lit(theta), F.col("ys")).alias("k"))
+    loglik = -0.5 * (F.col("n") * F.log(F.lit(2.0 * math.pi)) + F.col("n") * F.log(F.col("k.s") / F.col("n")) + F.col("k.l") + F.col("n"))
+    return arr.select(G, F.col("n").cast("long").alias("n_diff"), loglik.alias("loglik"), (F.col("k.s") / F.col("n")).alias("sigma2"),
+                      F.col("k.hat").alias("next_diff"))
+
+
+def _level_forecasts(fit: DataFrame, steps: int, keys: list[str]) -> DataFrame:
+    """(keys, last_value, last_t, step, forecast): the next difference is
+    phi*y_n + theta*e_n, later ones shrink by phi (future shocks are zero), and
+    levels add them up: x_n + y1 * (1 - phi^h) / (1 - phi)."""
     y1 = F.col("phi") * F.col("last_diff") + F.col("theta") * F.col("last_resid")
-    base = fit.select(G, "last_value", "last_t", "phi", y1.alias("y1"))
-    h = F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step")
-    e = base.select(G, "last_value", "last_t", "phi", "y1", h)
-    phi_h = F.pow(F.col("phi"), F.col("step"))
-    cum = F.when(F.col("phi") == 1.0, F.col("y1") * F.col("step")).otherwise(
-        F.col("y1") * (F.lit(1.0) - phi_h) / (F.lit(1.0) - F.col("phi")))
-    return e.select(G, "last_value", F.col("step").cast("int").alias("step"),
-                    F.last_day(F.add_months(F.col("last_t"), F.col("step"))).alias("t"),
-                    (F.col("last_value") + cum).alias("forecast"))
+    e = fit.select(*keys, "last_value", "last_t", "phi", y1.alias("y1"), F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
+    total = F.when(F.col("phi") == 1.0, F.col("y1") * F.col("step")).otherwise(
+        F.col("y1") * (1.0 - F.pow(F.col("phi"), F.col("step"))) / (1.0 - F.col("phi")))
+    return e.select(*keys, "last_value", "last_t", F.col("step").cast("int").alias("step"), (F.col("last_value") + total).alias("forecast"))
+
+
+def arima_forecast(fit: DataFrame, steps: int = 3) -> DataFrame:
+    """Forecasts of the next ``steps`` month ends."""
+    return _level_forecasts(fit, steps, [G]).select(
+        G, "last_value", "step", F.last_day(F.add_months(F.col("last_t"), F.col("step"))).alias("t"), "forecast")
+
+
+def arima_holdout(series: DataFrame, steps: int = 3, origins: int = 1, fixed: tuple[float, float] | None = None,
+                  method: str = "likelihood", col: str = V, **search) -> DataFrame:
+    """Z8 + V6: rolling-origin hold-out of the ARIMA model.  Origin ``k`` trains on
+    all but the last ``steps + k`` periods and forecasts the ``steps`` after
+    them (origin 0 alone holds out the end of the series); every (series, origin)
+    is one row of one plan and is refitted, or takes the ``fixed`` (phi, theta).
+    Returns actual, forecast, absolute error per step and the origin's RMSE;
+    origins that leave no level to train on are absent."""
+    keys = [G, "origin"]
+    rows = _level_arrays(series, col).withColumn("origin", F.explode(F.sequence(F.lit(0), F.lit(origins - 1))))
+    rows = rows.withColumn("__n", F.size("xs") - steps - F.col("origin")).where("__n >= 1")
+    train = rows.select(*keys, F.slice("xs", F.lit(1), F.col("__n")).alias("__train"), F.slice("xs", F.col("__n") + 1, F.lit(steps)).alias("actuals"),
+                        F.slice("ts", F.col("__n") + 1, F.lit(steps)).alias("actual_ts"), F.element_at("ts", F.col("__n")).alias("last_t"))
+    train = train.withColumn("ys", _diffs(F.col("__train"))).withColumn("last_value", F.element_at("__train", -1)).drop("__train")
+    if fixed is None:
+        fit = _fitted(train.drop("actuals", "actual_ts"), keys, method, **search)
+    else:
+        phi, theta = (F.lit(float(v)) for v in fixed)
+        fit = train.select(*keys, phi.alias("phi"), F.try_element_at("ys", F.lit(-1)).alias("last_diff"), theta.alias("theta"),
+                           _kalman(phi, theta, F.col("ys"))["gain"].alias("last_resid"), "last_value", "last_t")
+    held = train.select(*keys, F.posexplode(F.arrays_zip("actuals", "actual_ts")).alias("__at", "__held")).select(
+        *keys, (F.col("__at") + 1).alias("step"), F.col("__held.actual_ts").alias("t"), F.col("__held.actuals").alias("actual"))
+    j = _level_forecasts(fit, steps, keys).drop("last_value", "last_t").join(held, [*keys, "step"])
+    error = F.col("actual") - F.col("forecast")
+    return j.select(*keys, "step", "t", "actual", "forecast", F.abs(error).alias("abs_error"),
+                    F.sqrt(F.avg(error * error).over(Window.partitionBy(*keys))).alias("rmse"))

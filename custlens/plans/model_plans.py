@@ -119,12 +119,11 @@ def gbt_xgb_preset(spark, sf):
 def gbt_lgb_preset(spark, sf):
     """M4 + M5: LightGBM preset with patience-50 early stopping on a
     validation split carved from the training months."""
-    train, test, _ = _data(spark, sf)
-    fit = train.where(F.col("stat_month") <= "1998-12")
-    valid = train.where(F.col("stat_month") > "1998-12")
-    model, losses, keep = models.fit_gbt_early_stopped(fit, valid, models.LGB_PRESET)
-    return _eval_row(models.score(model, test)).withColumn("rounds_kept", F.lit(int(keep))).withColumn(
-        "rounds_trained", F.lit(len(losses)))
+    train, test, names = _data(spark, sf)
+    model = _once(spark, sf, "lgb", lambda: models.fit_early_stopped(
+        train.where(F.col("stat_month") <= "1998-12"), train.where(F.col("stat_month") > "1998-12"), names, KEYS, models.LGB_PRESET))
+    return _eval_row(models.score_boosted(model, test, KEYS)).withColumn("rounds_kept", F.lit(model.kept)).withColumn(
+        "rounds_trained", F.lit(len(model.trees)))
 
 
 @plan("early_stop_rule", None, "models")
@@ -140,11 +139,12 @@ def early_stop_rule(spark, sf):
 def cv_auc(spark, sf):
     """M6: stratified 5-fold cross-validated AUC of the XGBoost preset (mean,
     population std)."""
-    train, _, _ = _data(spark, sf)
+    train, _, names = _data(spark, sf)
     t = train.withColumn("__k", F.concat_ws(":", F.col("customer_id").cast("string"), "stat_month"))
     t = models.stratified_folds(t, "__k", "label", 5)
-    mean, std = models.cv_auc(models.gbt(models.XGB_PRESET), t)
-    return spark.createDataFrame([(mean, std, 5)], "auc_mean double, auc_std double, folds int")
+    scored = models.cross_validated(t, names, KEYS, models.XGB_PRESET)
+    auc = models.grouped_auc(scored, ["fold"], "label", "probability_1")
+    return auc.agg(F.avg("roc_auc").alias("auc_mean"), F.stddev_pop("roc_auc").alias("auc_std"), F.count("roc_auc").cast("int").alias("folds"))
 
 
 @plan("prediction_table", None, "models")

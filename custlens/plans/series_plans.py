@@ -255,16 +255,75 @@ def arima_css_fixed(spark, sf):
     return c.select(ts.G, rnd("css", 2).alias("css"), rnd("last_resid", 4).alias("last_resid"), "n_diff")
 
 
+# One exact recursion per series at fixed parameters: prediction, its variance
+# over sigma2, the shock e / r, and the running sums of e^2 / r and ln r.
+KALMAN_SQL = f"""
+d0 AS (SELECT series, t, value, value - lag(value) {W} AS y FROM {S} s),
+d AS (SELECT series, t, value, row_number() OVER (PARTITION BY series ORDER BY t) AS i, y FROM d0 WHERE y IS NOT NULL),
+k(series, i, r, gain, hat, s, l) AS (
+  SELECT series, i, R0, y / R0, {PHI} * y + ({THETA}) * y / R0, y * y / R0, ln(R0) FROM d WHERE i = 1
+  UNION ALL
+  SELECT series, i, r, e / r, {PHI} * y + ({THETA}) * e / r, s + e * e / r, l + ln(r)
+  FROM (SELECT d.series, d.i, d.y, d.y - k.hat AS e, 1.0 + ({THETA}) * ({THETA}) - ({THETA}) * ({THETA}) / k.r AS r, k.s, k.l
+        FROM k JOIN d ON d.series = k.series AND d.i = k.i + 1) step)
+""".replace("R0", f"CAST((1.0 + 2.0 * {PHI} * ({THETA}) + ({THETA}) * ({THETA})) / (1.0 - {PHI} * {PHI}) AS DOUBLE)")
+
+
+@plan("arima_likelihood_fixed", f"""
+WITH RECURSIVE {KALMAN_SQL},
+m AS (SELECT series, max(i) AS n FROM d GROUP BY series)
+SELECT m.series, CAST(m.n AS BIGINT) AS n_diff, {rsql('-0.5 * (n * ln(2.0 * pi()) + n * ln(s / n) + l + n)', 6)} AS loglik,
+       {rsql('s / n', 2)} AS sigma2, {rsql('hat', 4)} AS next_diff
+FROM k JOIN m ON m.series = k.series AND m.n = k.i
+""", "series")
+def arima_likelihood_fixed(spark, sf):
+    """Z7 objective: exact ARIMA(1,1,1) log-likelihood at fixed (phi, theta)."""
+    f = ts.arima_likelihood_fixed(series(spark, sf), PHI, THETA)
+    return f.select(ts.G, "n_diff", rnd("loglik", 6).alias("loglik"), rnd("sigma2", 2).alias("sigma2"), rnd("next_diff", 4).alias("next_diff"))
+
+
 @plan("arima_fit", None, "series")
 def arima_fit(spark, sf):
-    """ARIMA(1,1,1) by conditional least squares on a coarse-to-fine grid."""
-    f = ts.arima_css_fit(series(spark, sf))
-    return f.select(ts.G, "phi", "theta", "css", "sigma2", "n_diff")
+    """ARIMA(1,1,1) by exact likelihood."""
+    f = ts.arima_fit(series(spark, sf))
+    return f.select(ts.G, "phi", "theta", "css", "sigma2", "loglik", "n_diff")
 
 
 @plan("arima_forecast", None, "series")
 def arima_forecast(spark, sf):
     """Three-step ARIMA(1,1,1) forecast at month ends."""
-    f = ts.arima_forecast(ts.arima_css_fit(series(spark, sf)), STEPS)
+    f = ts.arima_forecast(ts.arima_fit(series(spark, sf)), STEPS)
     return f.select(ts.G, F.col("step").cast("int").alias("step"), F.date_format("t", "yyyy-MM-dd").alias("t"),
                     rnd("forecast", 2).alias("forecast"))
+
+
+ORIGINS = 3
+
+
+def _holdout_columns(h):
+    return h.select(ts.G, F.col("origin").cast("int").alias("origin"), F.col("step").cast("int").alias("step"), _month(),
+                    rnd("actual", 2).alias("actual"), rnd("forecast", 2).alias("forecast"), rnd("abs_error", 2).alias("abs_error"),
+                    rnd("rmse", 2).alias("rmse"))
+
+
+@plan("arima_holdout_fixed", f"""
+WITH RECURSIVE {KALMAN_SQL},
+x AS (SELECT series, t, value, row_number() OVER (PARTITION BY series ORDER BY t) AS i, count(*) OVER (PARTITION BY series) AS n FROM {S} s),
+o AS (SELECT x.series, back AS origin, x.n - {STEPS} - back AS last, x.value AS last_value
+      FROM x, range(0, {ORIGINS}) r(back) WHERE x.i = x.n - {STEPS} - back),
+f AS (SELECT o.series, o.origin, o.last, h AS step, o.last_value + k.hat * (1.0 - pow({PHI}, h)) / (1.0 - {PHI}) AS forecast
+      FROM o JOIN k ON k.series = o.series AND k.i = o.last - 1, range(1, {STEPS + 1}) r(h)),
+j AS (SELECT f.*, x.t, x.value AS actual FROM f JOIN x ON x.series = f.series AND x.i = f.last + f.step)
+SELECT series, CAST(origin AS INTEGER) AS origin, CAST(step AS INTEGER) AS step, strftime(t, '%Y-%m') AS month,
+       {rsql('actual', 2)} AS actual, {rsql('forecast', 2)} AS forecast, {rsql('abs(actual - forecast)', 2)} AS abs_error,
+       {rsql('sqrt(avg((actual - forecast) * (actual - forecast)) OVER (PARTITION BY series, origin))', 2)} AS rmse
+FROM j""", "series")
+def arima_holdout_fixed(spark, sf):
+    """Z8 + V6: rolling-origin hold-out of ARIMA(1,1,1) at fixed (phi, theta)."""
+    return _holdout_columns(ts.arima_holdout(series(spark, sf), STEPS, ORIGINS, fixed=(PHI, THETA)))
+
+
+@plan("arima_holdout", None, "series")
+def arima_holdout(spark, sf):
+    """Z8 + V6: rolling-origin hold-out, the model refitted at every origin."""
+    return _holdout_columns(ts.arima_holdout(series(spark, sf), STEPS, ORIGINS))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Versions:
+    """Parquet versions of a table that an iteration rewrites, in the shared
+    checkpoint folder; a version is deleted when the next one is written."""
+
+    def __init__(self, spark: SparkSession, stem: str):
+        self.spark, self.folder, self.n = spark, f"{checkpoint_dir(spark)}/{stem}-{uuid.uuid4().hex}", 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        df.write.parquet(f"{self.folder}/{self.n}")
+        if self.n > 1:
+            self.drop(f"/{self.n - 1}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{self.n}")
+
+    def drop(self, name: str = "") -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder + name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set = set()
 
 

@@ -198,10 +198,62 @@ def test_arima_css_recovers_ar_coefficient(spark):
         lvl += y
         vals.append(lvl)
     s = _series(spark, vals)
-    f = ts.arima_css_fit(s).first()
+    f = ts.arima_fit(s, "css").first()
     assert f.phi == pytest.approx(0.6, abs=0.25)
     # the grid search never does worse than the true parameters
     assert f.css <= ts.arima_css_fixed(s, 0.6, 0.0).first().css + 1e-9
+    exact = ts.arima_fit(s).first()
+    assert exact.phi == pytest.approx(0.6, abs=0.25)
+    assert exact.loglik >= max(f.loglik, ts.arima_likelihood_fixed(s, 0.6, 0.0).first().loglik) - 1e-9
+
+
+def _gaussian_loglik(y, phi, theta):
+    """Log-density of ARMA(1,1) values by their full covariance matrix."""
+    import numpy as np
+    n = len(y)
+    g0 = (1 + 2 * phi * theta + theta ** 2) / (1 - phi ** 2)
+    g1 = (1 + phi * theta) * (phi + theta) / (1 - phi ** 2)
+    lag = np.abs(np.subtract.outer(np.arange(n), np.arange(n)))
+    cov = np.where(lag == 0, g0, g1 * phi ** np.maximum(lag - 1, 0))
+    q = y @ np.linalg.solve(cov, y)
+    return -0.5 * (n * np.log(2 * np.pi * q / n) + np.linalg.slogdet(cov)[1] + n)
+
+
+def test_arima_likelihood_is_the_gaussian_density(spark):
+    import numpy as np
+    x = np.cumsum(np.random.default_rng(1).normal(size=30)) + 50
+    s = _series(spark, x.tolist())
+    for phi, theta in ((0.5, -0.3), (-0.8, 0.6), (0.0, 0.0)):
+        got = ts.arima_likelihood_fixed(s, phi, theta).first()
+        assert got.loglik == pytest.approx(_gaussian_loglik(np.diff(x), phi, theta), abs=1e-8)
+
+
+def test_arima_fit_finds_the_greatest_likelihood(spark):
+    """On short series no point of a fine grid is better, and least squares is not either."""
+    import numpy as np
+    for seed in range(3):
+        x = np.cumsum(np.random.default_rng(seed).normal(size=12)) + 20
+        s = _series(spark, x.tolist())
+        exact, css = ts.arima_fit(s).first(), ts.arima_fit(s, "css").first()
+        grid = np.linspace(-0.99, 0.99, 67)
+        best = max(_gaussian_loglik(np.diff(x), a, b) for a in grid for b in grid)
+        assert exact.loglik >= best - 1e-6 and exact.loglik >= css.loglik - 1e-9
+        assert exact.loglik == pytest.approx(_gaussian_loglik(np.diff(x), exact.phi, exact.theta), abs=1e-8)
+
+
+def test_arima_holdout_refits_every_origin(spark):
+    import numpy as np
+    x = (np.cumsum(np.random.default_rng(5).normal(size=24)) + 30).tolist()
+    got = ts.arima_holdout(_series(spark, x), 3, 2).collect()
+    assert sorted((r.origin, r.step) for r in got) == [(o, h) for o in (0, 1) for h in (1, 2, 3)]
+    for origin in (0, 1):
+        n = len(x) - 3 - origin
+        want = [r.forecast for r in ts.arima_forecast(ts.arima_fit(_series(spark, x[:n])), 3).orderBy("step").collect()]
+        mine = sorted((r for r in got if r.origin == origin), key=lambda r: r.step)
+        assert [r.forecast for r in mine] == pytest.approx(want) and [r.actual for r in mine] == x[n:n + 3]
+        rmse = (sum((a - f) ** 2 for a, f in zip(x[n:n + 3], want)) / 3) ** 0.5
+        assert all(r.rmse == pytest.approx(rmse) for r in mine)
+    assert ts.arima_holdout(_series(spark, x[:3]), 3, 2).count() == 0        # nothing left to train on
 
 
 # ------------------------------------------------------------------ encode / segment
@@ -381,8 +433,11 @@ def test_short_and_constant_series_give_nulls(spark):
                          ("three", [1.0, 2.0, 4.0])):
         rows += [(name, datetime.date(2020 + i // 12, 1 + i % 12, 28), float(v)) for i, v in enumerate(values)]
     s = spark.createDataFrame(rows, f"{se.G} string, {se.T} date, {se.V} double")
-    fit = {r[se.G]: r for r in se.arima_css_fit(s, coarse=9, refine=9, tolerance=0.05).collect()}
+    fit = {r[se.G]: r for r in se.arima_fit(s, coarse=9, refine=9, tolerance=0.05).collect()}
     assert fit["ok"]["phi"] is not None and fit["one"]["phi"] is None and fit["two"]["phi"] is None
+    assert (fit["flat"]["phi"], fit["flat"]["theta"]) == (0.0, 0.0)
+    flat = se.arima_forecast(se.arima_fit(s.where(f"{se.G} = 'flat'"), coarse=9, refine=9, tolerance=0.05), 2).collect()
+    assert [r["forecast"] for r in flat] == [2.0, 2.0]
     adf = {r["series"]: r["adf_stat"] for r in se.adf_test(s).collect()}
     assert adf["ok"] is not None and adf["flat"] is None and adf["one"] is None and adf["three"] is None
     acf = se.acf(s, 3).where(f"{se.G} = 'flat'").collect()
@@ -390,16 +445,92 @@ def test_short_and_constant_series_give_nulls(spark):
     assert se.pacf(s, 3).where("series = 'ok' AND lag = 1").first()["pacf"] is not None
 
 
-def test_first_trees_are_the_shorter_training(spark):
-    from pyspark.ml.linalg import Vectors
-    from custlens.operators import models
-    data = spark.createDataFrame([(float(i % 7 > 2), Vectors.dense([i % 7 + 0.1 * (i % 3), i % 5])) for i in range(120)], ["label", "features"])
-    preset = {"maxIter": 4, "stepSize": 0.3, "maxDepth": 2, "subsamplingRate": 0.8, "featureSubsetStrategy": "all"}
-    full = models.fit_gbt(data, preset)
-    cut = models.first_trees(full, 2)
-    short = models.fit_gbt(data, preset, max_iter=2)
-    p = [[r[0] for r in models.score(m, data).select("probability_1").collect()] for m in (cut, short)]
-    assert cut.getNumTrees == 2 and p[0] == p[1]
+# ------------------------------------------------------------------ boosting
+
+def _boost_data(spark, n=400, parts=3):
+    import random
+    rng = random.Random(2)
+    rows = []
+    for i in range(n):
+        a, b, c = rng.gauss(0, 1), rng.gauss(0, 1), rng.choice([None, 0.0, 1.0])
+        y = float(rng.random() < 1 / (1 + 2.718 ** -(2 * a - b + (c or 0.5))))
+        rows.append((i, a, b, c, y, i % 3))
+    return spark.createDataFrame(rows, "id int, a double, b double, c double, label double, fold int").repartition(parts)
+
+
+BOOST_FEATURES = ["a", "b", "c"]
+
+
+def _boost(rows, p, models=1, held=None, edges=None):
+    from custlens.operators import boosting as bo
+    edges = bo.split_points(rows, BOOST_FEATURES, 16) if edges is None else edges
+    ready = bo.binned(rows, BOOST_FEATURES, edges, "label", ["id"], held, models, keep=["id", "fold", "label"])
+    return bo.train(ready, BOOST_FEATURES, edges, p, models), ready
+
+
+def test_folds_in_one_run_equal_separate_trainings(spark):
+    from pyspark.sql import functions as F
+    from custlens.operators import boosting as bo
+    data = _boost_data(spark)
+    p = bo.Boosting(rounds=12, depth=3, row_share=0.8, column_share=0.7)
+    together, ready = _boost(data, p, 3, F.col("fold"))
+    scored = {r.id: r.probability_1 for r in bo.score(ready, together, ["id"], models=3).collect()}
+    for k in range(3):
+        alone, _ = _boost(data.where(F.col("fold") != k).repartition(2), p, edges=together.edges)
+        assert [t[k] for t in together.trees] == [t[0] for t in alone.trees]
+        out = bo.binned(data.where(F.col("fold") == k), BOOST_FEATURES, together.edges, "label", ["id"], keep=["id"])
+        assert all(scored[r.id] == r.probability_1 for r in bo.score(out, alone, ["id"], number=0).collect())
+
+
+def test_early_stopping_continues_one_training(spark):
+    from pyspark.sql import functions as F
+    from custlens.operators import boosting as bo
+    data = _boost_data(spark)
+    held = F.when(F.col("fold") == 0, 0).otherwise(-1)
+    p = bo.Boosting(rounds=200, rate=0.4, depth=3, patience=6)
+    stopped, _ = _boost(data, p, held=held)
+    assert len(stopped.trees) == stopped.kept + 6 < 200 and len(stopped.losses) == len(stopped.trees)
+    assert stopped.losses[stopped.kept - 1] == min(stopped.losses)
+    short, ready = _boost(data, bo.Boosting(rounds=stopped.kept, rate=0.4, depth=3), held=held)
+    assert short.trees == stopped.trees[:stopped.kept] and short.kept == stopped.kept
+    # the loss that the rule watched is the log-loss of the scored rows
+    import math
+    got = bo.score(ready, short, ["fold", "label"], number=0).where("fold = 0").collect()
+    loss = -sum(math.log(r.probability_1 if r.label else 1 - r.probability_1) for r in got) / len(got)
+    assert loss == pytest.approx(stopped.losses[stopped.kept - 1], abs=1e-6)
+
+
+def test_boosting_learns_and_splits_as_brute_force(spark):
+    """First split of the first tree against all thresholds; many partitions."""
+    import numpy as np
+    from custlens.operators import boosting as bo
+    data = _boost_data(spark, 300, 70)                       # over FAN_IN partitions: histograms are added in two steps
+    model, ready = _boost(data, bo.Boosting(rounds=15, depth=2))
+    rows = data.toPandas()
+    g, h, best = 0.5 - rows["label"].to_numpy(), 0.25, (-1.0, None)
+    for f, (name, edges) in enumerate(zip(BOOST_FEATURES, model.edges)):
+        x = rows[name].to_numpy(dtype=float)
+        for c, e in enumerate(edges):
+            left = x <= e
+            gain = sum(g[s].sum() ** 2 / (h * s.sum() + 1) for s in (left, ~left)) - g.sum() ** 2 / (h * len(g) + 1)
+            if h * left.sum() >= 1 and h * (~left).sum() >= 1 and gain > best[0] + 1e-9:
+                best = (gain, (f, c))
+    t = model.trees[0][0]
+    assert (t.feature[0], t.cut[0]) == best[1]
+    scored = bo.score(ready, model, ["label"], number=0)
+    from custlens.operators import metrics
+    assert metrics.roc_auc(scored.withColumn("y", scored["label"].cast("int")), "y", "probability_1").first().roc_auc > 0.8
+    assert np.isfinite([r.probability_1 for r in scored.collect()]).all()
+
+
+def test_grouped_auc_counts_ties_half(spark):
+    from custlens.operators import metrics, models
+    df = spark.createDataFrame([(i % 2, float(i % 3 == 0), (i * 7 % 5) / 5) for i in range(60)] + [(2, 1.0, 0.5)], "fold int, label double, s double")
+    got = {r.fold: r.roc_auc for r in models.grouped_auc(df, ["fold"], "label", "s").collect()}
+    for k in (0, 1):
+        one = df.where(f"fold = {k}").selectExpr("cast(label as int) y", "s")
+        assert got[k] == pytest.approx(metrics.roc_auc(one, "y", "s").first().roc_auc)
+    assert got[2] is None
 
 
 def test_package_ships_without_the_checkpoint_folder(spark, monkeypatch):

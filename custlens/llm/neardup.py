@@ -121,7 +121,7 @@ def _matrix(column, dim: int) -> np.ndarray:
 
 def _map(df: DataFrame, add: str, fn) -> DataFrame:
     """``df`` with the columns of the schema text ``add``; ``fn(batch)`` returns them."""
-    schema = T.StructType(df.schema.fields + T._parse_datatype_string(add).fields)
+    schema = T.StructType(df.schema.fields + T.StructType.fromDDL(add).fields)
     from pyspark.sql.pandas.types import to_arrow_type
     types = [to_arrow_type(f.dataType) for f in schema.fields[len(df.columns):]]
 
@@ -157,7 +157,7 @@ def _prepared(rows: DataFrame, dim: int) -> DataFrame:
 
 def _sums(df: DataFrame, dim: int) -> DataFrame:
     """(space, cell, centre): unit mean directions of cells, added up inside tasks first."""
-    schema = T._parse_datatype_string("space string, cell long, place int, value double")
+    schema = T.StructType.fromDDL("space string, cell long, place int, value double")
 
     def run(batches):
         held: dict = {}
@@ -180,9 +180,12 @@ def _sums(df: DataFrame, dim: int) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("centre"))   # dim values
 
 
+MEMBER = ["point", "low", "high", "radius", "members"]        # what a member knows of its point
+
+
 def _contracted(classes: DataFrame, scratch: Scratch, dim: int, polytopes: int):
-    """Members (space, key, unit, n, point, low, high, radius) and points (space, point,
-    unit, radius, n, members): balls of the hot cells, and every other class by itself."""
+    """Members (space, key, unit, n, ``MEMBER``) and points (space, point, unit,
+    radius, n, members): balls of the hot cells, and every other class by itself."""
     half = math.acos(THRESHOLD) / 2 - MARGIN
     rest, members, points = classes, [], []
     for t in range(BALL_ROUNDS):
@@ -220,15 +223,16 @@ def _contracted(classes: DataFrame, scratch: Scratch, dim: int, polytopes: int):
 
         balls = scratch.keep(_map(balls.join(centres, ["space", "cell"]), "point binary, unit binary, low long, high long", ball), f"balls{t}")
         points.append(balls.select("space", "point", "unit", "radius", "n", "members"))
-        named = balls.select("space", "cell", "point", "low", "high", "radius")
-        members.append(inside.join(_sized(named), ["space", "cell"]).select("space", "key", "unit", "n", "point", "low", "high", "radius"))
+        named = balls.select("space", "cell", "point", "low", "high", "radius", "members")
+        members.append(inside.join(_sized(named), ["space", "cell"]).select("space", "key", "unit", "n", *MEMBER))
 
     def alone(b):
         s = sketches(_matrix(b.column("unit"), dim)) if b.num_rows else np.zeros((0, 2), np.int64)
         return s[:, 0], s[:, 1]
 
-    single = _map(rest, "low long, high long", alone).withColumn("point", F.col("key")).withColumn("radius", F.lit(0.0))
-    members.append(single.select("space", "key", "unit", "n", "point", "low", "high", "radius"))
+    single = _map(rest, "low long, high long", alone).withColumns(
+        {"point": F.col("key"), "radius": F.lit(0.0), "members": F.lit(1).cast("long")})
+    members.append(single.select("space", "key", "unit", "n", *MEMBER))
     points.append(rest.select("space", F.col("key").alias("point"), "unit", F.lit(0.0).alias("radius"), "n", F.lit(1).cast("long").alias("members")))
     union = lambda x: x[0] if len(x) == 1 else union([x[0].unionByName(x[1]), *x[2:]])
     return scratch.keep(union(members), "members"), scratch.keep(union(points), "points")
@@ -236,7 +240,7 @@ def _contracted(classes: DataFrame, scratch: Scratch, dim: int, polytopes: int):
 
 def _candidates(members: DataFrame, dim: int, polytopes: int) -> DataFrame:
     """Distinct pairs (a, b) of points that share a bucket and whose sketches allow a link."""
-    schema = T._parse_datatype_string("bucket long, probe boolean, space string, point binary, low long, high long, radius double")
+    schema = T.StructType.fromDDL("bucket long, probe boolean, space string, point binary, low long, high long, radius double")
 
     def run(batches):
         for whole in batches:
@@ -284,16 +288,15 @@ def _decided(pairs: DataFrame, points: DataFrame, dim: int) -> DataFrame:
 def _opened(pairs: DataFrame, members: DataFrame, dim: int):
     """(a, b, key, n): links of members in pairs of points that the bounds leave open."""
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    pairs = pairs.select("a", "b", blocks("a_members").alias("a_blocks"), blocks("b_members").alias("b_blocks"))
-    mine = members.select("point", "key", "unit", F.col("n").alias("size"))
+    each = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    pairs = pairs.select("a", "b", each("a_members").alias("a_block"), "b_members").select("a", "b", "a_block", each("b_members").alias("b_block"))
+    mine = members.select("point", F.pmod(F.xxhash64("key"), blocks("members")).cast("int").alias("block"), "key", "unit", F.col("n").alias("size"))
 
-    def side(s, o):
-        block = F.pmod(F.xxhash64("key"), F.col(f"{s}_blocks")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col(f"{o}_blocks") - 1))
-        got = pairs.join(mine.withColumnRenamed("point", s), s).withColumn(f"{s}_block", block).withColumn(f"{o}_block", other)
-        return got.select("a", "b", "a_block", "b_block", F.lit(s).alias("side"), "key", "unit", "size")
+    def side(s):
+        at = (F.col(s) == F.col("point")) & (F.col(f"{s}_block") == F.col("block"))       # a ball is spread over its blocks
+        return pairs.join(mine, at).select("a", "b", "a_block", "b_block", F.lit(s).alias("side"), "key", "unit", "size")
 
-    schema = T._parse_datatype_string("a binary, b binary, key binary, n long")
+    schema = T.StructType.fromDDL("a binary, b binary, key binary, n long")
 
     def count(table: pa.Table) -> pa.Table:
         sides = np.array(table.column("side").to_pylist())
@@ -307,7 +310,7 @@ def _opened(pairs: DataFrame, members: DataFrame, dim: int):
         return pa.table({"a": pa.array([a] * len(some), pa.binary()), "b": pa.array([b] * len(some), pa.binary()),
                          "key": pa.array([keys[k] for k in some], pa.binary()), "n": pa.array(n[some], pa.int64())})
 
-    return side("a", "b").unionByName(side("b", "a")).groupBy("a", "b", "a_block", "b_block").applyInArrow(count, schema)
+    return side("a").unionByName(side("b")).groupBy("a", "b", "a_block", "b_block").applyInArrow(count, schema)
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -334,12 +337,14 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     of_member = opened.groupBy("key").agg(F.sum("n").alias("more"))
     edges = sure.select("a", "b").unionByName(opened.select("a", "b").distinct())
     group = components(edges).withColumnRenamed("id", "point")
-    linked = (members.select("key", "point").join(of_point, "point").join(of_member, "key", "left").join(group, "point", "left")
-              .select("key", F.coalesce("component_id", "point").alias("component"), (F.col("links") + F.coalesce("more", F.lit(0)) - 1).alias("n_links"))
-              .join(classes.select("key", "least"), "key"))
+    of_point = scratch.keep(of_point.join(group, "point", "left"), "of-point")
+    of_class = scratch.keep(classes.select("key", "least").join(of_member, "key", "left"), "of-class")
+    linked = lookup(members.select("key", "point"), of_point, "point").join(of_class, "key").select(
+        "key", F.coalesce("component_id", "point").alias("component"),
+        (F.col("links") + F.coalesce("more", F.lit(0)) - 1).alias("n_links"), "least")
     linked = scratch.keep(linked, "linked")
-    least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    result = scratch.keep(linked.join(least, "component").select("key", "n_links", "component_id"), "result")
+    least = scratch.keep(linked.groupBy("component").agg(F.min("least").alias("component_id")), "least")
+    result = scratch.keep(lookup(linked, least, "component").select("key", "n_links", "component_id"), "result")
     out = lookup(keyed, result, "key").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                                               F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

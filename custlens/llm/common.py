@@ -24,7 +24,7 @@ from custlens.session import checkpoint_dir, cut_lineage
 __all__ = ["Scratch", "append_columns", "cut_lineage", "fresh_name", "held_out", "keep_rows", "lookup", "map_rows", "only", "read",
            "ship_by_value", "slices", "words", "WordHash", "mix64"]
 
-SLICE_BYTES = 4 << 20  # text bytes handled by one numpy step inside a task
+SLICE_BYTES = 1 << 20  # text bytes handled by one numpy step inside a task
 
 
 def ship_by_value(module_name: str) -> None:

@@ -15,7 +15,8 @@ of one text repeat counts once.
 
 Defined cases: null, empty and word-free texts get the score of a document
 without any match; with no labels the seed words and the prior weights
-serve; a document labelled twice takes the larger label; repeated and
+serve; very long texts are read whole, in parts that end with a clause; a
+document labelled twice takes the larger label; repeated and
 null ids are scored row by row; columns named like an output are replaced.
 """
 
@@ -51,6 +52,9 @@ REPORTS = ("said says say quoted quote wrote writes claimed claims called report
 
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:|\n]")
 ENDS = frozenset(".!?;:|\n")
+CLAUSE_END = re.compile(r"[.!?;:|\n]")
+PIECE = 1 << 18         # characters of a text whose tokens are held at once
+CONTEXTS = 200_000      # feature contexts that a task holds before it sends them on
 
 # Word classes: O other, I insult, T threat, Y target, N negation, R report.
 # Written by the transducers: J/U insult/threat aimed at someone, i/t denied
@@ -117,7 +121,7 @@ PRIOR = np.array([-4.0, 3.0, 2.4, 1.6, 0.3, 0.5, 0.3, 0.0, 0.4, 1.0, 0.0])  # bi
 class Tagger(dict):
     """word -> (class, weight), learned entries before the fixed lists."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __init__(self, whole: dict, stems: dict):
         super().__init__()
@@ -133,39 +137,49 @@ class Tagger(dict):
         return tag
 
 
+def _clauses(text: str):
+    """Tokens of ``text`` in parts of about ``PIECE`` characters that end with a clause."""
+    at = 0
+    while at < len(text):
+        end = CLAUSE_END.search(text, at + PIECE) if at + PIECE < len(text) else None
+        stop = end.end() if end else len(text)
+        yield TOKEN.findall(text[at:stop].lower())
+        at = stop
+
+
 def clause_features(text: str | None, tagger: Tagger) -> np.ndarray:
     """Summed weights per class of the matched clauses, number of matched
     clauses, matches per 100 words: one vector per document."""
     out = np.zeros(len(PRIOR))
     out[0] = 1.0
-    if not text:
-        return out
-    words = TOKEN.findall(text.lower())
-    tags = [tagger[w] for w in words]
-    hits = [i for i, t in enumerate(tags) if t[0] in "IT"]
-    if not hits:
-        return out
-    clauses, done = 0, -1
-    for i in hits:
-        if i <= done:
-            continue
-        a = i
-        while a > 0 and words[a - 1] not in ENDS:
-            a -= 1
-        b = i
-        while b < len(words) and words[b] not in ENDS:
-            b += 1
-        done, state, matched = b, 0, False
-        for j in range(a, b):
-            state, y = GRAMMAR[state, tags[j][0]]
-            k = CLASSES.find(y)
-            if k >= 0:
-                out[1 + k] += tags[j][1]
-                matched = True
-        clauses += matched
-    out[1:9] = np.log1p(out[1:9])
-    out[9] = np.log1p(clauses)
-    out[10] = min(10.0, 100.0 * len(hits) / len(words))
+    clauses = n_hits = n_words = 0
+    for words in _clauses(text or ""):
+        n_words += len(words)
+        tags = [tagger[w] for w in words]
+        hits = [i for i, t in enumerate(tags) if t[0] in "IT"]
+        n_hits += len(hits)
+        done = -1
+        for i in hits:
+            if i <= done:
+                continue
+            a = i
+            while a > 0 and words[a - 1] not in ENDS:
+                a -= 1
+            b = i
+            while b < len(words) and words[b] not in ENDS:
+                b += 1
+            done, state, matched = b, 0, False
+            for j in range(a, b):
+                state, y = GRAMMAR[state, tags[j][0]]
+                k = CLASSES.find(y)
+                if k >= 0:
+                    out[1 + k] += tags[j][1]
+                    matched = True
+            clauses += matched
+    if n_hits:
+        out[1:9] = np.log1p(out[1:9])
+        out[9] = np.log1p(clauses)
+        out[10] = min(10.0, 100.0 * n_hits / n_words)
     return out
 
 
@@ -185,6 +199,10 @@ def _learn_lexicon(sample: DataFrame):
                 if len(x) > 3:
                     c = xxhash.xxh3_64_intdigest(" ".join(w[max(0, i - 1):i] + ["_"] + w[i + 1:i + 2]).encode()) >> 1
                     seen.update((f, c) for f in _features(x))
+                if len(seen) > CONTEXTS:
+                    f, c = zip(*seen)
+                    yield {"feature": f, "n": c}
+                    seen.clear()
         if seen:
             f, c = zip(*seen)
             yield {"feature": f, "n": c}

@@ -1,5 +1,6 @@
 """Toxicity, language, packing, decontamination and LM scoring."""
 
+import math
 import random
 import zlib
 
@@ -290,3 +291,91 @@ def test_lm_base_by_brute_force_and_edges(spark, make_docs):
     assert empty.count() == 0
     alone = A.score(make_docs([(10, "a b")]), F.lit(False), tokenizer_path()).first()
     assert alone["train_tokens"] == 0 and alone["n_known"] == 0 and alone["score"] < 0
+
+
+# -- plain versions of language ID and toxicity -----------------------------
+
+def _plain_mixture(text, table):
+    """Expectation-maximisation word by word, every set size, without arrays."""
+    import re as r
+    words = r.findall(r"[^\W\d_]+", (text or "").lower())
+    if not words:
+        return None
+    likes = []
+    for w in words:
+        slot, starts, _ = L.trigrams([w])
+        x = [float(sum(np.float64(table[s, k]) for s in slot)) for k in range(table.shape[1])]
+        likes.append([math.exp(v - max(x)) for v in x])
+
+    def em(pi, rounds):
+        for _ in range(rounds):
+            total = [0.0] * len(pi)
+            for like in likes:
+                z = sum(a * b for a, b in zip(like, pi)) + 1e-30
+                total = [t + a * b / z for t, a, b in zip(total, like, pi)]
+            pi = [t / len(likes) for t in total]
+        return pi
+
+    n = table.shape[1]
+    full = em([1.0 / n] * n, L.ROUNDS)
+    order = sorted(range(n), key=lambda k: -full[k])
+    best, best_fit = None, -math.inf
+    for k in range(1, n + 1):
+        pi = [full[j] + 1e-6 if j in order[:k] else 0.0 for j in range(n)]
+        pi = [v / sum(pi) for v in pi]
+        if 1 < k < n:
+            pi = em(pi, L.ROUNDS)
+        fit = sum(math.log(sum(a * b for a, b in zip(like, pi)) + 1e-30) for like in likes)
+        fit -= L.PENALTY * (k - 1) * math.log(len(likes) + 1)
+        if fit > best_fit:
+            best, best_fit = pi, fit
+    return best
+
+
+def _mixture_model(n_lang=6, seed=2):
+    rng = np.random.default_rng(seed)
+    return L.Model([f"l{k}" for k in range(n_lang)], np.log(rng.dirichlet(np.full(1 << L.BITS, 0.02), n_lang).T + 1e-9).astype(np.float32))
+
+
+def _mixture_texts(rng):
+    words = ["".join(rng.choices("abcdefgéß", k=rng.randint(1, 7))) for _ in range(80)]
+    return [None, "", "12 !", "a"] + [" ".join(rng.choices(words[:k], k=n)) for k, n in ((5, 30), (20, 7), (80, 60), (80, 200), (3, 2), (40, 25))]
+
+
+def test_mixtures_against_a_plain_version():
+    model, texts = _mixture_model(), _mixture_texts(random.Random(3))
+    got = L.mixtures(texts, model)
+    for text, shares in zip(texts, got):
+        want = _plain_mixture(text, model.table)
+        assert shares.sum() == 0 if want is None else shares == pytest.approx(want, abs=1e-4)
+
+
+def test_mixtures_do_not_depend_on_pieces_or_neighbours(monkeypatch):
+    model, texts = _mixture_model(), _mixture_texts(random.Random(4))
+    whole = L.mixtures(texts, model)
+    alone = np.concatenate([L.mixtures([t], model) for t in texts])
+    monkeypatch.setattr(L, "PIECE", 11)
+    monkeypatch.setattr(L, "GATHER", 7)
+    pieces = L.mixtures(texts, model)
+    assert whole == pytest.approx(alone, abs=1e-6) and whole == pytest.approx(pieces, abs=1e-6)
+
+
+def test_language_of_a_very_long_text_needs_little_memory():
+    import tracemalloc
+    text = " ".join(_mixture_texts(random.Random(5))[-3:]) * 40_000           # some 30 MB
+    model = _mixture_model()
+    tracemalloc.start()
+    shares = L.mixtures([text], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert shares.sum() == pytest.approx(1.0) and peak < 120 << 20
+
+
+def test_clause_features_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(6)
+    words = X.SEED_INSULTS + X.THREATS + X.TARGETS + X.NEGATIONS + X.REPORTS + ["house", "Tree", "it's"]
+    text = " ".join(rng.choice(words) + rng.choice(["", "", "", ".", "!", "\n", ";"]) for _ in range(800))
+    tagger = X.Tagger({w: 0.5 for w in X.SEED_INSULTS}, {})
+    whole = X.clause_features(text, tagger)
+    monkeypatch.setattr(X, "PIECE", 17)
+    assert (X.clause_features(text, tagger) == whole).all() and whole[9] > 0

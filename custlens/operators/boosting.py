@@ -1,8 +1,9 @@
 """Gradient boosting by histograms, several models in one run (M3–M6).
 
 Feature values become bins once (split points from Spark's quantile
-sketch).  Every level of a round is one Spark job over the binned rows:
-tasks add the gradients of (model, node, feature, bin), Spark brings the
+sketch).  Every level of a round is one Spark job over the binned rows
+(several rounds are one where the counted rows are few enough for a single
+task; the trees are the same): tasks add the gradients of (model, node, feature, bin), Spark brings the
 partial histograms of a node together, and the node's best split comes back
 — a few numbers per node, whatever the number of rows.  The models of a
 cross-validation share these passes: a row counts for every model but the
@@ -36,6 +37,7 @@ from ..session import Versions, ship_package
 
 POINT = float(1 << 24)          # fixed point of gradients and losses
 KEEP_EVERY = 10                 # rounds between two written versions of the margins
+CELLS = 20_000_000              # rows x features x models up to which one task is quicker than an exchange per level
 FAN_IN = 64                     # partial histograms that one task adds in the first of two steps, about
 
 
@@ -159,64 +161,61 @@ BEST = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("nod
                      T.StructField("cut", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in ("left_g", "left_h", "g", "h")]])
 
 
-def _partials(batch_rows, n_features: int, models: int, p: Boosting, pending: list, growing: list, level: int, round_no: int, width: int):
-    """One task's histograms of the open nodes of a level, and at level 0 the loss
-    of the held-out rows (node -1)."""
+def _round_columns(p: Boosting, n_features: int, round_no: int) -> np.ndarray:
+    """Column sample of a round."""
+    share = max(1, round(n_features * p.column_share))
+    return np.sort(np.random.default_rng([p.seed, round_no]).permutation(n_features)[:share])
+
+
+class _Rows:
+    """Some binned rows with their margins, as arrays."""
+
+    def __init__(self, b: pa.RecordBatch, n_features: int, models: int, pending: list, depth: int):
+        self.bins, self.margin = _matrices(b, n_features, models)
+        _add(self.margin, self.bins, pending, depth)
+        self.y, self.held, self.row = b.column("y").to_numpy(), b.column("held").to_numpy(), b.column("row").to_numpy()
+
+
+def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list, level: int, round_no: int, width: int) -> dict:
+    """{(model, node): sums} of the open nodes of a level: gradients and hessians by
+    feature and bin; at level 0 also node -1, the loss and number of the
+    held-out rows."""
+    columns = _round_columns(p, n_features, round_no)
     first, nodes = 2 ** level - 1, 2 ** level
-    sums = np.zeros((models, 2, nodes * n_features * width))
+    place = (np.arange(len(columns)) * width).astype(np.int64)
+    sums = np.zeros((models, 2, nodes, len(columns) * width))
     loss = np.zeros((models, 2))
-    place = np.arange(n_features) * width
-    for b in batch_rows:
-        bins, margin = _matrices(b, n_features, models)
-        _add(margin, bins, pending, p.depth)
-        y, held = b.column("y").to_numpy(), b.column("held").to_numpy()
-        sampled = _in_sample(b.column("row").to_numpy(), p.seed * 100_003 + round_no, p.row_share)
+    for rows in parts:
+        at_bin = rows.bins[:, columns] + place
+        sampled = _in_sample(rows.row, p.seed * 100_003 + round_no, p.row_share)
         for m in range(models):
-            z = margin[:, m]
+            z = rows.margin[:, m]
             prob = 1.0 / (1.0 + np.exp(-z))
-            if level == 0 and (held == m).any():
-                out = held == m
-                each = np.logaddexp(0.0, np.where(y[out] > 0.5, -z[out], z[out]))
+            out = rows.held == m
+            if level == 0 and out.any():
+                each = np.logaddexp(0.0, np.where(rows.y[out] > 0.5, -z[out], z[out]))
                 loss[m] += np.rint(each * POINT).sum(), out.sum()
-            node = growing[m].nodes(bins, level)
-            use = np.flatnonzero(sampled & (held != m) & (node >= first))
-            at = (((node[use] - first) * n_features * width)[:, None] + place + bins[use]).ravel()
-            for k, v in enumerate((prob - y, prob * (1.0 - prob))):
-                sums[m, k] += np.bincount(at, np.repeat(np.rint(v[use] * POINT), n_features), minlength=sums.shape[2])
-    out = [(m, -1, loss[m].astype("<i8").tobytes()) for m in range(models) if loss[m, 1]]
+            node = growing[m].nodes(rows.bins, level)
+            use = np.flatnonzero(sampled & ~out & (node >= first))
+            at = (at_bin[use] + ((node[use] - first) * len(columns) * width)[:, None]).ravel()
+            for k, v in enumerate((prob - rows.y, prob * (1.0 - prob))):
+                sums[m, k] += np.bincount(at, np.repeat(np.rint(v[use] * POINT), len(columns)), minlength=sums[m, k].size).reshape(nodes, -1)
+    got = {(m, -1): loss[m].astype("<i8") for m in range(models) if loss[m, 1]}
     for m in range(models):
-        per_node = sums[m].reshape(2, nodes, n_features * width)
-        for n in np.flatnonzero(per_node[1].any(axis=1)):
-            out.append((m, first + int(n), np.ascontiguousarray(per_node[:, n]).astype("<i8").tobytes()))
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))],
-                                         names=PARTIAL.fieldNames())
-
-
-def _merged(batches) -> dict:
-    held: dict = {}
-    for b in batches:
-        for m, n, s in zip(*(c.to_pylist() for c in b.columns)):
-            s = np.frombuffer(s, "<i8")
-            held[m, n] = held[m, n] + s if (m, n) in held else s
-    return held
-
-
-def _sum_partials(batches):
-    held = _merged(b.select([0, 1, 2]) for b in batches)
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.int32()),
-                                          pa.array([v.tobytes() for v in held.values()], pa.binary())], names=PARTIAL.fieldNames())
+        for n in np.flatnonzero(sums[m, 1].any(axis=1)):
+            got[m, first + int(n)] = sums[m, :, n].ravel().astype("<i8")
+    return got
 
 
-def _best_splits(batches, n_features: int, columns: np.ndarray, p: Boosting):
-    """The best split of every node: the greatest gain in G^2 / (H + l2)."""
+def _best_splits(sums: dict, columns: np.ndarray, p: Boosting) -> list:
+    """(model, node, feature, cut, left_g, left_h, g, h) of every node: the split of
+    the greatest gain in G^2 / (H + l2), feature -1 without one; losses as g, h."""
     out = []
-    for (m, n), s in _merged(b.select([0, 1, 2]) for b in batches).items():
+    for (m, n), s in sums.items():
         if n < 0:
             out.append((m, n, -1, 0, 0.0, 0.0, float(s[0]), float(s[1])))
             continue
-        g, h = s.reshape(2, n_features, -1)[:, columns] / POINT
+        g, h = s.reshape(2, len(columns), -1) / POINT
         left_g, left_h = np.cumsum(g, axis=1), np.cumsum(h, axis=1)
         all_g, all_h = left_g[0, -1], left_h[0, -1]
         right_g, right_h = all_g - left_g, all_h - left_h
@@ -224,25 +223,95 @@ def _best_splits(batches, n_features: int, columns: np.ndarray, p: Boosting):
             gain = left_g ** 2 / (left_h + p.l2) + right_g ** 2 / (right_h + p.l2) - all_g ** 2 / (all_h + p.l2)
         gain = np.where((left_h >= p.least_hessian) & (right_h >= p.least_hessian) & np.isfinite(gain), gain, -np.inf)
         f, c = np.unravel_index(int(gain.argmax()), gain.shape)
-        if gain[f, c] > 1e-9:
-            out.append((m, n, int(columns[f]), int(c), left_g[f, c], left_h[f, c], all_g, all_h))
-        else:
-            out.append((m, n, -1, 0, 0.0, 0.0, all_g, all_h))
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32()] * 4 + [pa.float64()] * 4)],
-                                         names=BEST.fieldNames())
-
-
-def _splits(rows: DataFrame, parts: int, n_features: int, models: int, p: Boosting, pending, growing, level, round_no, columns, width) -> list:
-    """One pass: the best splits of all open nodes of a level (and the losses)."""
-    partial = rows.mapInArrow(lambda it: _partials(it, n_features, models, p, pending, growing, level, round_no, width), PARTIAL)
+        some = gain[f, c] > 1e-9
+        out.append((m, n, int(columns[f]) if some else -1, int(c), float(left_g[f, c]), float(left_h[f, c]), float(all_g), float(all_h)))
+    return out
+
+
+def _grow(growing: list, splits: list, p: Boosting) -> bool:
+    """Write the splits of a level into the growing trees; whether any node split."""
+    split = False
+    for m, n, feature, cut, left_g, left_h, g, h in splits:
+        if n < 0:
+            continue
+        t = growing[m]
+        if feature < 0:
+            t.value[n] = -p.rate * g / (h + p.l2)
+            continue
+        split = True
+        t.feature[n], t.cut[n] = feature, cut
+        t.value[2 * n + 1] = -p.rate * left_g / (left_h + p.l2)
+        t.value[2 * n + 2] = -p.rate * (g - left_g) / (h - left_h + p.l2)
+    return split
+
+
+def _mean_loss(splits: list) -> float | None:
+    lost = [s for s in splits if s[1] < 0]
+    return sum(s[6] for s in lost) / POINT / sum(s[7] for s in lost) if lost else None
+
+
+def _sent(sums: dict):
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.int32()), pa.array([k[1] for k in sums], pa.int32()),
+                                          pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=PARTIAL.fieldNames())
+
+
+def _merged(batches) -> dict:
+    held: dict = {}
+    for b in batches:
+        for m, n, s in zip(*(b.column(c).to_pylist() for c in range(3))):
+            s = np.frombuffer(s, "<i8")
+            held[m, n] = held[m, n] + s if (m, n) in held else s
+    return held
+
+
+def _one_level(rows: DataFrame, parts: int, n_features: int, models: int, p: Boosting, pending, growing, level, round_no, width) -> list:
+    """One pass over rows in many partitions: the best splits of a level's open nodes."""
+    def partial(batches):
+        yield from _sent(_histograms((_Rows(b, n_features, models, pending, p.depth) for b in batches),
+                                     n_features, models, p, growing, level, round_no, width))
+
+    def best(batches):
+        got = _best_splits(_merged(batches), _round_columns(p, n_features, round_no), p)
+        if got:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), [pa.int32()] * 4 + [pa.float64()] * 4)],
+                                             names=BEST.fieldNames())
+
+    sums = rows.mapInArrow(partial, PARTIAL)
     if parts > FAN_IN:          # two steps, so that no task adds the histograms of all tasks
-        steps = int(parts ** 0.5)
-        partial = partial.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(steps)))
-        partial = partial.repartition("model", "node", "salt").mapInArrow(_sum_partials, PARTIAL)
-    open_nodes = models * 2 ** level
-    return (partial.repartition(max(1, open_nodes // 16), "model", "node")
-            .mapInArrow(lambda it: _best_splits(it, n_features, columns, p), BEST).collect())   # a row per open node
+        sums = sums.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(int(parts ** 0.5))))
+        sums = sums.repartition("model", "node", "salt").mapInArrow(lambda it: _sent(_merged(it)), PARTIAL)
+    nodes = models * 2 ** level
+    return [tuple(r) for r in sums.repartition(max(1, nodes // 16), "model", "node").mapInArrow(best, BEST).collect()]   # a row per open node
+
+
+TREES = T.StructType([T.StructField("round", T.IntegerType()), T.StructField("model", T.IntegerType()), T.StructField("loss", T.DoubleType()),
+                      T.StructField("feature", T.BinaryType()), T.StructField("cut", T.BinaryType()), T.StructField("value", T.BinaryType())])
+
+
+def _some_rounds(rows: DataFrame, n_features: int, models: int, p: Boosting, rounds: range, width: int) -> list:
+    """[(loss before the round, trees)] of a few rows: with nothing to exchange, one
+    task runs the same steps for several rounds."""
+    def run(batches):
+        parts = [_Rows(b, n_features, models, [], p.depth) for b in batches]
+        for r in rounds:
+            growing, loss = [Tree.empty(p.depth) for _ in range(models)], None
+            for level in range(p.depth):
+                got = _best_splits(_histograms(parts, n_features, models, p, growing, level, r, width), _round_columns(p, n_features, r), p)
+                loss = _mean_loss(got) if level == 0 else loss
+                if not _grow(growing, got, p):
+                    break
+            for x in parts:
+                _add(x.margin, x.bins, [growing], p.depth)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r] * models, pa.int32()), pa.array(range(models), pa.int32()), pa.array([loss] * models, pa.float64()),
+                 *(pa.array([getattr(t, c).tobytes() for t in growing], pa.binary()) for c in ("feature", "cut", "value"))], names=TREES.fieldNames())
+
+    got: dict = {}
+    for r in rows.mapInArrow(run, TREES).collect():                     # trees of a few rounds
+        got.setdefault(r["round"], {})[r["model"]] = r
+    return [(got[r][0]["loss"], [Tree(np.frombuffer(got[r][m]["feature"], np.int32), np.frombuffer(got[r][m]["cut"], np.int32),
+                                      np.frombuffer(got[r][m]["value"], float)) for m in range(models)]) for r in rounds if r in got]
 
 
 def train(rows: DataFrame, features: Sequence[str], edges: list, p: Boosting, models: int = 1) -> Ensemble:
@@ -250,49 +319,50 @@ def train(rows: DataFrame, features: Sequence[str], edges: list, p: Boosting, mo
     spark = rows.sparkSession
     ship_package(spark)
     out = Ensemble(list(features), edges, p.depth)
-    n_features = len(features)
+    n_features, width, watched = len(features), _width(edges), p.patience is not None
+    last = p.rounds + watched                                            # the last round's loss takes a pass of its own
+    best = (float("inf"), 0)
     versions = Versions(spark, "boosting")
+
+    def over(loss, r) -> bool:
+        """Note the loss after ``r`` rounds; whether the training ends there."""
+        nonlocal best
+        if not watched or not r or loss is None:
+            return r >= p.rounds
+        out.losses.append(loss)
+        best = min(best, (loss, r))
+        return r - best[1] >= p.patience or r >= p.rounds
+
     try:
         current = versions.write(rows.select("y", "held", "row", "bins", "margin"))
-        parts = current.rdd.getNumPartitions()
-        pending: list = []
-        best = (float("inf"), 0)
-        watched = p.patience is not None
-        for r in range(p.rounds + watched):           # the last round's loss takes a pass of its own
-            share = max(1, round(n_features * p.column_share))
-            columns = np.sort(np.random.default_rng([p.seed, r]).permutation(n_features)[:share])
-            growing = [Tree.empty(p.depth) for _ in range(models)]
-            for level in range(p.depth):
-                got = _splits(current, parts, n_features, models, p, pending, growing, level, r, columns, _width(edges))
-                if level == 0:
-                    lost = [s for s in got if s["node"] < 0]
-                    loss = sum(s["g"] for s in lost) / POINT / max(1.0, sum(s["h"] for s in lost))
-                    if watched and r:
-                        out.losses.append(loss)
-                        best = min(best, (loss, r))
-                        if r - best[1] >= p.patience or r == p.rounds:
-                            out.kept = best[1]
-                            return out
-                split = False
-                for s in got:
-                    if s["node"] < 0:
-                        continue
-                    t, n = growing[s["model"]], s["node"]
-                    if s["feature"] < 0:
-                        t.value[n] = -p.rate * s["g"] / (s["h"] + p.l2)
-                        continue
-                    split = True
-                    t.feature[n], t.cut[n] = s["feature"], s["cut"]
-                    t.value[2 * n + 1] = -p.rate * s["left_g"] / (s["left_h"] + p.l2)
-                    t.value[2 * n + 2] = -p.rate * (s["g"] - s["left_g"]) / (s["h"] - s["left_h"] + p.l2)
-                if not split:
-                    break
-            out.trees.append(growing)
-            pending = [*pending, growing]
-            if len(pending) == KEEP_EVERY:
-                current = versions.write(_with_margins(current, pending, n_features, models, p.depth))
-                pending = []
-        out.kept = len(out.trees)
+        one_task = current.count() * n_features * models <= CELLS
+        parts = 1 if one_task else current.rdd.getNumPartitions()
+        done = False
+        while not done and len(out.trees) < last:
+            start = len(out.trees)
+            if parts <= 1:
+                got = _some_rounds(current.coalesce(1), n_features, models, p, range(start, min(start + KEEP_EVERY, last)), width)
+                for loss, trees in got:
+                    done = over(loss, len(out.trees))
+                    if done:
+                        break
+                    out.trees.append(trees)
+                done = done or not got                                   # no rows
+            else:
+                for r in range(start, min(start + KEEP_EVERY, last)):
+                    growing = [Tree.empty(p.depth) for _ in range(models)]
+                    for level in range(p.depth):
+                        splits = _one_level(current, parts, n_features, models, p, out.trees[start:], growing, level, r, width)
+                        if level == 0:
+                            done = over(_mean_loss(splits), r)
+                        if done or not _grow(growing, splits, p):
+                            break
+                    if done:
+                        break
+                    out.trees.append(growing)
+            if not done and len(out.trees) < last:
+                current = versions.write(_with_margins(current, out.trees[start:], n_features, models, p.depth))
+        out.kept = best[1] if watched and out.losses else len(out.trees)
         return out
     finally:
         versions.drop()

@@ -468,13 +468,16 @@ def _boost(rows, p, models=1, held=None, edges=None):
     return bo.train(ready, BOOST_FEATURES, edges, p, models), ready
 
 
-def test_folds_in_one_run_equal_separate_trainings(spark):
+@pytest.mark.parametrize("cells", [0, 10**9])                # exchanged level by level, and in one task
+def test_folds_in_one_run_equal_separate_trainings(spark, monkeypatch, cells):
     from pyspark.sql import functions as F
     from custlens.operators import boosting as bo
+    monkeypatch.setattr(bo, "CELLS", 10**9 - cells)
     data = _boost_data(spark)
-    p = bo.Boosting(rounds=12, depth=3, row_share=0.8, column_share=0.7)
+    p = bo.Boosting(rounds=11, depth=3, row_share=0.8, column_share=0.7)
     together, ready = _boost(data, p, 3, F.col("fold"))
     scored = {r.id: r.probability_1 for r in bo.score(ready, together, ["id"], models=3).collect()}
+    monkeypatch.setattr(bo, "CELLS", cells)
     for k in range(3):
         alone, _ = _boost(data.where(F.col("fold") != k).repartition(2), p, edges=together.edges)
         assert [t[k] for t in together.trees] == [t[0] for t in alone.trees]
@@ -482,16 +485,18 @@ def test_folds_in_one_run_equal_separate_trainings(spark):
         assert all(scored[r.id] == r.probability_1 for r in bo.score(out, alone, ["id"], number=0).collect())
 
 
-def test_early_stopping_continues_one_training(spark):
+@pytest.mark.parametrize("cells", [0, 10**9])
+def test_early_stopping_continues_one_training(spark, monkeypatch, cells):
     from pyspark.sql import functions as F
     from custlens.operators import boosting as bo
+    monkeypatch.setattr(bo, "CELLS", cells)
     data = _boost_data(spark)
     held = F.when(F.col("fold") == 0, 0).otherwise(-1)
-    p = bo.Boosting(rounds=200, rate=0.4, depth=3, patience=6)
+    p = bo.Boosting(rounds=200, rate=0.5, depth=2, patience=4)
     stopped, _ = _boost(data, p, held=held)
-    assert len(stopped.trees) == stopped.kept + 6 < 200 and len(stopped.losses) == len(stopped.trees)
+    assert len(stopped.trees) == stopped.kept + 4 < 200 and len(stopped.losses) == len(stopped.trees)
     assert stopped.losses[stopped.kept - 1] == min(stopped.losses)
-    short, ready = _boost(data, bo.Boosting(rounds=stopped.kept, rate=0.4, depth=3), held=held)
+    short, ready = _boost(data, bo.Boosting(rounds=stopped.kept, rate=0.5, depth=2), held=held)
     assert short.trees == stopped.trees[:stopped.kept] and short.kept == stopped.kept
     # the loss that the rule watched is the log-loss of the scored rows
     import math
@@ -500,12 +505,13 @@ def test_early_stopping_continues_one_training(spark):
     assert loss == pytest.approx(stopped.losses[stopped.kept - 1], abs=1e-6)
 
 
-def test_boosting_learns_and_splits_as_brute_force(spark):
+def test_boosting_learns_and_splits_as_brute_force(spark, monkeypatch):
     """First split of the first tree against all thresholds; many partitions."""
     import numpy as np
     from custlens.operators import boosting as bo
+    monkeypatch.setattr(bo, "CELLS", 0)
     data = _boost_data(spark, 300, 70)                       # over FAN_IN partitions: histograms are added in two steps
-    model, ready = _boost(data, bo.Boosting(rounds=15, depth=2))
+    model, ready = _boost(data, bo.Boosting(rounds=8, depth=2))
     rows = data.toPandas()
     g, h, best = 0.5 - rows["label"].to_numpy(), 0.25, (-1.0, None)
     for f, (name, edges) in enumerate(zip(BOOST_FEATURES, model.edges)):
@@ -519,7 +525,7 @@ def test_boosting_learns_and_splits_as_brute_force(spark):
     assert (t.feature[0], t.cut[0]) == best[1]
     scored = bo.score(ready, model, ["label"], number=0)
     from custlens.operators import metrics
-    assert metrics.roc_auc(scored.withColumn("y", scored["label"].cast("int")), "y", "probability_1").first().roc_auc > 0.8
+    assert metrics.roc_auc(scored.withColumn("y", scored["label"].cast("int")), "y", "probability_1").first().roc_auc > 0.75
     assert np.isfinite([r.probability_1 for r in scored.collect()]).all()
 
 

@@ -107,11 +107,32 @@ def histogram(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[
     counts = (df.select(bin_index(col, edges).alias("bin")).where(F.col("bin").isNotNull())
               .groupBy("bin").agg(F.count(F.lit(1)).cast("long").alias("count")))
     bins = bin_table(df.sparkSession, edges, labels)
-    return (F.broadcast(bins).join(counts, "bin", "left")
+    return (bins.join(F.broadcast(counts), "bin", "left")                 # at most one row per bin
             .select(F.col("bin"), F.col("label").alias(label_col),
                     F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count")))
 
 
+def dashboard_rows(cells: DataFrame, sets: Mapping[str, Sequence[tuple[str, Column]]], whole: Sequence[tuple[str, Column, Column]],
+                   measures: Mapping[str, Column]) -> DataFrame:
+    """(dataset, label, value) rows of several roll-ups by GROUPING SETS over
+    one table of ``cells``.  ``sets`` maps a grouping column to its (dataset,
+    value) pairs, one row per value of the column; ``whole`` lists (dataset,
+    label, value) rows of the total; ``measures`` are the sums they are made of."""
+    cols = list(sets)
+    rolled = cells.groupingSets([*[[c] for c in cols], []], *cols).agg(
+        F.grouping_id(*cols).alias("__set"), *[m.alias(n) for n, m in measures.items()])
+    row = lambda dataset, label, value: F.struct(F.lit(dataset).alias("dataset"), label.cast("string").alias("label"),
+                                                 value.cast("double").alias("value"))
+    everything = (1 << len(cols)) - 1
+    parts = F.when(F.col("__set") == everything, F.array(*[row(d, label, v) for d, label, v in whole])) if whole else None
+    for i, c in enumerate(cols):
+        mine = F.col("__set") == everything - (1 << len(cols) - 1 - i)
+        mine = mine & F.col(c).isNotNull()
+        items = F.array(*[row(d, F.col(c), v) for d, v in sets[c]])
+        parts = F.when(mine, items) if parts is None else parts.when(mine, items)
+    return rolled.select(F.inline(parts))
+
+
 def latest_month(df: DataFrame, month: str = "stat_month") -> Column:
     return F.max(month)
 

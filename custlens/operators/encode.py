@@ -1,20 +1,23 @@
 """Feature encoding, scaling, sampling and splits.
 
 Statistics are one distributed aggregate (a single row) cross-joined
-back as a broadcast; category lists are bounded by the column's
-cardinality and checked before they are used to build columns.
+back as a broadcast.  Codes of category columns are numbered in value ranges,
+so a column may have as many values as rows; one column per category
+(``one_hot``) is for columns whose categories the caller knows to be few,
+``one_hot_entries`` and ``one_hot_vector`` take any number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_small
+from ..functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
-MAX_CATEGORIES = 1000
+SALTS = 16      # copies of a code table that is too large to broadcast
 
 
 def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "",
@@ -34,13 +37,10 @@ def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "",
     return out.drop(*[f"__m_{c}" for c in cols], *[f"__s_{c}" for c in cols])
 
 
-def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct non-null values (bounded, checked)."""
-    vals = (df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("v"))
-            .distinct().orderBy("v").limit(max_categories + 1).collect())
-    if len(vals) > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories")
-    return [r.v for r in vals]
+def categories(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct non-null values, for one column each."""
+    vals = df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("v")).distinct().orderBy("v")
+    return [r.v for r in vals.collect()]
 
 
 def one_hot(df: DataFrame, col: str, values: Sequence[str] | None = None,
@@ -53,14 +53,71 @@ def one_hot(df: DataFrame, col: str, values: Sequence[str] | None = None,
     return out.drop(col) if drop_source else out
 
 
+def dense_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
+    """(col, code): the distinct non-null values with their 0-based positions in
+    sorted order.  Values are cut into ranges (a range partitioning of the
+    distinct values); positions are numbered inside a range and shifted by the
+    counted sizes of the ranges before it, so no task sorts all values."""
+    from ..session import cut_lineage
+    values = df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    # written once: the ranges must not change between the counting and the numbering
+    ranged = cut_lineage(values.repartitionByRange("__v").withColumn("__range", F.spark_partition_id()))
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))          # one row per partition
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy("__v")) - 1
+    return ranged.join(F.broadcast(offsets), "__range").select(F.col("__v").alias(col), (place + F.col("__before")).cast("long").alias(code))
+
+
+def with_codes(df: DataFrame, codes: DataFrame, col: str) -> DataFrame:
+    """Left join of a code table.  A counted small table is broadcast; of a larger
+    one every value is held ``SALTS`` times and rows pick a copy by their task,
+    so a value with a great share of the rows meets its code in as many tasks."""
+    codes = codes.withColumnRenamed(col, "__v")
+    if codes.count() <= DEFAULT_BROADCAST_ROWS:
+        return df.join(F.broadcast(codes), F.col(col) == F.col("__v"), "left").drop("__v")
+    left = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    right = codes.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, (F.col(col) == F.col("__v")) & (F.col("__salt") == F.col("__copy")), "left").drop("__v", "__salt", "__copy")
+
+
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """code = position of the value among the sorted distinct values
-    (0-based).  The distinct-value table is bounded by the column's
-    cardinality; its numbering window runs over that table only."""
+    (0-based), for any number of values; NULL has no code."""
     out = out or f"{col}_encoded"
-    d = df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    codes = d.select("__v", (F.dense_rank().over(Window.orderBy("__v")) - 1).alias(out))
-    return df.join(broadcast_if_small(codes), F.col(col) == F.col("__v"), "left").drop("__v")
+    return with_codes(df, dense_codes(df, col, out), col)
+
+
+def one_hot_entries(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """E3 for wide columns: the non-zero entries (keys, position, feature, value) of
+    the one-hot matrix, one per row and non-null column.  Columns follow each
+    other in the order of ``cols``, categories in sorted order within them;
+    nothing is collected and categories are not bounded."""
+    coded, start = df.select(*keys, *cols), None
+    entries = []
+    for i, c in enumerate(cols):
+        codes = dense_codes(df, c, f"__code{i}")
+        coded = with_codes(coded, codes, c)
+        width = codes.agg(F.count(F.lit(1)).alias(f"__width{i}"))                     # one row
+        coded = coded.crossJoin(F.broadcast(width))
+        at = F.col(f"__code{i}") if start is None else F.col(f"__code{i}") + start
+        start = F.col(f"__width{i}") if start is None else start + F.col(f"__width{i}")
+        entries.append(F.when(F.col(c).isNotNull(), F.struct(
+            at.alias("position"), F.concat(F.lit(f"{c}_"), F.col(c).cast("string")).alias("feature"), F.lit(1.0).alias("value"))))
+    return coded.select(*keys, F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+
+
+def one_hot_vector(df: DataFrame, cols: Sequence[str], out: str = "one_hot") -> DataFrame:
+    """E3 as one sparse vector per row (for Spark ML models), any number of
+    categories; NULL is all zeros.  Columns and categories are placed as by
+    ``one_hot_entries``."""
+    codes, parts = [f"__code{i}" for i in range(len(cols))], [f"__part{i}" for i in range(len(cols))]
+    for c, code in zip(cols, codes):
+        df = label_encode(df, c, code).withColumn(code, F.coalesce(F.col(code).cast("double"), F.lit(float("nan"))))
+    # 'keep' gives NaN a position behind all categories, dropLast takes that position away
+    greatest = df.agg(*[F.coalesce(F.max(F.when(~F.isnan(c), F.col(c))), F.lit(0.0)).alias(c) for c in codes])
+    model = OneHotEncoder(inputCols=codes, outputCols=parts, dropLast=True, handleInvalid="keep").fit(greatest)
+    return VectorAssembler(inputCols=parts, outputCol=out).transform(model.transform(df)).drop(*codes, *parts)
 
 
 def median_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:

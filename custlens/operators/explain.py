@@ -2,14 +2,16 @@
 
 Tree structure comes from the saved model's node table — a DataFrame
 whose size is bounded by trees x nodes.  Per-row additive contributions
-(path-dependent tree SHAP) run in ``mapInPandas`` over Arrow batches:
+(path-dependent tree SHAP) run in ``mapInArrow`` over Arrow batches:
 for every tree the leaf paths are compiled once on the driver into
 small arrays; each batch then evaluates, per leaf, the product game
 ``value * Π_{f in S} 1[x follows f] * Π_{f not in S} cover_ratio(f)``
 whose exact Shapley values come from polynomial coefficients — all
 vectorised over (rows x leaves), no per-row Python.
 
-Contribution tables are long: (keys..., feature, value, contribution).
+Contributions stay in the row they explain: (keys..., contributions
+array<feature, value, contribution>, base_score).  Sums, orders and running
+totals of a row are taken in its array; only totals over rows are shuffled.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
 
@@ -192,60 +196,78 @@ def compile_ensemble(nodes: DataFrame):
     return out
 
 
-def tree_contributions(nodes: DataFrame, df: DataFrame, features_col: str, names: Sequence[str],
-                       keys: Sequence[str], scale: float = 2.0) -> DataFrame:
-    """Per-row additive contributions on the log-odds scale.
+SHAP_ROWS = 2048       # rows of one numpy step
+ITEM = "struct<feature:string,value:double,contribution:double>"
+
+
+def tree_contribution_rows(nodes: DataFrame, df: DataFrame, features_col: str, names: Sequence[str],
+                           keys: Sequence[str], scale: float = 2.0) -> DataFrame:
+    """Per-row additive contributions on the log-odds scale, one array per row.
 
     Spark's GBT margin is Σ w_t tree_t(x) and P(y=1) = sigmoid(2·margin),
     so ``scale=2`` expresses contributions in log-odds; the row's
     ``base_score`` (expected log-odds) plus its contributions equals
-    logit(P).  Output is long: keys, feature, value, contribution,
-    base_score."""
+    logit(P).  Output: keys, ``contributions`` (feature, value, contribution
+    in the order of ``names``), base_score."""
     trees = compile_ensemble(nodes)
-    nf = len(names)
-    names = list(names)
+    names, nf = list(names), len(names)
     src = df.select(*keys, vector_to_array(features_col).alias("__x"))
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name in keys)
-    schema = f"{key_schema}, feature string, value double, contribution double, base_score double"
-
-    def fn(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            X = np.stack(pdf["__x"].to_numpy()).astype(float)
-            phi = np.zeros((len(pdf), nf))
-            bias = 0.0
-            for wt, comp in trees:
-                p, b = _shap_tree(X, comp, nf)
-                phi += wt * p
-                bias += wt * b
-            phi *= scale
-            bias *= scale
-            n = len(pdf)
-            out = pdf[list(keys)].loc[np.repeat(np.arange(n), nf)].reset_index(drop=True)
-            out["feature"] = np.tile(names, n)
-            out["value"] = X.reshape(-1)
-            out["contribution"] = phi.reshape(-1)
-            out["base_score"] = bias
-            yield out
+    schema = T.StructType([*src.schema.fields[:len(keys)], T.StructField("__x", T.ArrayType(T.DoubleType())),
+                           T.StructField("__phi", T.ArrayType(T.DoubleType())), T.StructField("base_score", T.DoubleType())])
+
+    def fn(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SHAP_ROWS):
+                b = batch.slice(at, SHAP_ROWS)
+                x = b.column(len(keys)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(b.num_rows, nf)
+                phi, bias = np.zeros(x.shape), 0.0
+                for wt, comp in trees:
+                    p, base = _shap_tree(x, comp, nf)
+                    phi += wt * p
+                    bias += wt * base
+                offsets = pa.array(np.arange(0, (b.num_rows + 1) * nf, nf), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.ListArray.from_arrays(offsets, pa.array((phi * scale).ravel())),
+                     pa.array(np.full(b.num_rows, bias * scale))], names=schema.fieldNames())
 
     from ..session import ship_package
     ship_package(src.sparkSession)
-    return src.mapInPandas(fn, schema)
+    items = F.transform(F.arrays_zip(F.array(*[F.lit(n) for n in names]), "__x", "__phi"), lambda z: z.cast(ITEM))
+    return src.mapInArrow(fn, schema).select(*keys, items.alias("contributions"), "base_score")
+
+
+def tree_contributions(nodes: DataFrame, df: DataFrame, features_col: str, names: Sequence[str],
+                       keys: Sequence[str], scale: float = 2.0) -> DataFrame:
+    """X6 in long form: keys, feature, value, contribution, base_score."""
+    return long_contributions(tree_contribution_rows(nodes, df, features_col, names, keys, scale), keys)
 
 
-def wide_contributions(long: DataFrame, keys: Sequence[str], names: Sequence[str], prefix: str = "") -> DataFrame:
-    """One column per feature (fixed list -> no pivot discovery pass)."""
-    return long.groupBy(*keys).pivot("feature", list(names)).agg(F.first("contribution")).select(
-        *keys, *[F.col(n).alias(f"{prefix}{n}") for n in names])
+def wide_contributions(rows: DataFrame, keys: Sequence[str], names: Sequence[str], prefix: str = "") -> DataFrame:
+    """One column per feature, taken from the row's array by place
+    (``names`` in the order of the array)."""
+    return rows.select(*keys, *[F.col("contributions")[i]["contribution"].alias(f"{prefix}{n}") for i, n in enumerate(names)])
 
 
 # ------------------------------------------------------------ contribution tables
 
+def contribution_rows(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A long contribution table brought into rows (keys, contributions,
+    base_score); the arrays are as long as a row has features."""
+    value = F.col("value") if "value" in long.columns else F.lit(None)
+    base = F.first("base_score") if "base_score" in long.columns else F.lit(None).cast("double")
+    item = F.struct("feature", value.cast("double").alias("value"), F.col("contribution").cast("double").alias("contribution"))
+    return long.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("contributions"), base.alias("base_score"))
+
+
+def long_contributions(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per (keys, feature) of row-wise contributions."""
+    return rows.select(*keys, F.inline("contributions"), "base_score")
+
+
 def linear_contributions(df: DataFrame, keys: Sequence[str], coefs: Mapping[str, float],
                          base: float = 0.0) -> DataFrame:
     """Deterministic additive attribution coef * z(x) over standardised
-    columns (population std): the same long shape as tree contributions."""
+    columns (population std), one array per row as for tree contributions."""
     cols = list(coefs)
     stats = df.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
     j = df.crossJoin(F.broadcast(stats))
@@ -255,51 +277,78 @@ def linear_contributions(df: DataFrame, keys: Sequence[str], coefs: Mapping[str,
         z = (F.col(c) - F.col(f"__m_{c}")) / F.when((s == 0) | s.isNull(), F.lit(1.0)).otherwise(s)
         structs.append(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"),
                                 (F.lit(float(coefs[c])) * z).alias("contribution")))
-    return j.select(*keys, F.inline(F.array(*structs))).withColumn("base_score", F.lit(float(base)))
+    return j.select(*keys, F.array(*structs).alias("contributions"), F.lit(float(base)).alias("base_score"))
+
 
+def _total(part) -> Column:
+    """Sum of ``part(contribution)`` over the row's array."""
+    return F.aggregate("contributions", F.lit(0.0), lambda acc, x: acc + F.coalesce(part(x["contribution"]), F.lit(0.0)))
 
-def contribution_summary(long: DataFrame) -> DataFrame:
+
+def margin() -> Column:
+    """Base score plus all contributions of the row (log-odds)."""
+    return F.col("base_score") + _total(lambda c: c)
+
+
+def contribution_summary(rows: DataFrame) -> DataFrame:
     """Per feature mean, population std and share of positive contributions."""
-    return long.groupBy("feature").agg(F.avg("contribution").alias("average_contribution"),
-                                       F.stddev_pop("contribution").alias("std_contribution"),
-                                       F.avg((F.col("contribution") > 0).cast("double")).alias("positive_contrib_ratio"))
+    return long_contributions(rows, []).groupBy("feature").agg(
+        F.avg("contribution").alias("average_contribution"), F.stddev_pop("contribution").alias("std_contribution"),
+        F.avg((F.col("contribution") > 0).cast("double")).alias("positive_contrib_ratio"))
 
 
-def mean_abs_contribution(long: DataFrame) -> DataFrame:
+def mean_abs_contribution(rows: DataFrame) -> DataFrame:
     """Global importance = mean |contribution|."""
-    return long.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("avg_abs_contrib"))
+    return long_contributions(rows, []).groupBy("feature").agg(F.avg(F.abs("contribution")).alias("avg_abs_contrib"))
+
+
+def pos_neg_totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per row, sum of positive and of negative contributions, in the row."""
+    return rows.select(*keys, _total(lambda c: F.when(c > 0, c)).alias("positive_total"),
+                       _total(lambda c: F.when(c < 0, c)).alias("negative_total"))
 
 
-def pos_neg_totals(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per row, sum of positive and of negative contributions."""
-    c = F.col("contribution")
-    return long.groupBy(*keys).agg(F.sum(F.when(c > 0, c).otherwise(0.0)).alias("positive_total"),
-                                   F.sum(F.when(c < 0, c).otherwise(0.0)).alias("negative_total"))
+def normalized(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """c / Σ|c| of the row, 0 when Σ|c| = 0; the sum is taken in the row and
+    the array then opened."""
+    tot = _total(lambda c: F.abs(c))
+    share = F.coalesce(F.try_divide(F.col("contribution"), F.col("__total")), F.lit(0.0))
+    return rows.select(*keys, F.inline("contributions"), "base_score", tot.alias("__total")).withColumn(
+        "normalized_contribution", share).drop("__total")
 
 
-def normalized(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """c / Σ|c| within the row, 0 when Σ|c| = 0 (window per row:
-    bounded by the number of features)."""
-    tot = F.sum(F.abs("contribution")).over(Window.partitionBy(*keys))
-    return long.withColumn("normalized_contribution",
-                           F.coalesce(F.try_divide(F.col("contribution"), tot), F.lit(0.0)))
+def _ranked(k: int) -> Column:
+    """The row's k largest |contribution| (ties -> feature name) as (order, feature,
+    value, contribution)."""
+    by_size = F.transform("contributions", lambda x: F.struct((-F.abs(x["contribution"])).alias("order"), x["feature"].alias("feature"),
+                                                              x["value"].alias("value"), x["contribution"].alias("contribution")))
+    return F.slice(F.array_sort(by_size), 1, k)
 
 
-def top_per_row(long: DataFrame, keys: Sequence[str], k: int = 15) -> DataFrame:
-    """The k largest |contribution| per row (ties -> feature name)."""
-    w = Window.partitionBy(*keys).orderBy(F.abs("contribution").desc(), "feature")
-    return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def top_per_row(rows: DataFrame, keys: Sequence[str], k: int = 15) -> DataFrame:
+    """The k largest |contribution| per row (ties -> feature name), sorted in the row."""
+    t = rows.select(*keys, "base_score", F.posexplode(_ranked(k)).alias("__at", "__x"))
+    return t.select(*keys, "__x.feature", "__x.value", "__x.contribution", "base_score", (F.col("__at") + 1).alias("rank"))
 
 
-def waterfall(long: DataFrame, keys: Sequence[str], k: int = 15) -> DataFrame:
+def waterfall(rows: DataFrame, keys: Sequence[str], k: int = 15) -> DataFrame:
     """Base score, then the top-k contributions (by |c|) with negatives
     first and each sign ascending; running total on the log-odds scale,
-    plus its probability."""
-    t = top_per_row(long, keys, k)
-    w = Window.partitionBy(*keys).orderBy((F.col("contribution") >= 0).cast("int"), "contribution", "feature")
-    t = t.withColumn("step", F.row_number().over(w))
-    t = t.withColumn("running_total", F.col("base_score") + F.sum("contribution").over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
+    plus its probability.  Sorted and summed in the row."""
+    by_sign = F.array_sort(F.transform(_ranked(k), lambda x: F.struct(
+        (x["contribution"] >= 0).cast("int").alias("sign"), x["contribution"].alias("contribution"), x["feature"].alias("feature"),
+        x["value"].alias("value"))))
+    start = F.struct(F.col("base_score").alias("total"), F.array().cast("array<double>").alias("totals"))
+
+    def add(acc, x):
+        total = acc["total"] + x["contribution"]
+        return F.struct(total.alias("total"), F.array_append(acc["totals"], total).alias("totals"))
+
+    t = rows.select(*keys, "base_score", by_sign.alias("__steps"))
+    t = t.withColumn("__totals", F.aggregate("__steps", start, add, lambda acc: acc["totals"]))
+    t = t.select(*keys, "base_score", F.posexplode(F.arrays_zip("__steps", "__totals")).alias("__at", "__x"))
+    t = t.select(*keys, "__x.__steps.feature", "__x.__steps.value", "__x.__steps.contribution", "base_score",
+                 (F.col("__at") + 1).alias("step"), F.col("__x.__totals").alias("running_total"))
     return t.withColumn("running_probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("running_total"))))
 
 

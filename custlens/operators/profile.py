@@ -38,35 +38,56 @@ def columns_like(df: DataFrame, token: str) -> list[str]:
     return [c for c in df.columns if token in c]
 
 
+def _as_text(f) -> F.Column:
+    """A value as text, distinct texts for distinct values."""
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0)).cast("string")                   # -0.0 equals 0.0
+    if isinstance(f.dataType, T.BinaryType):
+        return F.hex(c)
+    if isinstance(f.dataType, T.TimestampType):
+        return F.unix_micros(c).cast("string")
+    return c.cast("string")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """(ordinal, non_null, distinct) of every column: one narrow stream of
+    (column number, value), counted per value with map-side combining, then
+    per column.  No row carries the other columns."""
+    cells = F.array(*[F.struct(F.lit(i + 1).alias("ordinal"), _as_text(f).alias("value")) for i, f in enumerate(df.schema.fields)])
+    values = df.select(F.inline(cells)).groupBy("ordinal", "value").agg(F.count("value").alias("n"))
+    return values.groupBy("ordinal").agg(F.sum("n").alias("non_null"), F.count("value").alias("distinct"))
+
+
 def table_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """One row per column — ordinal, Spark type, non-null / null counts,
     distinct count, numeric min / max / mean.  ``exact_distinct=False``
     switches to HyperLogLog sketches (bounded memory per column)."""
-    aggs, specs = [], []
+    aggs = [F.count(F.lit(1)).alias("n")]
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f.name)
-        dc = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
-        aggs += [F.count(c).alias(f"nn{i}"), dc.alias(f"d{i}")]
+        c = F.col(f"`{f.name}`")
+        if not exact_distinct:
+            aggs += [F.count(c).alias(f"nn{i}"), F.approx_count_distinct(c).alias(f"d{i}")]
         if isinstance(f.dataType, NUMERIC):
             aggs += [F.min(c).cast("double").alias(f"mn{i}"), F.max(c).cast("double").alias(f"mx{i}"),
                      F.avg(c).cast("double").alias(f"av{i}")]
-        specs.append((i, f))
-    aggs.append(F.count(F.lit(1)).alias("n"))
-    one = df.agg(*aggs)
     rows = []
-    for i, f in specs:
+    nul = F.lit(None).cast("double")
+    for i, f in enumerate(df.schema.fields):
         num = isinstance(f.dataType, NUMERIC)
-        nul = F.lit(None).cast("double")
+        counted = [] if exact_distinct else [F.col(f"nn{i}").alias("non_null"), F.col(f"d{i}").alias("distinct")]
         rows.append(F.struct(
             F.lit(f.name).alias("column_name"), F.lit(i + 1).alias("ordinal"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col(f"nn{i}").cast("long").alias("non_null"),
-            (F.col("n") - F.col(f"nn{i}")).cast("long").alias("nulls"),
-            F.col(f"d{i}").cast("long").alias("distinct"),
+            F.lit(f.dataType.simpleString()).alias("data_type"), F.col("n"), *counted,
             (F.col(f"mn{i}") if num else nul).alias("min_value"),
             (F.col(f"mx{i}") if num else nul).alias("max_value"),
             (F.col(f"av{i}") if num else nul).alias("mean_value")))
-    return one.select(F.inline(F.array(*rows)))
+    out = df.agg(*aggs).select(F.inline(F.array(*rows)))                     # one row per column
+    if exact_distinct:
+        out = out.join(distinct_counts(df), "ordinal", "left").na.fill(0, ["non_null", "distinct"])
+    return out.select("column_name", "ordinal", "data_type", F.col("non_null").cast("long").alias("non_null"),
+                      (F.col("n") - F.col("non_null")).cast("long").alias("nulls"), F.col("distinct").cast("long").alias("distinct"),
+                      "min_value", "max_value", "mean_value")
 
 
 def head(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -2,7 +2,7 @@
 
 The contribution table here is a deterministic linear attribution,
 coef * z(x) over population-standardised window features of every
-labelled customer-month, with a fixed base score — the same long shape
+labelled customer-month, with a fixed base score — the same arrays
 as tree contributions, but expressible in SQL, so every downstream
 explanation operator can be checked value by value.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import explain as ex
-from .features_plans import FEATURES_SQL, customer_month_features
+from .features_plans import FEATURES_RAW_SQL, raw_features
 from .registry import plan, rnd, rsql
 
 # Fixed coefficients of the linear attribution (per standardised feature).
@@ -29,7 +29,7 @@ KEYS = ["customer_id", "stat_month"]
 
 
 def contributions(spark, sf):
-    f = customer_month_features(spark, sf)
+    f = raw_features(spark, sf)
     return ex.linear_contributions(f, KEYS, COEFS, BASE)
 
 
@@ -39,7 +39,7 @@ def _contrib_sql() -> str:
         f"SELECT customer_id, stat_month, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, "
         f"{v!r} * (({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END) AS contribution, "
         f"{BASE!r} AS base_score FROM f, m" for c, v in COEFS.items())
-    return f"WITH f AS ({FEATURES_SQL}), m AS (SELECT {stats} FROM f) {parts}"
+    return f"WITH f AS ({FEATURES_RAW_SQL}), m AS (SELECT {stats} FROM f) {parts}"
 
 
 C = f"({_contrib_sql()})"
@@ -124,9 +124,7 @@ FROM {C} c GROUP BY 1, 2
 
 def _scored(spark, sf):
     c = contributions(spark, sf)
-    return c.groupBy(*KEYS).agg(
-        (F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.first("base_score") + F.sum("contribution")))) > 0.5)
-        .cast("int").alias("predicted"))
+    return c.select(*KEYS, (F.lit(1.0) / (F.lit(1.0) + F.exp(-ex.margin())) > 0.5).cast("int").alias("predicted"))
 
 
 @plan("sample_per_class", f"""
@@ -138,7 +136,7 @@ def sample_per_class(spark, sf):
 
 
 @plan("mean_deviation_explain", f"""
-WITH f AS ({FEATURES_SQL}),
+WITH f AS ({FEATURES_RAW_SQL}),
 s AS (SELECT customer_id, stat_month FROM f WHERE target_high_value IN (0, 1)
       QUALIFY row_number() OVER (PARTITION BY target_high_value ORDER BY customer_id, stat_month) <= 1),
 m AS (SELECT avg(total_assets) AS m1, avg(asset_growth_rate) AS m2, avg(total_assets_rolling_mean) AS m3 FROM f),
@@ -154,7 +152,7 @@ SELECT customer_id, stat_month, 'total_assets_rolling_mean', {rsql('total_assets
 def mean_deviation_explain(spark, sf):
     """X13 + X14: one example per actual class; key features as value
     minus column mean, labelled above/below."""
-    f = customer_month_features(spark, sf)
+    f = raw_features(spark, sf)
     cols = ["total_assets", "asset_growth_rate", "total_assets_rolling_mean"]
     dev = ex.mean_deviation(f, KEYS, cols)
     sample = ex.first_n_per_class(f, "target_high_value", KEYS, 1).select(*KEYS)
@@ -164,7 +162,7 @@ def mean_deviation_explain(spark, sf):
 
 CORR_COLS = ["total_assets", "asset_growth_rate", "asset_mom_change", "asset_cumulative_growth",
              "total_assets_rolling_mean", "total_assets_rolling_std", "fund_balance_rolling_mean"]
-CORR_SQL = f"WITH f AS ({FEATURES_SQL}) " + " UNION ALL ".join(
+CORR_SQL = f"WITH f AS ({FEATURES_RAW_SQL}) " + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {rsql(f'corr(CAST({c} AS DOUBLE), CAST(target_high_value AS DOUBLE))', 6)} AS correlation FROM f"
     for c in CORR_COLS)
 
@@ -172,7 +170,7 @@ CORR_SQL = f"WITH f AS ({FEATURES_SQL}) " + " UNION ALL ".join(
 @plan("corr_with_target", CORR_SQL, "explain")
 def corr_with_target(spark, sf):
     """Pearson correlation of each feature with the label."""
-    c = ex.corr_with_target(customer_month_features(spark, sf), CORR_COLS, "target_high_value")
+    c = ex.corr_with_target(raw_features(spark, sf), CORR_COLS, "target_high_value")
     return c.select("feature", rnd("correlation", 6).alias("correlation"))
 
 
@@ -185,7 +183,7 @@ FROM imp LEFT JOIN cr ON imp.feature = cr.feature""", "explain")
 def importance_direction(spark, sf):
     """X5 + J3 + P16: importance with the sign of its correlation."""
     imp = ex.mean_abs_contribution(contributions(spark, sf)).withColumnRenamed("avg_abs_contrib", "importance")
-    cr = ex.corr_with_target(customer_month_features(spark, sf), CORR_COLS, "target_high_value")
+    cr = ex.corr_with_target(raw_features(spark, sf), CORR_COLS, "target_high_value")
     cr = cr.select("feature", rnd("correlation", 6).alias("correlation"))
     d = ex.importance_direction(imp, cr)
     return d.select("feature", rnd("importance", 6).alias("importance"), "correlation", "direction")

@@ -30,7 +30,16 @@ def _feature_cols():
     return cols
 
 
-def _features_sql(future_expr: str, future_guard: str) -> str:
+RAW_COLS = ["customer_id", "stat_month", "total_assets", "asset_growth_rate", "asset_mom_change", "asset_cumulative_growth",
+            *[f"{c}_rolling_{s}" for c in ROLL for s in ("mean", "max", "std")], "future_3m_assets", "target_high_value"]
+
+
+def raw_features(spark, sf):
+    """The labelled customer-months with their features at full precision."""
+    return _features(spark, sf).select(*RAW_COLS)
+
+
+def _features_sql(future_expr: str, future_guard: str, rsql=rsql) -> str:
     raw, out = [], []
     for c in ROLL:
         raw += [f"avg({c}) OVER r AS {c}_rm", f"max({c}) OVER r AS {c}_rx",
@@ -77,6 +86,7 @@ WHERE fut_ok
 
 
 FEATURES_SQL = _features_sql("lead(total_assets, 3) OVER a", "lead(total_assets, 3) OVER a IS NOT NULL")
+FEATURES_RAW_SQL = _features_sql("lead(total_assets, 3) OVER a", "lead(total_assets, 3) OVER a IS NOT NULL", lambda expr, d: f"({expr})")
 FUTURE_MAX_SQL = _features_sql(
     "max(total_assets) OVER (PARTITION BY customer_id ORDER BY stat_month ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING)",
     "lead(total_assets, 3) OVER a IS NOT NULL")

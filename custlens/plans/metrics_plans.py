@@ -2,8 +2,8 @@
 
 Score binding: every labelled customer-month is scored by
 ``x / (x + threshold)`` of its current total assets (0.5 exactly at the
-high-value threshold), truncated to 4 decimals so that ties occur; the
-label is the forward label of the feature stage.
+high-value threshold) at full precision, so there are about as many distinct
+scores as rows; the label is the forward label of the feature stage.
 """
 
 from __future__ import annotations
@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
 from ..sources import bindings as bd
-from .features_plans import FEATURES_SQL, customer_month_features
+from .features_plans import FEATURES_RAW_SQL, raw_features
 from .registry import plan, rnd, rsql
 
 TH = bd.DRIVER_HIGH_VALUE
 
 
 def scored(spark, sf):
-    f = customer_month_features(spark, sf)
+    f = raw_features(spark, sf)
     x = F.col("total_assets")
-    score = F.floor(x / (x + F.lit(TH)) * 10000.0) / 10000.0
+    score = x / (x + F.lit(TH))
     return f.select("customer_id", "stat_month", "target_high_value", "total_assets",
                     "future_3m_assets", score.alias("score")).withColumn(
         "predicted", mt.binarize("score", 0.5))
@@ -29,9 +29,9 @@ def scored(spark, sf):
 
 SCORED_SQL = f"""
 SELECT customer_id, stat_month, target_high_value, total_assets, future_3m_assets,
-       floor(total_assets / (total_assets + {TH}) * 10000.0) / 10000.0 AS score,
-       CAST(floor(total_assets / (total_assets + {TH}) * 10000.0) / 10000.0 > 0.5 AS INTEGER) AS predicted
-FROM ({FEATURES_SQL}) f
+       total_assets / (total_assets + {TH}) AS score,
+       CAST(total_assets / (total_assets + {TH}) > 0.5 AS INTEGER) AS predicted
+FROM ({FEATURES_RAW_SQL}) f
 """
 S = f"({SCORED_SQL})"
 

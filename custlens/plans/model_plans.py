@@ -8,10 +8,14 @@ plans that explain it (keyed by data folder and preset).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import encode, explain, metrics, models
-from .features_plans import FEATURES_SQL, _features
+from ..session import cut_lineage
+from ..sources import io
+from .features_plans import FEATURES_RAW_SQL, _features, raw_features
 from .registry import plan, rnd, rsql
 
 BASE_FEATS = ["total_assets", "deposit_balance", "financial_balance", "fund_balance", "insurance_balance",
@@ -156,6 +160,18 @@ def prediction_table(spark, sf):
                     F.col("probability_1").alias("prediction_prob"))
 
 
+@plan("prediction_from_saved", None, "models")
+def prediction_from_saved(spark, sf):
+    """S7 + M7: the prediction table of a model that was saved, loaded again and
+    given its features by name."""
+    _, test, names = _data(spark, sf)
+    path = io.save_model(_xgb(spark, sf), names, spark, f"xgb-{uuid.uuid4().hex}")
+    model, features = io.load_model(spark, path)
+    again = models.assemble(test.drop("features"), features)
+    return models.score(model, again).select(*KEYS, F.col("label").cast("int").alias("actual"), "predicted",
+                                             F.col("probability_1").alias("prediction_prob"))
+
+
 @plan("model_high_value_list", None, "models")
 def model_high_value_list(spark, sf):
     """M9 on model scores: probability >= 0.7, by probability desc."""
@@ -180,9 +196,16 @@ def feature_importance(spark, sf):
     return explain.normalized_importance(_xgb(spark, sf), names)
 
 
-def _shap(spark, sf):
+def _shap_rows(spark, sf, rows=None):
+    """Contributions of the test rows, or of those ``rows`` whose keys are given."""
     _, test, names = _data(spark, sf)
-    return explain.tree_contributions(_nodes(spark, sf, "xgb"), test, "features", names, KEYS)
+    if rows is not None:
+        test = test.join(F.broadcast(rows.select(*KEYS)), KEYS, "left_semi")
+    return explain.tree_contribution_rows(_nodes(spark, sf, "xgb"), test, "features", names, KEYS)
+
+
+def _shap(spark, sf):
+    return explain.long_contributions(_shap_rows(spark, sf), KEYS)
 
 
 @plan("tree_shap", None, "explain")
@@ -195,7 +218,7 @@ def tree_shap(spark, sf):
 def shap_wide(spark, sf):
     """Contributions one column per feature (``shap_`` prefix)."""
     _, _, names = _data(spark, sf)
-    return explain.wide_contributions(_shap(spark, sf), KEYS, names, "shap_")
+    return explain.wide_contributions(_shap_rows(spark, sf), KEYS, names, "shap_")
 
 
 @plan("importance_table", None, "explain")
@@ -203,7 +226,7 @@ def importance_table(spark, sf):
     """X4 + X11: split, gain and mean |contribution| per feature."""
     _, _, names = _data(spark, sf)
     imp = explain.split_gain_importance(_nodes(spark, sf, "xgb"), names)
-    return imp.join(explain.mean_abs_contribution(_shap(spark, sf)), "feature", "left")
+    return imp.join(explain.mean_abs_contribution(_shap_rows(spark, sf)), "feature", "left")
 
 
 @plan("customer_info", None, "explain")
@@ -214,13 +237,16 @@ def customer_info(spark, sf):
     s = models.score(_xgb(spark, sf), test)
     sample = explain.first_n_per_class(s, "predicted", KEYS, 2).select(
         *KEYS, "predicted", F.col("label").cast("int").alias("actual"), "probability_1")
-    return _shap(spark, sf).join(F.broadcast(sample), KEYS)
+    sample = cut_lineage(sample)                                   # four rows
+    only = explain.long_contributions(_shap_rows(spark, sf, sample), KEYS)
+    return only.join(F.broadcast(sample), KEYS)
 
 
 # ------------------------------------------------------------ exact root split (M2)
 
-GINI_FEATS = ["total_assets", "asset_growth_rate", "asset_mom_change", "total_assets_rolling_mean",
-              "fund_balance_rolling_std"]
+# features that both engines compute to the last bit, so that equal values meet
+GINI_FEATS = ["total_assets", "asset_growth_rate", "asset_mom_change", "asset_cumulative_growth",
+              "fund_balance_rolling_max"]
 
 
 def best_gini_split(df, features, label):
@@ -251,7 +277,7 @@ def best_gini_split(df, features, label):
 
 
 GINI_SQL = f"""
-WITH f AS (SELECT * FROM ({FEATURES_SQL}) x WHERE stat_month <= '{TRAIN_END}'),
+WITH f AS (SELECT * FROM ({FEATURES_RAW_SQL}) x WHERE stat_month <= '{TRAIN_END}'),
 l AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, target_high_value AS y FROM f" for c in GINI_FEATS)}),
 g AS (SELECT feature, value, sum(y) AS p, count(*) AS c FROM l GROUP BY 1, 2),
 w AS (SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS nxt,
@@ -272,7 +298,6 @@ FROM s GROUP BY feature
 @plan("gini_best_split", GINI_SQL, "models")
 def gini_best_split(spark, sf):
     """M2: exact best root split per feature on the training months."""
-    from .features_plans import customer_month_features
-    f = customer_month_features(spark, sf).where(F.col("stat_month") <= TRAIN_END)
+    f = raw_features(spark, sf).where(F.col("stat_month") <= TRAIN_END)
     b = best_gini_split(f, GINI_FEATS, "target_high_value")
     return b.select("feature", rnd("threshold", 6).alias("threshold"), rnd("gini_gain", 8).alias("gini_gain"))

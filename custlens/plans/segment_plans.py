@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from .. import presets as ps
 from ..operators import bi, encode, segment
 from ..sources import bindings as bd
+from ..sources.tables import read
 from ..functions.exact import exact_avg, exact_avg_sql
+from ..session import cut_lineage
 from .features_plans import FEATURES_SQL, _features
 from .registry import plan, rnd, rsql
 
@@ -70,7 +72,8 @@ def snapshot(spark, sf):
     last = b.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).drop("__r")
     s = last.join(bd.base(spark, sf), "customer_id")
     s = s.withColumn("cluster_label", bi.bin_index("total_assets", ps.DRIVER_LEVEL_EDGES))
-    return encode.label_encode(s, "occupation_type")
+    # one row per customer, written once: codes, means and modes read it, not the orders
+    return encode.label_encode(cut_lineage(s), "occupation_type")
 
 
 SNAP_SQL = f"""
@@ -344,6 +347,27 @@ def one_hot(spark, sf):
     return encode.one_hot(b, "occupation_type", drop_source=True)
 
 
+@plan("label_encode_wide", """
+SELECT c_custkey AS customer_id, c_name AS name, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS BIGINT) AS code
+FROM customer""", "encode")
+def label_encode_wide(spark, sf):
+    """E4 where every row has a value of its own: codes of customer names."""
+    c = read(spark, sf, "customer", "c_custkey", "c_name").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
+    return encode.label_encode(c, "name", "code")
+
+
+@plan("one_hot_wide", f"""
+WITH b AS ({bd.BASE_SQL}),
+c AS (SELECT customer_id, name, occupation_type, dense_rank() OVER (ORDER BY name) - 1 AS n, dense_rank() OVER (ORDER BY occupation_type) - 1 AS o FROM b),
+w AS (SELECT max(n) + 1 AS width FROM c)
+SELECT customer_id, CAST(n AS BIGINT) AS position, 'name_' || name AS feature, 1.0::DOUBLE AS value FROM c
+UNION ALL
+SELECT customer_id, CAST(o + width AS BIGINT), 'occupation_type_' || occupation_type, 1.0 FROM c, w""", "encode")
+def one_hot_wide(spark, sf):
+    """E3 without a bound on the categories: non-zero entries of names and segments."""
+    return encode.one_hot_entries(bd.base(spark, sf), ["customer_id"], ["name", "occupation_type"])
+
+
 STD_SQL = f"""
 WITH s AS {SNAP}, m AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in NUM)} FROM s)
 SELECT customer_id, {', '.join(rsql(f'({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END', 6) + f' AS {c}_z' for c in NUM)}

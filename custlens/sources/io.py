@@ -105,22 +105,35 @@ def read_stage(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     return r.load(path)
 
 
-def json_records(df: DataFrame, name_col: str | None = None) -> DataFrame:
-    """One JSON text per row (``to_json`` on executors)."""
-    cols = [c for c in df.columns if c != name_col]
-    out = F.to_json(F.struct(*cols)).alias("record")
-    return df.select(name_col, out) if name_col else df.select(out)
+def json_payloads(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The dashboard shape — per key one JSON array of row objects in a fixed
+    order (the rows of a key are a report of bounded size)."""
+    cols = [c for c in df.columns if c not in keys]
+    rank = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], F.struct(*cols).alias("record"))
+    records = F.transform(F.array_sort(F.collect_list(rank)), lambda x: x["record"])
+    return df.groupBy(*keys).agg(F.to_json(records).alias("payload"))
 
 
-def json_payload(df: DataFrame, key: str) -> DataFrame:
-    """The dashboard shape — a JSON array of row objects under a key,
-    for an already-aggregated (small) relation."""
-    return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("payload")).select(
-        F.lit(key).alias("dataset"), "payload")
+MODEL_VERSION = 1
 
 
-def save_model(model, spark: SparkSession, name: str) -> str:
-    """Save a fitted Spark ML model under the shared folder."""
+def save_model(model, features: Sequence[str], spark: SparkSession, name: str) -> str:
+    """Save a fitted Spark ML model under the shared folder, with the features it
+    was fitted on, in their order, and a format version."""
     path = stage_path(spark, f"models/{name}")
-    model.write().overwrite().save(path)
+    model.write().overwrite().save(f"{path}/model")
+    about = [(MODEL_VERSION, f"{type(model).__module__}.{type(model).__name__}", list(features))]
+    spark.createDataFrame(about, "version int, kind string, features array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/about")
     return path
+
+
+def load_model(spark: SparkSession, path: str):
+    """(model, features) of a saved model; another format version is refused."""
+    import importlib
+    about = spark.read.schema("version int, kind string, features array<string>").json(f"{path}/about").first()
+    if about["version"] != MODEL_VERSION:
+        raise ValueError(f"{path}: saved as version {about['version']}, this is version {MODEL_VERSION}")
+    module, _, kind = about["kind"].rpartition(".")
+    if not module.startswith("pyspark.ml."):
+        raise ValueError(f"{path}: not a Spark ML model")
+    return getattr(importlib.import_module(module), kind).load(f"{path}/model"), list(about["features"])

@@ -275,6 +275,48 @@ def test_label_encode_sorted(spark):
     assert {(r.c, r.c_encoded) for r in encode.label_encode(df, "c").collect()} == {("a", 0), ("b", 1), ("c", 2)}
 
 
+def test_codes_of_many_values_in_ranges_and_salted(spark, monkeypatch):
+    """All values distinct but one that a third of the rows share; NULLs have no code."""
+    from custlens.operators import encode
+    values = [f"v{(i * 7919) % 300:04d}" for i in range(300)] + ["hot"] * 150 + [None, ""]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, c string").repartition(6)
+    order = {v: k for k, v in enumerate(sorted({v for v in values if v is not None}))}
+    want = {(i, order.get(v)) for i, v in enumerate(values)}
+    assert {(r.id, r.c_encoded) for r in encode.label_encode(df, "c").collect()} == want
+    monkeypatch.setattr(encode, "DEFAULT_BROADCAST_ROWS", 10)
+    salted = encode.label_encode(df, "c")
+    assert {(r.id, r.c_encoded) for r in salted.collect()} == want
+    plan = encode.dense_codes(df, "c")._jdf.queryExecution().executedPlan().toString()
+    # the only single task numbers the ranges: one row per partition, not the values
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert "rangepartitioning" not in plan and len(single) <= 1 and "Scan ExistingRDD" in plan
+    assert encode.label_encode(df.limit(0), "c").count() == 0
+
+
+def test_wide_one_hot_entries_and_vectors(spark):
+    from custlens.operators import encode
+    rows = [(1, "b", "x"), (2, "a", None), (3, None, "y"), (4, "c", "x"), (5, None, None)]
+    df = spark.createDataFrame(rows, "id int, p string, q string")
+    got = {(r.id, r.position, r.feature, r.value) for r in encode.one_hot_entries(df, ["id"], ["p", "q"]).collect()}
+    assert got == {(1, 1, "p_b", 1.0), (1, 3, "q_x", 1.0), (2, 0, "p_a", 1.0), (3, 4, "q_y", 1.0), (4, 2, "p_c", 1.0), (4, 3, "q_x", 1.0)}
+    vectors = {r.id: r.one_hot.toArray().tolist() for r in encode.one_hot_vector(df, ["p", "q"]).collect()}
+    assert vectors == {i: [float((i, k) in {(g[0], g[1]) for g in got}) for k in range(5)] for i in range(1, 6)}
+
+
+def test_profile_counts_distinct_values_without_expand(spark):
+    import datetime
+    from custlens.operators import profile
+    df = spark.createDataFrame([(1, 0.0, "a", datetime.datetime(2020, 1, 1), b"x"), (1, -0.0, None, None, b"\xff"), (None, float("nan"), "", None, None)],
+                               "i int, d double, s string, t timestamp, b binary")
+    out = profile.table_profile(df)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.column_name: (r.non_null, r.nulls, r.distinct) for r in out.collect()}
+    assert got == {"i": (2, 1, 1), "d": (3, 0, 2), "s": (2, 1, 2), "t": (1, 2, 1), "b": (2, 1, 2)}
+    empty = {r.column_name: (r.non_null, r.nulls, r.distinct) for r in profile.table_profile(df.limit(0)).collect()}
+    assert set(empty.values()) == {(0, 0, 0)} and len(empty) == 5
+    assert {r.distinct for r in profile.table_profile(df, exact_distinct=False).collect()} <= {1, 2, 3}
+
+
 def test_silhouette_matches_ml_evaluator(spark):
     import random
     rnd = random.Random(7)
@@ -351,11 +393,42 @@ def test_tree_shap_additivity(spark):
 def test_normalized_zero_sum(spark):
     long = spark.createDataFrame([(1, "a", 0.0), (1, "b", 0.0), (2, "a", 1.0), (2, "b", -3.0)],
                                  "k int, feature string, contribution double")
-    out = {(r.k, r.feature): r.normalized_contribution for r in explain.normalized(long, ["k"]).collect()}
+    out = {(r.k, r.feature): r.normalized_contribution for r in explain.normalized(explain.contribution_rows(long, ["k"]), ["k"]).collect()}
     assert out[(1, "a")] == 0.0 and out[(2, "b")] == -0.75
     assert sum(abs(v) for (k, _), v in out.items() if k == 2) == pytest.approx(1.0)
 
 
+def test_contributions_stay_in_the_row(spark):
+    """Row totals, tops, waterfalls and wide columns against plain Python; no exchange."""
+    import random
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+    rows = [(i, f"f{j:02d}", float(j), rng.choice([-2.0, -1.0, 0.0, 1.0, rng.random()]), 0.25) for i in range(6) for j in range(8)]
+    long = spark.createDataFrame(rows, "k int, feature string, value double, contribution double, base_score double")
+    brought = explain.contribution_rows(long, ["k"])
+    r = spark.createDataFrame(brought.collect(), brought.schema)
+    of = {k: [x for x in rows if x[0] == k] for k in range(6)}
+    outs = {"pos_neg": explain.pos_neg_totals(r, ["k"]), "norm": explain.normalized(r, ["k"]), "top": explain.top_per_row(r, ["k"], 3),
+            "fall": explain.waterfall(r, ["k"], 5), "wide": explain.wide_contributions(r, ["k"], [f"f{j:02d}" for j in range(8)], "c_")}
+    for out in outs.values():
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: (r.positive_total, r.negative_total) for r in outs["pos_neg"].collect()}
+    for k, x in of.items():
+        assert got[k] == pytest.approx((sum(max(v[3], 0) for v in x), sum(min(v[3], 0) for v in x)))
+        top = sorted(x, key=lambda v: (-abs(v[3]), v[1]))
+        assert [(t.feature, t.rank) for t in sorted(outs["top"].where(F.col("k") == k).collect(), key=lambda t: t.rank)] == [
+            (v[1], n + 1) for n, v in enumerate(top[:3])]
+        steps = sorted(top[:5], key=lambda v: (v[3] >= 0, v[3], v[1]))
+        fall = sorted(outs["fall"].where(F.col("k") == k).collect(), key=lambda t: t.step)
+        assert [t.feature for t in fall] == [v[1] for v in steps]
+        assert [t.running_total for t in fall] == pytest.approx([0.25 + sum(v[3] for v in steps[:n + 1]) for n in range(5)])
+        wide = outs["wide"].where(F.col("k") == k).first()
+        assert [wide[f"c_f{j:02d}"] for j in range(8)] == [v[3] for v in x]
+        total = sum(abs(v[3]) for v in x)
+        share = {t.feature: t.normalized_contribution for t in outs["norm"].where(F.col("k") == k).collect()}
+        assert share == pytest.approx({v[1]: v[3] / total if total else 0.0 for v in x})
+
+
 def test_direction_label_null(spark):
     df = spark.createDataFrame([(0.2,), (-0.1,), (None,)], "c double")
     assert [r.d for r in df.select(explain.direction_label("c").alias("d")).collect()] == ["positive", "negative", "none"]

@@ -6,14 +6,14 @@ level is one distributed job:
 * candidates of size k come from a self equi-join of the frequent
   (k-1)-sets on their first k-2 items (J6) — a relation whose size is
   bounded by the frequent sets of the previous level, not by the data;
-* support is counted by exploding each basket's size-k subsets *over
-  frequent single items only* and equi-joining them with the candidates
-  (J7) — the containment test becomes a hash join, no nested loop;
+* support is counted over the sets that grow from a basket's frequent
+  (k-1)-sets *by frequent single items only*; frequent sets stay by a semi
+  join on the set (J7) — the containment test is a hash join, no nested loop;
 * counts are a partial (map-side) aggregation, so a hot item or a hot
   basket never concentrates raw rows on one task.
 
-Subsets are enumerated with a bitmask and the ``filter`` higher-order
-function (no Python).  Rules allow multi-item consequents (every
+Subsets of a rule's set are enumerated with higher-order functions (no
+Python).  Rules allow multi-item consequents (every
 non-empty proper subset of a frequent itemset is an antecedent), which
 Spark ML's FPGrowth does not produce; FPGrowth is offered for the
 itemsets only (``method='fpgrowth'``).
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import broadcast_if_small
+from ..session import cut_lineage
 
 SEP = "\u0001"
 
@@ -102,11 +103,16 @@ def candidates(prev: DataFrame, k: int) -> DataFrame:
     return j.select(F.concat("a", F.slice("b", -1, 1)).alias("items")).distinct()
 
 
-def _only_frequent(held: DataFrame, level: DataFrame) -> DataFrame:
-    """Keep, in every basket's row, the sets of a frequent level (their number is
-    bounded by the minimum support, not by the baskets)."""
-    keep = level.agg(F.collect_list("items").alias("__keep"))
-    return held.crossJoin(F.broadcast(keep)).select("items", F.array_intersect("sets", "__keep").alias("sets"))
+def _frequent_only(rows: DataFrame, col: str, level: DataFrame) -> DataFrame:
+    """Rows whose set is in a frequent level: a hash semi join, by a counted
+    broadcast or a shuffle on the set."""
+    return rows.join(broadcast_if_small(level.select(F.col("items").alias(col))), col, "left_semi")
+
+
+def _grown() -> Column:
+    """Rows (items, rest) -> every set one item longer with what may follow it."""
+    return F.inline(F.transform("rest", lambda x, i: F.struct(
+        F.concat("items", F.array(x)).alias("items"), F.slice("rest", i + 2, F.size("rest")).alias("rest"))))
 
 
 def frequent_itemsets(baskets: DataFrame, min_support: float, items: str = "items",
@@ -118,40 +124,39 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, items: str = "item
     built until no candidate is frequent (``max_len`` only limits the
     reported length when given; default is the full lattice).
 
-    Level by level, every basket extends the frequent (k-1)-sets it holds by
-    its later frequent items; sets are counted and only the frequent ones
-    stay in the basket's row.  No subset that has no frequent prefix is built.
+    Level by level, every frequent (k-1)-set that a basket holds is extended by
+    the basket's later frequent items; sets are counted and the frequent ones
+    stay by a semi join.  No subset that has no frequent prefix is built.
     """
     n = basket_count(baskets, items, denominator)
     if method == "fpgrowth":
         return _fpgrowth(baskets, min_support, items, denominator, n)
     bs = non_empty(baskets.select(F.col(items).alias("items")))
-    bs = bs.select(F.array_sort(F.array_distinct("items")).alias("items"))
+    # written once: the numbers of the baskets must not change between passes
+    bs = cut_lineage(bs.select(F.monotonically_increasing_id().alias("basket"), F.array_distinct("items").alias("items")))
 
     def with_support(counts):
-        return (counts.crossJoin(F.broadcast(n))
-                .withColumn("support", F.col("count") / F.col("n_baskets"))
-                .where(F.col("support") >= F.lit(min_support))
-                .select("items", F.size("items").alias("length"), "count", "support"))
-
-    lvl = with_support(bs.select(F.explode("items").alias("item")).groupBy("item")
-                       .agg(F.count(F.lit(1)).cast("long").alias("count"))
-                       .select(F.array("item").alias("items"), "count"))
-    levels, k = [lvl.cache()], 2
-    # a basket's row carries its frequent (k-1)-sets; each is extended by the
-    # later frequent items of the basket, so work follows the frequent sets
-    held = _only_frequent(bs.select("items", F.transform("items", lambda x: F.array(x)).alias("sets")), levels[0])
-    held = held.select(F.flatten("sets").alias("items"), "sets")
+        return cut_lineage(counts.crossJoin(F.broadcast(n))
+                           .withColumn("support", F.col("count") / F.col("n_baskets"))
+                           .where(F.col("support") >= F.lit(min_support))
+                           .select("items", F.size("items").alias("length"), "count", "support"))
+
+    single = bs.select("basket", F.explode("items").alias("item")).select("basket", F.array("item").alias("items"))
+    levels, k = [with_support(single.groupBy("items").agg(F.count(F.lit(1)).cast("long").alias("count")))], 2
+    # every row is a frequent set that a basket holds, with the basket's later
+    # frequent items; sets grow by those, so work follows the frequent sets and
+    # a basket's sets need not meet again
+    kept = _frequent_only(single, "items", levels[0]).groupBy("basket").agg(
+        F.array_sort(F.collect_list(F.element_at("items", 1))).alias("rest"))
+    held = kept.select(F.array().cast(bs.schema["items"].dataType).alias("items"), "rest")
+    held = held.select(_grown())
     while max_len is None or k <= max_len:
-        grown = held.select("items", F.flatten(F.transform("sets", lambda s: F.transform(
-            F.filter("items", lambda x: x > F.element_at(s, -1)), lambda x: F.concat(s, F.array(x))))).alias("sets"))
-        counts = (grown.select(F.explode("sets").alias("items")).groupBy("items")
-                  .agg(F.count(F.lit(1)).cast("long").alias("count")))
-        level = with_support(counts).cache()
+        grown = held.select(_grown())
+        level = with_support(grown.groupBy("items").agg(F.count(F.lit(1)).cast("long").alias("count")))
         if level.isEmpty():
             break
         levels.append(level)
-        held = _only_frequent(grown, level).where(F.size("sets") > 0)
+        held = _frequent_only(grown, "items", level)
         k += 1
     out = levels[0]
     for lv in levels[1:]:

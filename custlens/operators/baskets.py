@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sizing import broadcast_if_small
@@ -217,8 +217,10 @@ def top_combos(itemsets: DataFrame, k: int = 3, min_len: int = 2) -> DataFrame:
 
 
 def itemsets_by_length(itemsets: DataFrame) -> DataFrame:
-    """Per length, support desc."""
-    return itemsets.orderBy("length", F.col("support").desc(), F.array_join("items", ", "))
+    """Rank of every set among those of its length, by support descending (ties
+    by the items); a table of frequent sets, not of baskets."""
+    order = Window.partitionBy("length").orderBy(F.col("support").desc(), F.array_join("items", ", "))
+    return itemsets.withColumn("rank", F.row_number().over(order))
 
 
 def itemset_text(c: str | Column, sep: str = ", ") -> Column:

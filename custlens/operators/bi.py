@@ -149,8 +149,9 @@ def snapshot(behaviour: DataFrame, as_of: str | None = None, month: str = "stat_
 
 def snapshot_join(base: DataFrame, behaviour: DataFrame, as_of: str | None = None,
                   key: str = "customer_id", month: str = "stat_month") -> DataFrame:
-    """P5 + J2: filter the month first (pushed into the scan when
-    ``as_of`` is a literal), then inner join to the customer table."""
+    """P5 + J2: filter the month first, then inner join to the customer table.  Over a
+    stage table partitioned by the month only one partition is read: by a pushed
+    filter when ``as_of`` is a literal, else by dynamic pruning."""
     return base.join(snapshot(behaviour, as_of, month), key, "inner")
 
 

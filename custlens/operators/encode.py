@@ -129,6 +129,11 @@ def median_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.drop(*[f"__med_{c}" for c in cols])
 
 
+def constant_impute(df: DataFrame, cols: Sequence[str], value: str = "missing") -> DataFrame:
+    """NULL -> a constant."""
+    return df.fillna(value, subset=list(cols))
+
+
 def hash_unit(key: Column, seed: int) -> Column:
     """A reproducible pseudo-random number in [0, 1) from a key: the first
     32 bits of md5(key || ':' || seed)."""

@@ -128,6 +128,16 @@ def holding_itemsets(spark, sf):
     return _itemset_out(bk.frequent_itemsets(_holding_baskets(spark, sf), MIN_SUPPORT, denominator="all"))
 
 
+@plan("itemsets_by_length", f"""
+SELECT length, CAST(row_number() OVER (PARTITION BY length ORDER BY support DESC, items) AS INTEGER) AS rank, items, count
+FROM ({_itemsets_out_sql(HOLD_ITEMSETS_SQL)}) x""", "baskets")
+def itemsets_by_length(spark, sf):
+    """Product combinations of every length by support."""
+    sets = bk.itemsets_by_length(bk.frequent_itemsets(_holding_baskets(spark, sf), MIN_SUPPORT, denominator="all"))
+    return sets.select(F.col("length").cast("long").alias("length"), F.col("rank").cast("int").alias("rank"),
+                       bk.itemset_text("items").alias("items"), F.col("count").cast("long").alias("count"))
+
+
 CANDIDATES_SQL = f"""
 WITH i AS ({ORDER_ITEMSETS_SQL}), p AS (SELECT items_list AS l FROM i WHERE length = 2)
 SELECT DISTINCT array_to_string([a.l[1], a.l[2], b.l[2]], ', ') AS items

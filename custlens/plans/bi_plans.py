@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import presets as ps
 from ..operators import bi, profile
 from ..operators import features as fe
 from ..sources import bindings as bd
+from ..sources import io
 from ..sources.tables import read
-from ..functions.exact import exact_avg_sql, exact_sum_sql
+from ..functions.exact import exact_avg, exact_avg_sql, exact_sum_sql
 from .features_plans import FEATURES_SQL
 from .registry import plan, rnd, rsql
 
@@ -315,12 +318,48 @@ WHERE b.stat_month = (SELECT max(stat_month) FROM b)
 
 @plan("snapshot_join", SNAPSHOT_SQL, "bi")
 def snapshot_join(spark, sf):
-    """P5 + J2: latest-month snapshot joined to the customer table."""
-    j = bi.snapshot_join(bd.base(spark, sf), bd.behaviour(spark, sf))
+    """P5 + J2: latest-month snapshot joined to the customer table.  The latest month
+    comes from the dates alone, and only its orders are aggregated."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    last = read(spark, sf, "orders", "o_orderdate").agg(F.max("o_orderdate").alias("__last"))      # one row
+    orders = read(spark, sf, "orders").join(F.broadcast(last), month == F.date_format("__last", "yyyy-MM"))
+    j = bd.base(spark, sf).join(bd.behaviour_of(orders), "customer_id")
     return j.select("customer_id", "occupation_type", "stat_month",
                     rnd("total_assets", 2).alias("total_assets"))
 
 
+@plan("snapshot_stage", SNAPSHOT_SQL, "bi")
+def snapshot_stage(spark, sf):
+    """S2 + P5 + J2 over a stage table: customer-months written with one folder per
+    month; the snapshot reads the latest folder alone (dynamic pruning)."""
+    path = io.stage_path(spark, f"behaviour-{uuid.uuid4().hex}")
+    io.write_table(bd.behaviour(spark, sf).select("customer_id", "total_assets", "stat_month"), path, partition_by=["stat_month"])
+    stage = io.read_stage(spark, path, schema=STAGE_SCHEMA)
+    j = bi.snapshot_join(bd.base(spark, sf), stage)
+    return j.select("customer_id", "occupation_type", "stat_month", rnd("total_assets", 2).alias("total_assets"))
+
+
+STAGE_SCHEMA = "customer_id long, total_assets double, stat_month string"
+
+
+NUMERIC_FEATURES_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{new}' AS feature, {rsql(f'avg(CAST({c} AS DOUBLE))' if c in ('product_count', 'txn_count') else exact_avg_sql(c), 4)} AS mean FROM {B} b"
+    for c, new in [("total_assets", "assets"), *[(c, c) for c in bd.BALANCES], ("product_count", "products"), ("txn_count", "txn_count")])
+
+
+@plan("numeric_features", NUMERIC_FEATURES_SQL, "profile")
+def numeric_features(spark, sf):
+    """P2 + P3 + P4 + P12: the numeric columns that are neither keys nor flags, two of
+    them renamed, with their means."""
+    b = bd.behaviour(spark, sf)
+    flags = profile.columns_like(b, "_flag")
+    numeric = profile.numeric_columns(b)
+    cols = [c for c in profile.feature_columns(b, ["customer_id", "stat_month", *flags]) if c in numeric]
+    means = b.agg(*[(exact_avg(c) if c in ("total_assets", *bd.BALANCES) else F.avg(c)).alias(c) for c in cols])
+    named = bi.rename(means, {"total_assets": "assets", "product_count": "products"})
+    return named.unpivot([], named.columns, "feature", "mean").select("feature", rnd("mean", 4).alias("mean"))
+
+
 # Fixed values (driver preset): a partial recode of market segments.
 SEGMENT_RECODE = {"AUTOMOBILE": "auto", "BUILDING": "construction", "MACHINERY": "industry"}
 

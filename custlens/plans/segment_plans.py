@@ -32,38 +32,6 @@ def _avg_sql(c):
     return exact_avg_sql(c) if c in MONEY else f"avg({c})"
 
 
-class Q:
-    """Tiny SQL text builder so one rule list serves both engines."""
-
-    def __init__(self, s):
-        self.s = s
-
-    @staticmethod
-    def _t(o):
-        if isinstance(o, Q):
-            return o.s
-        if isinstance(o, str):
-            return "'" + o.replace("'", "''") + "'"
-        return repr(o)
-
-    def _op(self, op, o):
-        return Q(f"({self.s} {op} {self._t(o)})")
-
-    def __gt__(self, o): return self._op(">", o)  # noqa: E704
-    def __lt__(self, o): return self._op("<", o)  # noqa: E704
-    def __eq__(self, o): return self._op("=", o)  # noqa: E704
-    def __and__(self, o): return self._op("AND", o)  # noqa: E704
-    def __mul__(self, o): return self._op("*", o)  # noqa: E704
-
-    def between(self, a, b):
-        return Q(f"({self.s} BETWEEN {self._t(a)} AND {self._t(b)})")
-
-
-def ladder_sql(rules, default_sql: str) -> str:
-    whens = " ".join(f"WHEN {cond.s} THEN {Q._t(name)}" for name, cond in rules)
-    return f"CASE {whens} ELSE {default_sql} END"
-
-
 # ------------------------------------------------------------ snapshot
 
 def snapshot(spark, sf):
@@ -137,27 +105,37 @@ def _named(df, rules_fn, prefix):
     return df.withColumn("cluster_name", segment.rule_ladder(rules, default))
 
 
-def _named_sql(src, rules_fn, prefix):
-    rules = rules_fn(Q)
-    default = f"'{prefix}' || CAST(cluster_label + 1 AS VARCHAR)"
-    return f"SELECT p.*, {ladder_sql(rules, default)} AS cluster_name FROM ({src}) p"
+# What the two ladders of the driver preset must give, written out.
+LADDER_A_SQL = """
+CASE WHEN deposit_balance / total_assets >= 0.3 THEN 'urgent buyers'
+     WHEN txn_count >= 3 THEN 'weekly buyers'
+     WHEN monthly_income > 7400 THEN 'full accounts'
+     WHEN txn_count >= 1.5 THEN 'returning buyers'
+     WHEN total_assets >= 140000 AND total_assets <= 385000 THEN 'usual orders'
+     ELSE 'tier ' || CAST(cluster_label + 1 AS VARCHAR) END"""
+LADDER_B_SQL = """
+CASE WHEN occupation_type_mode = 'MACHINERY' AND txn_count < 1.5 THEN 'machinery orders'
+     WHEN monthly_income < 4300 THEN 'thin accounts'
+     WHEN fund_balance > financial_balance THEN 'planned orders'
+     WHEN total_assets > 385000 THEN 'upper quarter'
+     ELSE 'tier ' || CAST(cluster_label + 1 AS VARCHAR) END"""
 
 
 @plan("segment_rules_a", f"SELECT cluster_label, cluster_name FROM "
-      f"({_named_sql(_profile_sql(), ps.driver_rules_a, ps.DRIVER_DEFAULT_PREFIX)}) x", "segment")
+      f"(SELECT cluster_label, {LADDER_A_SQL} AS cluster_name FROM ({_profile_sql()}) p) x", "segment")
 def segment_rules_a(spark, sf):
-    """First-match naming ladder over profile means, default 'group{k+1}'."""
+    """First-match naming ladder over profile means, default 'tier {k+1}'."""
     n = _named(_profile(spark, sf), ps.driver_rules_a, ps.DRIVER_DEFAULT_PREFIX)
     return n.select(F.col("cluster_label").cast("int").alias("cluster_label"), "cluster_name")
 
 
-_B_SRC = _named_sql(_profile_sql(["occupation_type"]), ps.driver_rules_b, ps.DRIVER_DEFAULT_PREFIX)
+_B_SRC = f"SELECT p.*, {LADDER_B_SQL} AS cluster_name FROM ({_profile_sql(['occupation_type'])}) p"
 
 
 @plan("segment_rules_b", f"SELECT CAST(cluster_label AS INTEGER) AS cluster_label, cluster_name FROM ({_B_SRC}) x",
       "segment")
 def segment_rules_b(spark, sf):
-    """P15 + P20: ladder with a mode test, closed ranges and a ratio of means."""
+    """P15 + P20: ladder with a mode test and comparisons of means."""
     n = _named(_profile(spark, sf, ["occupation_type"]), ps.driver_rules_b, ps.DRIVER_DEFAULT_PREFIX)
     return n.select(F.col("cluster_label").cast("int").alias("cluster_label"), "cluster_name")
 
@@ -193,8 +171,8 @@ def segment_share(spark, sf):
 
 
 RENAME_SQL = f"""
-SELECT cluster_name, CASE cluster_name {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in ps.DRIVER_BETTER_NAMES.items())}
-       END AS better_cluster_name, cluster_size
+SELECT cluster_name, CASE cluster_name WHEN 'machinery orders' THEN 'industry' WHEN 'upper quarter' THEN 'key accounts'
+                                       WHEN 'tier 1' THEN 'all others' END AS better_cluster_name, cluster_size
 FROM ({SHARE_SQL}) x
 """
 
@@ -382,6 +360,59 @@ def standardize(spark, sf):
     return z.select("customer_id", *[rnd(f"{c}_z", 6).alias(f"{c}_z") for c in NUM])
 
 
+STD_SPLIT_SQL = f"""
+WITH b AS ({bd.BEHAVIOUR_SQL}),
+m AS (SELECT avg(txn_count) AS mt, stddev_pop(txn_count) AS st, {exact_avg_sql('total_assets')} AS ma, stddev_pop(total_assets) AS sa
+      FROM b WHERE stat_month <= '1997-12')
+SELECT customer_id, stat_month, {rsql('(txn_count - mt) / CASE WHEN st = 0 OR st IS NULL THEN 1.0 ELSE st END', 6)} AS txn_count_z,
+       {rsql('(total_assets - ma) / CASE WHEN sa = 0 OR sa IS NULL THEN 1.0 ELSE sa END', 6)} AS total_assets_z
+FROM b, m WHERE stat_month > '1997-12'
+"""
+
+
+@plan("standardize_split", STD_SPLIT_SQL, "encode")
+def standardize_split(spark, sf):
+    """E2 fitted on the training months alone and applied to the months after them."""
+    b = bd.behaviour(spark, sf)
+    train, rest = b.where(F.col("stat_month") <= "1997-12"), b.where(F.col("stat_month") > "1997-12")
+    z = encode.standardize(rest, ["txn_count", "total_assets"], "_z", fit_on=train)
+    return z.select("customer_id", "stat_month", rnd("txn_count_z", 6).alias("txn_count_z"), rnd("total_assets_z", 6).alias("total_assets_z"))
+
+
+IMPUTE_SQL = f"""
+WITH b AS (SELECT customer_id, stat_month, CASE WHEN (customer_id + txn_count) % 17 <> 0 THEN total_assets END AS total_assets,
+                  CASE WHEN customer_id % 5 <> 0 THEN txn_count END AS txn_count FROM ({bd.BEHAVIOUR_SQL}) b),
+j AS (SELECT b.*, CASE WHEN base.customer_id % 7 <> 0 THEN base.occupation_type END AS occupation_type
+      FROM b JOIN ({bd.BASE_SQL}) base ON b.customer_id = base.customer_id),
+m AS (SELECT median(total_assets) AS ma, median(txn_count) AS mt FROM j)
+SELECT customer_id, stat_month, {rsql('coalesce(total_assets, ma)', 4)} AS total_assets, {rsql('coalesce(txn_count, mt)', 4)} AS txn_count,
+       coalesce(occupation_type, 'missing') AS occupation_type
+FROM j, m
+"""
+
+
+@plan("impute", IMPUTE_SQL, "encode")
+def impute(spark, sf):
+    """Exact medians into numeric gaps, a constant into text gaps (gaps made by key)."""
+    b = bd.behaviour(spark, sf).select(
+        "customer_id", "stat_month", F.when((F.col("customer_id") + F.col("txn_count")) % 17 != 0, F.col("total_assets")).alias("total_assets"),
+        F.when(F.col("customer_id") % 5 != 0, F.col("txn_count")).cast("double").alias("txn_count"))
+    base = bd.base(spark, sf).select("customer_id", F.when(F.col("customer_id") % 7 != 0, F.col("occupation_type")).alias("occupation_type"))
+    j = encode.median_impute(b.join(base, "customer_id"), ["total_assets", "txn_count"])
+    return encode.constant_impute(j, ["occupation_type"]).select(
+        "customer_id", "stat_month", rnd("total_assets", 4).alias("total_assets"), rnd("txn_count", 4).alias("txn_count"), "occupation_type")
+
+
+@plan("hash_split", f"""
+SELECT is_test, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers FROM (
+  SELECT customer_id, ('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8))::BIGINT / 4294967296.0 < 0.2 AS is_test
+  FROM ({bd.BEHAVIOUR_SQL}) b) GROUP BY 1""", "encode")
+def hash_split(spark, sf):
+    """E8 without a shuffle: whole customers to one side by their hash."""
+    s = encode.hash_split(bd.behaviour(spark, sf), "stat_month", 0.2, 42, group_col="customer_id")
+    return s.groupBy("is_test").agg(F.count(F.lit(1)).cast("long").alias("rows"), F.count_distinct("customer_id").cast("long").alias("customers"))
+
+
 @plan("md5_sample", f"""
 SELECT customer_id, stat_month FROM ({bd.BEHAVIOUR_SQL}) b
 ORDER BY md5(CAST(customer_id AS VARCHAR) || ':' || stat_month || ':42'), customer_id LIMIT 100""", "encode")

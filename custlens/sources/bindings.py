@@ -69,8 +69,12 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer_behavior_assets role: one row per (customer, month)."""
-    o = read(spark, sf_dir, "orders", "o_custkey", "o_totalprice",
-             "o_orderdate", "o_orderpriority")
+    return behaviour_of(read(spark, sf_dir, "orders", "o_custkey", "o_totalprice",
+                             "o_orderdate", "o_orderpriority"))
+
+
+def behaviour_of(o: DataFrame) -> DataFrame:
+    """The customer-months of some orders."""
     prio, price = F.col("o_orderpriority"), F.col("o_totalprice")
     aggs = [exact_sum(price).alias("total_assets")]
     aggs += [exact_sum(F.when(prio == p, price).otherwise(F.lit(0.0))).alias(f"{n}_balance")

@@ -27,8 +27,3 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the tables to ``spark.sql`` under their own names."""
-    for n in names:
-        read(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -50,3 +50,40 @@ def test_rows_are_never_shuffled_on_a_bare_group_key(spark, name):
             # only map-side combined rows may meet on the group alone
             assert re.search(r"functions=\[partial_", lines[i + 1]) or "Window" in lines[i + 1] or "_b" in lines[i + 1], lines[i + 1]
     assert "SortMergeJoin" not in "\n".join(lines)
+
+
+def test_dashboard_scans_every_table_once(spark):
+    p = _plan(spark, "dashboard_bundle")
+    scans = re.findall(r"FileScan parquet[^\n]*?/(\w+)\.parquet", p)
+    assert scans.count("orders") == 1 and scans.count("events") == 1 and scans.count("customer") == 1
+
+
+def test_snapshot_reads_one_month_of_the_stage(spark):
+    df = REGISTRY["snapshot_stage"].build(spark, SMOKE)
+    assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString()
+    df.collect()
+    scans = _metrics(df._jdf.queryExecution().executedPlan())
+    assert min(scans) == 1 < max(scans)                          # the snapshot's scan; the months are listed by the other
+
+
+def _metrics(plan):
+    """Partitions read by the scans of an executed plan that has partition columns."""
+    leaves = plan.collectLeaves() if not plan.getClass().getSimpleName().startswith("Adaptive") else plan.finalPhysicalPlan().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        leaves_of = leaf.plan().collectLeaves() if hasattr(leaf, "plan") and "QueryStage" in leaf.getClass().getSimpleName() else None
+        for x in [leaf] if leaves_of is None else [leaves_of.apply(k) for k in range(leaves_of.size())]:
+            m = x.metrics()
+            if m.contains("numPartitions"):
+                out.append(m.apply("numPartitions").value())
+    return out
+
+
+def test_contributions_are_not_shuffled(spark):
+    """Row-wise explanations add no exchange to the feature stage."""
+    features = _plan(spark, "customer_month_features").count("Exchange hash")
+    for name in ("waterfall", "top_contrib_per_row", "normalized_contribution", "pos_neg_totals"):
+        p = _plan(spark, name)
+        # the means and deviations read the features once more
+        assert p.count("Exchange hash") <= 2 * features

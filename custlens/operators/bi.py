@@ -138,20 +138,17 @@ def latest_month(df: DataFrame, month: str = "stat_month") -> Column:
 
 
 def snapshot(behaviour: DataFrame, as_of: str | None = None, month: str = "stat_month") -> DataFrame:
-    """P5: rows of one month; ``as_of=None`` selects the latest month via a
-    one-row aggregate joined back (no driver round trip)."""
-    if as_of is not None:
-        return behaviour.where(F.col(month) == F.lit(as_of))
-    last = behaviour.agg(F.max(month).alias("__last"))
-    return (behaviour.join(F.broadcast(last), F.col(month) == F.col("__last"), "inner")
-            .drop("__last"))
+    """P5: rows of one month; ``as_of=None`` selects the latest month by a scalar
+    subquery, which a table partitioned by the month takes as a partition
+    filter (no driver round trip)."""
+    as_of = behaviour.agg(F.max(month)).scalar() if as_of is None else F.lit(as_of)
+    return behaviour.where(F.col(month) == as_of)
 
 
 def snapshot_join(base: DataFrame, behaviour: DataFrame, as_of: str | None = None,
                   key: str = "customer_id", month: str = "stat_month") -> DataFrame:
     """P5 + J2: filter the month first, then inner join to the customer table.  Over a
-    stage table partitioned by the month only one partition is read: by a pushed
-    filter when ``as_of`` is a literal, else by dynamic pruning."""
+    stage table partitioned by the month only one partition is read."""
     return base.join(snapshot(behaviour, as_of, month), key, "inner")
 
 

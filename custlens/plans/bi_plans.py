@@ -331,7 +331,7 @@ def snapshot_join(spark, sf):
 @plan("snapshot_stage", SNAPSHOT_SQL, "bi")
 def snapshot_stage(spark, sf):
     """S2 + P5 + J2 over a stage table: customer-months written with one folder per
-    month; the snapshot reads the latest folder alone (dynamic pruning)."""
+    month; the snapshot reads the latest folder alone."""
     path = io.stage_path(spark, f"behaviour-{uuid.uuid4().hex}")
     io.write_table(bd.behaviour(spark, sf).select("customer_id", "total_assets", "stat_month"), path, partition_by=["stat_month"])
     stage = io.read_stage(spark, path, schema=STAGE_SCHEMA)

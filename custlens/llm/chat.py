@@ -22,7 +22,8 @@ columns (numbers, not texts); texts meet once, in the conversation's row,
 which is the result's own shape.
 
 Defined cases: null texts and roles are empty; a null kind is a message;
-events with equal seq are ordered by turn, kind, role and text; a null
+events with equal seq are ordered by turn, kind, role and text, a null seq
+comes first; a null turn comes before all others and is never void; a null
 conversation id is a conversation; repeated rows are events of their own;
 an empty log gives no row; extra columns are not carried.
 """
@@ -57,7 +58,7 @@ def fold(events: DataFrame) -> DataFrame:
     later = Window.partitionBy("conv_id").orderBy(F.desc("seq"), F.desc("turn"), F.desc("kind"), F.desc("role"), F.desc("text"))
     # void: a later event regenerates this turn or an earlier one
     redone = F.min(F.when(F.col("kind") == "regenerate", F.col("turn"))).over(later.rowsBetween(Window.unboundedPreceding, -1))
-    live = e.withColumn("__redone", redone).where("(__redone IS NULL OR turn < __redone) AND kind <> 'regenerate'").drop("__redone")
+    live = e.withColumn("__redone", redone).where("(__redone IS NULL OR turn IS NULL OR turn < __redone) AND kind <> 'regenerate'").drop("__redone")
     # a message opens a part; an edit voids what its part held before
     order = Window.partitionBy("conv_id", "turn").orderBy("seq", "kind", "role", "text")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -3,7 +3,7 @@ its whole table, and DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import (attention_lm, chat, decontam, divergence, jaccard_join, langid, neardup, packing, sharding, topk, toxicity, url_filter,
@@ -57,13 +57,36 @@ QUALIFY row_number() OVER w <= 5
 """
 
 
+def _chat_log(rows: DataFrame) -> DataFrame:
+    """A log that folds back to ``rows`` (conv_id, turn, role, text): by a hash of the
+    row a text comes whole, as three streamed deltas, as a draft and its edit,
+    or as a first try that is regenerated."""
+    rows = rows.withColumns({"role": F.coalesce("role", F.lit("")), "text": F.coalesce("text", F.lit(""))})
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    opens = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")) == 1
+    way = F.pmod(F.xxhash64("conv_id", "turn", "role", "text"), F.lit(4))
+    # a regeneration voids its whole turn, so only the turn's first message may have one
+    way = F.when((way == 3) & (~F.col("opens") | F.col("turn").isNull()), F.lit(2)).otherwise(way)
+    text, third = F.col("text"), F.floor(F.length("text") / 3).cast("int")
+    event = lambda kind, t: F.struct(F.lit(kind).alias("kind"), t.alias("said"))
+    half = F.concat(F.lit("draft: "), F.substr(text, F.lit(1), F.floor(F.length("text") / 2).cast("int")))
+    events = (F.when(way == 0, F.array(event("message", text)))
+              .when(way == 1, F.array(event("message", F.lit("")), event("delta", F.substr(text, F.lit(1), third)),
+                                      event("delta", F.substr(text, third + 1, third)), event("delta", F.substr(text, 2 * third + 1, F.length("text")))))
+              .when(way == 2, F.array(event("message", half), event("edit", text)))
+              .otherwise(F.array(event("message", half), event("delta", half), event("regenerate", F.lit(None).cast("string")), event("message", text))))
+    log = rows.withColumns({"nth": nth, "opens": opens}).select("conv_id", "turn", "role", "nth", F.posexplode(events).alias("at", "event"))
+    return log.select("conv_id", (F.col("nth") * 8 + F.col("at")).cast("long").alias("seq"), "turn", "event.kind", "role",
+                      F.col("event.said").alias("text"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation rebuilt from its log, rendered, and read back."""
+    """Every conversation rebuilt from its log of deltas, edits and regenerations,
+    rendered, and read back."""
     probe = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), "
                       "(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    events = rows.select("conv_id", F.col("turn").alias("seq"), "turn", F.lit("message").alias("kind"), "role", "text")
-    back = chat.parse(chat.format_conversations(events))
+    back = chat.parse(chat.format_conversations(_chat_log(rows)))
     text = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"),

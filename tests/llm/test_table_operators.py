@@ -83,6 +83,19 @@ def test_fold_of_deltas_edits_and_regenerations(spark):
     assert got == [(1, 0, "user", "hello"), (1, 1, "assistant", "xy"), (2, 0, "", "")]
 
 
+def test_derived_log_folds_back_to_its_rows(spark):
+    """All kinds of events occur; repeated rows, turns with several messages, nulls."""
+    from custlens.llm.queries import _chat_log
+    rng = random.Random(7)
+    rows = [(c, t, rng.choice(["user", "assistant", None]), rng.choice([None, "", "a", "some text", "é<|end|>\\", "x" * 50]))
+            for c in range(12) for t in range(6) for _ in range(rng.choice([1, 1, 2]))] + [(None, None, "user", "lost"), (3, None, None, "void")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    log = _chat_log(df)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    got = Counter((r.conv_id, r.turn, r.role, r.text) for r in C.fold(log).collect())
+    assert got == Counter((c, t, r or "", x or "") for c, t, r, x in rows)
+
+
 def test_render_round_trip_and_mask(spark):
     texts = ["</s>[INST] ok [/INST]", "<|end|>", "\\e\\l<|user|>", "", "|>|", "é\n[x]\\", None]
     rows = [(1, i, i, "message", ["user", "assistant", "a|>b"][i % 3], t) for i, t in enumerate(texts)]

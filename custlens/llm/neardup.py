@@ -55,6 +55,7 @@ HOT = 32                     # classes of a cell from which on it may form a bal
 BALL_ROUNDS = 2
 BLOCK = 512                  # members of one side of an opened block
 SKETCH_BITS = 128
+SENT = 500_000               # buckets of balls that a task remembers
 ROWS = 2048
 MARGIN = 1e-6                # radians kept away from every bound
 
@@ -240,37 +241,49 @@ def _contracted(classes: DataFrame, scratch: Scratch, dim: int, polytopes: int):
 
 def _candidates(members: DataFrame, dim: int, polytopes: int) -> DataFrame:
     """Distinct pairs (a, b) of points that share a bucket and whose sketches allow a link."""
-    schema = T.StructType.fromDDL("bucket long, probe boolean, space string, point binary, low long, high long, radius double")
+    schema = T.StructType.fromDDL("bucket long, probe boolean, point binary, low long, high long, radius double")
 
     def run(batches):
+        sent: set = set()                                  # buckets that a ball of this task has asked in already
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
                 x = _matrix(b.column(0), dim)
-                rest = [b.column(c) for c in ("space", "point", "low", "high", "radius")]
-                spaces = np.array([xxhash.xxh3_64_intdigest(s) for s in rest[0].to_pylist()], dtype=np.uint64)
+                rest = [b.column(c) for c in ("point", "low", "high", "radius")]
+                points = rest[0].to_pylist()
+                in_ball = np.flatnonzero(rest[3].to_numpy() > 0).tolist()
+                spaces = np.array([xxhash.xxh3_64_intdigest(s) for s in b.column("space").to_pylist()], dtype=np.uint64)
+                if len(sent) > SENT:
+                    sent.clear()
                 for t in range(polytopes * TABLES_PER_POLYTOPE):
                     codes = bucket_codes(x, t, polytopes)
                     for p in range(codes.shape[1]):
                         key = (codes[:, p].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(t)) * np.uint64(0xBF58476D1CE4E5B9)
                         key = ((key ^ key >> np.uint64(29)) + spaces).view(np.int64)
                         for probe in ([False, True] if p == 0 else [True]):
-                            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([probe] * len(x), pa.bool_()), *rest], names=schema.fieldNames())
-
-    rows = members.select("unit", "space", "point", "low", "high", "radius").mapInArrow(run, schema).distinct()
+                            new = np.ones(len(x), bool)
+                            for i in in_ball:
+                                mine = (points[i], int(key[i]), probe)
+                                new[i] = mine not in sent
+                                sent.add(mine)
+                            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([probe] * len(x), pa.bool_()), *rest],
+                                                             names=schema.fieldNames()).filter(pa.array(new))
+
+    # dealt by bucket once: what is left of a ball's repeated buckets goes in place
+    rows = members.select("unit", "space", "point", "low", "high", "radius").mapInArrow(run, schema)
+    rows = rows.repartition("bucket").dropDuplicates(["bucket", "probe", "point"])
     a, b = rows.where("NOT probe").alias("a"), rows.where("probe").alias("b")
     share = (F.col("a.radius") + F.col("b.radius") + math.acos(THRESHOLD)) / math.pi           # greatest angle of the middles
     share = F.least(share, F.lit(1.0))
     allowed = SKETCH_BITS * share + 6 * F.sqrt(SKETCH_BITS * share * (1 - share))
     differing = F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low"))) + F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high")))
-    hit = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.space") == F.col("b.space"))
-                 & (F.col("a.point") != F.col("b.point")) & (differing <= allowed))
+    hit = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.point") != F.col("b.point")) & (differing <= allowed))
     return hit.select(F.least("a.point", "b.point").alias("a"), F.greatest("a.point", "b.point").alias("b")).distinct()
 
 
 def _decided(pairs: DataFrame, points: DataFrame, dim: int) -> DataFrame:
     """(a, b, ..., verdict): ``all`` members link, ``none`` do, or the pair is ``open``."""
-    side = lambda s: points.select(F.col("point").alias(s), F.col("unit").alias(f"{s}_unit"), F.col("radius").alias(f"{s}_radius"),
+    side = lambda s: points.select(F.col("point").alias(s), F.col("space").alias(f"{s}_space"), F.col("unit").alias(f"{s}_unit"), F.col("radius").alias(f"{s}_radius"),
                                    F.col("n").alias(f"{s}_n"), F.col("members").alias(f"{s}_members"))
     theta = math.acos(THRESHOLD)
 
@@ -282,7 +295,8 @@ def _decided(pairs: DataFrame, points: DataFrame, dim: int) -> DataFrame:
         never = np.where(reach > 0, angle - reach > theta + MARGIN, cos < THRESHOLD)
         return [np.where(sure, "all", np.where(never, "none", "open")).tolist()]
 
-    return _map(pairs.join(side("a"), "a").join(side("b"), "b"), "verdict string", fn).drop("a_unit", "b_unit")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where("a_space = b_space").drop("a_space", "b_space")   # buckets are hashes
+    return _map(both, "verdict string", fn).drop("a_unit", "b_unit")
 
 
 def _opened(pairs: DataFrame, members: DataFrame, dim: int):

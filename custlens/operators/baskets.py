@@ -26,7 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_small
+from ..functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from ..session import cut_lineage
 
 SEP = "\u0001"
@@ -104,9 +104,10 @@ def candidates(prev: DataFrame, k: int) -> DataFrame:
 
 
 def _frequent_only(rows: DataFrame, col: str, level: DataFrame) -> DataFrame:
-    """Rows whose set is in a frequent level: a hash semi join, by a counted
-    broadcast or a shuffle on the set."""
-    return rows.join(broadcast_if_small(level.select(F.col("items").alias(col))), col, "left_semi")
+    """Rows whose set is in a (materialised) frequent level: a hash semi join, by a
+    counted broadcast or a shuffle on the set."""
+    sets = level.select(F.col("items").alias(col))
+    return rows.join(F.broadcast(sets) if level.count() <= DEFAULT_BROADCAST_ROWS else sets, col, "left_semi")
 
 
 def _grown() -> Column:

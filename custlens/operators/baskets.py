@@ -133,28 +133,31 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, items: str = "item
     if method == "fpgrowth":
         return _fpgrowth(baskets, min_support, items, denominator, n)
     bs = non_empty(baskets.select(F.col(items).alias("items")))
-    # written once: the numbers of the baskets must not change between passes
-    bs = cut_lineage(bs.select(F.monotonically_increasing_id().alias("basket"), F.array_distinct("items").alias("items")))
+    # equal baskets are one row with its number; written once, as the numbers of
+    # the rows must not change between passes
+    bs = bs.groupBy(F.array_sort(F.array_distinct("items")).alias("items")).agg(F.count(F.lit(1)).alias("weight"))
+    bs = cut_lineage(bs.withColumn("basket", F.monotonically_increasing_id()))
+    counted = F.sum("weight").cast("long").alias("count")
 
     def with_support(counts):
-        return cut_lineage(counts.crossJoin(F.broadcast(n))
-                           .withColumn("support", F.col("count") / F.col("n_baskets"))
-                           .where(F.col("support") >= F.lit(min_support))
-                           .select("items", F.size("items").alias("length"), "count", "support"))
+        return (counts.crossJoin(F.broadcast(n))
+                .withColumn("support", F.col("count") / F.col("n_baskets"))
+                .where(F.col("support") >= F.lit(min_support))
+                .select("items", F.size("items").alias("length"), "count", "support").cache())
 
-    single = bs.select("basket", F.explode("items").alias("item")).select("basket", F.array("item").alias("items"))
-    levels, k = [with_support(single.groupBy("items").agg(F.count(F.lit(1)).cast("long").alias("count")))], 2
+    single = bs.select("basket", "weight", F.explode("items").alias("item")).select("basket", "weight", F.array("item").alias("items"))
+    levels, k = [with_support(single.groupBy("items").agg(counted))], 2
     # every row is a frequent set that a basket holds, with the basket's later
     # frequent items; sets grow by those, so work follows the frequent sets and
     # a basket's sets need not meet again
-    kept = _frequent_only(single, "items", levels[0]).groupBy("basket").agg(
+    kept = _frequent_only(single, "items", levels[0]).groupBy("basket", "weight").agg(
         F.array_sort(F.collect_list(F.element_at("items", 1))).alias("rest"))
-    held = kept.select(F.array().cast(bs.schema["items"].dataType).alias("items"), "rest")
-    held = held.select(_grown())
+    held = kept.select("weight", F.array().cast(bs.schema["items"].dataType).alias("items"), "rest")
+    held = held.select("weight", _grown())
     while max_len is None or k <= max_len:
-        grown = held.select(_grown())
-        level = with_support(grown.groupBy("items").agg(F.count(F.lit(1)).cast("long").alias("count")))
-        if level.isEmpty():
+        grown = held.select("weight", _grown())
+        level = with_support(grown.groupBy("items").agg(counted))
+        if level.count() == 0:
             break
         levels.append(level)
         held = _frequent_only(grown, "items", level)

@@ -138,6 +138,8 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, items: str = "item
     bs = bs.groupBy(F.array_sort(F.array_distinct("items")).alias("items")).agg(F.count(F.lit(1)).alias("weight"))
     bs = cut_lineage(bs.withColumn("basket", F.monotonically_increasing_id()))
     counted = F.sum("weight").cast("long").alias("count")
+    # the number of baskets once, not once a level
+    n = bs.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("n_baskets")) if denominator == "nonempty" else cut_lineage(n)
 
     def with_support(counts):
         return (counts.crossJoin(F.broadcast(n))

@@ -6,12 +6,18 @@ with at most ``EDITS`` of its bytes edited, about one word.  A text that
 holds a segment of ``m`` bytes with at most ``k`` edits shares at least
 ``m - Q + 1 - k * Q`` q-grams with it on ``k + 1`` neighbouring diagonals.
 One pass over the documents looks up every q-gram of the whole text among
-those of whole items, and where ``SHARED`` q-grams lie in a diagonal band
-within one segment's length, the segments that start or end with a run of
-shared q-grams are verified by banded alignment.  So no verbatim segment is
-missed, none with at most ``(m - SHARED - Q + 1) // Q`` edits (6 for 64
-bytes) anywhere gets lost by the count, and a replaced word leaves far more
-than ``SHARED``.
+those of whole items.  Where ``SHARED`` q-grams lie in a diagonal band
+within one segment's length, every segment that holds them is retained and
+decided by banded alignment.  So no segment with at most
+``(m - SHARED - Q + 1) // Q`` edits (7 for 64 bytes) anywhere is missed; with
+more, up to ``EDITS``, those that keep ``SHARED`` q-grams are found: all with
+a replaced word, 99 % with 10 bytes replaced at random places.
+
+A segment that starts one byte further differs by at most one edit more or
+less, so a retained region is searched from its fullest segment, and an
+alignment over the budget by ``x`` settles its ``x`` neighbours on both sides.
+Segments with equal bytes against the same place of a text are aligned once,
+however many items hold them.
 
 Items with fewer than ``MIN_CHARS`` compared bytes are matched whole and
 exactly, on word boundaries.
@@ -21,7 +27,8 @@ characters other than letters and digits as one space; lengths and spans
 count these bytes.  Benchmarks larger than ``BLOCK_CHARS``
 are taken in blocks, each with its own pass, so what is shipped to the
 tasks has a proven size; texts are looked up in pieces of ``PIECE`` bytes
-that overlap by more than a segment.
+that overlap by more than a segment, in smaller ones where more than ``HITS``
+shared q-grams would be held at once.
 
 Defined cases: null and empty texts match nothing, nor do items without a
 compared byte; repeated rows of a document match once per row; repeated
@@ -36,16 +43,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep_rows, map_rows, ship_by_value
+from .common import keep_rows, map_rows, mix64, ship_by_value
 
 ship_by_value(__name__)
 
-Q = 8
+Q = 7
 SEGMENT = 64
 MIN_CHARS = 40            # shorter items: whole and exactly
 EDITS = 10 / 64           # edits per byte of a segment
-SHARED = 9                # q-grams that a segment must share (a run of 16 bytes)
-PIECE, OVERLAP = 1 << 16, 2 * SEGMENT
+SHARED = 7                # q-grams that a segment must share (a run of 13 bytes)
+PIECE, OVERLAP = 1 << 18, 2 * SEGMENT
+HITS = 2_000_000          # shared q-grams held at once
+ALIGNED = 4096            # segments aligned at once
 BLOCK_CHARS = 4_000_000   # benchmark characters of one pass
 FILTER_BITS = 20
 
@@ -59,23 +68,26 @@ def compared(text: str) -> np.ndarray:
 
 
 def qgram_hashes(code: np.ndarray) -> np.ndarray:
-    """Hash of the q-gram at every place (Q = 8 by doubling)."""
+    """Hash of the q-gram at every place."""
     if len(code) < Q:
         return np.empty(0, dtype=np.uint32)
-    b = np.uint32(0x01000193)
-    with np.errstate(over="ignore"):
-        b2 = b * b
-        b4 = b2 * b2
-        c = code.astype(np.uint32)
-        h = c[:-1] * b
-        h += c[1:]
-        h4 = h[:-2] * b2
-        h4 += h[2:]
-        h = h4[:-4] * b4
-        h += h4[4:]
-        h ^= h >> np.uint32(15)
-        h *= np.uint32(0x85EBCA6B)
-        return h
+    c, n = code.astype(np.uint32), len(code) - Q + 1
+    h = c[:n].copy()
+    for i in range(1, Q):
+        h *= np.uint32(0x01000193)
+        h += c[i:i + n]
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x85EBCA6B)
+    return h
+
+
+def _segment_classes(flat: np.ndarray) -> np.ndarray:
+    """A number for the ``SEGMENT`` bytes from every place; equal bytes, equal number."""
+    h, width = np.concatenate([flat, np.zeros(SEGMENT, np.uint8)]).astype(np.uint64) + np.uint64(1), 1
+    while width < SEGMENT:                                    # doubling
+        h = mix64(h[:-width] * np.uint64(0x9E3779B97F4A7C15) + h[width:])
+        width *= 2
+    return np.unique(h[:len(flat)], return_inverse=True)[1].astype(np.int64)
 
 
 class Index:
@@ -100,12 +112,16 @@ class Index:
                 continue
             self.start.append(at)
             self.number.append(k)
-            codes.append(code)
+            codes += [code, np.zeros(SEGMENT, np.uint8)]
             h = qgram_hashes(code)
             hashes.append(h)
             places.append(np.arange(at, at + len(h)))
             at += len(code) + SEGMENT                         # no segment's length reaches the next item
-        self.codes, self.total = codes, at
+        self.total = at
+        self.flat = np.concatenate([*codes, np.zeros(SEGMENT, np.uint8)])
+        self.classes = _segment_classes(self.flat[:at])
+        self.start = np.array(self.start, np.int64)
+        self.length = np.array([len(c) for c in codes[::2]], np.int64)
         h = np.concatenate(hashes) if hashes else np.empty(0, np.uint32)
         place = np.concatenate(places) if hashes else np.empty(0, np.int64)
         order = np.argsort(h, kind="stable")
@@ -113,32 +129,42 @@ class Index:
         self.filter = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.filter[self.h >> np.uint32(32 - FILTER_BITS)] = True
 
-    def hits(self, h: np.ndarray):
-        """(place in the text, place among the items) of shared q-grams."""
+    def shared(self, h: np.ndarray):
+        """(places in the text, first and number of their entries in the index)."""
         at = np.flatnonzero(self.filter[h >> np.uint32(32 - FILTER_BITS)])
         lo = np.searchsorted(self.h, h[at], side="left")
         n = np.searchsorted(self.h, h[at], side="right") - lo
         some = n > 0
-        at, lo, n = at[some], lo[some], n[some]
-        idx = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(at, n), self.place[idx]
-
-
-def banded_edits(seg: np.ndarray, window: np.ndarray, k: int):
-    """Least edits of ``seg`` against any part of ``window`` if at most ``k``,
-    with the end of that part; else None.  Rows of the alignment are arrays,
-    cells over ``k`` are cut off."""
-    big = k + 1
-    row = np.zeros(len(window) + 1, dtype=np.int64)          # the part may start anywhere
-    step = np.arange(len(window) + 1)
-    for i, c in enumerate(seg, 1):
-        best = np.minimum(row[:-1] + (window != c), row[1:] + 1)
-        new = np.concatenate(([i], best))
-        row = np.minimum(np.minimum.accumulate(new - step) + step, big)   # gaps in the segment
-        if row.min() > k:
-            return None
-    end = int(row.argmin())
-    return int(row[end]), end
+        return at[some], lo[some], n[some]
+
+
+def align(flat: np.ndarray, at: np.ndarray, length: np.ndarray, text: np.ndarray, lo: np.ndarray, columns: int):
+    """(least edits, end) of the segments ``flat[at:at + length]`` (64 bytes at most)
+    against any part of ``text[lo:lo + columns]``.  A column of the alignment is the
+    bits of a word, set where the edits rise or fall from one byte of the segment to
+    the next; all segments go through their windows side by side."""
+    edits, ends = [], []
+    one = np.uint64(1)
+    for x in range(0, len(at), ALIGNED):
+        z = slice(x, x + ALIGNED)
+        seg = flat[at[z, None] + np.arange(SEGMENT)]
+        window = text[lo[z, None] + np.arange(columns)]
+        last = (length[z] - 1).astype(np.uint64)
+        up, down = np.full(len(seg), ~np.uint64(0)), np.zeros(len(seg), np.uint64)
+        now = length[z].astype(np.int64)
+        best, end = now.copy(), np.zeros(len(seg), np.int64)
+        for j in range(columns):
+            same = np.packbits(seg == window[:, j, None], axis=1, bitorder="little").view("<u8")[:, 0]
+            diagonal = (((same & up) + up) ^ up) | same
+            rise, fall = down | ~(diagonal | up), up & diagonal
+            now += ((rise >> last) & one).astype(np.int64) - ((fall >> last) & one).astype(np.int64)
+            better = now < best
+            best[better], end[better] = now[better], j + 1
+            rise, fall, vertical = rise << one, fall << one, same | down
+            up, down = fall | ~(vertical | rise), rise & vertical
+        edits.append(best)
+        ends.append(end)
+    return (np.concatenate(edits), np.concatenate(ends)) if edits else (np.empty(0, np.int64),) * 2
 
 
 def _add(out: dict, item: int, segment: int, edits: int, start: int, end: int) -> None:
@@ -162,62 +188,134 @@ def _find_short(code: np.ndarray, index: Index, out: dict) -> None:
         at += len(w) + 1
 
 
-def _find_piece(code: np.ndarray, base: int, index: Index, out: dict) -> None:
-    """Segments of long items in a piece of a text that starts at ``base``."""
-    place, pos = index.hits(qgram_hashes(code))
-    if not len(place):
+def _dense(band: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Which shared q-grams may lie among ``SHARED`` of two neighbouring bands and
+    one segment's length: counted in hashed cells of a band by ``SEGMENT`` places."""
+    size = 1 << max(12, int(4 * len(band)).bit_length())
+    row = 40_503                                              # cells from one band to the next
+    cell = (band * row + pos // SEGMENT) & (size - 1)
+    n = np.bincount(cell, minlength=size)
+    n += np.roll(n, -row)
+    n += np.roll(n, -1)                                       # two bands by two cells, from each cell on
+    n = np.maximum(n, np.roll(n, row))
+    n = np.maximum(n, np.roll(n, 1))                          # the fullest of those that a cell is in
+    return n[cell] >= SHARED
+
+
+def _regions(keys: np.ndarray, index: Index):
+    """(band, item, first and last segment start, fullest segment) where ``SHARED``
+    keys, band << 32 | place, lie within one segment's length."""
+    span = SEGMENT - Q
+    full = np.flatnonzero(keys[SHARED - 1:] - keys[:len(keys) - SHARED + 1] <= span)
+    low, high = keys[full + SHARED - 1] - span, keys[full]    # starts of segments that hold them
+    new = np.append(True, low[1:] > high[:-1] + 1)            # bands are further apart than that
+    at = np.flatnonzero(new)
+    held = np.searchsorted(keys, high + span, side="right") - full
+    top = np.maximum.reduceat(held << 32 | (high & 0xFFFFFFFF), at) & 0xFFFFFFFF
+    band, a, b = high[at] >> 32, low[at], high[np.append(at[1:], len(full)) - 1]
+    item = np.searchsorted(index.start, high[at] & 0xFFFFFFFF, side="right") - 1
+    origin = index.start[item]
+    free = origin + np.maximum(0, index.length[item] - SEGMENT)
+    a, b = a - (band << 32), b - (band << 32)
+    return band, item, np.clip(a, origin, free), np.clip(b, origin, free), np.clip(top, origin, free)
+
+
+def _find_pieces(pieces: list, index: Index, out: list) -> None:
+    """Segments of long items in pieces of texts, (text, where the piece starts in
+    it, bytes), laid out with gaps that no band and no window bridges."""
+    gap = np.zeros(OVERLAP, np.uint8)
+    code = np.concatenate([x for _, _, c in pieces for x in (c, gap)])
+    starts = np.cumsum([0] + [len(c) + OVERLAP for _, _, c in pieces[:-1]])
+    at, lo, n = index.shared(qgram_hashes(code))
+    total = int(n.sum())
+    if total < SHARED:
         return
+    if total > HITS and (len(pieces) > 1 or len(code) > 5 * OVERLAP):
+        if len(pieces) == 1:
+            t, base, c = pieces[0]
+            half = len(c) // 2
+            pieces = [(t, base, c[:half + OVERLAP]), (t, base + half, c[half:])]
+        _find_pieces(pieces[:len(pieces) // 2], index, out)
+        _find_pieces(pieces[len(pieces) // 2:], index, out)
+        return
+    place, pos = np.repeat(at, n), index.place[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(total)]
     k_max = int(EDITS * SEGMENT)
     # overlapping bands of diagonals, half a band apart: any k + 1 neighbours share one
     band = (place - pos + index.total) // (k_max + 1) + 1     # > 0
-    keys = np.unique(np.concatenate((band << 32 | pos, (band - 1) << 32 | pos)))
-    if len(keys) < SHARED:
-        return
-    # SHARED places of one band within a segment's length
-    full = np.flatnonzero(keys[SHARED - 1:] - keys[:len(keys) - SHARED + 1] <= SEGMENT - Q)
-    if not len(full):
+    near = _dense(band, pos)
+    band, pos = band[near], pos[near]
+    keys = np.sort(np.concatenate((band << 32 | pos, (band - 1) << 32 | pos)))
+    keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+    if len(keys) < SHARED or not (keys[SHARED - 1:] - keys[:len(keys) - SHARED + 1] <= SEGMENT - Q).any():
         return
-    hot = np.zeros(len(keys) + 1, np.int64)
-    np.add.at(hot, full, 1)
-    np.add.at(hot, full + SHARED, -1)
-    keys = keys[np.cumsum(hot[:-1]) > 0]
-    first = np.append(True, np.diff(keys) > 1)                # runs of places that follow each other
-    last = np.append(first[1:], True)
-    done = set()
-    for x, y in zip(keys[first].tolist(), keys[last].tolist()):
-        b, g, h = x >> 32, x & 0xFFFFFFFF, y & 0xFFFFFFFF
-        j = int(np.searchsorted(index.start, g, side="right")) - 1
-        item, origin = index.codes[j], index.start[j]
-        free = max(0, len(item) - SEGMENT)
-        for p in {min(g - origin, free), max(0, min(h - origin + Q - SEGMENT, free))}:
-            if (b, j, p) in done:
-                continue
-            done.add((b, j, p))
-            pattern = item[p:p + SEGMENT]
-            k = int(EDITS * len(pattern))
-            at = (b - 1) * (k_max + 1) - index.total + origin + p     # of the band's first diagonal
-            lo = max(0, at - k)
-            window = code[lo:max(0, at + 2 * (k_max + 1) + len(pattern) + k)]
-            got = banded_edits(pattern, window, k)
-            if got is not None:
-                z = base + lo + got[1]
-                _add(out, index.number[j], p, got[0], max(0, z - len(pattern)), z)
-
-
-def find(text: str | None, index: Index):
-    """{item number: (segments found, least edits, start, end)} over a whole text."""
-    out: dict = {}
-    if not text or not index.items:
+    band, item, a, b, p = _regions(keys, index)
+    margin = 4 * SEGMENT
+    text = np.concatenate([np.zeros(margin, np.uint8), code, np.zeros(margin, np.uint8)])
+    columns = SEGMENT + 2 * (k_max + 1) + 2 * k_max
+
+    def edits(r, p):
+        """Edits, budget, length and end in the layout of the segments at ``p`` in the regions ``r``."""
+        length = np.minimum(index.length[item[r]], SEGMENT)
+        first = (band[r] - 1) * (k_max + 1) - index.total + p                 # of the band's first diagonal
+        left = np.clip(first - k_max + margin, 0, len(text) - columns)
+        which = np.unique(index.classes[p] * len(text) + left, return_index=True, return_inverse=True)
+        got, end = align(index.flat, p[which[1]], length[which[1]], text, left[which[1]], columns)
+        return got[which[2]], (EDITS * length).astype(np.int64), length, left + end[which[2]] - margin
+
+    def found(r, p, e, length, end):
+        where = np.searchsorted(starts, end - 1, side="right") - 1
+        for w, j, q, x, m, z in zip(where.tolist(), item[r].tolist(), p.tolist(), e.tolist(), length.tolist(), (end - starts[where]).tolist()):
+            t, base, c = pieces[w]
+            z = base + min(z, len(c))
+            _add(out[t], index.number[j], q - int(index.start[j]), x, max(0, z - m), z)
+
+    r = np.arange(len(band))
+    lo, hi = a, b                                             # starts that are still open
+    while len(r):
+        e, k, length, end = edits(r, p)
+        ok = e <= k
+        found(r[ok], p[ok], e[ok], length[ok], end[ok])
+        if ok.any():                                          # where the found region begins and ends
+            ends = np.concatenate((r[ok], r[ok])), np.concatenate((a[r[ok]], b[r[ok]]))
+            e2, k2, length2, end2 = edits(*ends)
+            also = e2 <= k2
+            found(ends[0][also], ends[1][also], e2[also], length2[also], end2[also])
+        r, p, lo, hi, over = r[~ok], p[~ok], lo[~ok], hi[~ok], (e - k)[~ok]
+        r, lo, hi = np.concatenate((r, r)), np.concatenate((lo, p + over)), np.concatenate((p - over, hi))
+        some = lo <= hi
+        r, lo, hi = r[some], lo[some], hi[some]
+        p = (lo + hi) // 2
+
+
+def find_all(texts: list, index: Index) -> list[dict]:
+    """{item number: (segments found, least edits, start, end)} over each whole text."""
+    out: list[dict] = [{} for _ in texts]
+    if not index.items:
         return out
-    code = compared(text)
-    if index.short:
-        _find_short(code, index, out)
-    if len(index.h):
+    pieces, size = [], 0
+    for k, text in enumerate(texts):
+        code = compared(text) if text else ()
+        if index.short and len(code):
+            _find_short(code, index, out[k])
+        if len(code) < Q or not len(index.h):
+            continue
         for base in range(0, max(1, len(code) - OVERLAP), PIECE - OVERLAP):
-            _find_piece(code[base:base + PIECE], base, index, out)
+            piece = code[base:base + PIECE]
+            if pieces and size + len(piece) > PIECE:
+                _find_pieces(pieces, index, out)
+                pieces, size = [], 0
+            pieces.append((k, base, piece))
+            size += len(piece)
+    if pieces:
+        _find_pieces(pieces, index, out)
     return out
 
 
+def find(text: str | None, index: Index) -> dict:
+    """``find_all`` of one text."""
+    return find_all([text], index)[0]
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
     """The benchmark as lists of (id, text) of bounded size."""
     rows = benchmark.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).where("t IS NOT NULL")
@@ -241,8 +339,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         index = Index(items)
 
         def rows(part, index=index):
-            found = [(i, index.items[k], len(v[0]), *v[1:]) for t, i in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
-                     for k, v in sorted(find(t, index).items())]
+            found = [(i, index.items[k], len(v[0]), *v[1:])
+                     for i, got in zip(part.column(1).to_pylist(), find_all(part.column(0).to_pylist(), index))
+                     for k, v in sorted(got.items())]
             if found:
                 yield dict(zip(schema.names, zip(*found)))
 
@@ -256,5 +355,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
     stay; decided row by row, without a join)."""
     for items in _blocks(benchmark, item_col, item_text):
         index = Index(items)
-        docs = keep_rows(docs, text_col, lambda texts, index=index: [not find(t, index) for t in texts])
+        docs = keep_rows(docs, text_col, lambda texts, index=index: [not got for got in find_all(texts, index)])
     return docs

@@ -171,8 +171,93 @@ def test_edits_within_the_budget_are_found():
             t[10 + k * (180 // max(1, edits))] = "x"
         assert bool(D.find("before it " + "".join(t) + " after it", index)) is found
     assert D.find(item[50:160].upper().replace(" ", " ,\n"), index)          # a part, other case and marks
-    assert D.banded_edits(np.frombuffer(b"kitten", np.uint8), np.frombuffer(b"xxsittingxx", np.uint8), 3)[0] == 2
-    assert D.banded_edits(np.frombuffer(b"kitten", np.uint8), np.frombuffer(b"zzzzzzzz", np.uint8), 3) is None
+
+
+def _plain_edits(seg, window):
+    """Least edits of ``seg`` against any part of ``window``, row by row."""
+    row, window = np.zeros(len(window) + 1, np.int64), np.asarray(window)
+    for i, c in enumerate(seg, 1):
+        new = np.concatenate(([i], np.minimum(row[:-1] + (window != c), row[1:] + 1)))
+        step = np.arange(len(new))
+        row = np.minimum.accumulate(new - step) + step                      # bytes of the text that the segment lacks
+    return int(row.min()), int(row.argmin())
+
+
+def test_alignment_against_a_plain_table():
+    rng = np.random.default_rng(4)
+    flat = rng.integers(97, 100, 900).astype(np.uint8)
+    text = np.concatenate([rng.integers(97, 100, 200), flat[300:500], rng.integers(97, 100, 200)]).astype(np.uint8)
+    at, lo = rng.integers(0, 800, 60), rng.integers(0, len(text) - 106, 60)
+    at[:20], lo[:20] = 320 + np.arange(20), 200 + np.arange(20)              # some that fit
+    length = np.where(np.arange(60) % 3, 64, rng.integers(40, 64, 60))
+    edits, end = D.align(flat, at, length, text, lo, 106)
+    want = [_plain_edits(flat[p:p + m].tolist(), text[x:x + 106].tolist()) for p, m, x in zip(at, length, lo)]
+    assert list(zip(edits.tolist(), end.tolist())) == want and want[1][0] == 0
+
+
+def _edited(passage, edits, rng):
+    t = list(passage)
+    for at in rng.sample(range(len(t)), edits):
+        t[at] = rng.choice([c for c in "abcdefghijklmnopqrstuvwxyz" if c != t[at]])
+    return "".join(t)
+
+
+def test_random_edits_in_a_passage_of_one_segment():
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    items = ["".join(rng.choice(letters) for _ in range(200)) for _ in range(20)]
+    index = D.Index(list(enumerate(items)))
+
+    def caught(edits):
+        n = 0
+        for _ in range(400):
+            k, at = rng.randrange(20), rng.randrange(137)
+            n += k in D.find("".join(rng.choice(letters) for _ in range(99)) + _edited(items[k][at:at + 64], edits, rng) + "0" * 99, index)
+        return n / 400
+
+    assert caught(0) == caught(4) == caught(7) == 1.0                        # by the lemma
+    assert caught(10) >= 0.97
+    assert caught(30) <= 0.01
+
+
+def test_found_segments_against_every_alignment():
+    """Every (text, item) with a segment of at most 7 edits is found, none without one of at most 10."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.choice([3, 5, 7]))) for _ in range(60)]
+    items = [" ".join(rng.choice(vocabulary) for _ in range(16)) for _ in range(4)]
+    index = D.Index(list(enumerate(items)))
+    for k in range(12):
+        item = items[k % 4]
+        text = " ".join(rng.choice(vocabulary) for _ in range(12)) + " " + _edited(item[5:75], 3 * (k // 4) + k % 3, rng)
+        got = D.find(text, index)
+        for j, t in enumerate(items):
+            code, seg = D.compared(text).tolist(), D.compared(t)
+            least = min(_plain_edits(seg[p:p + 64].tolist(), code)[0] for p in range(0, len(seg) - 63))
+            assert (j in got) or least > 7
+            assert (j not in got) or least <= got[j][1] <= 10
+
+
+def test_items_that_share_a_prompt_are_aligned_once():
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    prompt = "".join(rng.choice(letters) for _ in range(64))
+    items = [prompt + "".join(rng.choice(letters) for _ in range(60)) for _ in range(3000)]
+    index = D.Index(list(enumerate(items)))
+    got = D.find("x" * 50 + prompt + "y" * 90, index)
+    assert len(got) == 3000 and all(v[1] == 0 for v in got.values())
+    repeated = D.Index([(1, "la " * 60), (2, items[0])])                     # a syllable over and over
+    assert list(D.find("la " * 3000, repeated)) == [0]
+
+
+def test_pieces_are_halved_where_many_places_are_shared(monkeypatch):
+    rng = random.Random(6)
+    item = "".join(rng.choice("abc ") for _ in range(300))
+    index = D.Index([(1, item)])
+    text = " ".join("".join(rng.choice("abc ") for _ in range(900)) + item[k * 20:k * 20 + 100] for k in range(8))
+    want = D.find(text, index)
+    monkeypatch.setattr(D, "HITS", 50)
+    got = D.find(text, index)
+    assert list(got) == list(want) == [0] and got[0][1:] == want[0][1:]
 
 
 def test_passages_are_found_at_any_offset_and_with_replaced_words():

@@ -17,8 +17,9 @@ Defined cases: vectors that are null or hold a null or non-finite component
 take no part, nor do rows with a null id; vectors are only compared with
 vectors of the same length; repeated rows are candidates of their own; a
 query id that occurs with several vectors asks with the smallest; rows with
-the query's own id are not its candidates; scaled components are limited
-to ``+-2**31 / sqrt(2 * length)``, which keeps scores within a long; with
+the query's own id are not its candidates; finite components of any size are
+scored exactly (pairs that could leave 64 bits in Python integers), a score
+beyond ``+-LIMIT`` counts as that; with
 fewer than k candidates all are returned; an empty table gives no rows;
 extra columns are not carried.
 """
@@ -39,6 +40,13 @@ SCALE = 256
 QUERY_BLOCK = 8192
 SUB_BLOCK = 512
 BINS = 512
+LIMIT = 2 ** 63 - 2        # scores are longs
+
+
+def _floor(x: np.ndarray) -> np.ndarray:
+    """floor(256 * x); 256 * x is exact but for the largest doubles, which stay finite."""
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(SCALE * x), -np.finfo(np.float64).max, np.finfo(np.float64).max)
 
 
 def scaled(vectors) -> list:
@@ -52,8 +60,7 @@ def scaled(vectors) -> list:
         if not np.isfinite(x).all():
             out.append(None)
             continue
-        limit = np.floor(2.0 ** 31 / np.sqrt(2.0 * len(x)))
-        out.append(np.clip(np.floor(SCALE * x), -limit, limit))
+        out.append(_floor(x))
     return out
 
 
@@ -75,16 +82,27 @@ def _fast_rows(batch) -> dict:
         if n[0] > 0 and (n == n[0]).all() and not flat.null_count:
             m = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, n[0])
             ok = np.isfinite(m).all(axis=1)
-            limit = np.floor(2.0 ** 31 / np.sqrt(2.0 * n[0]))
-            return {int(n[0]): (ids.to_numpy(zero_copy_only=False)[ok], np.clip(np.floor(SCALE * m[ok]), -limit, limit))} if ok.any() else {}
+            return {int(n[0]): (ids.to_numpy(zero_copy_only=False)[ok], _floor(m[ok]))} if ok.any() else {}
     return _by_length(ids.to_pylist(), vec.to_pylist())
 
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact integer inner products (as float64 when all of them fit)."""
-    if len(q) and len(c) and np.abs(q).max() * np.abs(c).max() * q.shape[1] >= 2.0 ** 53:
-        return q.astype(np.int64) @ c.astype(np.int64).T
-    return (q @ c.T).astype(np.int64)
+    if not len(q) or not len(c):
+        return np.zeros((len(q), len(c)), np.int64)
+    big_q, big_c = np.abs(q).max(axis=1), np.abs(c).max(axis=1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        if big_q.max() * big_c.max() * q.shape[1] < 2.0 ** 53:
+            return (q @ c.T).astype(np.int64)
+        out = _int64(q) @ _int64(c).T                             # exact where no term leaves 64 bits
+        wide = np.outer(big_q, big_c) * q.shape[1] >= 2.0 ** 62
+    for i, j in zip(*(x.tolist() for x in np.nonzero(wide))):
+        out[i, j] = max(-LIMIT, min(LIMIT, sum(int(a) * int(b) for a, b in zip(q[i].tolist(), c[j].tolist()))))
+    return out
+
+
+def _int64(x: np.ndarray) -> np.ndarray:
+    return np.clip(x, -2.0 ** 62, 2.0 ** 62).astype(np.int64)
 
 
 class Block:
@@ -121,10 +139,11 @@ def _histogram(rows: DataFrame, block: Block, k: int) -> DataFrame:
                 for a in range(0, len(q), SUB_BLOCK):
                     z = slice(a, a + SUB_BLOCK)
                     s = _scores(q[z], c)
-                    at = (s - block.lo[n][z, None]) // block.width[n][z, None]
-                    ok = (at >= 0) & (s < block.end[n][z, None]) & (q_ids[z, None] != ids[None, :]) & block.open[n][z, None]
+                    ok = (s >= block.lo[n][z, None]) & (s < block.end[n][z, None])
+                    at = (s.view(np.uint64) - block.lo[n][z, None].view(np.uint64)) // block.width[n][z, None].view(np.uint64)
+                    ok &= (q_ids[z, None] != ids[None, :]) & block.open[n][z, None]
                     row = np.nonzero(ok)[0]
-                    total[n][z] += np.bincount(row * BINS + at[ok], minlength=s.shape[0] * BINS).reshape(-1, BINS)
+                    total[n][z] += np.bincount(row * BINS + at[ok].astype(np.int64), minlength=s.shape[0] * BINS).reshape(-1, BINS)
         for n, t in total.items():
             best = np.cumsum(t[:, ::-1], axis=1)[:, ::-1]             # scores in this bin or above
             useful = (t > 0) & (best - t < k)                          # down to the task's own k-th score
@@ -140,10 +159,12 @@ def _select(rows: DataFrame, block: Block, bounds: dict, k: int) -> None:
     """Shrink every query's range to the one score that is its k-th best; queries
     with fewer than k candidates keep a range below all scores."""
     for n, (_, q) in block.rows.items():
-        reach = np.ceil(np.linalg.norm(q, axis=1) * bounds.get(n, 0.0)).astype(np.int64) + 1
-        block.lo[n] = -reach
-        block.end[n] = reach + 1
-        block.width[n] = np.maximum(1, -(-(2 * reach + 1) // BINS))
+        with np.errstate(over="ignore", invalid="ignore"):
+            reach = np.nan_to_num(np.linalg.norm(q, axis=1) * bounds.get(n, 0.0), nan=0.0, posinf=2.0 ** 63) * (1 + 1e-9)
+        reach = [min(LIMIT, int(x) + 2) for x in np.minimum(reach, 2.0 ** 63)]
+        block.lo[n] = np.array([-x for x in reach], np.int64)
+        block.end[n] = np.array([x + 1 for x in reach], np.int64)
+        block.width[n] = np.array([max(1, -(-(2 * x + 1) // BINS)) for x in reach], np.int64)
     while True:
         below = Window.partitionBy("dim", "query").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
         hist = _histogram(rows, block, k).withColumn("better", F.coalesce(F.sum("count").over(below), F.lit(0)))
@@ -159,8 +180,8 @@ def _select(rows: DataFrame, block: Block, bounds: dict, k: int) -> None:
                     block.width[n][j], block.open[n][j] = 1, False
                     continue
                 block.above[n][j] += hit["better"]
-                block.lo[n][j] += hit["bin"] * block.width[n][j]
-                block.end[n][j] = min(block.end[n][j], block.lo[n][j] + block.width[n][j])
+                block.lo[n][j] = int(block.lo[n][j]) + hit["bin"] * int(block.width[n][j])
+                block.end[n][j] = min(int(block.end[n][j]), int(block.lo[n][j]) + int(block.width[n][j]))
                 if block.width[n][j] == 1:
                     block.open[n][j] = False
                 else:
@@ -207,9 +228,8 @@ def top_k(rows: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col
     spark = rows.sparkSession
     src = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(id_col), F.col(f"`{vec_col}`").alias("vec"))
     queries = src.where(is_query).where(F.col("vec").isNotNull())
-    limit = F.floor(F.lit(2.0 ** 31) / F.sqrt(2.0 * F.size("vec")))                     # as in ``scaled``
-    part = lambda x: F.least(F.greatest(F.floor(x.cast("double") * SCALE), -limit), limit).cast("double")
-    norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + part(x) * part(x))
+    # at least |floor(256 * x)|, squared
+    norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + (F.abs(x.cast("double")) * SCALE + 1) * (F.abs(x.cast("double")) * SCALE + 1))
     usable = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     longest = src.where(F.col("vec").isNotNull()).where(usable).groupBy(F.size("vec").alias("dim")).agg(F.max(norm).alias("n"))
     bounds = {r["dim"]: float(np.sqrt(r["n"])) for r in longest.collect()}              # one row per vector length

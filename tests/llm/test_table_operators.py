@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,14 +57,21 @@ def test_topk_ties_nulls_and_repeats(spark):
     assert K.top_k(df.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
-def test_topk_with_one_finite_outlier(spark):
+@pytest.mark.parametrize("far", [1e6, 1e13, -1e13, 1e18, 1e308])
+def test_topk_with_finite_outliers(spark, far):
     rng = random.Random(6)
-    rows = [(i, [rng.uniform(-1, 1) for _ in range(64)]) for i in range(120)]
-    far = (1001, [1e18] + [0.0] * 63)
-    df = spark.createDataFrame([*rows, far], "vec_id long, embedding array<double>").repartition(3)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(16)]) for i in range(120)]
+    rows += [(1001, [far] + [0.5] * 15), (1050, [1.0, -far] + [0.25] * 14)]       # a candidate and a query
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     got = sorted(map(tuple, K.top_k(df, F.col("vec_id") % 50 == 0, 5).collect()))
-    limit = int(2.0 ** 31 / 128 ** 0.5)                      # what a scaled component is limited to
-    assert got == _brute_topk([*rows, (1001, [limit / 256] + [0.0] * 63)], 5)
+    big = 2.0 ** 1023 * (2 - 2.0 ** -52)
+    scaled = [(i, [int(min(big, max(-big, float(np.floor(np.float64(256) * x))))) for x in e]) for i, e in rows]
+    want = []
+    for q, e in scaled:
+        if q % 50 == 0:
+            s = sorted((-max(-K.LIMIT, min(K.LIMIT, sum(a * b for a, b in zip(e, c)))), i) for i, c in scaled if i != q)[:5]
+            want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(s)]
+    assert got == sorted(want)
 
 
 # -- chat -------------------------------------------------------------------
@@ -192,6 +200,25 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_by_salted_joins(spark, monkeypatch):
+    rng = random.Random(9)
+    links = [(0, k) for k in range(1, 200)] + [(k, k + 1000) for k in range(0, 200, 3)] + [(rng.randrange(5000, 5300), rng.randrange(5000, 5300)) for _ in range(150)]
+    root = {i: i for x in links for i in x}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    monkeypatch.setattr("custlens.llm.common.BROADCAST_ROWS", 0)
+    got = {r["id"]: r["component_id"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    linked = {i for a, b in links if a != b for i in (a, b)}
+    assert got == {i: find(i) for i in linked}
+
+
 def test_lookup_both_ways(spark, monkeypatch):
     left = spark.createDataFrame([("a",)] * 5 + [("b",), (None,)], "k string")
     table = spark.createDataFrame([("a", 1), ("c", 2)], "k string, v int")

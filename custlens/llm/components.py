@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, lookup
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,22 +15,24 @@ def components(links: DataFrame) -> DataFrame:
     Large-star / small-star rounds: every round replaces the links by links
     to the smallest neighbour, so stars form in about log(diameter) rounds;
     each round is two grouped minima and is checkpointed.  Minima are
-    combined before the shuffle, so a node with very many links is one row
-    per task.  The loop ends when a round changes nothing."""
+    combined before the shuffle and meet the links by a counted broadcast or a
+    salted join, so a node with very many links is no task of its own.  The
+    loop ends when a round changes nothing."""
     e = links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct()
     e = cut_lineage(e)
     while True:
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         # large star: every larger neighbour of u now points to u's smallest neighbour
-        large = (both.join(low, "u").where("v > u")
+        large = (lookup(both.where("v > u"), low, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.where("m < u").select("u", F.col("m").alias("v")))
                  .where("u > v").distinct())
+        large = cut_lineage(large)
         # small star: every smaller neighbour of u points to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("lo < hi")
+        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = (lookup(large, least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("lo < hi")
                  .unionByName(least.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).distinct())
         nxt = cut_lineage(small)
         if nxt.count() == e.count() and nxt.join(e, ["lo", "hi"], "left_anti").isEmpty():

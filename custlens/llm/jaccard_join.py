@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, WordHash, cut_lineage, fresh_name, map_rows, mix64, only, ship_by_value, slices, words
+from .common import BROADCAST_ROWS, Scratch, WordHash, cut_lineage, fresh_name, map_rows, mix64, only, ship_by_value, slices, words
 from .components import components
 
 ship_by_value(__name__)
@@ -182,8 +182,14 @@ def _token_rows(reps: DataFrame, rarity: np.ndarray) -> DataFrame:
 
 def _matrix(texts: DataFrame, home: DataFrame, rarity: np.ndarray) -> DataFrame:
     """(token, grp, range of set sizes, best places, star): deciding tokens that
-    several documents share, per group."""
-    tokens = _token_rows(texts, rarity)
+    several representatives share, per group.  Copies go before tokens are
+    counted: with their texts when the ids can be broadcast, else with their
+    token rows, which are narrower to shuffle."""
+    ids = home.select("id")
+    if ids.count() <= BROADCAST_ROWS:
+        tokens = _token_rows(texts.join(F.broadcast(ids), "id", "left_semi"), rarity)
+    else:
+        tokens = _token_rows(texts, rarity).join(ids, "id", "left_semi")
     shared = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1").drop("df")
     return shared.join(home, "id").groupBy("token", "grp").agg(
         F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.max("pos").alias("pos"),

@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from ..session import cut_lineage
 
-SALTS = 16      # copies of a code table that is too large to broadcast
+SALTS = 16              # copies of the code of a value with many rows, where the code table is too large to broadcast
+MANY_ROWS = 100_000     # rows of one value from which it is dealt over SALTS tasks
 
 
 def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "",
@@ -58,7 +60,6 @@ def dense_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
     sorted order.  Values are cut into ranges (a range partitioning of the
     distinct values); positions are numbered inside a range and shifted by the
     counted sizes of the ranges before it, so no task sorts all values."""
-    from ..session import cut_lineage
     values = df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
     # written once: the ranges must not change between the counting and the numbering
     ranged = cut_lineage(values.repartitionByRange("__v").withColumn("__range", F.spark_partition_id()))
@@ -70,15 +71,23 @@ def dense_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
 
 
 def with_codes(df: DataFrame, codes: DataFrame, col: str) -> DataFrame:
-    """Left join of a code table.  A counted small table is broadcast; of a larger
-    one every value is held ``SALTS`` times and rows pick a copy by their task,
-    so a value with a great share of the rows meets its code in as many tasks."""
+    """Left join of a code table.  A counted small table is broadcast; a larger one
+    is shuffled, never broadcast on an estimate.  Only values with more than
+    ``MANY_ROWS`` rows are held ``SALTS`` times (there are at most rows /
+    ``MANY_ROWS`` of them): their rows, and rows without a value, pick a copy by
+    their task, so a value with a great share of the rows meets its code in as
+    many tasks."""
     codes = codes.withColumnRenamed(col, "__v")
     if codes.count() <= DEFAULT_BROADCAST_ROWS:
         return df.join(F.broadcast(codes), F.col(col) == F.col("__v"), "left").drop("__v")
-    left = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    right = codes.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, (F.col(col) == F.col("__v")) & (F.col("__salt") == F.col("__copy")), "left").drop("__v", "__salt", "__copy")
+    many = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__m")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > MANY_ROWS)
+    many = F.broadcast(cut_lineage(many.select("__m")))
+    own = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    left = df.join(many, F.col(col) == F.col("__m"), "left").withColumn(
+        "__salt", F.when(F.col(col).isNull() | F.col("__m").isNotNull(), own).otherwise(0)).drop("__m")
+    right = codes.join(many, F.col("__v") == F.col("__m"), "left").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0), F.when(F.col("__m").isNotNull(), SALTS - 1).otherwise(0)))).drop("__m")
+    return left.join(right.hint("merge"), (F.col(col) == F.col("__v")) & (F.col("__salt") == F.col("__copy")), "left").drop("__v", "__salt", "__copy")
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

@@ -293,6 +293,21 @@ def test_codes_of_many_values_in_ranges_and_salted(spark, monkeypatch):
     assert encode.label_encode(df.limit(0), "c").count() == 0
 
 
+def test_large_code_table_is_shuffled_and_only_frequent_values_are_copied(spark, monkeypatch):
+    """The planner takes a code table of many short values for small: it must not send it whole."""
+    from custlens.operators import encode
+    monkeypatch.setattr(encode, "DEFAULT_BROADCAST_ROWS", 10)
+    monkeypatch.setattr(encode, "MANY_ROWS", 50)
+    values = [f"v{i:03d}" for i in range(200)] + ["hot"] * 120 + [None] * 9
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, c string").repartition(6)
+    order = {v: k for k, v in enumerate(sorted({v for v in values if v is not None}))}
+    codes = encode.dense_codes(df, "c", "code")
+    out = encode.with_codes(df, codes, "c")
+    assert sorted((r.id, r.code) for r in out.collect()) == [(i, order.get(v)) for i, v in enumerate(values)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == plan.count("SortMergeJoin [c") > 0
+
+
 def test_wide_one_hot_entries_and_vectors(spark):
     from custlens.operators import encode
     rows = [(1, "b", "x"), (2, "a", None), (3, None, "y"), (4, "c", "x"), (5, None, None)]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import encode, explain, metrics, models
 from ..session import cut_lineage
 from ..sources import io
+from ..sources.tables import read
 from .features_plans import FEATURES_RAW_SQL, _features, raw_features
 from .registry import plan, rnd, rsql
 
@@ -27,6 +28,13 @@ BASE_FEATS = ["total_assets", "deposit_balance", "financial_balance", "fund_bala
 TRAIN_END = "1999-06"
 XGB_ROUNDS = 100       # the XGBoost preset's rounds
 KEYS = ["customer_id", "stat_month"]
+SMALL_PART, PARTS, GREAT_PART = 10_000, 24, 200_000      # rows of a partition of the model input: about the least, up to so many, and the most
+
+
+def partitions(rows: int) -> int:
+    """Partitions of the model input: boosting passes over it hundreds of times, so
+    their number goes by the rows alone, not by those of the shuffle before."""
+    return max(1, min(-(-rows // SMALL_PART), PARTS), -(-rows // GREAT_PART))
 
 
 def model_frame(spark, sf):
@@ -70,7 +78,10 @@ def _once(spark, sf, what, make):
 def _data(spark, sf):
     def make():
         df, names = model_frame(spark, sf)
-        return df.select(*KEYS, "label", "features", *names).cache(), names
+        parts = partitions(read(spark, sf, "orders").count())        # a customer-month has one order at least
+        # ordered, so that row samples are drawn from the same places in every run
+        df = df.select(*KEYS, "label", "features", *names).repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
+        return df.cache(), names
 
     df, names = _once(spark, sf, "data", make)
     return df.where(F.col("stat_month") <= TRAIN_END), df.where(F.col("stat_month") > TRAIN_END), names

@@ -92,3 +92,18 @@ def test_contributions_are_not_shuffled(spark):
         p = _plan(spark, name)
         # the means and deviations read the features once more
         assert p.count("Exchange hash") <= 2 * features
+
+
+def test_model_input_has_partitions_by_its_rows(spark, tmp_path):
+    """Boosting passes over the model input hundreds of times: not over the partitions of the last shuffle."""
+    from custlens.plans import model_plans as mp
+    spark.createDataFrame([(1, "EU")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(1, "N", 1)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(i, f"c{i}", 1, 1.0 * i, "AB"[i % 2]) for i in range(20)],
+                          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("""SELECT id AS o_orderkey, id % 20 AS o_custkey, 'O' AS o_orderstatus, 1000.0D * (id % 700) AS o_totalprice,
+        CAST(add_months(DATE'1998-06-15', CAST(id / 20 AS INT)) AS TIMESTAMP) AS o_orderdate, '1-URGENT' AS o_orderpriority
+        FROM range(400)""").write.parquet(f"{tmp_path}/orders.parquet")
+    train, test, _ = mp._data(spark, str(tmp_path))
+    assert train.rdd.getNumPartitions() == 1 and train.count() == 260 and test.count() == 80
+    assert [mp.partitions(n) for n in (0, 1, 10_001, 300_000, 9_000_000)] == [1, 1, 2, 24, 45]

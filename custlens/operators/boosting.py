@@ -3,7 +3,7 @@
 Feature values become bins once (split points from Spark's quantile
 sketch).  Every level of a round is one Spark job over the binned rows
 (several rounds are one where the counted rows are few enough for a single
-task; the trees are the same): tasks add the gradients of (model, node, feature, bin), Spark brings the
+task, or one task a model; the trees are the same): tasks add the gradients of (model, node, feature, bin), Spark brings the
 partial histograms of a node together, and the node's best split comes back
 — a few numbers per node, whatever the number of rows.  The models of a
 cross-validation share these passes: a row counts for every model but the
@@ -72,13 +72,16 @@ class Tree:
     def nodes(self, bins: np.ndarray, levels: int) -> np.ndarray:
         """Node of every row after at most ``levels`` splits."""
         at = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
         for _ in range(levels):
-            f = self.feature[at]
-            down = 2 * at + 1 + (bins[rows, np.maximum(f, 0)] > self.cut[at])
-            at = np.where(f >= 0, down, at)
+            at = self.step(bins, at)
         return at
 
+    def step(self, bins: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Nodes one split below ``at``; leaves stay."""
+        f = self.feature[at]
+        down = 2 * at + 1 + (bins[np.arange(len(bins)), np.maximum(f, 0)] > self.cut[at])
+        return np.where(f >= 0, down, at)
+
     def __eq__(self, other) -> bool:
         return all(np.array_equal(a, b) for a, b in zip(vars(self).values(), vars(other).values()))
 
@@ -174,19 +177,28 @@ class _Rows:
         self.bins, self.margin = _matrices(b, n_features, models)
         _add(self.margin, self.bins, pending, depth)
         self.y, self.held, self.row = b.column("y").to_numpy(), b.column("held").to_numpy(), b.column("row").to_numpy()
+        self.columns, self.at = np.ascontiguousarray(self.bins.T), {}
+
+    def node(self, m: int, tree: Tree, level: int) -> np.ndarray:
+        """Nodes of the rows in the growing tree of model ``m``, from those of the level before where they are known."""
+        of, known, at = self.at.get(m, (None, 0, None))
+        if of is not tree or known > level:
+            known, at = 0, np.zeros(len(self.bins), np.int64)
+        for _ in range(level - known):
+            at = tree.step(self.bins, at)
+        self.at[m] = tree, level, at
+        return at
 
 
-def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list, level: int, round_no: int, width: int) -> dict:
-    """{(model, node): sums} of the open nodes of a level: gradients and hessians by
-    feature and bin; at level 0 also node -1, the loss and number of the
-    held-out rows."""
+def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list, level: int, round_no: int, width: int, left: bool = False) -> dict:
+    """{(model, node): sums} of the open nodes of a level (``left``: of left children
+    alone): gradients and hessians by feature and bin; at level 0 also node -1, the
+    loss and number of the held-out rows."""
     columns = _round_columns(p, n_features, round_no)
     first, nodes = 2 ** level - 1, 2 ** level
-    place = (np.arange(len(columns)) * width).astype(np.int64)
     sums = np.zeros((models, 2, nodes, len(columns) * width))
     loss = np.zeros((models, 2))
     for rows in parts:
-        at_bin = rows.bins[:, columns] + place
         sampled = _in_sample(rows.row, p.seed * 100_003 + round_no, p.row_share)
         for m in range(models):
             z = rows.margin[:, m]
@@ -195,11 +207,14 @@ def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list,
             if level == 0 and out.any():
                 each = np.logaddexp(0.0, np.where(rows.y[out] > 0.5, -z[out], z[out]))
                 loss[m] += np.rint(each * POINT).sum(), out.sum()
-            node = growing[m].nodes(rows.bins, level)
-            use = np.flatnonzero(sampled & ~out & (node >= first))
-            at = (at_bin[use] + ((node[use] - first) * len(columns) * width)[:, None]).ravel()
-            for k, v in enumerate((prob - rows.y, prob * (1.0 - prob))):
-                sums[m, k] += np.bincount(at, np.repeat(np.rint(v[use] * POINT), len(columns)), minlength=sums[m, k].size).reshape(nodes, -1)
+            node = rows.node(m, growing[m], level)
+            use = np.flatnonzero(sampled & ~out & (node >= first) & (node % 2 == 1 if left and level else True))
+            start = (node[use] - first) * width
+            each = [np.rint(v[use] * POINT) for v in (prob - rows.y, prob * (1.0 - prob))]
+            for j, c in enumerate(columns):
+                at = start + rows.columns[c][use]
+                for k in (0, 1):
+                    sums[m, k, :, j * width:(j + 1) * width] += np.bincount(at, each[k], minlength=nodes * width).reshape(nodes, width)
     got = {(m, -1): loss[m].astype("<i8") for m in range(models) if loss[m, 1]}
     for m in range(models):
         for n in np.flatnonzero(sums[m, 1].any(axis=1)):
@@ -289,26 +304,64 @@ TREES = T.StructType([T.StructField("round", T.IntegerType()), T.StructField("mo
                       T.StructField("feature", T.BinaryType()), T.StructField("cut", T.BinaryType()), T.StructField("value", T.BinaryType())])
 
 
+def _open_nodes(growing: list, level: int) -> list:
+    """(model, node) of a level that a split leads to; at level 0 the loss as node -1 too."""
+    if not level:
+        return [(m, n) for m in range(len(growing)) for n in (-1, 0)]
+    return [(m, n) for m, t in enumerate(growing) for n in range(2 ** level - 1, 2 ** (level + 1) - 1) if t.feature[(n - 1) // 2] >= 0]
+
+
 def _some_rounds(rows: DataFrame, n_features: int, models: int, p: Boosting, rounds: range, width: int) -> list:
     """[(loss before the round, trees)] of a few rows: with nothing to exchange, one
-    task runs the same steps for several rounds."""
+    task runs the same steps for several rounds, or one a model where no loss over
+    all models is watched.  Of two siblings the left one is counted, the other one
+    is the rest of their parent."""
+    apart = models > 1 and p.patience is None
+    names = ["y", "held", "row", "bins", "margin"]
+
+    def one_model(key, table):
+        m = key[0].as_py()
+        margin = np.frombuffer(b"".join(table.column("margin").to_pylist()), float).reshape(table.num_rows, models)[:, m]
+        held = np.where(table.column("held").to_numpy() == m, 0, -1)
+        own = [*(table.column(c) for c in names[:1]), pa.array(held, pa.int32()), *(table.column(c) for c in names[2:4]),
+               pa.array([x.tobytes() for x in margin], pa.binary())]
+        return pa.Table.from_batches(grown(pa.table(own, names=names).to_batches(10_000), 1, m), pa_trees)
+
     def run(batches):
-        parts = [_Rows(b, n_features, models, [], p.depth) for b in batches]
+        return grown(batches, models, 0)
+
+    def grown(batches, models, number):
+        parts = [_Rows(b, n_features, models, [], p.depth) for b in batches if b.num_rows]
         for r in rounds:
-            growing, loss = [Tree.empty(p.depth) for _ in range(models)], None
+            growing, loss, above = [Tree.empty(p.depth) for _ in range(models)], None, {}
+            columns = _round_columns(p, n_features, r)
             for level in range(p.depth):
-                got = _best_splits(_histograms(parts, n_features, models, p, growing, level, r, width), _round_columns(p, n_features, r), p)
+                keys = _open_nodes(growing, level)
+                sums = _histograms(parts, n_features, models, p, growing, level, r, width, left=True)
+                for m, n in keys if level else ():
+                    if n % 2 == 0:
+                        rest = above[m, (n - 1) // 2] - sums[m, n - 1] if (m, n - 1) in sums else above[m, (n - 1) // 2]
+                        if rest[len(rest) // 2:].any():
+                            sums[m, n] = rest
+                got, above = _best_splits(sums, columns, p), sums
                 loss = _mean_loss(got) if level == 0 else loss
                 if not _grow(growing, got, p):
                     break
             for x in parts:
-                _add(x.margin, x.bins, [growing], p.depth)
+                for m, t in enumerate(growing):
+                    x.margin[:, m] += t.value[x.node(m, t, p.depth)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r] * models, pa.int32()), pa.array(range(models), pa.int32()), pa.array([loss] * models, pa.float64()),
-                 *(pa.array([getattr(t, c).tobytes() for t in growing], pa.binary()) for c in ("feature", "cut", "value"))], names=TREES.fieldNames())
-
+                [pa.array([r] * models, pa.int32()), pa.array(range(number, number + models), pa.int32()), pa.array([loss] * models, pa.float64()),
+                 *(pa.array([getattr(t, c).tobytes() for t in growing], pa.binary()) for c in ("feature", "cut", "value"))], schema=pa_trees)
+
+    pa_trees = pa.schema([("round", pa.int32()), ("model", pa.int32()), ("loss", pa.float64()),
+                          *((c, pa.binary()) for c in ("feature", "cut", "value"))])
+    if apart:
+        trained = rows.crossJoin(rows.sparkSession.range(models).withColumnRenamed("id", "number")).groupBy("number").applyInArrow(one_model, TREES)
+    else:
+        trained = rows.coalesce(1).mapInArrow(run, TREES)
     got: dict = {}
-    for r in rows.mapInArrow(run, TREES).collect():                     # trees of a few rounds
+    for r in trained.collect():                                         # trees of a few rounds
         got.setdefault(r["round"], {})[r["model"]] = r
     return [(got[r][0]["loss"], [Tree(np.frombuffer(got[r][m]["feature"], np.int32), np.frombuffer(got[r][m]["cut"], np.int32),
                                       np.frombuffer(got[r][m]["value"], float)) for m in range(models)]) for r in rounds if r in got]
@@ -341,7 +394,7 @@ def train(rows: DataFrame, features: Sequence[str], edges: list, p: Boosting, mo
         while not done and len(out.trees) < last:
             start = len(out.trees)
             if parts <= 1:
-                got = _some_rounds(current.coalesce(1), n_features, models, p, range(start, min(start + KEEP_EVERY, last)), width)
+                got = _some_rounds(current, n_features, models, p, range(start, min(start + KEEP_EVERY, last)), width)
                 for loss, trees in got:
                     done = over(loss, len(out.trees))
                     if done:

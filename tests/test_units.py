@@ -593,6 +593,20 @@ def test_early_stopping_continues_one_training(spark, monkeypatch, cells):
     assert loss == pytest.approx(stopped.losses[stopped.kept - 1], abs=1e-6)
 
 
+def test_a_task_a_model_grows_the_same_trees(spark, monkeypatch):
+    """Folds of a few rows: one task a model, as with an exchange per level."""
+    from custlens.operators import boosting as bo
+    data, got, counted = _boost_data(spark), [], []
+    p = bo.Boosting(rounds=3, depth=4, row_share=0.8, column_share=0.7)
+    collect = type(data).collect
+    monkeypatch.setattr(type(data), "collect", lambda df: counted.append("FlatMapGroupsInArrow" in df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    for cells in (0, 10**9):
+        monkeypatch.setattr(bo, "CELLS", cells)
+        got.append(_boost(data, p, 3, F.col("fold"))[0])
+        assert any(counted) == (cells > 0)
+    assert got[0].trees == got[1].trees and len(got[0].trees) == 3
+
+
 def test_boosting_learns_and_splits_as_brute_force(spark, monkeypatch):
     """First split of the first tree against all thresholds; many partitions."""
     import numpy as np

@@ -32,8 +32,8 @@ SMALL_PART, PARTS, GREAT_PART = 10_000, 24, 200_000      # rows of a partition o
 
 
 def partitions(rows: int) -> int:
-    """Partitions of the model input: boosting passes over it hundreds of times, so
-    their number goes by the rows alone, not by those of the shuffle before."""
+    """Partitions of the model input: Spark's boosting passes over it hundreds of times,
+    so their number goes by the rows alone, not by those of the shuffle before."""
     return max(1, min(-(-rows // SMALL_PART), PARTS), -(-rows // GREAT_PART))
 
 
@@ -78,17 +78,21 @@ def _once(spark, sf, what, make):
 def _data(spark, sf):
     def make():
         df, names = model_frame(spark, sf)
-        parts = partitions(read(spark, sf, "orders").count())        # a customer-month has one order at least
-        # ordered, so that row samples are drawn from the same places in every run
-        df = df.select(*KEYS, "label", "features", *names).repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
-        return df.cache(), names
+        return df.select(*KEYS, "label", "features", *names).cache(), names
 
     df, names = _once(spark, sf, "data", make)
-    return df.where(F.col("stat_month") <= TRAIN_END), df.where(F.col("stat_month") > TRAIN_END), names
+    return df.where(F.col("stat_month") <= TRAIN_END), _few(spark, sf, "test", df.where(F.col("stat_month") > TRAIN_END)), names
+
+
+def _few(spark, sf, what, df):
+    """``df`` in the partitions that its rows need (a customer-month has one order at
+    least), ordered, so that row samples are drawn from the same places in every run."""
+    parts = partitions(read(spark, sf, "orders").count())
+    return _once(spark, sf, what, lambda: df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS).cache())
 
 
 def _xgb(spark, sf):
-    return _once(spark, sf, "xgb", lambda: models.fit_gbt(_data(spark, sf)[0], models.XGB_PRESET, max_iter=XGB_ROUNDS))
+    return _once(spark, sf, "xgb", lambda: models.fit_gbt(_few(spark, sf, "xgb train", _data(spark, sf)[0].select(*KEYS, "label", "features")), models.XGB_PRESET, max_iter=XGB_ROUNDS))
 
 
 def _tree(spark, sf):

@@ -94,7 +94,7 @@ def test_contributions_are_not_shuffled(spark):
         assert p.count("Exchange hash") <= 2 * features
 
 
-def test_model_input_has_partitions_by_its_rows(spark, tmp_path):
+def test_model_input_has_partitions_by_its_rows(spark, tmp_path, monkeypatch):
     """Boosting passes over the model input hundreds of times: not over the partitions of the last shuffle."""
     from custlens.plans import model_plans as mp
     spark.createDataFrame([(1, "EU")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
@@ -104,6 +104,9 @@ def test_model_input_has_partitions_by_its_rows(spark, tmp_path):
     spark.sql("""SELECT id AS o_orderkey, id % 20 AS o_custkey, 'O' AS o_orderstatus, 1000.0D * (id % 700) AS o_totalprice,
         CAST(add_months(DATE'1998-06-15', CAST(id / 20 AS INT)) AS TIMESTAMP) AS o_orderdate, '1-URGENT' AS o_orderpriority
         FROM range(400)""").write.parquet(f"{tmp_path}/orders.parquet")
+    fitted = []
+    monkeypatch.setattr(mp.models, "fit_gbt", lambda df, *a, **kw: fitted.append(df))
+    mp._xgb(spark, str(tmp_path))
     train, test, _ = mp._data(spark, str(tmp_path))
-    assert train.rdd.getNumPartitions() == 1 and train.count() == 260 and test.count() == 80
+    assert [df.rdd.getNumPartitions() for df in (*fitted, test)] == [1, 1] and train.count() == 260 and test.count() == 80
     assert [mp.partitions(n) for n in (0, 1, 10_001, 300_000, 9_000_000)] == [1, 1, 2, 24, 45]

@@ -4,7 +4,7 @@ Point sets are DataFrames with an ``array<double>`` vector column.
 Centroids are a bounded (k x d) relation packed into one row and
 broadcast; distances are array higher-order functions, so assignment
 and the squared-Euclidean silhouette are O(n·k) with no pairwise join.
-K-means itself is Spark ML's k-means|| (best of ``n_init`` seeds).
+K-means (best of ``n_init`` seeds) runs all starts in shared passes (``kmeans.py``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kmeans
+
 
 def as_double_array(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
@@ -135,33 +137,36 @@ def quartiles(df: DataFrame, label: str, cols: Sequence[str], approx: bool = Fal
 def kmeans_fit(points: DataFrame, vec: str, k: int, seeds: Sequence[int] = tuple(range(42, 52)),
                max_iter: int = 300, tol: float = 1e-4):
     """K-means|| from ``len(seeds)`` starts, keep the lowest cost.
-    Returns (model, cost).  The input is cached once for all starts."""
+    Returns (centres, cost).  Spark ML draws the starts; their rounds share
+    their passes over the points (``operators/kmeans.py``)."""
     data = points.select(array_to_vector(as_double_array(vec)).alias("features")).cache()
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
+    starts = [KMeans(k=k, seed=s, maxIter=0, featuresCol="features").fit(data).clusterCenters() for s in seeds]
     data.unpersist()
+    held = kmeans.blocks(points, vec)
+    best = min(kmeans.lloyd(held, starts, max_iter, tol), key=lambda r: r[1])
+    held.unpersist()
     return best
 
 
-def kmeans_assign(model, points: DataFrame, vec: str, out: str = "cluster_label") -> DataFrame:
-    v = points.withColumn("features", array_to_vector(as_double_array(vec)))
-    return model.setPredictionCol(out).transform(v).drop("features")
+def kmeans_assign(centres, points: DataFrame, vec: str, out: str = "cluster_label") -> DataFrame:
+    """The position of every point's closest centre."""
+    table = points.sparkSession.createDataFrame([(j, [float(x) for x in c]) for j, c in enumerate(centres)],
+                                                "label int, centroid array<double>")
+    return nearest_centroid(points, vec, table).drop("distance").withColumnRenamed("nearest", out)
 
 
 def kmeans_sweep(points: DataFrame, vec: str, k_max: int = 8, seeds: Sequence[int] = (42, 43, 44)) -> DataFrame:
-    """For k = 2..k_max: best cost and mean squared-Euclidean silhouette."""
+    """For k = 2..k_max: best cost and mean squared-Euclidean silhouette.
+    The starts of all k share their passes over the points, and so do the silhouettes
+    (those of ``silhouette_sq``)."""
     spark = points.sparkSession
-    rows = []
-    for k in range(2, k_max + 1):
-        model, cost = kmeans_fit(points, vec, k, seeds)
-        lab = kmeans_assign(model, points, vec)
-        sil = silhouette_sq(lab.withColumnRenamed("cluster_label", "__l"), vec, "__l").agg(
-            F.avg("silhouette")).first()[0]
-        rows.append((k, float(cost), float(sil)))
+    wanted = [(k, s) for k in range(2, k_max + 1) for s in seeds]
+    held = kmeans.blocks(points, vec)
+    fits = kmeans.lloyd(held, kmeans.starts(held, wanted))
+    best = {k: min((f for f, (kk, _) in zip(fits, wanted) if kk == k), key=lambda r: r[1]) for k in range(2, k_max + 1)}
+    sil = kmeans.silhouettes(held, [centres for centres, _ in best.values()])
+    held.unpersist()
+    rows = [(k, float(cost), float(v)) for (k, (_, cost)), v in zip(best.items(), sil)]
     return spark.createDataFrame(rows, "k int, cost double, silhouette double")
 
 

@@ -367,6 +367,63 @@ def test_kmeans_cost_non_increasing(spark):
     assert costs[0] >= costs[1] >= costs[2]
 
 
+def _blobs(spark, n=60):
+    import random
+    rnd = random.Random(8)
+    return spark.createDataFrame([([rnd.gauss(c, 0.5), rnd.gauss(-c, 0.5), rnd.gauss(0, 0.5)],) for c in (0, 4, 9, 15) for _ in range(n)],
+                                 "v array<double>")
+
+
+def test_kmeans_sweep_shares_its_passes(spark, monkeypatch):
+    """The passes of a sweep are those of its slowest start, whatever the number of
+    starts; costs and silhouettes are those of single fits and of ``silhouette_sq``."""
+    from custlens.operators import kmeans
+    df, passes, ks, seeds = _blobs(spark), [], range(2, 6), (1, 2, 3, 4)
+    real = kmeans._sums
+    monkeypatch.setattr(kmeans, "_sums", lambda data, models: passes.append(len(models)) or real(data, models))
+    held = kmeans.blocks(df, "v")
+    got = [tuple(r) for r in segment.kmeans_sweep(df, "v", 5, seeds).sort("k").collect()]
+    shared = len(passes) - kmeans.ROUNDS - 2                    # without those of the starts and the silhouettes
+    alone = []
+    begin = kmeans.starts(held, [(k, s) for k in ks for s in seeds])
+    for c in begin:
+        passes.clear()
+        (centres, cost), = kmeans.lloyd(held, [c])
+        alone.append((len(passes), len(c), cost, centres))
+    assert shared == max(a[0] for a in alone) < sum(a[0] for a in alone)
+    for k, cost, sil in got:
+        best = min((a for a in alone if a[1] == k), key=lambda a: a[2])
+        lab = segment.kmeans_assign(best[3], df, "v")
+        want = segment.silhouette_sq(lab, "v", "cluster_label").agg(F.avg("silhouette")).first()[0]
+        assert abs(cost - best[2]) < 1e-9 * cost and abs(sil - want) < 1e-9
+    held.unpersist()
+
+
+def test_kmeans_rounds_equal_spark_ml(spark):
+    from pyspark.ml.clustering import KMeans
+    df = _blobs(spark).repartition(3).cache()
+    vectors = df.withColumn("features", array_to_vector("v")).cache()
+    for seed in (1, 2):
+        ml = KMeans(k=4, seed=seed, maxIter=300, tol=1e-4).fit(vectors.select("features").cache())
+        centres, cost = segment.kmeans_fit(df, "v", 4, seeds=(seed,))
+        assert abs(cost - ml.summary.trainingCost) < 1e-9 * cost
+        assert abs(centres - ml.clusterCenters()).max() < 1e-9
+        got = sorted((r.v, r.cluster_label) for r in segment.kmeans_assign(centres, df, "v").collect())
+        assert got == sorted((r.v, r.prediction) for r in ml.transform(vectors).collect())
+
+
+def test_kmeans_with_few_points_and_bad_vectors(spark):
+    few = spark.createDataFrame([([1.0, 2.0],)] * 3 + [([5.0, 2.0],)] * 2, "v array<double>")
+    rows = segment.kmeans_sweep(few, "v", 4, seeds=(1, 2)).sort("k").collect()
+    assert [r.k for r in rows] == [2, 3, 4] and all(r.cost >= 0 and abs(r.silhouette) <= 1 for r in rows)
+    same = spark.createDataFrame([([1.0, 2.0],)] * 3, "v array<double>")
+    assert [(r.cost, r.silhouette) for r in segment.kmeans_sweep(same, "v", 3, seeds=(1,)).collect()] == [(0.0, 0.0)] * 2
+    for bad in ([None, 1.0], [float("nan"), 1.0], None):
+        df = spark.createDataFrame([([1.0, 2.0],), (bad,)], "v array<double>")
+        with pytest.raises(Exception, match="k-means takes no null"):
+            segment.kmeans_sweep(df, "v", 2, seeds=(1,)).collect()
+
+
 # ------------------------------------------------------------------ models / explain
 
 def test_patience_rule():

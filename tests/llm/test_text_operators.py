@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from custlens.llm import attention_lm as A
@@ -354,6 +355,43 @@ def test_attention_trains_on_every_symbol_of_every_text(make_docs, monkeypatch):
     assert (model.weights.flat != A.Weights.start().flat).any()
 
 
+def test_attention_gradient_and_large_logits():
+    m, rng = _tiny()
+    x, y = rng.integers(0, A.BOS + 1, (8, A.WINDOW)), rng.integers(0, A.HEAD + 1, (8, A.HALF))
+    use, into = np.ones(y.shape, bool), A.Weights(np.full(m.weights.flat.size, 7.0))
+    plain = A.gradient(m.weights, m.bias, x, y, use)
+    assert A.gradient(m.weights, m.bias, x, y, use, into) is into and np.array_equal(into.flat, plain.flat)    # all parts are set
+    m.weights.bc[...] += 500                                   # the same for all classes: no softmax changes
+    assert np.allclose(A.gradient(m.weights, m.bias, x, y, use).flat, plain.flat, atol=1e-4)
+    m.weights.bc[...] -= 1000
+    assert np.allclose(A.gradient(m.weights, m.bias, x, y, use).flat, plain.flat, atol=1e-4)
+
+
+def test_attention_tokenises_a_word_once(monkeypatch):
+    texts = ["The cat, the dog the end", None, "", "zork \u00e9t\u00e9 zork", "x" * 300 + " the", "\t \n"] * 3
+    ws = [[*(t or "").lower().encode().split()] for t in texts]
+    m, _ = _tiny()
+    hashes = [xxhash.xxh3_64_intdigest(w) for w in (b"the", b"zork")]
+    order = np.argsort(np.array(hashes, np.uint64))
+    known = np.array(hashes, np.uint64)[order], np.array([5, 2])[order]
+    lexicon, asked, real = A.Lexicon(tokenizer_path(), m, known), [], A.Symbols.__missing__
+    monkeypatch.setattr(A.Symbols, "__missing__", lambda self, w: asked.append(w) or real(self, w))
+    parts = [lexicon.encode(texts[:7]), lexicon.encode(texts[7:])]
+    assert sorted(asked) == sorted({w for x in ws for w in x})
+    got = {k: [v for p in parts for v in (p[k].to_pylist() if hasattr(p[k], "to_pylist") else p[k].tolist())] for k in parts[0]}
+    table = A.Symbols(tokenizer_path())
+    log = {b"the": np.log10(5.1), b"zork": np.log10(2.1)}
+    for k, x in enumerate(ws):
+        s = np.append(table.of(x), A.END)
+        assert np.frombuffer(got["rows"][k], "<u2").tolist() == m.row_of[s].tolist()
+        assert np.isclose(got["tail"][k], m.tail[s].sum(dtype=float)) and got["n_tokens"][k] == len(x) + 1
+        assert got["n_often"][k] == sum(w in log for w in x) and np.isclose(got["often"][k], sum(log.get(w, 0) for w in x))
+        assert got["rare"][k] == [np.uint64(xxhash.xxh3_64_intdigest(w)).astype(np.int64) for w in x if w not in log]
+    lexicon.LIMIT = 0                                          # forgets all words, with the same result
+    again = lexicon.encode(texts[:7])
+    assert all(again[k].equals(parts[0][k]) if hasattr(again[k], "equals") else np.allclose(again[k], parts[0][k]) for k in again)
+
+
 def test_lm_base_by_brute_force_and_edges(spark, make_docs):
     rows = [(r["doc_id"], r["text"]) for r in read(spark, SMOKE, "documents").collect()][:60]
     rows += [(5000, None), (5001, ""), (5001, "\t"), (None, "Zork zork the")]

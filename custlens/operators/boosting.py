@@ -1,17 +1,18 @@
 """Gradient boosting by histograms, several models in one run (M3–M6).
 
 Feature values become bins once (split points from Spark's quantile
-sketch).  Every level of a round is one Spark job over the binned rows
-(several rounds are one where the counted rows are few enough for a single
-task, or one task a model; the trees are the same): tasks add the gradients of (model, node, feature, bin), Spark brings the
-partial histograms of a node together, and the node's best split comes back
-— a few numbers per node, whatever the number of rows.  The models of a
+sketch).  Every level of a round is one small Spark job over arrays of binned
+rows in a persisted RDD (several rounds are one where the counted rows are few
+enough for a single task, or one task a model; the trees are the same): tasks
+add the gradients of (model, node, feature, bin) of left children, tasks add the
+histograms of many tasks (``FAN_IN``), and the driver gets a few of a size that
+does not depend on the rows.  The models of a
 cross-validation share these passes: a row counts for every model but the
 one that holds it out (``held``), so k folds cost k histograms in one scan
 and not k trainings.
 
 Rounds continue one another: the margin of every row is kept and gets the
-new trees; the margins are written to the shared checkpoint folder every
+new trees; rows and margins are written to the shared checkpoint folder every
 ``KEEP_EVERY`` rounds.  The loss of the held-out rows is summed in the first
 pass of the next round, so a patience rule ends the training where it is,
 without a second run of any length.
@@ -24,21 +25,25 @@ row key and the round.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import Versions, ship_package
+from ..session import Versions, drop_checkpoint, ship_package
 
 POINT = float(1 << 24)          # fixed point of gradients and losses
 KEEP_EVERY = 10                 # rounds between two written versions of the margins
 CELLS = 20_000_000              # rows x features x models up to which one task is quicker than an exchange per level
-FAN_IN = 64                     # partial histograms that one task adds in the first of two steps, about
+FAN_IN = 16                     # histograms that the driver, or one task, adds
+CHUNK = 100_000                 # rows of one array at most
 
 
 @dataclass(frozen=True)
@@ -159,9 +164,7 @@ def _in_sample(row: np.ndarray, seed: int, share: float) -> np.ndarray:
     return (x >> np.uint64(11)).astype(float) / float(1 << 53) < share
 
 
-PARTIAL = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("node", T.IntegerType()), T.StructField("sums", T.BinaryType())])
-BEST = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("node", T.IntegerType()), T.StructField("feature", T.IntegerType()),
-                     T.StructField("cut", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in ("left_g", "left_h", "g", "h")]])
+PACKED = T.StructType([T.StructField(c, T.BinaryType()) for c in ("columns", "y", "held", "row", "margin")])
 
 
 def _round_columns(p: Boosting, n_features: int, round_no: int) -> np.ndarray:
@@ -171,29 +174,42 @@ def _round_columns(p: Boosting, n_features: int, round_no: int) -> np.ndarray:
 
 
 class _Rows:
-    """Some binned rows with their margins, as arrays."""
+    """Some binned rows with their margins, as arrays (``columns``: features x rows)."""
 
-    def __init__(self, b: pa.RecordBatch, n_features: int, models: int, pending: list, depth: int):
-        self.bins, self.margin = _matrices(b, n_features, models)
-        _add(self.margin, self.bins, pending, depth)
-        self.y, self.held, self.row = b.column("y").to_numpy(), b.column("held").to_numpy(), b.column("row").to_numpy()
-        self.columns, self.at = np.ascontiguousarray(self.bins.T), {}
+    def __init__(self, columns, y, held, row, margin):
+        self.columns, self.y, self.held, self.row, self.margin, self.at = columns, y, held, row, margin, {}
+
+    @classmethod
+    def of(cls, b: pa.RecordBatch, n_features: int, models: int) -> "_Rows":
+        bins, margin = _matrices(b, n_features, models)
+        return cls(np.ascontiguousarray(bins.T), *(b.column(c).to_numpy() for c in ("y", "held", "row")), margin)
 
     def node(self, m: int, tree: Tree, level: int) -> np.ndarray:
         """Nodes of the rows in the growing tree of model ``m``, from those of the level before where they are known."""
         of, known, at = self.at.get(m, (None, 0, None))
         if of is not tree or known > level:
-            known, at = 0, np.zeros(len(self.bins), np.int64)
+            known, at = 0, np.zeros(len(self.y), np.int64)
+        each = np.arange(len(self.y))
         for _ in range(level - known):
-            at = tree.step(self.bins, at)
+            f = tree.feature[at]
+            at = np.where(f >= 0, 2 * at + 1 + (self.columns[np.maximum(f, 0), each] > tree.cut[at]), at)
         self.at[m] = tree, level, at
         return at
 
+    def with_trees(self, growing: list, depth: int) -> "_Rows":
+        """The same rows, their margins with one more tree a model."""
+        margin = self.margin.copy()
+        for m, t in enumerate(growing):
+            margin[:, m] += t.value[self.node(m, t, depth)]
+        return _Rows(self.columns, self.y, self.held, self.row, margin)
+
+    def __getstate__(self):
+        return {**vars(self), "at": {}}
 
-def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list, level: int, round_no: int, width: int, left: bool = False) -> dict:
-    """{(model, node): sums} of the open nodes of a level (``left``: of left children
-    alone): gradients and hessians by feature and bin; at level 0 also node -1, the
-    loss and number of the held-out rows."""
+
+def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list, level: int, round_no: int, width: int) -> dict:
+    """{(model, node): sums} of the root or of a level's left children: gradients and hessians by
+    feature and bin; at level 0 also node -1, the loss and number of the held-out rows."""
     columns = _round_columns(p, n_features, round_no)
     first, nodes = 2 ** level - 1, 2 ** level
     sums = np.zeros((models, 2, nodes, len(columns) * width))
@@ -202,15 +218,15 @@ def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list,
         sampled = _in_sample(rows.row, p.seed * 100_003 + round_no, p.row_share)
         for m in range(models):
             z = rows.margin[:, m]
-            prob = 1.0 / (1.0 + np.exp(-z))
             out = rows.held == m
             if level == 0 and out.any():
                 each = np.logaddexp(0.0, np.where(rows.y[out] > 0.5, -z[out], z[out]))
                 loss[m] += np.rint(each * POINT).sum(), out.sum()
             node = rows.node(m, growing[m], level)
-            use = np.flatnonzero(sampled & ~out & (node >= first) & (node % 2 == 1 if left and level else True))
+            use = np.flatnonzero(sampled & ~out & (node >= first) & (node % 2 == 1 if level else True))
             start = (node[use] - first) * width
-            each = [np.rint(v[use] * POINT) for v in (prob - rows.y, prob * (1.0 - prob))]
+            prob = 1.0 / (1.0 + np.exp(-z[use]))
+            each = [np.rint(v * POINT) for v in (prob - rows.y[use], prob * (1.0 - prob))]
             for j, c in enumerate(columns):
                 at = start + rows.columns[c][use]
                 for k in (0, 1):
@@ -265,39 +281,63 @@ def _mean_loss(splits: list) -> float | None:
     return sum(s[6] for s in lost) / POINT / sum(s[7] for s in lost) if lost else None
 
 
-def _sent(sums: dict):
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.int32()), pa.array([k[1] for k in sums], pa.int32()),
-                                          pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=PARTIAL.fieldNames())
-
-
-def _merged(batches) -> dict:
-    held: dict = {}
-    for b in batches:
-        for m, n, s in zip(*(b.column(c).to_pylist() for c in range(3))):
-            s = np.frombuffer(s, "<i8")
-            held[m, n] = held[m, n] + s if (m, n) in held else s
-    return held
-
-
-def _one_level(rows: DataFrame, parts: int, n_features: int, models: int, p: Boosting, pending, growing, level, round_no, width) -> list:
-    """One pass over rows in many partitions: the best splits of a level's open nodes."""
-    def partial(batches):
-        yield from _sent(_histograms((_Rows(b, n_features, models, pending, p.depth) for b in batches),
-                                     n_features, models, p, growing, level, round_no, width))
-
-    def best(batches):
-        got = _best_splits(_merged(batches), _round_columns(p, n_features, round_no), p)
-        if got:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), [pa.int32()] * 4 + [pa.float64()] * 4)],
-                                             names=BEST.fieldNames())
-
-    sums = rows.mapInArrow(partial, PARTIAL)
-    if parts > FAN_IN:          # two steps, so that no task adds the histograms of all tasks
-        sums = sums.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(int(parts ** 0.5))))
-        sums = sums.repartition("model", "node", "salt").mapInArrow(lambda it: _sent(_merged(it)), PARTIAL)
-    nodes = models * 2 ** level
-    return [tuple(r) for r in sums.repartition(max(1, nodes // 16), "model", "node").mapInArrow(best, BEST).collect()]   # a row per open node
+def _packed(rows: DataFrame, n_features: int, models: int):
+    """RDD of ``_Rows``: the binned rows as arrays, ``CHUNK`` rows at most each."""
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, CHUNK):
+                r = _Rows.of(b.slice(at, CHUNK), n_features, models)
+                yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in (r.columns, r.y, r.held, r.row, r.margin)],
+                                                 names=PACKED.fieldNames())
+
+    def joined(parts):
+        held, n = [], 0
+        for p in parts:
+            held.append((np.frombuffer(p["columns"], np.uint8).reshape(n_features, -1), np.frombuffer(p["y"], float), np.frombuffer(p["held"], np.int32),
+                         np.frombuffer(p["row"], np.int64), np.frombuffer(p["margin"], float).reshape(-1, models)))
+            n += len(held[-1][1])
+            if n >= CHUNK:
+                yield _Rows(*(np.concatenate(x, axis=k) for x, k in zip(zip(*held), (1, 0, 0, 0, 0))))
+                held, n = [], 0
+        if held:
+            yield _Rows(*(np.concatenate(x, axis=k) for x, k in zip(zip(*held), (1, 0, 0, 0, 0))))
+
+    return rows.mapInArrow(run, PACKED).rdd.mapPartitions(joined)
+
+
+def _added(a: dict, b: dict) -> dict:
+    """Sums of two histograms by (model, node)."""
+    return {k: a[k] + b[k] if k in a and k in b else a.get(k, b.get(k)) for k in {**a, **b}}
+
+
+def _over_tasks(state, tasks: int, how):
+    """``how(rows)`` of all rows, added."""
+    each = state.coalesce(tasks).mapPartitions(lambda parts: [how(parts)])
+    if tasks > FAN_IN:
+        return each.treeReduce(_added, max(2, math.ceil(math.log(tasks, FAN_IN))))
+    return functools.reduce(_added, each.collect(), {})                  # one histogram a task
+
+
+def _one_round(count, models: int, p: Boosting, columns: np.ndarray, over=lambda loss: False):
+    """(loss before the round, its trees, whether ``over(loss)``).  ``count(growing, level)``
+    gives the histograms of a level's left children: the right one is the rest of their parent."""
+    growing, loss, above = [Tree.empty(p.depth) for _ in range(models)], None, {}
+    for level in range(p.depth):
+        keys = _open_nodes(growing, level)
+        sums = count(growing, level)
+        for m, n in keys if level else ():
+            if n % 2 == 0:
+                rest = above[m, (n - 1) // 2] - sums[m, n - 1] if (m, n - 1) in sums else above[m, (n - 1) // 2]
+                if rest[len(rest) // 2:].any():
+                    sums[m, n] = rest
+        got, above = _best_splits(sums, columns, p), sums
+        if level == 0:
+            loss = _mean_loss(got)
+            if over(loss):
+                return loss, growing, True
+        if not _grow(growing, got, p):
+            break
+    return loss, growing, False
 
 
 TREES = T.StructType([T.StructField("round", T.IntegerType()), T.StructField("model", T.IntegerType()), T.StructField("loss", T.DoubleType()),
@@ -314,8 +354,7 @@ def _open_nodes(growing: list, level: int) -> list:
 def _some_rounds(rows: DataFrame, n_features: int, models: int, p: Boosting, rounds: range, width: int) -> list:
     """[(loss before the round, trees)] of a few rows: with nothing to exchange, one
     task runs the same steps for several rounds, or one a model where no loss over
-    all models is watched.  Of two siblings the left one is counted, the other one
-    is the rest of their parent."""
+    all models is watched."""
     apart = models > 1 and p.patience is None
     names = ["y", "held", "row", "bins", "margin"]
 
@@ -331,25 +370,11 @@ def _some_rounds(rows: DataFrame, n_features: int, models: int, p: Boosting, rou
         return grown(batches, models, 0)
 
     def grown(batches, models, number):
-        parts = [_Rows(b, n_features, models, [], p.depth) for b in batches if b.num_rows]
+        parts = [_Rows.of(b, n_features, models) for b in batches if b.num_rows]
         for r in rounds:
-            growing, loss, above = [Tree.empty(p.depth) for _ in range(models)], None, {}
-            columns = _round_columns(p, n_features, r)
-            for level in range(p.depth):
-                keys = _open_nodes(growing, level)
-                sums = _histograms(parts, n_features, models, p, growing, level, r, width, left=True)
-                for m, n in keys if level else ():
-                    if n % 2 == 0:
-                        rest = above[m, (n - 1) // 2] - sums[m, n - 1] if (m, n - 1) in sums else above[m, (n - 1) // 2]
-                        if rest[len(rest) // 2:].any():
-                            sums[m, n] = rest
-                got, above = _best_splits(sums, columns, p), sums
-                loss = _mean_loss(got) if level == 0 else loss
-                if not _grow(growing, got, p):
-                    break
-            for x in parts:
-                for m, t in enumerate(growing):
-                    x.margin[:, m] += t.value[x.node(m, t, p.depth)]
+            loss, growing, _ = _one_round(lambda growing, level: _histograms(parts, n_features, models, p, growing, level, r, width), models, p,
+                                          _round_columns(p, n_features, r))
+            parts = [x.with_trees(growing, p.depth) for x in parts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r] * models, pa.int32()), pa.array(range(number, number + models), pa.int32()), pa.array([loss] * models, pa.float64()),
                  *(pa.array([getattr(t, c).tobytes() for t in growing], pa.binary()) for c in ("feature", "cut", "value"))], schema=pa_trees)
@@ -386,41 +411,56 @@ def train(rows: DataFrame, features: Sequence[str], edges: list, p: Boosting, mo
         best = min(best, (loss, r))
         return r - best[1] >= p.patience or r >= p.rounds
 
+    state = before = kept = None
     try:
         current = versions.write(rows.select("y", "held", "row", "bins", "margin"))
         one_task = current.count() * n_features * models <= CELLS
         parts = 1 if one_task else current.rdd.getNumPartitions()
         done = False
-        while not done and len(out.trees) < last:
+        while not done and len(out.trees) < last and parts <= 1:
             start = len(out.trees)
-            if parts <= 1:
-                got = _some_rounds(current, n_features, models, p, range(start, min(start + KEEP_EVERY, last)), width)
-                for loss, trees in got:
-                    done = over(loss, len(out.trees))
-                    if done:
-                        break
-                    out.trees.append(trees)
-                done = done or not got                                   # no rows
-            else:
-                for r in range(start, min(start + KEEP_EVERY, last)):
-                    growing = [Tree.empty(p.depth) for _ in range(models)]
-                    for level in range(p.depth):
-                        splits = _one_level(current, parts, n_features, models, p, out.trees[start:], growing, level, r, width)
-                        if level == 0:
-                            done = over(_mean_loss(splits), r)
-                        if done or not _grow(growing, splits, p):
-                            break
-                    if done:
-                        break
-                    out.trees.append(growing)
+            got = _some_rounds(current, n_features, models, p, range(start, min(start + KEEP_EVERY, last)), width)
+            for loss, trees in got:
+                done = over(loss, len(out.trees))
+                if done:
+                    break
+                out.trees.append(trees)
+            done = done or not got                                       # no rows
             if not done and len(out.trees) < last:
                 current = versions.write(_with_margins(current, out.trees[start:], n_features, models, p.depth))
+        if parts > 1:
+            state = _packed(current, n_features, models).persist(StorageLevel.MEMORY_AND_DISK)
+            tasks = min(parts, spark.sparkContext.defaultParallelism)
+        while not done and len(out.trees) < last and parts > 1:
+            r = len(out.trees)
+            if r and r % KEEP_EVERY == 0:
+                state.checkpoint()
+            count = functools.partial(_count, state, tasks, n_features, models, p, r, width)
+            _, growing, done = _one_round(count, models, p, _round_columns(p, n_features, r), lambda loss: over(loss, r))
+            if before is not None:
+                before.unpersist()
+            kept = drop_checkpoint(spark, kept, state)
+            if not done:
+                out.trees.append(growing)
+                before, state = state, _next(state, growing, p.depth).persist(StorageLevel.MEMORY_AND_DISK)
         out.kept = best[1] if watched and out.losses else len(out.trees)
         return out
     finally:
+        for rdd in (state, before):
+            if rdd is not None:
+                rdd.unpersist()
+        drop_checkpoint(spark, kept, None)
         versions.drop()
 
 
+def _count(state, tasks: int, n_features: int, models: int, p: Boosting, round_no: int, width: int, growing: list, level: int) -> dict:
+    return _over_tasks(state, tasks, lambda parts: _histograms(parts, n_features, models, p, growing, level, round_no, width))
+
+
+def _next(state, growing: list, depth: int):
+    return state.map(lambda rows: rows.with_trees(growing, depth))
+
+
 def _with_margins(rows: DataFrame, pending: list, n_features: int, models: int, depth: int) -> DataFrame:
     at = rows.columns.index("margin")
 

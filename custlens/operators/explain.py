@@ -7,7 +7,9 @@ for every tree the leaf paths are compiled once on the driver into
 small arrays; each batch then evaluates, per leaf, the product game
 ``value * Π_{f in S} 1[x follows f] * Π_{f not in S} cover_ratio(f)``
 whose exact Shapley values come from polynomial coefficients — all
-vectorised over (rows x leaves), no per-row Python.
+vectorised over (rows x leaves), no per-row Python.  A leaf's path has few
+distinct features, so these values are worked out once per leaf and pattern
+of followed features and looked up for the rows.
 
 Contributions stay in the row they explain: (keys..., contributions
 array<feature, value, contribution>, base_score).  Sums, orders and running
@@ -155,18 +157,11 @@ def _compile_tree(rows: pd.DataFrame):
     return V, feat, R, cf, ct, cl, cs, cv, D
 
 
-def _shap_tree(X: np.ndarray, compiled, n_features: int):
-    V, feat, R, cf, ct, cl, cs, cv, D = compiled
-    n, L = X.shape[0], V.shape[0]
-    A = np.ones((n, L, D))
-    rows_l = np.arange(L)
-    for p in range(cf.shape[1]):
-        x = X[:, cf[:, p]]                                   # n x L
-        ok = np.where(cl[:, p], x <= ct[:, p], ~(x <= ct[:, p]))
-        ok = np.where(cv[:, p], ok, True)
-        A[:, rows_l, cs[:, p]] *= ok
+def _shapley(A: np.ndarray, R: np.ndarray, V: np.ndarray):
+    """For every path slot the contribution of each leaf (rows x leaves), where
+    ``A`` (rows x leaves x slots) says which slots the row follows."""
+    n, L, D = A.shape
     w = np.array([math.factorial(k) * math.factorial(D - 1 - k) / math.factorial(D) for k in range(D)])
-    phi = np.zeros((n, n_features))
     for i in range(D):
         poly = np.zeros((n, L, D))
         poly[:, :, 0] = 1.0
@@ -177,7 +172,54 @@ def _shap_tree(X: np.ndarray, compiled, n_features: int):
             nxt = poly * r[None, :, None]
             nxt[:, :, 1:] += poly[:, :, :-1] * a[:, :, None]
             poly = nxt
-        c = (poly * w[None, None, :]).sum(axis=2) * (A[:, :, i] - R[None, :, i]) * V[None, :]   # n x L
+        yield (poly * w[None, None, :]).sum(axis=2) * (A[:, :, i] - R[None, :, i]) * V[None, :]
+
+
+TABLE_SLOTS = 8         # path slots (distinct features of a path) up to which a leaf's contributions are a table
+
+
+def _shap_tables(compiled):
+    """A row meets a leaf by which of its slots it follows, one of 2^D patterns: the
+    contributions of every (leaf, slot) by pattern, pairs in the order of features."""
+    V, feat, R, cf, ct, cl, cs, cv, D = compiled
+    patterns = 1 << D
+    follows = ((np.arange(patterns)[:, None] >> np.arange(D)) & 1 == 0).astype(float)      # a set bit is a slot not followed
+    each = np.stack(list(_shapley(np.broadcast_to(follows[:, None, :], (patterns, len(V), D)), R, V)), axis=2)   # pattern, leaf, slot
+    leaf, slot = np.nonzero(feat >= 0)
+    order = np.argsort(feat[leaf, slot], kind="stable")
+    leaf, slot = leaf[order], slot[order]
+    used, first = np.unique(feat[leaf, slot], return_index=True)
+    bias = float((V * np.prod(R, axis=1)).sum())
+    return cf, ct, cl, cs, cv, leaf, np.ascontiguousarray(each[:, leaf, slot].T), used, first, bias
+
+
+def _shap_by_table(X: np.ndarray, tables, n_features: int):
+    cf, ct, cl, cs, cv, leaf, values, used, first, bias = tables
+    x, phi = np.ascontiguousarray(X.T), np.zeros((n_features, len(X)))
+    if not len(leaf):
+        return phi.T, bias
+    missed = np.zeros((len(cf), len(X)), np.uint8)
+    for p in range(cf.shape[1]):
+        ok = x[cf[:, p]] <= ct[:, p, None]
+        missed |= ((ok != cl[:, p, None]) & cv[:, p, None]).view(np.uint8) << cs[:, p, None].astype(np.uint8)
+    at = missed[leaf].astype(np.intp)
+    at += (np.arange(len(leaf)) * values.shape[1])[:, None]
+    phi[used] = np.add.reduceat(values.ravel().take(at), first, axis=0)
+    return phi.T, bias
+
+
+def _shap_tree(X: np.ndarray, compiled, n_features: int):
+    V, feat, R, cf, ct, cl, cs, cv, D = compiled
+    n, L = X.shape[0], V.shape[0]
+    A = np.ones((n, L, D))
+    rows_l = np.arange(L)
+    for p in range(cf.shape[1]):
+        x = X[:, cf[:, p]]                                   # n x L
+        ok = np.where(cl[:, p], x <= ct[:, p], ~(x <= ct[:, p]))
+        ok = np.where(cv[:, p], ok, True)
+        A[:, rows_l, cs[:, p]] *= ok
+    phi = np.zeros((n, n_features))
+    for i, c in enumerate(_shapley(A, R, V)):                # n x L
         f = feat[:, i]
         valid = f >= 0
         if valid.any():
@@ -186,13 +228,32 @@ def _shap_tree(X: np.ndarray, compiled, n_features: int):
     return phi, bias
 
 
-def compile_ensemble(nodes: DataFrame):
+def tree_values(rows: pd.DataFrame):
+    """The prediction of one tree as a function of a matrix of rows."""
+    rows = rows.set_index("id")
+    place = {int(i): k for k, i in enumerate(rows.index)}
+    leaf = rows["leftChild"].to_numpy() < 0
+    feature = np.where(leaf, 0, rows["featureIndex"].to_numpy()).astype(np.int64)
+    cut = np.where(leaf, 0.0, rows["threshold"].to_numpy().astype(float))
+    left, right = (np.array([place.get(int(c), k) for k, c in enumerate(rows[side])]) for side in ("leftChild", "rightChild"))
+    value, root = rows["prediction"].to_numpy().astype(float), (set(range(len(rows))) - {place[int(c)] for s in ("leftChild", "rightChild") for c in rows[s] if c >= 0}).pop()
+
+    def run(x: np.ndarray) -> np.ndarray:
+        at, each = np.full(len(x), root), np.arange(len(x))
+        while not leaf[at].all():
+            at = np.where(x[each, feature[at]] <= cut[at], left[at], right[at])
+        return value[at]
+
+    return run
+
+
+def compile_ensemble(nodes: DataFrame, compiled=_compile_tree):
     """Driver-side: the (bounded) node table -> compiled trees and weights."""
     pdf = nodes.select("treeID", "weight", "id", "prediction", "rawCount", "leftChild", "rightChild",
                        "featureIndex", "threshold").toPandas()
     out = []
     for tid, g in pdf.groupby("treeID", sort=True):
-        out.append((float(g["weight"].iloc[0]), _compile_tree(g)))
+        out.append((float(g["weight"].iloc[0]), compiled(g)))
     return out
 
 
@@ -209,7 +270,7 @@ def tree_contribution_rows(nodes: DataFrame, df: DataFrame, features_col: str, n
     ``base_score`` (expected log-odds) plus its contributions equals
     logit(P).  Output: keys, ``contributions`` (feature, value, contribution
     in the order of ``names``), base_score."""
-    trees = compile_ensemble(nodes)
+    trees = [(w, (_shap_by_table, _shap_tables(c)) if c[-1] <= TABLE_SLOTS else (_shap_tree, c)) for w, c in compile_ensemble(nodes)]
     names, nf = list(names), len(names)
     src = df.select(*keys, vector_to_array(features_col).alias("__x"))
     schema = T.StructType([*src.schema.fields[:len(keys)], T.StructField("__x", T.ArrayType(T.DoubleType())),
@@ -221,8 +282,8 @@ def tree_contribution_rows(nodes: DataFrame, df: DataFrame, features_col: str, n
                 b = batch.slice(at, SHAP_ROWS)
                 x = b.column(len(keys)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(b.num_rows, nf)
                 phi, bias = np.zeros(x.shape), 0.0
-                for wt, comp in trees:
-                    p, base = _shap_tree(x, comp, nf)
+                for wt, (contributions, comp) in trees:
+                    p, base = contributions(x, comp, nf)
                     phi += wt * p
                     bias += wt * base
                 offsets = pa.array(np.arange(0, (b.num_rows + 1) * nf, nf), pa.int32())

@@ -37,18 +37,21 @@ def partitions(rows: int) -> int:
     return max(1, min(-(-rows // SMALL_PART), PARTS), -(-rows // GREAT_PART))
 
 
-def model_frame(spark, sf):
-    f = _features(spark, sf)
+def model_frame(f):
+    """One-hot columns, and all features as one vector, of ``_labelled`` rows."""
     f = encode.one_hot(f, "occupation_type")
     f = encode.one_hot(f, "city_level")
     cats = [c for c in f.columns if c.startswith("occupation_type_") or c.startswith("city_level_")]
     cats = [c for c in cats if c not in ("occupation_type_encoded",)]
     names = BASE_FEATS + sorted(cats)
-    f = f.withColumn("label", F.col("target_high_value").cast("double"))
-    f = f.withColumns({c: F.col(c).cast("double") for c in names})
     return models.assemble(f.select(*KEYS, "label", *names), names), names
 
 
+def _labelled(spark, sf):
+    return _features(spark, sf).select(*KEYS, F.col("target_high_value").cast("double").alias("label"),
+                                       *[F.col(c).cast("double") for c in BASE_FEATS], "occupation_type", "city_level")
+
+
 _KEPT: dict = {}
 
 
@@ -77,10 +80,11 @@ def _once(spark, sf, what, make):
 
 def _data(spark, sf):
     def make():
-        df, names = model_frame(spark, sf)
-        return df.select(*KEYS, "label", "features", *names).cache(), names
+        kept = _labelled(spark, sf).cache()              # the categories are read from it too
+        df, names = model_frame(kept)
+        return df.select(*KEYS, "label", "features", *names), names, kept
 
-    df, names = _once(spark, sf, "data", make)
+    df, names, _ = _once(spark, sf, "data", make)
     return df.where(F.col("stat_month") <= TRAIN_END), _few(spark, sf, "test", df.where(F.col("stat_month") > TRAIN_END)), names
 
 
@@ -149,7 +153,7 @@ def gbt_lgb_preset(spark, sf):
 def early_stop_rule(spark, sf):
     """M5 as a query: patience rule over the per-round test log-loss curve."""
     _, test, _ = _data(spark, sf)
-    losses = list(_xgb(spark, sf).evaluateEachIteration(test))
+    losses = models.loss_by_round(_xgb(spark, sf), test)
     ldf = spark.createDataFrame([(i, float(v)) for i, v in enumerate(losses)], "round int, loss double")
     return models.patience_stop_df(ldf, models.LGB_PRESET["patience"])
 

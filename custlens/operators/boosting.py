@@ -4,7 +4,7 @@ Feature values become bins once (split points from Spark's quantile
 sketch).  Every level of a round is one small Spark job over arrays of binned
 rows in a persisted RDD (several rounds are one where the counted rows are few
 enough for a single task, or one task a model; the trees are the same): tasks
-add the gradients of (model, node, feature, bin) of left children, tasks add the
+add the gradients of (model, node, feature, bin) of the lighter children, tasks add the
 histograms of many tasks (``FAN_IN``), and the driver gets a few of a size that
 does not depend on the rows.  The models of a
 cross-validation share these passes: a row counts for every model but the
@@ -207,8 +207,8 @@ class _Rows:
         return {**vars(self), "at": {}}
 
 
-def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list, level: int, round_no: int, width: int) -> dict:
-    """{(model, node): sums} of the root or of a level's left children: gradients and hessians by
+def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list, level: int, counted: np.ndarray, round_no: int, width: int) -> dict:
+    """{(model, node): sums} of a level's ``counted`` nodes: gradients and hessians by
     feature and bin; at level 0 also node -1, the loss and number of the held-out rows."""
     columns = _round_columns(p, n_features, round_no)
     first, nodes = 2 ** level - 1, 2 ** level
@@ -223,7 +223,7 @@ def _histograms(parts, n_features: int, models: int, p: Boosting, growing: list,
                 each = np.logaddexp(0.0, np.where(rows.y[out] > 0.5, -z[out], z[out]))
                 loss[m] += np.rint(each * POINT).sum(), out.sum()
             node = rows.node(m, growing[m], level)
-            use = np.flatnonzero(sampled & ~out & (node >= first) & (node % 2 == 1 if level else True))
+            use = np.flatnonzero(sampled & ~out & (node >= first) & counted[m][node])
             start = (node[use] - first) * width
             prob = 1.0 / (1.0 + np.exp(-z[use]))
             each = [np.rint(v * POINT) for v in (prob - rows.y[use], prob * (1.0 - prob))]
@@ -319,15 +319,17 @@ def _over_tasks(state, tasks: int, how):
 
 
 def _one_round(count, models: int, p: Boosting, columns: np.ndarray, over=lambda loss: False):
-    """(loss before the round, its trees, whether ``over(loss)``).  ``count(growing, level)``
-    gives the histograms of a level's left children: the right one is the rest of their parent."""
+    """(loss before the round, its trees, whether ``over(loss)``).  ``count(growing, level,
+    counted)`` gives the histograms of one child of a split node: the other one is the rest of their parent."""
     growing, loss, above = [Tree.empty(p.depth) for _ in range(models)], None, {}
+    counted = np.ones((models, 2 ** (p.depth + 1) - 1), bool)
     for level in range(p.depth):
         keys = _open_nodes(growing, level)
-        sums = count(growing, level)
+        sums = count(growing, level, counted)
         for m, n in keys if level else ():
-            if n % 2 == 0:
-                rest = above[m, (n - 1) // 2] - sums[m, n - 1] if (m, n - 1) in sums else above[m, (n - 1) // 2]
+            if not counted[m, n]:
+                other, parent = n + 1 if n % 2 else n - 1, above[m, (n - 1) // 2]
+                rest = parent - sums[m, other] if (m, other) in sums else parent
                 if rest[len(rest) // 2:].any():
                     sums[m, n] = rest
         got, above = _best_splits(sums, columns, p), sums
@@ -337,6 +339,9 @@ def _one_round(count, models: int, p: Boosting, columns: np.ndarray, over=lambda
                 return loss, growing, True
         if not _grow(growing, got, p):
             break
+        for m, n, feature, _, _, left_h, _, h in got:                    # the lighter child is counted
+            if feature >= 0:
+                counted[m, 2 * n + 1], counted[m, 2 * n + 2] = left_h <= h - left_h, left_h > h - left_h
     return loss, growing, False
 
 
@@ -372,7 +377,7 @@ def _some_rounds(rows: DataFrame, n_features: int, models: int, p: Boosting, rou
     def grown(batches, models, number):
         parts = [_Rows.of(b, n_features, models) for b in batches if b.num_rows]
         for r in rounds:
-            loss, growing, _ = _one_round(lambda growing, level: _histograms(parts, n_features, models, p, growing, level, r, width), models, p,
+            loss, growing, _ = _one_round(lambda growing, level, counted: _histograms(parts, n_features, models, p, growing, level, counted, r, width), models, p,
                                           _round_columns(p, n_features, r))
             parts = [x.with_trees(growing, p.depth) for x in parts]
             yield pa.RecordBatch.from_arrays(
@@ -453,8 +458,8 @@ def train(rows: DataFrame, features: Sequence[str], edges: list, p: Boosting, mo
         versions.drop()
 
 
-def _count(state, tasks: int, n_features: int, models: int, p: Boosting, round_no: int, width: int, growing: list, level: int) -> dict:
-    return _over_tasks(state, tasks, lambda parts: _histograms(parts, n_features, models, p, growing, level, round_no, width))
+def _count(state, tasks: int, n_features: int, models: int, p: Boosting, round_no: int, width: int, growing: list, level: int, counted: np.ndarray) -> dict:
+    return _over_tasks(state, tasks, lambda parts: _histograms(parts, n_features, models, p, growing, level, counted, round_no, width))
 
 
 def _next(state, growing: list, depth: int):

@@ -1,7 +1,7 @@
 """Propensity models (M1–M8) on Spark ML.
 
 Trees are trained level-wise by Spark ML (distributed histogram
-aggregation per level); the input is assembled once and cached for the
+aggregation per level), over many rows by ``gbt`` (the same trees); the input is assembled once and cached for the
 iterations, and GBT lineage is cut every ``checkpointInterval`` rounds
 into the shared checkpoint folder.  Cross-validation and early stopping
 train by ``boosting`` (all folds in one run, rounds that continue).
@@ -58,7 +58,7 @@ def gbt(preset: dict, label: str = "label", seed: int = 42, max_iter: int | None
 def fit_gbt(train: DataFrame, preset: dict, label: str = "label", seed: int = 42,
             max_iter: int | None = None, max_bins: int = 64):
     """M3 / M4: gradient-boosted trees with a preset's parameters.  Over many rows the
-    same trees are grown by ``boosted`` (Spark ML's passes cost ten times as much a row)."""
+    same trees are grown by ``boosted``, whose passes cost less a row."""
     checkpoint_dir(train.sparkSession)
     estimator = gbt(preset, label, seed, max_iter, max_bins)
     if train.count() > MANY_ROWS and boosted.trains(estimator, train.first()["features"].size):
